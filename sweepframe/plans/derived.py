@@ -65,8 +65,11 @@ def d1_short_log(spark: SparkSession, sf: str) -> str:
     return _once(("d1short", sf), build)
 
 
-def blocks(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("blocklog").option("blockSize", str(FIXTURE_BLOCK)).load(path)
+def blocks(spark: SparkSession, path: str, indices=None) -> DataFrame:
+    r = spark.read.format("blocklog").option("blockSize", str(FIXTURE_BLOCK))
+    if indices is not None:
+        r = r.option("blocks", ",".join(str(i) for i in indices))
+    return r.load(path)
 
 
 def stdout_files(spark: SparkSession, sf: str) -> str:

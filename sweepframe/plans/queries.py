@@ -132,7 +132,7 @@ EXTRACT_BLOCKS = (0, 1, 2, 1000)
 
 
 def q_blocklog_extract(spark, sf):
-    b = D.blocks(spark, D.d1_log_by_seed(spark, sf)).where(F.col("block_idx").isin(*EXTRACT_BLOCKS))
+    b = D.blocks(spark, D.d1_log_by_seed(spark, sf), indices=EXTRACT_BLOCKS)
     return parse_records(b).select("seed", "block_idx", "task_id")
 
 

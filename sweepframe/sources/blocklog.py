@@ -12,9 +12,11 @@ Read side (``spark.read.format("blocklog")``) yields one row per block::
 are block ranges of one file (``blocksPerPartition`` option), so a single
 large log is read by many tasks in parallel.  A short final block is kept
 (the batch reader takes what it finds), but the stream reader only
-consumes whole blocks.  Filters on ``block_idx`` and ``path`` are pushed
-into the scan: partitions outside the requested ranges are never
-planned and only the requested blocks are read.
+consumes whole blocks.  Indexed reads (``blocks``, ``minBlock``,
+``maxBlock``, ``files`` options) plan only the partitions that hold the
+requested blocks and seek straight to them.  (Filter pushdown is not used:
+PySpark keeps one reader per DataFrame, so pushed state would leak into
+later scans of the same DataFrame.)
 
 Write side (``df.write.format("blocklog")``) takes a ``value`` column
 (string or binary): each value becomes one block.  A value longer than a
@@ -38,14 +40,7 @@ from pyspark.sql.datasource import (
     DataSourceArrowWriter,
     DataSourceReader,
     DataSourceStreamReader,
-    EqualTo,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
     InputPartition,
-    IsNotNull,
-    LessThan,
-    LessThanOrEqual,
     WriterCommitMessage,
 )
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -102,14 +97,12 @@ def list_log_files(path: str) -> list[tuple[str, int]]:
         elif info.type == pafs.FileType.Directory:
             sel = pafs.FileSelector(inner, recursive=True)
             for f in filesystem.get_file_info(sel):
-                base = posixpath.basename(f.path)
                 rel = f.path[len(inner):]
                 if f.type != pafs.FileType.File:
                     continue
                 if any(seg.startswith((".", "_")) for seg in rel.split("/") if seg):
                     continue
                 out.append((_qualify(scheme, f.path), f.size))
-                del base
         else:
             raise FileNotFoundError(p)
     out.sort()
@@ -167,7 +160,7 @@ def detect_block_size(path: str, max_scan: int = 64 * 1024 * 1024) -> int:
 
 
 # --------------------------------------------------------------------------
-# pushed-down block selection
+# indexed block selection
 # --------------------------------------------------------------------------
 
 @dataclass
@@ -190,45 +183,19 @@ class _Selection:
         return sorted(i for i in self.idx if lo <= i < hi)
 
 
-def _apply_filter(sel: _Selection, flt) -> bool:
-    col = flt.attribute
-    if col == ("block_idx",):
-        if isinstance(flt, IsNotNull):
-            return True
-        if isinstance(flt, EqualTo):
-            vals = {int(flt.value)}
-        elif isinstance(flt, In):
-            vals = {int(v) for v in flt.value if v is not None}
-        elif isinstance(flt, GreaterThan):
-            sel.lo = max(sel.lo, int(flt.value) + 1)
-            return True
-        elif isinstance(flt, GreaterThanOrEqual):
-            sel.lo = max(sel.lo, int(flt.value))
-            return True
-        elif isinstance(flt, LessThan):
-            v = int(flt.value)
-            sel.hi = v if sel.hi is None else min(sel.hi, v)
-            return True
-        elif isinstance(flt, LessThanOrEqual):
-            v = int(flt.value) + 1
-            sel.hi = v if sel.hi is None else min(sel.hi, v)
-            return True
-        else:
-            return False
-        sel.idx = frozenset(vals) if sel.idx is None else sel.idx & vals
-        return True
-    if col == ("path",):
-        if isinstance(flt, IsNotNull):
-            return True
-        if isinstance(flt, EqualTo):
-            vals = {flt.value}
-        elif isinstance(flt, In):
-            vals = {v for v in flt.value if v is not None}
-        else:
-            return False
-        sel.paths = frozenset(vals) if sel.paths is None else sel.paths & vals
-        return True
-    return False
+def _selection_from_options(options) -> _Selection:
+    """S4 indexed read: ``blocks`` (comma list), ``minBlock``/``maxBlock`` (inclusive),
+    ``files`` (comma list of paths).  Stateless: fixed when the reader is made."""
+    sel = _Selection()
+    if options.get("blocks"):
+        sel.idx = frozenset(int(x) for x in str(options["blocks"]).split(",") if x.strip())
+    if options.get("minBlock") is not None:
+        sel.lo = int(options["minBlock"])
+    if options.get("maxBlock") is not None:
+        sel.hi = int(options["maxBlock"]) + 1
+    if options.get("files"):
+        sel.paths = frozenset(x.strip() for x in str(options["files"]).split(",") if x.strip())
+    return sel
 
 
 class _BlockRange(InputPartition):
@@ -287,12 +254,7 @@ class BlockLogReader(DataSourceReader):
         self.block = detect_block_size(self.path) if block == "auto" else block
         if self.block <= 0:
             self.block = DEFAULT_BLOCK_SIZE
-        self.sel = _Selection()
-
-    def pushFilters(self, filters):
-        for flt in filters:
-            if not _apply_filter(self.sel, flt):
-                yield flt
+        self.sel = _selection_from_options(options)
 
     def partitions(self):
         parts = []
