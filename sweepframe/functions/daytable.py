@@ -28,16 +28,26 @@ LONG_SCHEMA = StructType(
     + [StructField(c, FloatType(), False) for c in LONG_VALUE_COLUMNS])
 
 # Characters removed at both ends of a line: every code point <= U+0020.
-_EDGE = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
 
 
 def edge_trim(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE, "")
+    return F.btrim(c, F.lit(_EDGE_CHARS))
 
 
-def _last_position(names: Column, n: Column, name: str) -> Column:
-    """0-based index of the last occurrence of ``name`` in ``names`` or null."""
-    r = F.array_position(F.reverse(names), F.lit(name))
+def ws_split(c: Column) -> Column:
+    """Split an edge-trimmed line on runs of whitespace.
+
+    Runs are first collapsed to one space by ``regexp_replace`` (its pattern
+    is compiled once per task); the split on a single space then takes the
+    plain-character path instead of compiling a regex for every row.
+    """
+    return F.split(F.regexp_replace(c, r"\s+", " "), " ")
+
+
+def _last_position(reversed_names: Column, n: Column, name: str) -> Column:
+    """0-based index of the last occurrence of ``name`` (searched in the reversed header) or null."""
+    r = F.array_position(reversed_names, F.lit(name))
     return F.when(r > 0, n - r)
 
 
@@ -55,8 +65,8 @@ def explode_days(records: DataFrame, mode: str = "failfast", keep: list[str] | N
     """
     keep = keep or []
     lines = F.split(F.col("output_dat"), "\n")
-    hdr = F.transform(F.split(edge_trim(F.element_at(lines, 1)), r"\s+"),
-                      lambda x: F.regexp_replace(x, "/", "_"))
+    hdr = F.transform(ws_split(edge_trim(F.element_at(lines, 1))),
+                      lambda x: F.replace(x, F.lit("/"), F.lit("_")))
     per_record = records.select(
         *keep,
         F.coalesce(F.col("task_id"), F.lit(0).cast("long")).alias("row_id"),
@@ -66,13 +76,18 @@ def explode_days(records: DataFrame, mode: str = "failfast", keep: list[str] | N
         F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("_body"),
     ).where(F.col("_hdr").isNotNull())
     n = F.size("_hdr")
-    positions = [F.coalesce(_last_position(F.col("_hdr"), n, "Day"), F.lit(0)).alias("_p_Day")]
-    positions += [_last_position(F.col("_hdr"), n, c).alias(f"_p_{c}") for c in LONG_VALUE_COLUMNS]
-    with_pos = per_record.select(*keep, "row_id", "params_id", "seed", n.alias("_n"), *positions,
-                                 F.explode("_body").alias("_line"))
-    tok_line = with_pos.select(
-        "*", F.split(edge_trim(F.col("_line")), r"\s+").alias("_tok")
-    ).where(edge_trim(F.col("_line")) != "").where(F.size("_tok") >= F.col("_n"))
+    rev = F.col("_rhdr")
+    # header positions once per record, in their own projection before the
+    # explode (in the same select Spark would evaluate them per line)
+    positions = [F.coalesce(_last_position(rev, n, "Day"), F.lit(0)).alias("_p_Day")]
+    positions += [_last_position(rev, n, c).alias(f"_p_{c}") for c in LONG_VALUE_COLUMNS]
+    per_pos = per_record.withColumn("_rhdr", F.reverse("_hdr")).select(
+        *keep, "row_id", "params_id", "seed", n.alias("_n"), *positions, "_body")
+    with_pos = per_pos.select(*keep, "row_id", "params_id", "seed", "_n",
+                              *[f"_p_{c}" for c in ["Day"] + LONG_VALUE_COLUMNS],
+                              F.explode("_body").alias("_line"))
+    trimmed = with_pos.select("*", edge_trim(F.col("_line")).alias("_trim")).where(F.col("_trim") != "")
+    tok_line = trimmed.select("*", ws_split(F.col("_trim")).alias("_tok")).where(F.size("_tok") >= F.col("_n"))
 
     def cell(p):
         return F.get(F.col("_tok"), F.col(p))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sweepframe.functions.daytable import LONG_VALUE_COLUMNS, data_line_count, edge_trim
+from sweepframe.functions.daytable import LONG_VALUE_COLUMNS, data_line_count, edge_trim, ws_split
 
 MAGIC = b"PAR1"
 
@@ -84,11 +84,11 @@ def expected_cells(records: DataFrame) -> DataFrame:
     per = records.where(F.col("output_dat").isNotNull()).select(
         F.coalesce("task_id", F.lit(0).cast("long")).alias("row_id"),
         F.coalesce("seed", F.lit(0).cast("long")).alias("seed"),
-        F.transform(F.split(edge_trim(F.element_at(lines, 1)), r"\s+"),
-                    lambda x: F.regexp_replace(x, "/", "_")).alias("hdr"),
+        F.transform(ws_split(edge_trim(F.element_at(lines, 1))),
+                    lambda x: F.replace(x, F.lit("/"), F.lit("_"))).alias("hdr"),
         F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("body"))
     cells = per.select("row_id", "seed", "hdr", F.explode("body").alias("line"))
-    tok = F.split(edge_trim(F.col("line")), r"\s+")
+    tok = ws_split(edge_trim(F.col("line")))
     m = F.map_from_arrays(F.col("hdr"), F.slice(tok, 1, F.size("hdr")))
     return cells.where(F.size(tok) >= F.size("hdr")).select("row_id", "seed", m.alias("src"))
 

@@ -25,12 +25,13 @@ def _once(key, build):
     return _cache[key]
 
 
-def d1_log(spark: SparkSession, sf: str, header: bool = False) -> str:
+def d1_log(spark: SparkSession, sf: str) -> str:
+    """The D1 log: a header block, then one block per run, in every part file."""
     def build():
         p = scratch_path(spark, "d1log")
-        fx.d1_log(spark, sf, p, header_json=HEADER_JSON if header else None, block_size=FIXTURE_BLOCK)
+        fx.d1_log(spark, sf, p, header_json=HEADER_JSON, block_size=FIXTURE_BLOCK)
         return p
-    return _once(("d1log", sf, header), build)
+    return _once(("d1log", sf), build)
 
 
 def d1_log_by_seed(spark: SparkSession, sf: str) -> str:
@@ -165,3 +166,19 @@ def snapshots(spark: SparkSession, sf: str) -> str:
         later.write.mode("append").partitionBy("seed", "run", "plt").parquet(p)
         return p
     return _once(("snap", sf), build)
+
+
+def day_table_files(spark: SparkSession, sf: str) -> str:
+    """One ``output.dat`` per nation run (``run=<nationkey>/``): header ``Day Su``,
+    then one line per customer of the nation in customer-key order
+    (``Day`` = position, ``Su`` = account balance)."""
+    def build():
+        c = fx.table(spark, sf, "customer")
+        g = c.groupBy("c_nationkey").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "c_acctbal"))).alias("d"))
+        body = F.transform("d", lambda x, i: F.concat_ws(" ", (i + 1).cast("string"), x["c_acctbal"].cast("string")))
+        txt = F.concat(F.lit("Day Su\n"), F.array_join(body, "\n"), F.lit("\n"))
+        p = scratch_path(spark, "daytables")
+        (g.select(F.col("c_nationkey").alias("run"), txt.alias("value"))
+          .repartition("run").write.mode("overwrite").partitionBy("run").text(p))
+        return p
+    return _once(("daytables", sf), build)

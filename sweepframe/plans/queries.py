@@ -29,10 +29,9 @@ from sweepframe.streaming import tail
 # ============================================================ shared pieces
 
 
-def _records(spark, sf, header=False) -> DataFrame:
-    recs = parse_records(D.blocks(spark, D.d1_log(spark, sf, header)))
-    if header:
-        _, recs = split_header(recs)
+def _records(spark, sf) -> DataFrame:
+    """Data records of the D1 log (its header block split off)."""
+    _, recs = split_header(parse_records(D.blocks(spark, D.d1_log(spark, sf))))
     return recs
 
 
@@ -42,7 +41,7 @@ def _long(spark, sf) -> DataFrame:
 
 def _long_path(spark, sf) -> str:
     def build():
-        hdr, _ = split_header(parse_records(D.blocks(spark, D.d1_log(spark, sf, header=True))))
+        hdr, _ = split_header(parse_records(D.blocks(spark, D.d1_log(spark, sf))))
         meta = hdr.select("meta").first()  # one small header map (file metadata)
         p = scratch_path(spark, "long")
         longtable.write_long(_long(spark, sf), p, header=dict(meta["meta"]) if meta else None)
@@ -182,16 +181,19 @@ FROM li WHERE l_returnflag <> 'R'"""
 
 def q_conversion_counts(spark, sf):
     path = D.d1_log(spark, sf)
-    recs = _records(spark, sf)
+    header, recs = split_header(parse_records(D.blocks(spark, path)))
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.log")
              .option("recursiveFileLookup", "true").load(path).select("length"))
-    return S.conversion_summary(recs, explode_days(recs), files, D.FIXTURE_BLOCK)
+    out = S.conversion_summary(recs, explode_days(recs), files, D.FIXTURE_BLOCK)
+    # the log holds one header block per file: report content blocks
+    return out.select("records", "rows", (F.col("expected_blocks") - header.select(F.count(F.lit(1))).scalar())
+                      .alias("content_blocks"))
 
 
 SQL_CONVERSION_COUNTS = f"""SELECT
   (SELECT count(*) FROM orders WHERE {SQL_HAS_ITEMS}) AS records,
   (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS rows,
-  (SELECT count(*) FROM orders WHERE {SQL_HAS_ITEMS}) AS expected_blocks"""
+  (SELECT count(*) FROM orders WHERE {SQL_HAS_ITEMS}) AS content_blocks"""
 
 
 def q_long_parquet(spark, sf):
@@ -205,7 +207,7 @@ SQL_LONG_PARQUET = SQL_LONG.replace(
 
 
 def q_log_stat(spark, sf):
-    path = D.d1_log(spark, sf, header=True)
+    path = D.d1_log(spark, sf)
     recs = parse_records(D.blocks(spark, path))
     st = S.log_stat(spark, path, recs, D.FIXTURE_BLOCK)
     return st.groupBy("key", "value").agg(F.sum("content_blocks").alias("content_blocks"))
@@ -274,6 +276,31 @@ def _peak_su(row: dict) -> dict:
 SQL_SCRAPE_HOOK = f"""SELECT l_orderkey AS task_id, max(l_quantity) AS peak FROM lineitem
 WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey"""
 
+def q_blocklog_auto(spark, sf):
+    b = spark.read.format("blocklog").option("blockSize", "auto").load(D.d1_log(spark, sf))
+    _, recs = split_header(parse_records(b))
+    return recs.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.sum("day_final").alias("days"))
+
+
+SQL_BLOCKLOG_AUTO = f"""WITH {SQL_ORD}
+SELECT seed, count(*) AS n, sum(n_items) AS days FROM ord
+JOIN (SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_items FROM lineitem GROUP BY l_orderkey) l ON l.l_orderkey = ord.o_orderkey
+GROUP BY seed"""
+
+
+def q_day_table_files(spark, sf):
+    runs = fx.table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("long").alias("task_id"), F.col("n_regionkey").cast("long").alias("params_id"),
+        F.lit(0).cast("long").alias("seed"))
+    dt = text.read_day_tables(spark, D.day_table_files(spark, sf), r"run=(\d+)/")
+    return explode_days(runs.join(dt, "task_id")).select("row_id", "params_id", "Day", "Su")
+
+
+SQL_DAY_TABLE_FILES = """SELECT CAST(c_nationkey AS BIGINT) AS row_id, CAST(n_regionkey AS BIGINT) AS params_id,
+  CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS "Day",
+  CAST(c_acctbal AS FLOAT) AS Su
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
 # ============================================================ validation (V1-V5)
 
 
@@ -768,11 +795,13 @@ QUERIES = {
     "blocklog_roundtrip": (q_blocklog_roundtrip, SQL_BLOCKLOG_ROUNDTRIP),
     "blocklog_stream": (q_blocklog_stream, SQL_BLOCKLOG_STREAM),
     "blocklog_extract": (q_blocklog_extract, SQL_BLOCKLOG_EXTRACT),
+    "blocklog_auto": (q_blocklog_auto, SQL_BLOCKLOG_AUTO),
     "header_split": (q_header_split, SQL_HEADER_SPLIT),
     "explode_long": (q_explode_long, SQL_LONG),
     "short_row_filter": (q_short_row_filter, SQL_SHORT_ROW_FILTER),
     "conversion_counts": (q_conversion_counts, SQL_CONVERSION_COUNTS),
     "long_parquet": (q_long_parquet, SQL_LONG_PARQUET),
+    "day_table_files": (q_day_table_files, SQL_DAY_TABLE_FILES),
     "log_stat": (q_log_stat, SQL_LOG_STAT),
     "run_counts": (q_run_counts, SQL_RUN_COUNTS),
     "durations": (q_durations, SQL_DURATIONS),

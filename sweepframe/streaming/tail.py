@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sweepframe.functions.records import parse_records
+from sweepframe.functions.records import parse_records, split_header
 
 
 def stream_records(spark: SparkSession, path: str, block_size: int = 65536) -> DataFrame:
@@ -25,7 +25,7 @@ def stream_records(spark: SparkSession, path: str, block_size: int = 65536) -> D
 def append_records(spark: SparkSession, path: str, sink: str, checkpoint: str,
                    block_size: int = 65536, available_now: bool = True):
     """Stream the log's records into a Parquet table; returns the finished query."""
-    rec = stream_records(spark, path, block_size)
+    _, rec = split_header(stream_records(spark, path, block_size))
     rec = rec.withColumn("ok", F.length("json") > 0).drop("output_dat", "json")
     q = (rec.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).outputMode("append"))
@@ -44,7 +44,7 @@ def running_counts(spark: SparkSession, path: str, sink: str, checkpoint: str,
     ``foreachBatch`` (overwrite of the changed groups' latest values is
     left to readers: they take the row with the highest batch id).
     """
-    rec = stream_records(spark, path, block_size)
+    _, rec = split_header(stream_records(spark, path, block_size))
     agg = rec.groupBy("params_id").agg(
         F.count_if(F.length("json") > 0).alias("n_ok"),
         F.sum(F.col("stop") - F.col("start")).alias("run_time"))
