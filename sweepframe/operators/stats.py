@@ -23,17 +23,22 @@ def conversion_summary(records: DataFrame, long_rows: DataFrame, files: DataFram
     return r.select("records", n.alias("rows"), b.alias("expected_blocks"))
 
 
+def run_durations(records: DataFrame) -> DataFrame:
+    """``stop - start`` for each record that has both (narrow, no shuffle)."""
+    return records.where(F.col("start").isNotNull() & F.col("stop").isNotNull()).select(
+        "path", "block_idx", "task_id", (F.col("stop") - F.col("start")).alias("duration"))
+
+
 def durations(records: DataFrame) -> DataFrame:
-    """``stop - start`` for each record with both, with a running index in log order."""
+    """Run durations with a running index in log order (path, block)."""
     from sweepframe.operators.sweep import index_rows
 
-    d = records.where(F.col("start").isNotNull() & F.col("stop").isNotNull()).select(
-        "path", "block_idx", "task_id", (F.col("stop") - F.col("start")).alias("duration"))
-    return index_rows(d, "idx", order_by=["path", "block_idx"], start=0)
+    return index_rows(run_durations(records), "idx", order_by=["path", "block_idx"], start=0)
 
 
 def duration_stats(d: DataFrame) -> DataFrame:
-    """Count, min, max, mean, total of durations (partial + final aggregate)."""
+    """Count, min, max, mean, total of durations (partial + final aggregate).
+    ``d`` is ``run_durations`` output (the running index is not needed)."""
     return d.agg(F.count("duration").alias("count"), F.min("duration").alias("min"),
                  F.max("duration").alias("max"), F.avg("duration").alias("mean"),
                  F.sum("duration").alias("total"))
