@@ -41,7 +41,6 @@ def main():
         times[name] = round(time.time() - t0, 3)
 
     timed("build_log", lambda: D.d1_log(spark, sf_dir))
-    timed("build_log_by_seed", lambda: D.d1_log_by_seed(spark, sf_dir))
     timed("build_stdout", lambda: D.stdout_files(spark, sf_dir))
     timed("build_snapshots", lambda: D.snapshots(spark, sf_dir))
     qs = Q.queries()

@@ -51,42 +51,27 @@ def _last_position(reversed_names: Column, n: Column, name: str) -> Column:
     return F.when(r > 0, n - r)
 
 
-def explode_days(records: DataFrame, mode: str = "failfast", keep: list[str] | None = None) -> DataFrame:
-    """R5-R10 on parsed records (``task_id, params_id, seed, output_dat``).
+def _header_tokens(first_line: Column) -> Column:
+    return F.transform(ws_split(edge_trim(first_line)), lambda x: F.replace(x, F.lit("/"), F.lit("_")))
 
-    * header = first line, edge-trimmed, split on whitespace, ``/`` -> ``_``;
-      a duplicated name resolves to its last position; ``Day`` falls back
-      to position 0
-    * blank data lines are skipped; a line with fewer tokens than the
-      header is dropped (R8); extra tokens are ignored
-    * absent value columns read 0.0 (R7); absent ids read 0 (R10)
-    * ``mode="failfast"``: a bad number fails the job (ANSI cast);
-      ``mode="quarantine"``: such rows get ``_bad = true`` instead
-    """
-    keep = keep or []
-    lines = F.split(F.col("output_dat"), "\n")
-    hdr = F.transform(ws_split(edge_trim(F.element_at(lines, 1))),
-                      lambda x: F.replace(x, F.lit("/"), F.lit("_")))
-    per_record = records.select(
-        *keep,
-        F.coalesce(F.col("task_id"), F.lit(0).cast("long")).alias("row_id"),
-        F.coalesce(F.col("params_id"), F.lit(0).cast("long")).alias("params_id"),
-        F.coalesce(F.col("seed"), F.lit(0).cast("long")).alias("seed"),
-        hdr.alias("_hdr"),
-        F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("_body"),
-    ).where(F.col("_hdr").isNotNull())
+
+def _with_positions(df: DataFrame, keep: list[str], carry: list[str]) -> DataFrame:
+    """``_hdr`` -> ``_n`` and one ``_p_<col>`` per output column, in a projection
+    of its own (evaluated once per header, not per data line)."""
     n = F.size("_hdr")
     rev = F.col("_rhdr")
-    # header positions once per record, in their own projection before the
-    # explode (in the same select Spark would evaluate them per line)
     positions = [F.coalesce(_last_position(rev, n, "Day"), F.lit(0)).alias("_p_Day")]
     positions += [_last_position(rev, n, c).alias(f"_p_{c}") for c in LONG_VALUE_COLUMNS]
-    per_pos = per_record.withColumn("_rhdr", F.reverse("_hdr")).select(
-        *keep, "row_id", "params_id", "seed", n.alias("_n"), *positions, "_body")
-    with_pos = per_pos.select(*keep, "row_id", "params_id", "seed", "_n",
-                              *[f"_p_{c}" for c in ["Day"] + LONG_VALUE_COLUMNS],
-                              F.explode("_body").alias("_line"))
-    trimmed = with_pos.select("*", edge_trim(F.col("_line")).alias("_trim")).where(F.col("_trim") != "")
+    return df.withColumn("_rhdr", F.reverse("_hdr")).select(
+        *keep, "row_id", "params_id", "seed", n.alias("_n"), *positions, *carry)
+
+
+_POS_COLS = [f"_p_{c}" for c in ["Day"] + LONG_VALUE_COLUMNS]
+
+
+def _project_lines(lines: DataFrame, keep: list[str], mode: str) -> DataFrame:
+    """Data lines (with ``_n``/``_p_*``/``_line``) -> typed long rows."""
+    trimmed = lines.select("*", edge_trim(F.col("_line")).alias("_trim")).where(F.col("_trim") != "")
     tok_line = trimmed.select("*", ws_split(F.col("_trim")).alias("_tok")).where(F.size("_tok") >= F.col("_n"))
 
     def cell(p):
@@ -111,6 +96,53 @@ def explode_days(records: DataFrame, mode: str = "failfast", keep: list[str] | N
                            bad.alias("_bad"), F.col("_line").alias("_raw_line"))
 
 
+def _ids() -> list[Column]:
+    return [F.coalesce(F.col("task_id"), F.lit(0).cast("long")).alias("row_id"),
+            F.coalesce(F.col("params_id"), F.lit(0).cast("long")).alias("params_id"),
+            F.coalesce(F.col("seed"), F.lit(0).cast("long")).alias("seed")]
+
+
+def explode_days(records: DataFrame, mode: str = "failfast", keep: list[str] | None = None) -> DataFrame:
+    """R5-R10 on parsed records (``task_id, params_id, seed, output_dat``).
+
+    * header = first line, edge-trimmed, split on whitespace, ``/`` -> ``_``;
+      a duplicated name resolves to its last position; ``Day`` falls back
+      to position 0
+    * blank data lines are skipped; a line with fewer tokens than the
+      header is dropped (R8); extra tokens are ignored
+    * absent value columns read 0.0 (R7); absent ids read 0 (R10)
+    * ``mode="failfast"``: a bad number fails the job (ANSI cast);
+      ``mode="quarantine"``: such rows get ``_bad = true`` instead
+    """
+    keep = keep or []
+    lines = F.split(F.col("output_dat"), "\n")
+    per_record = records.select(
+        *keep, *_ids(), _header_tokens(F.element_at(lines, 1)).alias("_hdr"),
+        F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("_body"),
+    ).where(F.col("_hdr").isNotNull())
+    per_pos = _with_positions(per_record, keep, ["_body"])
+    with_line = per_pos.select(*keep, "row_id", "params_id", "seed", "_n", *_POS_COLS,
+                               F.explode("_body").alias("_line"))
+    return _project_lines(with_line, keep, mode)
+
+
+def explode_day_lines(runs: DataFrame, lines: DataFrame, mode: str = "failfast") -> DataFrame:
+    """R5-R10 for day tables read line by line (``sources.text.read_day_table_lines``).
+
+    ``runs``: ``task_id, params_id, seed``; ``lines``: ``task_id, line_key, line``.
+    The header of a run is its first line (partial ``min_by`` per task, then
+    one row per run); header positions are computed per run and joined to
+    the lines, so no run's table is ever gathered into one row or task.
+    """
+    heads = lines.groupBy("task_id").agg(F.min_by("line", "line_key").alias("_first_line"),
+                                         F.min("line_key").alias("_first_key"))
+    per_run = runs.join(heads, "task_id").select(
+        *_ids(), "task_id", "_first_key", _header_tokens(F.col("_first_line")).alias("_hdr"))
+    per_pos = _with_positions(per_run, [], ["task_id", "_first_key"])
+    body = lines.join(per_pos, "task_id").where(F.col("line_key") != F.col("_first_key"))
+    return _project_lines(body.withColumnRenamed("line", "_line"), [], mode)
+
+
 def data_line_count(output_dat: Column) -> Column:
     """Non-blank lines minus the header line (as the reconciliation counts them)."""
     lines = F.filter(F.split(output_dat, "\n"), lambda x: edge_trim(x) != "")

@@ -34,15 +34,6 @@ def d1_log(spark: SparkSession, sf: str) -> str:
     return _once(("d1log", sf), build)
 
 
-def d1_log_by_seed(spark: SparkSession, sf: str) -> str:
-    """D1 log with one file per ``seed`` value, blocks in ``task_id`` order."""
-    def build():
-        p = scratch_path(spark, "d1seed")
-        fx.d1_log(spark, sf, p, partition_by="seed", block_size=FIXTURE_BLOCK)
-        return p
-    return _once(("d1seed", sf), build)
-
-
 def d1_short_log(spark: SparkSession, sf: str) -> str:
     """D1 variant with a 4th column ``R = l_tax`` that returned items (flag R) lack."""
     def build():
@@ -94,8 +85,10 @@ def stdout_files(spark: SparkSession, sf: str) -> str:
                 .when((F.col("event_type") == "error") & (F.col("value") > 300), F.concat(F.lit("EARLY-EXIT at "), v))
                 .otherwise(F.concat(F.col("event_type"), F.lit(" "), v)))
         p = scratch_path(spark, "stdout")
+        # range partitioning: a run with many lines is split over several
+        # tasks/files whose names follow line order
         (ev.select("user_id", "ts", "event_id", line.alias("line"))
-           .repartition("user_id").sortWithinPartitions("user_id", "ts", "event_id")
+           .repartitionByRange("user_id", "ts", "event_id").sortWithinPartitions("user_id", "ts", "event_id")
            .select("user_id", "line").write.mode("overwrite").partitionBy("user_id").text(p))
         return p
     return _once(("stdout", sf), build)
@@ -169,16 +162,18 @@ def snapshots(spark: SparkSession, sf: str) -> str:
 
 
 def day_table_files(spark: SparkSession, sf: str) -> str:
-    """One ``output.dat`` per nation run (``run=<nationkey>/``): header ``Day Su``,
-    then one line per customer of the nation in customer-key order
-    (``Day`` = position, ``Su`` = account balance)."""
+    """``output.dat`` text per nation run (``run=<nationkey>/``): header line
+    ``Day Su``, then ``<custkey> <acctbal>`` per customer of the nation.
+    Range-partitioned on (run, key): a large run spans several files whose
+    names follow line order; no run is collected into one row."""
     def build():
         c = fx.table(spark, sf, "customer")
-        g = c.groupBy("c_nationkey").agg(F.sort_array(F.collect_list(F.struct("c_custkey", "c_acctbal"))).alias("d"))
-        body = F.transform("d", lambda x, i: F.concat_ws(" ", (i + 1).cast("string"), x["c_acctbal"].cast("string")))
-        txt = F.concat(F.lit("Day Su\n"), F.array_join(body, "\n"), F.lit("\n"))
+        data = c.select(F.col("c_nationkey").alias("run"), F.col("c_custkey").alias("k"),
+                        F.concat_ws(" ", F.col("c_custkey").cast("string"), F.col("c_acctbal").cast("string")).alias("value"))
+        head = fx.table(spark, sf, "nation").select(F.col("n_nationkey").alias("run"), F.lit(-1).cast("long").alias("k"),
+                                                    F.lit("Day Su").alias("value"))
         p = scratch_path(spark, "daytables")
-        (g.select(F.col("c_nationkey").alias("run"), txt.alias("value"))
-          .repartition("run").write.mode("overwrite").partitionBy("run").text(p))
+        (head.unionByName(data).repartitionByRange("run", "k").sortWithinPartitions("run", "k")
+             .select("run", "value").write.mode("overwrite").partitionBy("run").text(p))
         return p
     return _once(("daytables", sf), build)

@@ -81,8 +81,9 @@ def write_blocklog(df: DataFrame, path: str, value_col: str = "value", block_siz
     """S7 helper: write ``value_col`` as one block per row."""
     out = df
     if partition_by:
-        # one file per key: co-locate each key in one task, blocks in key order
-        out = out.repartition(partition_by).sortWithinPartitions(partition_by, *(order_by or []))
+        # each task writes one file per key it holds: a hot key is spread over
+        # many tasks and files instead of being funnelled into one
+        out = out.sortWithinPartitions(partition_by, *(order_by or []))
     elif order_by:
         out = out.sortWithinPartitions(*order_by)
     cols = [F.col(value_col).alias("value")] + ([F.col(partition_by)] if partition_by else [])

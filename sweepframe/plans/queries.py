@@ -11,7 +11,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sweepframe.functions.daytable import LONG_SCHEMA, LONG_VALUE_COLUMNS, explode_days
+from sweepframe.functions.daytable import LONG_SCHEMA, LONG_VALUE_COLUMNS, explode_day_lines, explode_days
 from sweepframe.functions.records import (
     header_pairs, header_record, parse_records, split_header, to_record_json)
 from sweepframe.operators import agents as A
@@ -127,19 +127,22 @@ SQL_BLOCKLOG_STREAM = f"""SELECT o_custkey AS params_id, count(*) AS n_ok FROM o
 WHERE {SQL_HAS_ITEMS} GROUP BY o_custkey"""
 
 
-EXTRACT_BLOCKS = (0, 1, 2, 1000)
-
-
 def q_blocklog_extract(spark, sf):
-    b = D.blocks(spark, D.d1_log_by_seed(spark, sf), indices=EXTRACT_BLOCKS)
-    return parse_records(b).select("seed", "block_idx", "task_id")
+    """An index (task -> path, block) is built from one scan; the records
+    of the urgent orders are then fetched by seeking to their blocks."""
+    from sweepframe.sources.blocklog import read_blocks
+
+    index = _records(spark, sf).select("task_id", "path", "block_idx")
+    urgent = fx.table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_orderkey").alias("task_id"))
+    wanted = index.join(urgent, "task_id", "left_semi")
+    recs = parse_records(read_blocks(wanted, D.FIXTURE_BLOCK))
+    return recs.select("task_id", "cfg_id", "day_final")
 
 
-SQL_BLOCKLOG_EXTRACT = f"""SELECT seed, block_idx, task_id FROM (
-  SELECT CAST(year(o_orderdate) AS BIGINT) AS seed, o_orderkey AS task_id,
-         row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1 AS block_idx
-  FROM orders WHERE {SQL_HAS_ITEMS}) t
-WHERE block_idx IN {EXTRACT_BLOCKS}"""
+SQL_BLOCKLOG_EXTRACT = f"""SELECT o_orderkey AS task_id, o_orderpriority AS cfg_id,
+  (SELECT CAST(count(*) AS BIGINT) FROM lineitem WHERE l_orderkey = o_orderkey) AS day_final
+FROM orders WHERE o_orderpriority = '1-URGENT' AND {SQL_HAS_ITEMS}"""
 
 
 def q_header_split(spark, sf):
@@ -292,13 +295,12 @@ def q_day_table_files(spark, sf):
     runs = fx.table(spark, sf, "nation").select(
         F.col("n_nationkey").cast("long").alias("task_id"), F.col("n_regionkey").cast("long").alias("params_id"),
         F.lit(0).cast("long").alias("seed"))
-    dt = text.read_day_tables(spark, D.day_table_files(spark, sf), r"run=(\d+)/")
-    return explode_days(runs.join(dt, "task_id")).select("row_id", "params_id", "Day", "Su")
+    lines = text.read_day_table_lines(spark, D.day_table_files(spark, sf), r"run=(\d+)/")
+    return explode_day_lines(runs, lines).select("row_id", "params_id", "Day", "Su")
 
 
 SQL_DAY_TABLE_FILES = """SELECT CAST(c_nationkey AS BIGINT) AS row_id, CAST(n_regionkey AS BIGINT) AS params_id,
-  CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS "Day",
-  CAST(c_acctbal AS FLOAT) AS Su
+  CAST(c_custkey AS INTEGER) AS "Day", CAST(c_acctbal AS FLOAT) AS Su
 FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
 # ============================================================ validation (V1-V5)

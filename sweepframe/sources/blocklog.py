@@ -419,6 +419,50 @@ class BlockLogWriter(DataSourceArrowWriter):
                     pass
 
 
+def read_blocks(requests, block_size: int = DEFAULT_BLOCK_SIZE, keep_padding: bool = False):
+    """S4 at scale: fetch the blocks named by a DataFrame of ``(path, block_idx)``.
+
+    Requests are spread over tasks by path (and index, so a file with many
+    requested blocks is shared by several tasks); each task sorts its
+    requests, opens each file once and seeks to every block.  Returns
+    ``path, block_idx, payload`` like the scan.
+    """
+    from pyspark.sql import functions as F
+
+    def fetch(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            d = batch.to_pydict()
+            order = sorted(range(len(d["path"])), key=lambda i: (d["path"][i], d["block_idx"][i]))
+            paths, idxs, payloads = [], [], []
+            cur, fh = None, None
+            try:
+                for i in order:
+                    p, b = d["path"][i], int(d["block_idx"][i])
+                    if p != cur:
+                        if fh is not None:
+                            fh.close()
+                        fh, cur = _open_read(p), p
+                    fh.seek(b * block_size)
+                    data = fh.read(block_size)
+                    if not data:
+                        continue
+                    paths.append(p)
+                    idxs.append(b)
+                    payloads.append(data if keep_padding else data.rstrip(b"\x00"))
+            finally:
+                if fh is not None:
+                    fh.close()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(idxs, pa.int64()), pa.array(payloads, pa.binary())],
+                names=SCHEMA.names)
+
+    req = requests.select(F.col("path").cast("string"), F.col("block_idx").cast("long"))
+    req = req.repartition("path", "block_idx").sortWithinPartitions("path", "block_idx")
+    return req.mapInArrow(fetch, SCHEMA)
+
+
 class BlockLogDataSource(DataSource):
     @classmethod
     def name(cls):

@@ -75,9 +75,15 @@ def read_params_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def line_key_cols() -> list[Column]:
-    """(file, line_key) for a line-mode text scan; line_key orders lines of a file."""
+    """(file, line_key) for a line-mode text scan.
+
+    ``line_key`` = (file, split start, position) orders the lines of one
+    file, and the lines of a run whose output is split over several files
+    named in order.
+    """
     return [F.col("_metadata.file_path").alias("file"),
-            F.struct(F.col("_metadata.file_block_start").alias("split"),
+            F.struct(F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("split"),
                      F.monotonically_increasing_id().alias("pos")).alias("line_key")]
 
 
@@ -126,6 +132,16 @@ def read_stdout(spark: SparkSession, path: str, name_pattern: str = r"[^/]*$") -
         "file", F.regexp_extract("file", name_pattern, 0).alias("name"), "line_key", "line")
 
 
+def read_day_table_lines(spark: SparkSession, path: str, run_pattern: str) -> DataFrame:
+    """S13 in line mode: ``task_id``, ``line_key``, ``line`` for every line of
+    every run's day-table files (run id = first group of ``run_pattern`` on
+    the path).  Nothing is read whole, so a run of any size is split over
+    many tasks; see ``daytable.explode_day_lines``."""
+    return spark.read.text(path).select(
+        F.regexp_extract(F.col("_metadata.file_path"), run_pattern, 1).cast("long").alias("task_id"),
+        *line_key_cols()[1:], F.col("value").alias("line"))
+
+
 def read_day_tables(spark: SparkSession, path: str, run_pattern: str) -> DataFrame:
     """Whole ``output.dat`` per run; run id = first group of ``run_pattern`` on the path."""
     return spark.read.text(path, wholetext=True).select(
