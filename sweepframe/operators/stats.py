@@ -116,3 +116,19 @@ def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
         ).otherwise(s).alias(c)
 
     return top.select(*[cut(c) for c in df.columns])
+
+
+def describe(spark: SparkSession, path: str) -> DataFrame:
+    """R20 header part: row count, column count, schema and stored header
+    pairs of a long table, as sorted (key, value) rows.  The row count is a
+    footer-level aggregate (Parquet aggregate pushdown), no column data is read."""
+    from sweepframe.sources.longtable import read_header
+
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = spark.read.parquet(path)
+    n = df.select(F.count(F.lit(1))).scalar()
+    meta = sorted(read_header(spark, path).items())
+    static = [("columns", str(len(df.columns))), ("schema", df.schema.simpleString())]
+    static += [(f"meta.{k}", str(v)) for k, v in meta]
+    base = spark.createDataFrame(static, "key string, value string")
+    return base.unionByName(spark.range(1).select(F.lit("rows").alias("key"), n.cast("string").alias("value")))

@@ -127,6 +127,20 @@ SQL_BLOCKLOG_STREAM = f"""SELECT o_custkey AS params_id, count(*) AS n_ok FROM o
 WHERE {SQL_HAS_ITEMS} GROUP BY o_custkey"""
 
 
+def q_stream_counts(spark, sf):
+    """R13/R18 kept up to date over the tail of the log (update-mode aggregate)."""
+    log = D.d1_log(spark, sf)
+    sink, ckpt = scratch_path(spark, "counts_sink"), scratch_path(spark, "counts_ckpt")
+    tail.running_counts(spark, log, sink, ckpt, block_size=D.FIXTURE_BLOCK)
+    out = tail.latest_counts(spark, sink)
+    return out.select("params_id", "n_ok", F.round("run_time", 6).alias("run_time"))
+
+
+SQL_STREAM_COUNTS = f"""WITH {SQL_ORD}
+SELECT o_custkey AS params_id, count(*) AS n_ok, round(sum((start + o_totalprice / 100.0) - start), 6) AS run_time
+FROM ord WHERE {SQL_HAS_ITEMS} GROUP BY o_custkey"""
+
+
 def q_blocklog_extract(spark, sf):
     """An index (task -> path, block) is built from one scan; the records
     of the urgent orders are then fetched by seeking to their blocks."""
@@ -261,6 +275,19 @@ SELECT CAST(r.l_orderkey AS VARCHAR) AS task_id, CAST(ord.o_custkey AS VARCHAR)
 FROM runs r JOIN ord ON r.l_orderkey = ord.o_orderkey ORDER BY r.l_orderkey LIMIT 20"""
 
 
+def q_describe(spark, sf):
+    return S.describe(spark, _long_path(spark, sf))
+
+
+def _describe_sql():
+    schema = "struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in LONG_SCHEMA.fields) + ">"
+    hdr = {"date": "2026-01-01T00:00:00Z", "replicates": "1", "site": "local"}
+    rows = [("columns", str(len(LONG_SCHEMA.fields))), ("schema", schema)] + [(f"meta.{k}", v) for k, v in sorted(hdr.items())]
+    vals = " UNION ALL ".join(f"SELECT '{k}' AS key, '{v}' AS value" for k, v in rows)
+    return (vals + " UNION ALL SELECT 'rows' AS key, CAST(count(*) AS VARCHAR) AS value "
+            "FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+
+
 def q_scrape_hook(spark, sf):
     recs = _records(spark, sf).select("task_id", "output_dat")
     out = R.with_scrape(recs, _peak_su, "peak double", "task_id", ["output_dat"])
@@ -796,6 +823,7 @@ QUERIES = {
     "blocklog_roundtrip": (q_blocklog_roundtrip, SQL_BLOCKLOG_ROUNDTRIP),
     "blocklog_stream": (q_blocklog_stream, SQL_BLOCKLOG_STREAM),
     "blocklog_extract": (q_blocklog_extract, SQL_BLOCKLOG_EXTRACT),
+    "stream_counts": (q_stream_counts, SQL_STREAM_COUNTS),
     "blocklog_auto": (q_blocklog_auto, SQL_BLOCKLOG_AUTO),
     "header_split": (q_header_split, SQL_HEADER_SPLIT),
     "explode_long": (q_explode_long, SQL_LONG),
@@ -808,6 +836,7 @@ QUERIES = {
     "durations": (q_durations, SQL_DURATIONS),
     "duration_stats": (q_duration_stats, SQL_DURATION_STATS),
     "preview": (q_preview, SQL_PREVIEW),
+    "describe": (q_describe, _describe_sql()),
     "scrape_hook": (q_scrape_hook, SQL_SCRAPE_HOOK),
     "magic_check": (q_magic_check, SQL_MAGIC_CHECK),
     "rows_check": (q_rows_check, SQL_ROWS_CHECK),

@@ -103,7 +103,7 @@ def read_configs(spark: SparkSession, path: str) -> DataFrame:
 
 def split_lines(text: Column) -> Column:
     """Text -> lines as readlines() sees them (no empty line after a final newline)."""
-    body = F.regexp_replace(text, r"\n$", "")
+    body = F.regexp_replace(text, r"\n\z", "")
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
 
 
