@@ -75,13 +75,31 @@ def timing_summary(timings: DataFrame) -> DataFrame:
     long = long.select("x.series", "x.v").where(F.col("v").isNotNull())
     agg = long.groupBy("series").agg(
         F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.avg("v").alias("mean"), F.median("v").alias("median"), F.sum("v").alias("total"))
+        F.avg("v").alias("mean"), F.sum("v").alias("total"))
+    agg = agg.join(exact_median(long, "series", "v"), "series", "left")
     spark = timings.sparkSession
     names = spark.createDataFrame([("SETUP",), ("SIM",), ("TOTAL",)], "series string")
     out = names.join(agg, "series", "left")
     return out.withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
+def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Exact (interpolated) median per group without holding a group in one task.
+
+    Values are range-sorted by (group, value) and numbered (``sweep.index_rows``);
+    per group only the count and first number are aggregated, and the one or
+    two middle rows are picked by their numbers.
+    """
+    from sweepframe.operators.sweep import index_rows
+
+    ranked = index_rows(df.select(group, value), "_r", order_by=[group, value], start=0)
+    bounds = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min("_r").alias("_r0"))
+    lo = F.col("_r0") + F.floor((F.col("_n") - 1) / 2)
+    hi = F.col("_r0") + F.floor(F.col("_n") / 2)
+    mid = ranked.join(bounds, group).where((F.col("_r") == lo) | (F.col("_r") == hi))
+    return mid.groupBy(group).agg(F.avg(value).alias("median"))
+
+
 def log_stat(spark: SparkSession, path: str, records: DataFrame, block_size: int) -> DataFrame:
     """Per log file: size, mtime, content blocks, and its header pairs.
 

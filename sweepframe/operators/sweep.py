@@ -60,13 +60,21 @@ def index_in_file_order(df: DataFrame, name: str = "row_no", start: int = 1) ->
               .drop("_f", "_s", "_first", "_off")
 
 
-def value_list(df: DataFrame, col: str) -> Column:
+MAX_LIST_VALUES = 100_000
+
+
+def value_list(df: DataFrame, col: str, max_values: int = MAX_LIST_VALUES) -> Column:
     """Sorted distinct values of ``col`` as one array value (a scalar subquery).
 
     The list is a sweep parameter: a handful of values.  It is computed once
-    and inlined into the plan, so expanding rows with it needs no join.
+    (distinct first, so each task ships only its distinct values) and inlined
+    into the plan, so expanding rows with it needs no join.  A list longer
+    than ``max_values`` fails the query instead of growing without bound.
     """
-    return df.select(F.sort_array(F.collect_set(col))).scalar()
+    vals = df.select(col).distinct().select(F.sort_array(F.collect_list(col)).alias("v"))
+    guarded = F.when(F.size("v") <= max_values, F.col("v")).otherwise(
+        F.raise_error(F.lit(f"value list of {col} exceeds {max_values} values")).cast("array<" + dict(df.dtypes)[col] + ">"))
+    return vals.select(guarded).scalar()
 
 
 def grid(days: DataFrame, p_trans: Column, compliance: Column) -> DataFrame:

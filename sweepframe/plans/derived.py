@@ -58,7 +58,8 @@ def d1_short_log(spark: SparkSession, sf: str) -> str:
 
 
 def blocks(spark: SparkSession, path: str, indices=None) -> DataFrame:
-    r = spark.read.format("blocklog").option("blockSize", str(FIXTURE_BLOCK))
+    r = (spark.read.format("blocklog").option("blockSize", str(FIXTURE_BLOCK))
+         .option("minPartitions", str(spark.sparkContext.defaultParallelism)))
     if indices is not None:
         r = r.option("blocks", ",".join(str(i) for i in indices))
     return r.load(path)

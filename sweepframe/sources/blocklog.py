@@ -9,7 +9,9 @@ Read side (``spark.read.format("blocklog")``) yields one row per block::
     path string, block_idx long, payload binary
 
 ``payload`` is the block with its NUL padding removed.  Input partitions
-are block ranges of one file (``blocksPerPartition`` option), so a single
+are block ranges of one file of about ``partitionBytes`` (128 MiB), lowered
+so the log yields at least ``minPartitions`` tasks (pass the cluster's
+default parallelism; ``blocksPerPartition`` overrides both), so a single
 large log is read by many tasks in parallel.  A short final block is kept
 (the batch reader takes what it finds), but the stream reader only
 consumes whole blocks.  Indexed reads (``blocks``, ``minBlock``,
@@ -243,7 +245,7 @@ def _options(options) -> tuple[str, int | str, int, bool]:
         path = ",".join(json.loads(path))
     bs = str(options.get("blockSize", DEFAULT_BLOCK_SIZE))
     block = bs if bs == "auto" else int(bs)
-    per_part = int(options.get("blocksPerPartition", 2048))  # 128 MiB at 64 KiB
+    per_part = int(options.get("blocksPerPartition", 0))  # 0: derive from partitionBytes
     keep = str(options.get("keepPadding", "false")).lower() == "true"
     return path, block, per_part, keep
 
@@ -255,16 +257,30 @@ class BlockLogReader(DataSourceReader):
         if self.block <= 0:
             self.block = DEFAULT_BLOCK_SIZE
         self.sel = _selection_from_options(options)
+        self.part_bytes = int(options.get("partitionBytes", 128 * 1024 * 1024))
+        self.min_parts = int(options.get("minPartitions", 8))
+
+    def _blocks_per_partition(self, files) -> int:
+        """Explicit ``blocksPerPartition``, else ``partitionBytes`` (128 MiB) worth
+        of blocks, lowered so the log gives at least ``minPartitions`` tasks."""
+        if self.per_part > 0:
+            return self.per_part
+        total = sum(-(-size // self.block) for _, size in files)
+        cap = max(1, self.part_bytes // self.block)
+        floor_split = -(-total // max(1, self.min_parts)) if total else 1
+        return max(1, min(cap, floor_split))
 
     def partitions(self):
         parts = []
-        for path, size in list_log_files(self.path):
+        files = list_log_files(self.path)
+        per_part = self._blocks_per_partition(files)
+        for path, size in files:
             if self.sel.paths is not None and path not in self.sel.paths:
                 continue
             nblocks = -(-size // self.block)
             lo, hi = self.sel.admits_range(0, nblocks)
-            for a in range(lo, hi, self.per_part):
-                b = min(a + self.per_part, hi)
+            for a in range(lo, hi, per_part):
+                b = min(a + per_part, hi)
                 wanted = self.sel.wanted(a, b)
                 if wanted is not None and not wanted:
                     continue
@@ -292,11 +308,12 @@ class BlockLogStreamReader(DataSourceStreamReader):
 
     def partitions(self, start, end):
         done = start.get("files", {})
+        per_part = self.per_part if self.per_part > 0 else max(1, (128 * 1024 * 1024) // self.block)
         parts = []
         for path, upto in sorted(end.get("files", {}).items()):
             lo = int(done.get(path, 0))
-            for a in range(lo, int(upto), self.per_part):
-                parts.append(_BlockRange(path, a, min(a + self.per_part, int(upto))))
+            for a in range(lo, int(upto), per_part):
+                parts.append(_BlockRange(path, a, min(a + per_part, int(upto))))
         return parts
 
     def read(self, partition):

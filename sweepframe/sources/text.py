@@ -166,9 +166,10 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """Agent snapshots laid out ``<root>/seed=<S>/run=<R>/plt=<step dir>/``.
 
     ``step`` = position of the step directory name among the run's sorted
-    step directories.  The step index (one row per run and step) is tiny
-    and joined by broadcast; columns first written at a later step read
-    null before (schema merge).
+    step directories.  The step index has one row per run and step: it is
+    joined normally, so AQE broadcasts it only when its runtime size is
+    small and splits skewed (run, step) partitions otherwise.  Columns
+    first written at a later step read null before (schema merge).
     """
     from pyspark.sql import Window
 
@@ -176,4 +177,4 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     steps = df.select("seed", "run", "plt").distinct()
     w = Window.partitionBy("seed", "run").orderBy("plt")
     steps = steps.withColumn("step", (F.dense_rank().over(w) - 1).cast("int"))
-    return df.join(F.broadcast(steps), ["seed", "run", "plt"]).drop("plt")
+    return df.join(steps, ["seed", "run", "plt"]).drop("plt")
