@@ -313,7 +313,7 @@ def q_blocklog_auto(spark, sf):
 
 
 SQL_BLOCKLOG_AUTO = f"""WITH {SQL_ORD}
-SELECT seed, count(*) AS n, sum(n_items) AS days FROM ord
+SELECT seed, count(*) AS n, CAST(sum(n_items) AS BIGINT) AS days FROM ord
 JOIN (SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_items FROM lineitem GROUP BY l_orderkey) l ON l.l_orderkey = ord.o_orderkey
 GROUP BY seed"""
 
