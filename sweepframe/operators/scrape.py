@@ -46,6 +46,28 @@ def collect_series(days: DataFrame, runs: DataFrame, run: str = "task_id") -> Da
         F.coalesce("deaths", F.array().cast("array<bigint>")).alias("deaths"))
 
 
+def series_from_stdout(stdout: DataFrame, run: str = "task_id") -> DataFrame:
+    """R1 + R2 in one pass: every run present in ``stdout`` gets its series;
+    a run without day lines gets empty arrays and ``day_final = 0``.
+
+    Non-day lines contribute nothing to the (partially aggregated) collect,
+    so there is no second scan for the list of runs and no join.
+    """
+    tok = F.split(F.col("line"), " ")
+    is_day = F.col("line").startswith("[Day ")
+    day = F.struct(
+        F.col("line_key").alias("line_key"), F.get(tok, 1).cast("long").alias("day"),
+        F.expr("substring(get(split(line, ' '), 5), 1, length(get(split(line, ' '), 5)) - 1)")
+        .cast("long").alias("infected"),
+        F.get(tok, 7).cast("long").alias("dead"))
+    s = stdout.groupBy(run).agg(F.sort_array(F.collect_list(F.when(is_day, day))).alias("_s"))
+    return s.select(
+        run,
+        F.coalesce(F.try_element_at("_s", F.lit(-1))["day"], F.lit(0).cast("long")).alias("day_final"),
+        F.transform("_s", lambda x: x["infected"]).alias("infected"),
+        F.transform("_s", lambda x: x["dead"]).alias("deaths"))
+
+
 def assemble(series: DataFrame, day_tables: DataFrame, run: str = "task_id",
              with_params_id: bool = True) -> DataFrame:
     """A result record per run: series + ``output_dat`` + ids/seed/start/stop.

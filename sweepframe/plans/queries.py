@@ -639,9 +639,7 @@ FROM events WHERE event_type = 'click'"""
 
 
 def _series(spark, sf):
-    so = _stdout(spark, sf)
-    runs = so.select("task_id").distinct()
-    return R.collect_series(R.scrape_days(so), runs)
+    return R.series_from_stdout(_stdout(spark, sf))
 
 
 def q_run_series(spark, sf):

@@ -55,3 +55,15 @@ def test_narrow_widens_unsigned(spark):
     df = spark.createDataFrame([(65535, 1.5)], "treatment_timer long, position_x double")
     out = A.narrow(df, {"treatment_timer": "uint16", "position_x": "float16"})
     assert dict(out.dtypes) == {"treatment_timer": "int", "position_x": "float"}
+
+
+def test_series_one_pass_matches_two_step(spark):
+    from sweepframe.operators import scrape as R
+
+    lines = [(1, 0, "[Day 0 x y z 5; w 0"), (1, 1, "noise"), (1, 2, "[Day 1 x y z 7; w 1"), (2, 0, "nothing here")]
+    df = spark.createDataFrame(lines, "task_id long, pos long, line string").withColumn(
+        "line_key", F.struct(F.lit("f").alias("file"), F.lit(0).alias("split"), F.col("pos").alias("pos")))
+    one = {r.task_id: (r.day_final, r.infected, r.deaths) for r in R.series_from_stdout(df).collect()}
+    two = {r.task_id: (r.day_final, r.infected, r.deaths)
+           for r in R.collect_series(R.scrape_days(df), df.select("task_id").distinct()).collect()}
+    assert one == two == {1: (1, [5, 7], [0, 1]), 2: (0, [], [])}
