@@ -63,7 +63,9 @@ def work_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get(_CKPT_KEY, None) or sc.getCheckpointDir()
     if not root:
-        # Only reached in local tests: no cluster-wide folder was configured.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # Local mode only (tests, bench): no shared folder was configured.
         root = tempfile.mkdtemp(prefix="sweepframe-ckpt-")
         spark.conf.set(_CKPT_KEY, root)
         sc.setCheckpointDir(root)

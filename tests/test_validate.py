@@ -38,3 +38,20 @@ def test_damaged_table_fails(spark, tmp):
     # a schema that differs from the reference fails V2
     sch = V.check_schema(spark, spark.read.parquet(p).drop("NewH").schema, LONG_SCHEMA)
     assert sch.where("status = 'MISMATCH'").count() == 1
+
+
+def test_log_to_long_counters(spark, tmp):
+    from sweepframe.plans.convert import log_to_long, validate_log
+
+    log = os.path.join(tmp, "run.log")
+    recs = ['{"header": "true", "date": "t"}',
+            '{"task_id": 1, "seed": 3, "output_dat": "Day Su\\n0 1\\n1 2\\n"}',
+            '{"task_id": 2, "seed": 4, "output_dat": "Day Su\\n0 5\\n"}']
+    with open(log, "wb") as f:
+        for r in recs:
+            f.write(r.encode().ljust(512, b"\x00"))
+    out = os.path.join(tmp, "long")
+    c = log_to_long(spark, log, out, block_size=512)
+    assert (c["records"], c["rows"], c["expected_blocks"], c["header"]) == (2, 3, 3, {"date": "t"})
+    v = {r.check: r.status for r in validate_log(spark, out, log, block_size=512).collect()}
+    assert v["verdict"] == "PASS"
