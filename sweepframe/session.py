@@ -48,6 +48,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     from sweepframe.sources.blocklog import BlockLogDataSource
 
+    _ship_package(spark)
     spark.dataSource.register(BlockLogDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     # Parameter CSVs must fail on short rows even when few columns are read.
@@ -58,6 +59,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers (data source, pandas
+    functions) with ``addPyFile``, once per SparkContext."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_sweepframe_pyfile", None):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = work_root(spark)
+    folder = root if ("://" not in root) else tempfile.mkdtemp(prefix="sweepframe-pkg-")
+    os.makedirs(folder, exist_ok=True)
+    zpath = os.path.join(folder, f"sweepframe-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    z.write(full, os.path.join("sweepframe", os.path.relpath(full, pkg)))
+    sc.addPyFile(zpath)
+    sc._sweepframe_pyfile = zpath
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables."""
     sc = spark.sparkContext
