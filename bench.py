@@ -22,6 +22,7 @@ HEADLINE = [
     "blocklog_roundtrip", "explode_long", "long_parquet", "blocklog_stream", "blocklog_extract",
     "verdict", "run_counts", "duration_stats", "render_edit", "render_json", "config_kv",
     "params_csv", "replicates", "grid", "run_series", "timing_summary", "merge_sims", "location_dim",
+    "stream_counts", "day_table_files",
 ]
 
 

@@ -16,7 +16,8 @@ def write_long(df: DataFrame, path: str, header: dict | None = None, v2: bool =
     """S14 + S15: overwrite ``path`` with the fixed long schema (Snappy Parquet).
 
     Header pairs are stored as metadata of the ``row_id`` field, which Spark
-    keeps in the Parquet footer together with the schema.
+    keeps in the Parquet footer together with the schema, and as a sidecar
+    table ``<path>/_header`` (key, value) that readers of the data skip.
     """
     out = df.select(*[F.col(f.name).cast(f.dataType) for f in LONG_SCHEMA.fields])
     if header:
@@ -25,6 +26,10 @@ def write_long(df: DataFrame, path: str, header: dict | None = None, v2: bool =
     if v2:
         w = w.option("parquet.writer.version", "v2")
     w.parquet(path)
+    if header:
+        spark = df.sparkSession
+        pairs = spark.createDataFrame([(str(k), str(v)) for k, v in header.items()], "key string, value string")
+        pairs.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/_header")
     return path
 
 
@@ -32,3 +37,8 @@ def read_header(spark: SparkSession, path: str) -> dict:
     """Header pairs stored by ``write_long`` (schema metadata only, no data read)."""
     md = spark.read.parquet(path).schema["row_id"].metadata
     return json.loads(md[_META_KEY]) if _META_KEY in md else {}
+
+
+def header_table(spark: SparkSession, path: str) -> DataFrame:
+    """The ``_header`` sidecar as a (key, value) table."""
+    return spark.read.parquet(f"{path.rstrip('/')}/_header")

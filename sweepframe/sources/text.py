@@ -25,13 +25,19 @@ MANIFEST_SCHEMA = StructType([
 
 # ---------------------------------------------------------------- S9 / S10
 
-def read_params_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_params_csv(spark: SparkSession, path: str, reject_blank: bool = True) -> DataFrame:
     """Parameter CSV, all values kept as text; a short row fails the read.
 
     Quoted fields may hold commas.  Column pruning of the CSV parser is
     switched off (see ``session.prepare``) so a width mismatch raises even
-    when only some columns are selected.
+    when only some columns are selected.  The CSV reader skips blank lines;
+    with ``reject_blank`` a blank line is an error, as a parameter row must
+    not be empty (checked with one distributed count over the text).
     """
+    if reject_blank:
+        blank = spark.read.text(path).where(F.trim("value") == "").limit(1).count()
+        if blank:
+            raise ValueError(f"parameter CSV {path} has a blank line")
     header = spark.read.option("header", "true").csv(path).schema
     schema = StructType([StructField(f.name, StringType()) for f in header.fields])
     return (spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST")

@@ -23,6 +23,11 @@ def test_params_csv_strings_and_short_row(spark, tmp):
         f.write("a,b,c\n1,2,3\n4,5\n")
     with pytest.raises(Exception):
         text.read_params_csv(spark, bad).select("a").collect()
+    blank = os.path.join(tmp, "blank.csv")
+    with open(blank, "w") as f:
+        f.write("a,b\n1,2\n\n3,4\n")
+    with pytest.raises(ValueError):
+        text.read_params_csv(spark, blank)
 
 
 def test_params_jsonl_raw_values_and_missing_instance(spark, tmp):

@@ -19,6 +19,9 @@ def test_faithful_table_passes(spark, tmp):
     p = os.path.join(tmp, "long")
     write_long(explode_days(recs), p, header={"date": "d"})
     assert read_header(spark, p) == {"date": "d"}
+    from sweepframe.sources.longtable import header_table
+    assert [tuple(r) for r in header_table(spark, p).collect()] == [("date", "d")]
+    assert spark.read.parquet(p).count() == 4
     out = {r.check: (r.failures, r.status) for r in V.validate(spark, p, recs, LONG_SCHEMA).collect()}
     # run 2 has a short row: the converter drops it, the row count check does not
     assert out["rows"][1] == "FAIL" and out["values"] == (0, "PASS") and out["magic"] == (0, "PASS")
