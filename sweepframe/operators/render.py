@@ -72,6 +72,18 @@ def double_list(formatted: Column) -> Column:
     return F.concat_ws(" ", formatted, formatted)
 
 
+def double_value(v: Column) -> Column:
+    """G14, sweep form: a list value is repeated; a plain number is added to
+    itself (the sweep form reads the value as a number, so ``1.38`` becomes
+    ``2.76`` and ``3`` becomes ``6``).  Text is parsed, never evaluated."""
+    as_int = v.try_cast("bigint")
+    as_dbl = v.try_cast("double")
+    return (F.when(F.trim(v).startswith("["), double_list(format_list_text(F.trim(v))))
+            .when(as_int.isNotNull(), (as_int * 2).cast("string"))
+            .when(as_dbl.isNotNull(), (as_dbl * 2).cast("string"))
+            .otherwise(double_list(v)))
+
+
 def path_join(left: Column, right: Column) -> Column:
     """``os.path.join`` of two parts: an absolute right side wins."""
     return (F.when(right.startswith("/"), right)
@@ -122,7 +134,7 @@ def render_edit(runs: DataFrame, template: DataFrame, *, seed: str = "seed", par
         is_comment = t["raw"].startswith("#")
         in_params = F.coalesce(F.map_contains_key(p, k), F.lit(False))
         new_val = F.element_at(p, k)
-        formatted = F.when(k.isin(*DOUBLED_KEYS), double_list(format_list_text(new_val))).otherwise(new_val)
+        formatted = F.when(k.isin(*DOUBLED_KEYS), double_value(new_val)).otherwise(new_val)
         return (F.when(is_comment | k.isNull(), F.array(t["raw"]))
                 .when(k == ID_KEY, F.array().cast("array<string>"))
                 .when(k == SEED_KEY, F.array(_commented(t), _kv(t, F.col(seed).cast("string"))))

@@ -45,6 +45,12 @@ def test_render_edit(spark):
         "new.key = [1, 2]\nparams_id = 9\n")
 
 
+def test_doubling_scalar_and_list(spark):
+    df = spark.createDataFrame([("[1.5, 2.5]",), ("1.38",), ("3",)], "v string")
+    got = [r.d for r in df.select(G.double_value(F.col("v")).alias("d")).collect()]
+    assert got == ["1.5 2.5 1.5 2.5", "2.76", "6"]
+
+
 def test_render_json(spark):
     p = spark.createDataFrame([(5, {"disease.p_trans": "0.0001", "other": "1"})],
                               "instance long, params map<string,string>")
