@@ -6,7 +6,6 @@ Every query reads the driver tables (or data Spark derives from them, see
 
 from __future__ import annotations
 
-import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -900,4 +899,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    F.avg("A_I").alias("avg_a_i"))
 
 
-__all__ = ["queries", "oracle_sql", "flagship", "json"]
+__all__ = ["queries", "oracle_sql", "flagship"]

@@ -1,7 +1,6 @@
 """Day table explode (R5-R10) edge cases."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from sweepframe.functions.daytable import LONG_VALUE_COLUMNS, explode_days
 

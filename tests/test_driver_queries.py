@@ -1,6 +1,5 @@
 """Every registered query runs at sf0.001 and matches its DuckDB oracle."""
 
-import math
 import os
 
 import pytest
