@@ -112,3 +112,13 @@ def test_golden_corpus(spark):
         with open(f"{REF}/expt-inputs-001/{r.fname}") as f:
             bad += f.read() != r.config
     assert bad == 0
+
+
+def test_special_key_in_params_is_rewritten_and_appended(spark):
+    runs = spark.createDataFrame([(5, "/r", "/in", "u", "c")],
+                                 "seed long, run_dir string, input_dir string, urbanpop string, cases string")
+    runs = runs.withColumn("params", F.create_map(F.lit("agent.seed"), F.lit("99"), F.lit("id"), F.lit("3")))
+    cfg = G.render_edit(runs, tmpl_df(spark, "id = 1\nagent.seed = 1\n")).collect()[0]
+    # the template line takes the run's seed; the parameter is appended as well
+    assert cfg.config == "# agent.seed = 1\nagent.seed = 5\nagent.seed = 99\nid = 3\n"
+    assert cfg.cfg_id == "1"
