@@ -41,6 +41,7 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    DataSourceStreamArrowWriter,
     DataSourceStreamReader,
     InputPartition,
     WriterCommitMessage,
@@ -436,6 +437,40 @@ class BlockLogWriter(DataSourceArrowWriter):
                     pass
 
 
+class BlockLogStreamWriter(DataSourceStreamArrowWriter):
+    """Streaming sink: each micro-batch adds one file per task, named by batch.
+
+    Files are written as hidden attempt files and renamed when the batch
+    commits; a batch replayed after a failure overwrites its own names, so
+    the log holds every record exactly once.
+    """
+
+    def __init__(self, options):
+        self.inner = BlockLogWriter(options, overwrite=False)
+
+    def write(self, iterator):
+        return self.inner.write(iterator)
+
+    def commit(self, messages, batchId):
+        from pyarrow import fs as pafs
+
+        filesystem, root, _ = _fs(self.inner.path)
+        for m in messages:
+            for tmp, final in (m.files if m else []):
+                fs2, tmp_inner, _ = _fs(tmp)
+                _, final_inner, _ = _fs(final)
+                base = posixpath.basename(final_inner)
+                target = posixpath.join(posixpath.dirname(final_inner), f"batch-{batchId:08d}-{base.split('-', 1)[1]}")
+                target = target.replace(f"-{self.inner.job}.log", ".log")
+                info = fs2.get_file_info(target)
+                if info.type != pafs.FileType.NotFound:
+                    fs2.delete_file(target)
+                fs2.move(tmp_inner, target)
+
+    def abort(self, messages, batchId):
+        self.inner.abort(messages)
+
+
 def read_blocks(requests, block_size: int = DEFAULT_BLOCK_SIZE, keep_padding: bool = False):
     """S4 at scale: fetch the blocks named by a DataFrame of ``(path, block_idx)``.
 
@@ -496,3 +531,6 @@ class BlockLogDataSource(DataSource):
 
     def writer(self, schema, overwrite):
         return BlockLogWriter(self.options, overwrite)
+
+    def streamWriter(self, schema, overwrite):
+        return BlockLogStreamWriter(self.options)

@@ -133,3 +133,25 @@ def test_partitioned_sink_spreads_keys(spark, tmp):
     assert all(len([f for f in os.listdir(os.path.join(out, d)) if f.endswith(".log")]) == 4 for d in dirs)
     recs = parse_records(spark.read.format("blocklog").option("blockSize", "128").load(out))
     assert sorted(r.task_id for r in recs.collect()) == list(range(40))
+
+
+def test_stream_sink_appends_exactly_once(spark, tmp):
+    src = os.path.join(tmp, "src.log")
+    write_raw(src, [REC % i for i in range(6)], 256)
+    out, ck = os.path.join(tmp, "out"), os.path.join(tmp, "ck")
+
+    def run():
+        blocks = spark.readStream.format("blocklog").option("blockSize", "256").option("path", src).load()
+        q = (blocks.select(F.col("payload").alias("value")).writeStream.format("blocklog")
+             .option("blockSize", "256").option("path", out).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run()
+    with open(src, "ab") as f:
+        for i in range(6, 9):
+            f.write((REC % i).encode().ljust(256, b"\x00"))
+    run()
+    recs = parse_records(spark.read.format("blocklog").option("blockSize", "256").load(out))
+    assert sorted(r.task_id for r in recs.collect()) == list(range(9))
+    assert all(f.startswith("batch-") for f in os.listdir(out) if f.endswith(".log"))
