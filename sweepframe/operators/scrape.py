@@ -85,26 +85,28 @@ def assemble(series: DataFrame, day_tables: DataFrame, run: str = "task_id",
 
 
 def with_scrape(df: DataFrame, fn: Callable[[dict], dict], schema: StructType | str,
-                key: str, inputs: list[str]) -> DataFrame:
-    """Run a user function per row and merge its fields in.
+                inputs: list[str]) -> DataFrame:
+    """Run a user function per row and merge its fields into the row.
 
     ``fn`` receives a dict of ``inputs`` and returns a dict of extra fields
-    (``schema``).  It runs with Arrow batches in ``mapInPandas`` on the
-    rows' own partitions; the results are joined back on ``key``.
+    (``schema``; missing ones are null).  It runs on Arrow batches in
+    ``mapInPandas`` over the rows' own partitions and the row's columns are
+    passed through, so there is no shuffle and no join.
     """
-    import pandas as pd
+    from pyspark.sql.types import StructType as _ST
 
-    out_schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    names = [f.name for f in out_schema.fields]
-    key_type = df.schema[key].dataType.simpleString()
-    full = f"{key} {key_type}, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out_schema.fields)
+    extra = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    names = [f.name for f in extra.fields]
+    clash = [n for n in names if n in df.columns]
+    if clash:
+        raise ValueError(f"scrape fields already present: {clash}")
+    out_schema = _ST(list(df.schema.fields) + list(extra.fields))
 
     def run(batches):
         for pdf in batches:
             rows = [fn(dict(zip(inputs, vals))) or {} for vals in zip(*[pdf[c] for c in inputs])]
-            res = pd.DataFrame({n: [r.get(n) for r in rows] for n in names})
-            res.insert(0, key, pdf[key].values)
-            yield res
+            for n in names:
+                pdf[n] = [r.get(n) for r in rows]
+            yield pdf
 
-    extra = df.select(key, *inputs).mapInPandas(run, full)
-    return df.join(extra, key, "left")
+    return df.mapInPandas(run, out_schema)

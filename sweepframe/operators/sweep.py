@@ -48,14 +48,16 @@ def index_in_file_order(df: DataFrame, name: str = "row_no", start: int = 1) ->
 
     ``df`` must carry ``file`` and ``line_key`` (see ``sources.text.line_key_cols``).
     Splits of one file are read in order and their rows get consecutive
-    ids, so one tiny table per split gives the offsets.
+    ids, so a table with one row per split gives the offsets.  That table
+    grows with the input (one row per 128 MiB), so it is joined normally and
+    AQE decides whether to broadcast it.
     """
     chunk = [F.col("file"), F.col("line_key.split")]
     counts = df.groupBy(F.col("file").alias("_f"), F.col("line_key.split").alias("_s")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("line_key.pos").alias("_first"))
     w = Window.orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_f", "_s", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = df.join(F.broadcast(offsets), (chunk[0] == F.col("_f")) & (chunk[1] == F.col("_s")))
+    out = df.join(offsets, (chunk[0] == F.col("_f")) & (chunk[1] == F.col("_s")))
     return out.withColumn(name, (F.col("_off") + F.col("line_key.pos") - F.col("_first") + start).cast("long")) \
               .drop("_f", "_s", "_first", "_off")
 

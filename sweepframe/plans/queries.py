@@ -289,7 +289,7 @@ def _describe_sql():
 
 def q_scrape_hook(spark, sf):
     recs = _records(spark, sf).select("task_id", "output_dat")
-    out = R.with_scrape(recs, _peak_su, "peak double", "task_id", ["output_dat"])
+    out = R.with_scrape(recs, _peak_su, "peak double", ["output_dat"])
     return out.select("task_id", "peak")
 
 

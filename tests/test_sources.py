@@ -66,5 +66,5 @@ def test_random_seeds_reproducible(spark):
 
 def test_scrape_hook(spark):
     df = spark.createDataFrame([(1, "x" * 3), (2, "")], "task_id long, text string")
-    out = R.with_scrape(df, lambda d: {"n": len(d["text"]), "tag": "t"}, "n long, tag string", "task_id", ["text"])
+    out = R.with_scrape(df, lambda d: {"n": len(d["text"]), "tag": "t"}, "n long, tag string", ["text"])
     assert sorted((r.task_id, r.n, r.tag) for r in out.collect()) == [(1, 3, "t"), (2, 0, "t")]
