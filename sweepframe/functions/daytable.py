@@ -141,9 +141,3 @@ def explode_day_lines(runs: DataFrame, lines: DataFrame, mode: str = "failfast")
     per_pos = _with_positions(per_run, [], ["task_id", "_first_key"])
     body = lines.join(per_pos, "task_id").where(F.col("line_key") != F.col("_first_key"))
     return _project_lines(body.withColumnRenamed("line", "_line"), [], mode)
-
-
-def data_line_count(output_dat: Column) -> Column:
-    """Non-blank lines minus the header line (as the reconciliation counts them)."""
-    lines = F.filter(F.split(output_dat, "\n"), lambda x: edge_trim(x) != "")
-    return F.greatest(F.size(lines) - 1, F.lit(0))

@@ -1,8 +1,9 @@
 """Validation of a long table against its source log (V1-V5).
 
 Each check returns a small DataFrame; ``validate`` unions them into one
-verdict.  Counts are compared per run (full outer join on ``row_id``),
-values per key (join on ``(row_id, Day)``), so nothing is positional.
+verdict.  Row counts (per run) and values (per ``(row_id, Day)`` key)
+come from one reconciliation pass, so nothing is positional and the log
+and the table are each read once.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sweepframe.functions.daytable import LONG_VALUE_COLUMNS, data_line_count, edge_trim, ws_split
+from sweepframe.functions.daytable import LONG_VALUE_COLUMNS, edge_trim, ws_split
 
 MAGIC = b"PAR1"
 
@@ -59,36 +60,19 @@ def check_schema(spark: SparkSession, out: StructType, ref: StructType | None) -
     return j.withColumn("status", F.when(F.coalesce(ok, F.lit(False)), "OK").otherwise("MISMATCH"))
 
 
-def check_rows(long_df: DataFrame, records: DataFrame) -> DataFrame:
-    """V3: rows per run in the table vs data lines in the source records.
-
-    Output per ``row_id``: ``rows``, ``expected``, ``status`` (OK / MISMATCH /
-    MISSING = run absent from the table / EXTRA = run absent from the log).
-    The total check is the sum over runs.
-    """
-    got = long_df.groupBy("row_id").agg(F.count(F.lit(1)).alias("rows"))
-    exp = records.where(F.col("output_dat").isNotNull()).groupBy(
-        F.coalesce(F.col("task_id"), F.lit(0).cast("long")).alias("row_id")).agg(
-        F.sum(data_line_count(F.col("output_dat"))).cast("long").alias("expected"))
-    exp = exp.where("expected > 0")
-    j = got.join(exp, "row_id", "full_outer")
-    status = (F.when(F.col("rows").isNull(), "MISSING").when(F.col("expected").isNull(), "EXTRA")
-              .when(F.col("rows") == F.col("expected"), "OK").otherwise("MISMATCH"))
-    return j.select("row_id", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"),
-                    F.coalesce("expected", F.lit(0).cast("long")).alias("expected"), status.alias("status"))
-
-
-def expected_lines(records: DataFrame) -> DataFrame:
+def expected_lines(records: DataFrame, with_short: bool = False) -> DataFrame:
     """Source values re-read from the text, independently of the converter:
     the header is the first NON-blank line, every later non-blank line with at
     least as many tokens is a data line.  Output per data line: ``row_id``,
     ``src_seed``, ``Day`` and ``want_<c>`` (double, null when column ``c`` is
-    absent from the header).  Header positions are found once per record."""
+    absent from the header).  Header positions are found once per record.
+    With ``with_short`` the lines with too few tokens are kept (they count
+    for V3) with null values."""
     lines = F.filter(F.split(F.col("output_dat"), "\n"), lambda x: edge_trim(x) != "")
     per = records.where(F.col("output_dat").isNotNull()).select(
         F.coalesce("task_id", F.lit(0).cast("long")).alias("row_id"),
         F.coalesce("seed", F.lit(0).cast("long")).alias("src_seed"),
-        F.transform(ws_split(edge_trim(F.element_at(lines, 1))),
+        F.transform(ws_split(edge_trim(F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("")))),
                     lambda x: F.replace(x, F.lit("/"), F.lit("_"))).alias("hdr"),
         F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("body"))
     n = F.size("hdr")
@@ -104,40 +88,107 @@ def expected_lines(records: DataFrame) -> DataFrame:
         *[last_pos(c).alias(f"p_{c}") for c in LONG_VALUE_COLUMNS], "body")
     exploded = per_pos.select("row_id", "src_seed", "n", *[f"p_{c}" for c in cols],
                               F.explode("body").alias("line"))
-    tok = exploded.select("*", ws_split(edge_trim(F.col("line"))).alias("tok")).where(F.size("tok") >= F.col("n"))
+    tok = exploded.select("*", ws_split(edge_trim(F.col("line"))).alias("tok"))
+    if not with_short:
+        tok = tok.where(F.size("tok") >= F.col("n"))
+    full = F.size("tok") >= F.col("n")
     return tok.select(
         "row_id", "src_seed", F.get(F.col("tok"), F.col("p_Day")).try_cast("int").alias("Day"),
-        *[F.get(F.col("tok"), F.col(f"p_{c}")).try_cast("double").alias(f"want_{c}") for c in LONG_VALUE_COLUMNS])
+        *[F.when(full, F.get(F.col("tok"), F.col(f"p_{c}")).try_cast("double")).alias(f"want_{c}")
+          for c in LONG_VALUE_COLUMNS])
 
 
-def value_cells(long_df: DataFrame, records: DataFrame) -> DataFrame:
-    """Table rows joined with their source lines on ``(row_id, Day)``."""
-    return long_df.join(expected_lines(records), ["row_id", "Day"], "inner")
+_CHECKED = ["seed"] + LONG_VALUE_COLUMNS
 
 
-def _bad(c: str, tol: float):
-    return F.col(f"want_{c}").isNotNull() & (F.abs(F.col(c).cast("double") - F.col(f"want_{c}")) > tol)
+def reconcile(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> DataFrame:
+    """V3 + V4 in one pass: per run ``rows``, ``expected`` and, per column,
+    ``n_<c>`` compared and ``b_<c>`` mismatching (row_id, Day) cells.
+
+    The table rows and the re-read source lines are unioned and aggregated
+    by ``(row_id, Day)`` keeping count/min/max per side (partial aggregation,
+    a fine-grained key even for a hot run).  A cell mismatches when some
+    table value and some source value differ by more than ``tol``: the
+    largest difference between two sets is ``max(|maxA - minB|, |maxB - minA|)``,
+    so no pairs are formed.  A second, partially aggregated step rolls the
+    cells up per run.  The log and the table are each read once.
+    """
+    nul = F.lit(None).cast("double")
+    side_l = long_df.select(
+        "row_id", "Day", F.lit(1).alias("_l"), F.lit(0).alias("_e"),
+        F.col("seed").cast("double").alias("g_seed"), nul.alias("w_seed"),
+        *[F.col(c).cast("double").alias(f"g_{c}") for c in LONG_VALUE_COLUMNS],
+        *[nul.alias(f"w_{c}") for c in LONG_VALUE_COLUMNS])
+    src = expected_lines(records, with_short=True)
+    side_e = src.select(
+        "row_id", "Day", F.lit(0).alias("_l"), F.lit(1).alias("_e"),
+        nul.alias("g_seed"), F.col("src_seed").cast("double").alias("w_seed"),
+        *[nul.alias(f"g_{c}") for c in LONG_VALUE_COLUMNS],
+        *[F.col(f"want_{c}").alias(f"w_{c}") for c in LONG_VALUE_COLUMNS])
+    u = side_l.unionByName(side_e)
+    aggs = [F.sum("_l").alias("nl"), F.sum("_e").alias("ne")]
+    for c in _CHECKED:
+        aggs += [F.min(f"g_{c}").alias(f"gmin_{c}"), F.max(f"g_{c}").alias(f"gmax_{c}"),
+                 F.min(f"w_{c}").alias(f"wmin_{c}"), F.max(f"w_{c}").alias(f"wmax_{c}")]
+    cells = u.groupBy("row_id", "Day").agg(*aggs)
+    flags = []
+    for c in _CHECKED:
+        checked = (F.col("nl") > 0) & F.col(f"wmin_{c}").isNotNull()
+        diff = F.greatest(F.abs(F.col(f"gmax_{c}") - F.col(f"wmin_{c}")),
+                          F.abs(F.col(f"wmax_{c}") - F.col(f"gmin_{c}")))
+        limit = 0.0 if c == "seed" else tol
+        flags += [checked.cast("long").alias(f"n_{c}"), (checked & (diff > limit)).cast("long").alias(f"b_{c}")]
+    per_cell = cells.select("row_id", "nl", "ne", *flags)
+    return per_cell.groupBy("row_id").agg(
+        F.sum("nl").alias("rows"), F.sum("ne").alias("expected"),
+        *[F.sum(f"{k}_{c}").alias(f"{k}_{c}") for c in _CHECKED for k in ("n", "b")])
+
+
+def _row_status():
+    return (F.when(F.col("rows") == 0, "MISSING").when(F.col("expected") == 0, "EXTRA")
+            .when(F.col("rows") == F.col("expected"), "OK").otherwise("MISMATCH"))
+
+
+def check_rows(long_df: DataFrame, records: DataFrame) -> DataFrame:
+    """V3: rows per run in the table vs data lines in the source records.
+
+    Output per ``row_id``: ``rows``, ``expected``, ``status`` (OK / MISMATCH /
+    MISSING = run absent from the table / EXTRA = run absent from the log).
+    """
+    r = reconcile(long_df, records)
+    return r.select("row_id", F.col("rows").cast("long").alias("rows"),
+                    F.col("expected").cast("long").alias("expected"), _row_status().alias("status"))
 
 
 def check_values(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> DataFrame:
-    """V4: every table value equals the source text within ``tol``; ``seed`` exact.
+    """V4 on its own: every table value equals the source text within ``tol``;
+    ``seed`` exact.  Output per compared column: ``column, n_checked, n_bad``
+    (joined (table row, source line) pairs).
 
-    Output per compared column: ``column, n_checked, n_bad``.  Per-line work
-    is arithmetic only; the counts are partial aggregates (one small row per
-    task before the shuffle), then turned into one row per column.
+    Table rows and source lines are joined on ``(row_id, Day)``; per-line work
+    is arithmetic and the counts are partial aggregates.  (``validate`` gets
+    the same answer from ``reconcile`` so that it reads the log only once.)
     """
     j = value_cells(long_df, records)
     aggs = [F.count(F.lit(1)).alias("n_seed"), F.count_if(F.col("seed") != F.col("src_seed")).alias("b_seed")]
     for c in LONG_VALUE_COLUMNS:
         aggs += [F.count(f"want_{c}").alias(f"n_{c}"), F.count_if(_bad(c, tol)).alias(f"b_{c}")]
     totals = j.agg(*aggs)
-    cols = ["seed"] + LONG_VALUE_COLUMNS
     rows = totals.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"n_{c}").alias("n_checked"), F.col(f"b_{c}").alias("n_bad"))
-        for c in cols])).alias("x"))
+        for c in _CHECKED])).alias("x"))
     return rows.select("x.*").where(F.col("n_checked") > 0)
 
 
+def value_cells(long_df: DataFrame, records: DataFrame) -> DataFrame:
+    """Table rows joined with their source lines on ``(row_id, Day)``."""
+    return long_df.join(expected_lines(records), ["row_id", "Day"], "inner")
+
+
+def _bad(c: str, tol: float):
+    return F.col(f"want_{c}").isNotNull() & (F.abs(F.col(c).cast("double") - F.col(f"want_{c}")) > tol)
+
+
 def value_mismatches(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> DataFrame:
     """V4 detail: every mismatching cell (row_id, Day, column, got, want)."""
     j = value_cells(long_df, records)
@@ -158,11 +209,14 @@ def validate(spark: SparkSession, long_path: str, records: DataFrame,
         F.lit("magic").alias("check"), F.count_if(~F.col("ok")).alias("failures"))
     schema = check_schema(spark, long_df.schema, ref_schema).agg(
         F.lit("schema").alias("check"), F.count_if(F.col("status") == "MISMATCH").alias("failures"))
-    rows = check_rows(long_df, records).agg(
-        F.lit("rows").alias("check"), F.count_if(F.col("status") != "OK").alias("failures"))
-    values = check_values(long_df, records, tol).agg(
-        F.lit("values").alias("check"), F.coalesce(F.sum("n_bad"), F.lit(0)).cast("long").alias("failures"))
-    checks = magic.unionByName(schema).unionByName(rows).unionByName(values)
+    # rows and values from one reconciliation pass (log and table read once)
+    both = reconcile(long_df, records, tol).agg(
+        F.count_if(_row_status() != "OK").alias("rows"),
+        sum((F.coalesce(F.sum(f"b_{c}"), F.lit(0)) for c in _CHECKED), F.lit(0)).cast("long").alias("values"))
+    rv = both.select(F.explode(F.array(
+        F.struct(F.lit("rows").alias("check"), F.col("rows").alias("failures")),
+        F.struct(F.lit("values").alias("check"), F.col("values").alias("failures")))).alias("x")).select("x.*")
+    checks = magic.unionByName(schema).unionByName(rv)
     checks = checks.withColumn("status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL"))
     verdict = checks.agg(F.lit("verdict").alias("check"),
                          F.sum(F.when(F.col("failures") > 0, 1).otherwise(0)).cast("long").alias("failures"))
