@@ -105,40 +105,35 @@ def reconcile(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> Data
     """V3 + V4 in one pass: per run ``rows``, ``expected`` and, per column,
     ``n_<c>`` compared and ``b_<c>`` mismatching (row_id, Day) cells.
 
-    The table rows and the re-read source lines are unioned and aggregated
-    by ``(row_id, Day)`` keeping count/min/max per side (partial aggregation,
-    a fine-grained key even for a hot run).  A cell mismatches when some
-    table value and some source value differ by more than ``tol``: the
-    largest difference between two sets is ``max(|maxA - minB|, |maxB - minA|)``,
-    so no pairs are formed.  A second, partially aggregated step rolls the
-    cells up per run.  The log and the table are each read once.
+    Each side is aggregated by ``(row_id, Day)`` first (count, min and max
+    per column; partial aggregation, and a fine-grained key even for a hot
+    run), then the two co-partitioned aggregates are full-outer joined.  A
+    cell mismatches when some table value and some source value differ by
+    more than ``tol``: the largest difference between two sets is
+    ``max(|maxA - minB|, |maxB - minA|)``, so no pairs are formed.  A final,
+    partially aggregated step rolls the cells up per run.  The log and the
+    table are each read once.
     """
-    nul = F.lit(None).cast("double")
-    side_l = long_df.select(
-        "row_id", "Day", F.lit(1).alias("_l"), F.lit(0).alias("_e"),
-        F.col("seed").cast("double").alias("g_seed"), nul.alias("w_seed"),
-        *[F.col(c).cast("double").alias(f"g_{c}") for c in LONG_VALUE_COLUMNS],
-        *[nul.alias(f"w_{c}") for c in LONG_VALUE_COLUMNS])
-    src = expected_lines(records, with_short=True)
-    side_e = src.select(
-        "row_id", "Day", F.lit(0).alias("_l"), F.lit(1).alias("_e"),
-        nul.alias("g_seed"), F.col("src_seed").cast("double").alias("w_seed"),
-        *[nul.alias(f"g_{c}") for c in LONG_VALUE_COLUMNS],
-        *[F.col(f"want_{c}").alias(f"w_{c}") for c in LONG_VALUE_COLUMNS])
-    u = side_l.unionByName(side_e)
-    aggs = [F.sum("_l").alias("nl"), F.sum("_e").alias("ne")]
+    la = [F.count(F.lit(1)).alias("nl")]
     for c in _CHECKED:
-        aggs += [F.min(f"g_{c}").alias(f"gmin_{c}"), F.max(f"g_{c}").alias(f"gmax_{c}"),
-                 F.min(f"w_{c}").alias(f"wmin_{c}"), F.max(f"w_{c}").alias(f"wmax_{c}")]
-    cells = u.groupBy("row_id", "Day").agg(*aggs)
+        v = F.col(c).cast("double")
+        la += [F.min(v).alias(f"gmin_{c}"), F.max(v).alias(f"gmax_{c}")]
+    table_cells = long_df.groupBy("row_id", "Day").agg(*la)
+    src = expected_lines(records, with_short=True).withColumn("want_seed", F.col("src_seed").cast("double"))
+    ea = [F.count(F.lit(1)).alias("ne")]
+    for c in _CHECKED:
+        ea += [F.min(f"want_{c}").alias(f"wmin_{c}"), F.max(f"want_{c}").alias(f"wmax_{c}")]
+    source_cells = src.groupBy("row_id", "Day").agg(*ea)
+    cells = table_cells.join(source_cells, ["row_id", "Day"], "full_outer")
+    nl, ne = F.coalesce("nl", F.lit(0)), F.coalesce("ne", F.lit(0))
     flags = []
     for c in _CHECKED:
-        checked = (F.col("nl") > 0) & F.col(f"wmin_{c}").isNotNull()
+        checked = (nl > 0) & F.col(f"wmin_{c}").isNotNull()
         diff = F.greatest(F.abs(F.col(f"gmax_{c}") - F.col(f"wmin_{c}")),
                           F.abs(F.col(f"wmax_{c}") - F.col(f"gmin_{c}")))
         limit = 0.0 if c == "seed" else tol
         flags += [checked.cast("long").alias(f"n_{c}"), (checked & (diff > limit)).cast("long").alias(f"b_{c}")]
-    per_cell = cells.select("row_id", "nl", "ne", *flags)
+    per_cell = cells.select("row_id", nl.alias("nl"), ne.alias("ne"), *flags)
     return per_cell.groupBy("row_id").agg(
         F.sum("nl").alias("rows"), F.sum("ne").alias("expected"),
         *[F.sum(f"{k}_{c}").alias(f"{k}_{c}") for c in _CHECKED for k in ("n", "b")])
