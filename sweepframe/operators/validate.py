@@ -47,17 +47,23 @@ def check_magic(spark: SparkSession, path: str) -> DataFrame:
 
 
 def check_schema(spark: SparkSession, out: StructType, ref: StructType | None) -> DataFrame:
-    """V2: ordered (name, type) pairs equal the reference; no reference -> SKIP."""
+    """V2: ordered (name, type) pairs equal the reference; no reference -> SKIP.
+
+    Schemas are metadata: the position-by-position comparison is made from
+    the two field lists and returned as a small table (no job over data).
+    """
+    from itertools import zip_longest
+
+    ddl = "pos int, name string, type string, ref_name string, ref_type string, status string"
     if ref is None:
-        return spark.createDataFrame([(None, None, None, None, None, "SKIP")],
-                                     "pos int, name string, type string, ref_name string, ref_type string, status string")
-    a = spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(out.fields)],
-                              "pos int, name string, type string")
-    b = spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(ref.fields)],
-                              "pos int, ref_name string, ref_type string")
-    j = a.join(b, "pos", "full_outer")
-    ok = (F.col("name") == F.col("ref_name")) & (F.col("type") == F.col("ref_type"))
-    return j.withColumn("status", F.when(F.coalesce(ok, F.lit(False)), "OK").otherwise("MISMATCH"))
+        return spark.createDataFrame([(None, None, None, None, None, "SKIP")], ddl)
+    rows = []
+    for i, (a, b) in enumerate(zip_longest(out.fields, ref.fields)):
+        na, ta = (a.name, a.dataType.simpleString()) if a else (None, None)
+        nb, tb = (b.name, b.dataType.simpleString()) if b else (None, None)
+        ok = a is not None and b is not None and na == nb and ta == tb
+        rows.append((i, na, ta, nb, tb, "OK" if ok else "MISMATCH"))
+    return spark.createDataFrame(rows, ddl)
 
 
 def expected_lines(records: DataFrame, with_short: bool = False) -> DataFrame:
