@@ -605,6 +605,29 @@ SELECT name, '# ' || name || ' generated 2026-01-01 00:00' || chr(10) || chr(10)
 FROM r, t"""
 
 
+def q_config_files(spark, sf):
+    """Rendered configs written one file per config, then read back as
+    (name, line_no, key, val) lines with the file name as identity."""
+    def build():
+        p = scratch_path(spark, "configs")
+        cfg = q_render_delete(spark, sf)
+        cfg.select("name", F.regexp_replace("config", r"\n\z", "").alias("value")) \
+           .write.mode("overwrite").partitionBy("name").text(p)
+        return p
+    path = D._once(("configs", sf), build)
+    lines = text.read_configs(spark, path)
+    return lines.where(F.col("key").isNotNull()).select(
+        F.regexp_extract("file", r"name=([^/]+)/", 1).alias("name"), "line_no", "key", "val")
+
+
+SQL_CONFIG_FILES_TAIL = """
+l AS (SELECT name, string_split(rtrim(config, chr(10)), chr(10)) AS ls FROM cfg),
+x AS (SELECT name, CAST(i - 1 AS INTEGER) AS line_no, ls[i] AS raw FROM l, range(1, len(ls) + 1) r(i))
+SELECT name, line_no, regexp_extract(raw, '^(\\s*)([\\w.]+)(\\s*=\\s*)(.*?)$', 2) AS key,
+       regexp_extract(raw, '^(\\s*)([\\w.]+)(\\s*=\\s*)(.*?)$', 4) AS val
+FROM x WHERE regexp_matches(raw, '^(\\s*)([\\w.]+)(\\s*=\\s*)(.*?)$') AND NOT starts_with(raw, '#')"""
+
+
 def q_params_csv(spark, sf):
     df = text.read_params_csv(spark, D.params_csv(spark, sf))
     df = df.select("*", *text.line_key_cols())
@@ -856,6 +879,7 @@ QUERIES = {
     "rebase_paths": (q_rebase_paths, SQL_REBASE_PATHS),
     "render_delete": (q_render_delete, SQL_RENDER_DELETE),
     "params_csv": (q_params_csv, SQL_PARAMS_CSV),
+    "config_files": (q_config_files, f"WITH cfg AS ({SQL_RENDER_DELETE}),{SQL_CONFIG_FILES_TAIL}"),
     "manifest": (q_manifest, SQL_MANIFEST),
     "day_scrape": (q_day_scrape, SQL_DAY_SCRAPE),
     "run_series": (q_run_series, SQL_RUN_SERIES),
