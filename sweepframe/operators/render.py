@@ -96,8 +96,9 @@ def basename(p: Column) -> Column:
 
 
 def extension(p: Column) -> Column:
-    """``os.path.splitext`` extension of the base name (leading dots do not count)."""
-    return F.regexp_extract(basename(p), r"(?<=[^.])(\.[^.]*)$", 1)
+    """``os.path.splitext`` extension of the base name: from the last dot, if
+    some non-dot character comes before it (leading dots do not count)."""
+    return F.regexp_extract(basename(p), r"^\.*[^.].*(\.[^.]*)$", 1)
 
 
 def config_id(tmpl: Column) -> Column:
