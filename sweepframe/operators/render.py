@@ -26,6 +26,16 @@ ID_KEY = "id"
 
 # ---------------------------------------------------------------- helpers
 
+# Whitespace as the text tools of the reference see it (every code point
+# Python's str.isspace() accepts), built by rule.
+_WS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
+def strip_ws(c: Column) -> Column:
+    """``str.strip()``: remove whitespace at both ends."""
+    return F.btrim(c, F.lit(_WS))
+
+
 def _one_template(rows: DataFrame) -> Column:
     """The template's line array as a scalar subquery: computed once, inlined
     into every run row (exactly one template file is required)."""
@@ -182,7 +192,7 @@ def render_json(params: DataFrame, template: DataFrame, cfg_stem: str, output_di
         return F.concat(t["key"], F.lit(" = "), v)
 
     tail = F.transform(commented, tail_line)
-    gap = F.when((F.size(commented) > 0) & (F.trim(F.element_at(body, -1)) != ""),
+    gap = F.when((F.size(commented) > 0) & (strip_ws(F.element_at(body, -1)) != ""),
                  F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
     return df.select("*", F.concat(stem, F.lit(".cfg")).alias("name"),
                      _text(F.concat(body, gap, tail)).alias("config")).drop("tmpl")
@@ -207,7 +217,7 @@ def render_csv(rows: DataFrame, template: DataFrame, cfg_stem: str, output_dir:
         v = F.when(k.isin(*DOUBLED_KEYS), F.concat(v, F.lit(" "), v)).otherwise(v)
         comment = empty if no_comments else F.array(_commented(t))
         keep_old = empty if no_comments else F.array(F.concat(F.lit("# "), t["raw"]))
-        plain = (F.when(F.trim(t["raw"]).startswith("#"), empty).otherwise(F.array(t["raw"]))
+        plain = (F.when(strip_ws(t["raw"]).startswith("#"), empty).otherwise(F.array(t["raw"]))
                  if no_comments else F.array(t["raw"]))
         return (F.when(k == OUTPUT_KEY, F.concat(comment, F.array(
                     _kv(t, path_join(F.lit(output_dir), F.concat(stem, extension(t["val"])))))))
@@ -276,7 +286,7 @@ def render_append(sweep: DataFrame, template: DataFrame, fixed_lines: list[str],
     """Keep the template's non-comment ``k=v`` lines whose key is not
     excluded, prefix fixed lines, append the swept lines."""
     lines = template.where(F.instr("raw", "=") > 0).where(~F.col("raw").startswith("#"))
-    lines = lines.where(~F.trim(F.substring_index("raw", "=", 1)).isin(*excluded))
+    lines = lines.where(~strip_ws(F.substring_index("raw", "=", 1)).isin(*excluded))
     kept = lines.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("line_no", "raw"))).alias("t")) \
                 .select(F.transform("t", lambda x: x["raw"]).alias("kept"))
     df = sweep.withColumn("kept", kept.scalar())
