@@ -68,3 +68,25 @@ def test_scrape_hook(spark):
     df = spark.createDataFrame([(1, "x" * 3), (2, "")], "task_id long, text string")
     out = R.with_scrape(df, lambda d: {"n": len(d["text"]), "tag": "t"}, "n long, tag string", ["text"])
     assert sorted((r.task_id, r.n, r.tag) for r in out.collect()) == [(1, 3, "t"), (2, 0, "t")]
+
+
+def test_file_order_numbering_across_splits(spark, tmp):
+    d = os.path.join(tmp, "csvs")
+    os.makedirs(d)
+    n_per = 3000
+    for f in range(3):
+        with open(os.path.join(d, f"part-{f:05d}.csv"), "w") as fh:
+            fh.write("k,v\n")
+            for i in range(n_per):
+                fh.write(f"{f * n_per + i},x{i}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")  # many splits per file
+    try:
+        df = text.read_params_csv(spark, d)
+        assert df.rdd.getNumPartitions() > 3
+        out = W.index_in_file_order(df.select("*", *text.line_key_cols()), "params_id")
+        rows = out.select("k", "params_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 3 * n_per
+    assert all(int(r.k) + 1 == r.params_id for r in rows)
