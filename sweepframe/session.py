@@ -67,6 +67,14 @@ def _ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_sweepframe_pyfile", None):
         return
+    # Pickle the package's classes and functions by value: Python processes
+    # that never see added files (e.g. the streaming source runner) then
+    # need nothing installed.
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules["sweepframe"])
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = work_root(spark)
     folder = root if ("://" not in root) else tempfile.mkdtemp(prefix="sweepframe-pkg-")
@@ -79,6 +87,12 @@ def _ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, n)
                     z.write(full, os.path.join("sweepframe", os.path.relpath(full, pkg)))
     sc.addPyFile(zpath)
+    # Data source planner processes only put the node's file root on their
+    # path (not zip includes): also add the package folder itself, which
+    # lands there as ``sweepframe/``.  Files reach a node once a task has
+    # fetched them, so run one tiny task now.
+    sc.addFile(pkg, recursive=True)
+    sc.parallelize([0], 1).map(lambda x: x).count()
     sc._sweepframe_pyfile = zpath
 
 
