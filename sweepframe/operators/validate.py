@@ -28,15 +28,13 @@ def check_magic(spark: SparkSession, path: str) -> DataFrame:
 
     def probe(batches):
         import pandas as pd
-        from pyarrow import fs as pafs
+
+        from sweepframe.sources.blocklog import _open_read
 
         for pdf in batches:
             ok = []
             for p, n in zip(pdf["path"], pdf["length"]):
-                if p.startswith("file:"):
-                    p = "/" + p[5:].lstrip("/")
-                filesystem, inner = pafs.FileSystem.from_uri(p) if "://" in p else (pafs.LocalFileSystem(), p)
-                with filesystem.open_input_file(inner) as f:
+                with _open_read(p) as f:
                     head = f.read(4)
                     f.seek(max(int(n) - 4, 0))
                     tail = f.read(4)

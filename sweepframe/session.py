@@ -9,6 +9,7 @@ do we create one of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -60,26 +61,24 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def _ship_package(spark: SparkSession) -> None:
-    """Make the package importable in Python workers (data source, pandas
-    functions) with ``addPyFile``, once per SparkContext."""
-    import zipfile
+    """Make the package usable in Python workers, once per SparkContext.
 
-    sc = spark.sparkContext
-    if getattr(sc, "_sweepframe_pyfile", None):
-        return
-    # Pickle the package's classes and functions by value: Python processes
-    # that never see added files (e.g. the streaming source runner) then
-    # need nothing installed.
+    Functions and data-source classes travel inside the pickled command (by
+    value), so a Python process that never sees added files needs nothing
+    installed; one zip goes out with ``addPyFile`` for imports inside them.
+    The zip is built on the driver, whose file server hands it to executors.
+    """
     import sys
+    import zipfile
 
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules["sweepframe"])
+    sc = spark.sparkContext
+    if getattr(sc, "_sweepframe_pyfile", None):
+        return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    root = work_root(spark)
-    folder = root if ("://" not in root) else tempfile.mkdtemp(prefix="sweepframe-pkg-")
-    os.makedirs(folder, exist_ok=True)
-    zpath = os.path.join(folder, f"sweepframe-{uuid.uuid4().hex[:8]}.zip")
+    zpath = os.path.join(tempfile.mkdtemp(prefix="sweepframe-pkg-"), f"sweepframe-{uuid.uuid4().hex[:8]}.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, names in os.walk(pkg):
             for n in names:
@@ -87,34 +86,34 @@ def _ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, n)
                     z.write(full, os.path.join("sweepframe", os.path.relpath(full, pkg)))
     sc.addPyFile(zpath)
-    # Data source planner processes only put the node's file root on their
-    # path (not zip includes): also add the package folder itself, which
-    # lands there as ``sweepframe/``.  Files reach a node once a task has
-    # fetched them, so run one tiny task now.
-    sc.addFile(pkg, recursive=True)
-    sc.parallelize([0], 1).map(lambda x: x).count()
     sc._sweepframe_pyfile = zpath
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and written intermediate tables."""
+    """The shared folder for lineage cuts and written intermediate tables.
+
+    ``spark.checkpoint.dir`` names it; else the folder given to
+    ``setCheckpointDir``; else, in local mode only, a temporary folder of
+    our own.  The setting itself is static and is only ever read.  Paths
+    are passed on as Hadoop paths, with whatever scheme they have.
+    """
     sc = spark.sparkContext
+    root = getattr(sc, "_sweepframe_root", None)
+    if root:
+        return root
     root = spark.conf.get(_CKPT_KEY, None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        # Local mode only (tests, bench): no shared folder was configured.
         root = tempfile.mkdtemp(prefix="sweepframe-ckpt-")
-        spark.conf.set(_CKPT_KEY, root)
-        sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:|/", root):
+        root = os.path.abspath(root)
+    sc._sweepframe_root = root
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared work folder."""
-    root = work_root(spark)
-    if "://" not in root and not root.startswith("/"):
-        root = os.path.abspath(root)
-    return f"{root.rstrip('/')}/sweepframe/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{work_root(spark).rstrip('/')}/sweepframe/{name}-{uuid.uuid4().hex[:12]}"

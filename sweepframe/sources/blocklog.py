@@ -66,10 +66,20 @@ _BATCH_ROWS = 512
 # file system access (local paths or any URI pyarrow understands)
 # --------------------------------------------------------------------------
 
+#: Hadoop schemes that pyarrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _fs(path: str):
+    """(filesystem, inner path, scheme) of a Hadoop path: ``/x``, ``file:/x``,
+    ``file:///x`` and any URI whose store pyarrow can open."""
     from pyarrow import fs as pafs
 
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[5:].lstrip("/"), "file"
     if "://" in path:
+        scheme, rest = path.split("://", 1)
+        path = f"{_SCHEMES.get(scheme, scheme)}://{rest}"
         filesystem, inner = pafs.FileSystem.from_uri(path)
         scheme = path.split("://", 1)[0]
         return filesystem, inner, scheme
