@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sweepframe.llm import exact_dedup
+from sweepframe.llm import exact_dedup, mixing, url_filter
 from sweepframe.llm.common import table
 from sweepframe.session import prepare
 
@@ -24,11 +25,71 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_s
 FROM d JOIN g USING (text_sha256)
 """
 
+#: The rules of op9: verdict and host/path.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url."""
+    return url_filter.judge(spark, table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _op9_sql() -> str:
+    """The rules, then one pair of steps for each level of the template tree."""
+    u = url_filter
+    rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END"
+    az, low = string.ascii_uppercase, string.ascii_lowercase
+    ordered = sorted(URL_RULES, key=lambda r: (-len(r[1]), r[1]))
+    cut = {r: r.index("/") for _, r in ordered}
+    rule = "CASE " + " ".join(
+        f"WHEN (host = '{r[:cut[r]]}' OR ends_with(host, '.{r[:cut[r]]}')) AND starts_with(path, '{r[cut[r]:]}') THEN '{r}'"
+        for _, r in ordered) + " END"
+    said = "CASE " + " ".join(f"WHEN rule = '{r}' THEN '{v}'" for v, r in ordered) + " END"
+    d = u.DEPTH
+    out = f"""
+WITH p0 AS (SELECT page_id, {rest} AS rest FROM pages),
+p1 AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{az}', '{low}'), '') AS host,
+              coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p0),
+p2 AS (SELECT *, {rule} AS rule,
+              list_filter(string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/'), lambda s: s <> '') AS parts FROM p1),
+p3 AS (SELECT page_id, host, path, rule, {said} AS said,
+              CASE WHEN len(parts) > {d} THEN list_concat(parts[1:{d}], ['**']) ELSE parts END AS shape FROM p2),
+v AS (SELECT host, shape, count(*) AS n, sum(CASE WHEN said = 'block' THEN 1 ELSE 0 END) AS b FROM p3 GROUP BY ALL),
+h AS (SELECT host, sum(n) AS pn, sum(b) AS pb FROM v GROUP BY host),
+l0 AS (SELECT v.host, shape, n, b, '' AS template, pn, pb,
+              (pb + {u.PRIOR_WEIGHT} * CAST({u.PRIOR} AS DOUBLE)) / (pn + {u.PRIOR_WEIGHT}) AS purity FROM v JOIN h USING (host))"""
+    for i in range(d + 1):
+        out += f""",
+s{i} AS (SELECT *, coalesce(shape[{i + 1}], '') AS t FROM l{i}),
+c{i} AS (SELECT *, CASE WHEN t = '' THEN template WHEN bn >= {u.MIN_SUPPORT} AND
+                abs(bb / bn - pb / pn) > {u.Z} * sqrt((pb / pn) * (1 - pb / pn) / bn)
+                THEN template || '/' || t ELSE template || '/*' END AS deeper
+         FROM (SELECT *, sum(n) OVER w AS bn, sum(b) OVER w AS bb FROM s{i} WINDOW w AS (PARTITION BY host, template, t))),
+l{i + 1} AS (SELECT host, shape, n, b, deeper AS template,
+                CASE WHEN t = '' THEN pn ELSE gn END AS pn, CASE WHEN t = '' THEN pb ELSE gb END AS pb,
+                CASE WHEN t = '' THEN purity ELSE (gb + {u.PRIOR_WEIGHT} * purity) / (gn + {u.PRIOR_WEIGHT}) END AS purity
+         FROM (SELECT *, sum(n) OVER w AS gn, sum(b) OVER w AS gb FROM c{i}
+               WINDOW w AS (PARTITION BY host, deeper, t = '')))"""
+    return out + f"""
+SELECT page_id, p3.host, path, rule,
+       coalesce(said, CASE WHEN purity > {u.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, p3.host || template AS template
+FROM p3 JOIN l{d + 1} l ON p3.host = l.host AND p3.shape = l.shape
+"""
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix over all documents."""
+    return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
+
+
 _QUERIES = {
+    "op9_url_filter": op9_url_filter,
+    "op10_mixing": op10_mixing,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
 _SQL = {
+    "op9_url_filter": _op9_sql(),
     "op7_exact_dedup": OP7_SQL,
 }
 
