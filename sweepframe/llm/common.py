@@ -58,3 +58,9 @@ def blank(c: str | Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def arrow_batches(spark: SparkSession, records: int = 2048, size: int = 16 << 20) -> None:
+    """Bound the Arrow batches that Python tasks get, by rows and by bytes: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -7,11 +7,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sweepframe.llm import exact_dedup, mixing, url_filter
+from sweepframe.llm import bpe, exact_dedup, mixing, repair, url_filter
 from sweepframe.llm.common import table
 from sweepframe.session import prepare
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.encode(spark, docs, vocabulary("word_bpe_49k.json")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against a fresh digest index."""
     return exact_dedup.dedup_report(spark, table(spark, sf_dir, "documents"))
@@ -25,6 +38,11 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_s
 FROM d JOIN g USING (text_sha256)
 """
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written as Re-Pair shards and read back."""
+    return repair.roundtrip_digests(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 #: The rules of op9: verdict and host/path.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -83,6 +101,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = {
+    "op5_bpe": op5_bpe,
+    "op8_token_output": op8_token_output,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
     "op7_exact_dedup": op7_exact_dedup,
