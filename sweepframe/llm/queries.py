@@ -7,11 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sweepframe.llm import bpe, exact_dedup, mixing, repair, url_filter
+from sweepframe.llm import bpe, exact_dedup, mixing, ngram_join, repair, url_filter
 from sweepframe.llm.common import table
 from sweepframe.session import prepare
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: 3-word shingles, similarity 0.9."""
+    return ngram_join.report(spark, table(spark, sf_dir, "documents"), 3, 90)
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file."""
     import public_tokenizers
@@ -101,6 +106,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op5_bpe": op5_bpe,
     "op8_token_output": op8_token_output,
     "op9_url_filter": op9_url_filter,
