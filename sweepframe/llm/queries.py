@@ -6,9 +6,11 @@ import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sweepframe.llm import bpe, exact_dedup, mixing, ngram_join, repair, url_filter
+from sweepframe.llm import bpe, exact_dedup, licenses, mixing, ngram_join, quality, repair, toxicity, url_filter
 from sweepframe.llm.common import table
+from sweepframe.llm.labelled import held_out
 from sweepframe.session import prepare
 
 
@@ -17,6 +19,30 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(spark, table(spark, sf_dir, "documents"), 3, 90)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the licence templates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(spark, docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by trees fitted on the training rows of ``labels.quality``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(spark, docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(spark, docs, model)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"),
+                         "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents graded by the ordinal model fitted on the training rows of ``labels.toxic``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(spark, docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(spark, docs, model)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id").cast("long")).alias("held_out"),
+                         "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "grade", "expected_severity")
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file."""
     import public_tokenizers
@@ -107,7 +133,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_license_scan": op3_license_scan,
+    "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
+    "op6_toxicity": op6_toxicity,
     "op8_token_output": op8_token_output,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
