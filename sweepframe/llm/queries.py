@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sweepframe.llm import bpe, exact_dedup, licenses, mixing, ngram_join, quality, repair, toxicity, url_filter
+from sweepframe.llm import bpe, exact_dedup, licenses, mixing, ngram_join, quality, repair, topk, toxicity, url_filter
 from sweepframe.llm.common import table
 from sweepframe.llm.labelled import held_out
 from sweepframe.session import prepare
@@ -19,6 +19,23 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(spark, table(spark, sf_dir, "documents"), 3, 90)
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose id is divisible by 100 against all rows."""
+    return topk.top_k(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                  CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against the licence templates."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -133,6 +150,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_topk": op2_topk,
     "op3_license_scan": op3_license_scan,
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
@@ -144,6 +162,7 @@ _QUERIES = {
 }
 
 _SQL = {
+    "op2_topk": OP2_SQL,
     "op9_url_filter": _op9_sql(),
     "op7_exact_dedup": OP7_SQL,
 }
