@@ -9,9 +9,9 @@ null space of the two balancing equations until one of them is decided.
 
 A source is cut into blocks of about ``BLOCK`` documents by a hash of the
 id, so one that holds any share of the rows is balanced by many tasks.  A
-block leaves at most two undecided documents and sets ``CHANGE`` of its
-smallest aside; those of all blocks form the next round, until a source fits
-one block.  There the last two are landed on the choice whose word total is
+block leaves at most two undecided documents and sets some of every size
+aside (``CHANGE``); those of all blocks form the next round, until a source
+fits one block.  There the last two are landed on the choice whose word total is
 closest, and what is still missing or over is made up by turning over the
 largest documents that fit, as with small change.
 
@@ -35,8 +35,8 @@ from sweepframe.llm.common import SPACE, blank, fresh, hot_join, maybe_broadcast
 
 #: Documents per block of a flight.
 BLOCK = 4096
-#: Smallest documents of a block that stay undecided for the last round.
-CHANGE = 8
+#: Places, in a block sorted from its largest document, of those that stay undecided for the last round.
+CHANGE = (1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8, 0.999)
 #: A source's target is at most this many times its size.
 MAX_REPEAT = 3
 #: Weights of the sources in code-point order, repeating.
@@ -77,13 +77,14 @@ def source_targets(sources: DataFrame) -> DataFrame:
 def flight(pi: np.ndarray, size: np.ndarray, draw: np.random.Generator, land: bool) -> np.ndarray:
     """Cube-method flight over units in the given order, balancing their number and their sizes.
 
-    Returns the probabilities, all 0 or 1 but for at most two of them and the
-    last ``CHANGE`` units; ``land`` decides all, for the smallest change of the word total.
+    Returns the probabilities, all 0 or 1 but for at most two of them and those
+    at ``CHANGE``; ``land`` decides all, for the smallest change of the word total.
     """
     p, s = pi.tolist(), size.tolist()
     live: list[int] = []
     uniform = iter(draw.random(4 * len(p) + 8).tolist())
-    todo = iter(range(len(p) if land else max(0, len(p) - CHANGE)))
+    aside = set() if land else {int(len(p) * x) for x in CHANGE}
+    todo = iter([k for k in range(len(p)) if k not in aside])
     eps = 1e-9
     while True:
         while len(live) < 3 and (k := next(todo, None)) is not None:
