@@ -1,10 +1,8 @@
 """Sweep expansion (G1-G6) and distributed row numbering.
 
-Sweep tables are built from small value lists crossed with a (possibly
-large) run table.  The value lists are bounded by what the caller passes
-or derives (a handful of values), so crossing them in with a broadcast
-keeps the large side un-shuffled.  Ids are computed from positions, never
-from a global sort.
+Sweep tables multiply a run table by value tables: a generator writes the
+positions, an equi-join on them brings the values (AQE broadcasts a short
+value table).  Ids are computed from positions, never from a global sort.
 """
 
 from __future__ import annotations
@@ -62,41 +60,42 @@ def index_in_file_order(df: DataFrame, name: str = "row_no", start: int = 1) ->
               .drop("_f", "_s", "_first", "_off")
 
 
-MAX_LIST_VALUES = 100_000
+def value_table(df: DataFrame, col: str) -> DataFrame:
+    """Sorted distinct values of ``col`` as ``(pos, value)``, ``pos`` from 0.
 
+    A sweep parameter, of any length: numbered like any other rows (G4) and
+    joined by position, never gathered into one row.
+    """
+    vals = df.select(F.col(col).alias("value")).distinct()
+    return index_rows(vals, "pos", [F.col("value")], start=0)
 
-def value_list(df: DataFrame, col: str, max_values: int = MAX_LIST_VALUES) -> Column:
-    """Sorted distinct values of ``col`` as one array value (a scalar subquery).
 
-    The list is a sweep parameter: a handful of values.  It is computed once
-    (distinct first, so each task ships only its distinct values) and inlined
-    into the plan, so expanding rows with it needs no join.  A list longer
-    than ``max_values`` fails the query instead of growing without bound.
-    """
-    vals = df.select(col).distinct().select(F.sort_array(F.collect_list(col)).alias("v"))
-    guarded = F.when(F.size("v") <= max_values, F.col("v")).otherwise(
-        F.raise_error(F.lit(f"value list of {col} exceeds {max_values} values")).cast("array<" + dict(df.dtypes)[col] + ">"))
-    return vals.select(guarded).scalar()
+def _times(rows: DataFrame, values: DataFrame, pos: str, name: str, n: str) -> DataFrame:
+    """Every row with every value, the multiplication that a sweep is: a
+    generator writes the positions on each row, an equi-join on the position
+    brings the value.  ``n`` is the number of values (a scalar subquery)."""
+    count = values.agg(F.count(F.lit(1))).scalar()
+    every = rows.withColumn(n, count).where(F.col(n) > 0)
+    every = every.withColumn(pos, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
+    return every.join(values.select(F.col("pos").alias(pos), F.col("value").alias(name)), pos)
 
 
-def grid(days: DataFrame, p_trans: Column, compliance: Column) -> DataFrame:
+def grid(days: DataFrame, p_trans: DataFrame, compliance: DataFrame) -> DataFrame:
     """G1: day x p_trans x compliance, day outermost.
 
-    ``days`` has ``(day_pos, day)``; the other two are array values.
-    ``sample_id = (d*nP + p)*nC + c``.  Each day row is expanded by two
-    generators: the day table is never shuffled or joined.
+    ``days`` has ``(day_pos, day)``; the other two are value tables.
+    ``sample_id = (d*nP + p)*nC + c``.
     """
-    out = days.select("day_pos", "day", F.posexplode(p_trans).alias("p_pos", "p_trans"),
-                      F.size(p_trans).alias("_np"))
-    out = out.select("*", F.posexplode(compliance).alias("c_pos", "compliance"), F.size(compliance).alias("_nc"))
+    out = _times(days, p_trans, "p_pos", "p_trans", "_np")
+    out = _times(out, compliance, "c_pos", "compliance", "_nc")
     sid = (F.col("day_pos") * F.col("_np") + F.col("p_pos")) * F.col("_nc") + F.col("c_pos")
     return out.select(sid.cast("long").alias("sample_id"), "day", "p_trans", "compliance")
 
 
-def seed_sweep(seeds: DataFrame, choices: Column, stem: str, out_stem: str) -> DataFrame:
-    """Seeds (1..S, outer) x value choices (inner); running id from 1 and
-    the derived file names.  ``choices`` is an array value."""
-    out = seeds.select("seed", F.posexplode(choices).alias("pos", "p_trans"), F.size(choices).alias("_n"))
+def seed_sweep(seeds: DataFrame, choices: DataFrame, stem: str, out_stem: str) -> DataFrame:
+    """Seeds (1..S, outer) x value choices (inner, a value table); running
+    id from 1 and the derived file names."""
+    out = _times(seeds.select("seed"), choices, "pos", "p_trans", "_n")
     i = ((F.col("seed") - 1) * F.col("_n") + F.col("pos") + 1).cast("long")
     return out.select(
         i.alias("i"), "seed", "p_trans",
@@ -104,10 +103,11 @@ def seed_sweep(seeds: DataFrame, choices: Column, stem: str, out_stem: str) -> D
         F.format_string(f"{out_stem}_%d.dat", i).alias("output_fname"))
 
 
-def study(samples: DataFrame, seeds: Column) -> DataFrame:
-    """Every sample with every global seed (seeds: an array value);
-    ``run_idx = seed_pos * n_samples + sample_id`` keeps seeds outermost."""
-    return samples.select("*", F.posexplode(seeds).alias("seed_pos", "seed"))
+def study(samples: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Every sample with every global seed (a value table) and its
+    ``seed_pos``, which orders the runs with seeds outermost."""
+    out = _times(samples, seeds, "seed_pos", "seed", "_n")
+    return out.select(*samples.columns, F.col("seed_pos").cast("int").alias("seed_pos"), "seed")
 
 
 def expand_replicates(params: DataFrame, replicates: int | Column, params_id: str = "params_id") -> DataFrame:
@@ -125,7 +125,10 @@ def expand_replicates(params: DataFrame, replicates: int | Column, params_id: st
 
 def random_seeds(runs: DataFrame, lo: int = 0, hi: int = 10_000_000, seed: int = 0,
                  name_fmt: str = "seed_%02d_%05d", idx: str = "idx") -> DataFrame:
-    """A uniform integer seed in [lo, hi] per run, reproducible with ``seed``."""
-    s = (F.floor(F.rand(seed) * (hi - lo + 1)) + lo).cast("long")
+    """An evenly spread integer seed in [lo, hi] per run: the first 13 hex
+    digits of ``md5("<seed>/<idx>")`` modulo the range, so it depends on
+    nothing but ``seed`` and the run's index."""
+    drawn = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(str(seed)), F.col(idx).cast("string")).cast("binary")), 1, 13), 16, 10)
+    s = drawn.cast("long") % (hi - lo + 1) + lo
     out = runs.withColumn("seed", s)
     return out.withColumn("name", F.format_string(name_fmt, F.col(idx), F.col("seed")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sweepframe.plans import fixtures as fx
 from sweepframe.session import scratch_path
 
-FIXTURE_BLOCK = 4096  # small blocks keep derived logs compact; records stay far below
+MIN_BLOCK = 4096  # derived logs stay compact; larger records get larger blocks
 HEADER_JSON = '{"header": "true", "date": "2026-01-01T00:00:00Z", "replicates": "1", "site": "local"}'
 
 _cache: dict = {}
@@ -25,11 +25,26 @@ def _once(key, build):
     return _cache[key]
 
 
+_block: dict = {}  # log -> its block size
+
+
+def _block_for(enc: DataFrame) -> int:
+    """The power of two that holds the longest encoded record (at least ``MIN_BLOCK``)."""
+    longest = enc.agg(F.max(F.octet_length("value"))).first()[0] or 0
+    return max(MIN_BLOCK, 1 << max(0, longest - 1).bit_length())
+
+
+def block_size(spark: SparkSession, sf: str) -> int:
+    """Block size of the D1 log."""
+    return _block[d1_log(spark, sf)]
+
+
 def d1_log(spark: SparkSession, sf: str) -> str:
     """The D1 log: a header block, then one block per run, in every part file."""
     def build():
         p = scratch_path(spark, "d1log")
-        fx.d1_log(spark, sf, p, header_json=HEADER_JSON, block_size=FIXTURE_BLOCK)
+        _block[p] = _block_for(fx.d1_encoded(spark, sf))
+        fx.d1_log(spark, sf, p, header_json=HEADER_JSON, block_size=_block[p])
         return p
     return _once(("d1log", sf), build)
 
@@ -52,13 +67,14 @@ def d1_short_log(spark: SparkSession, sf: str) -> str:
                        F.concat(F.lit("Day Su A/I R\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("output_dat"))
         enc = rec.select(fx.to_record_json(rec).alias("value"), "task_id")
         p = scratch_path(spark, "d1short")
-        fx.write_blocklog(enc, p, block_size=FIXTURE_BLOCK, order_by=["task_id"])
+        _block[p] = _block_for(enc)
+        fx.write_blocklog(enc, p, block_size=_block[p], order_by=["task_id"])
         return p
     return _once(("d1short", sf), build)
 
 
 def blocks(spark: SparkSession, path: str, indices=None) -> DataFrame:
-    r = (spark.read.format("blocklog").option("blockSize", str(FIXTURE_BLOCK))
+    r = (spark.read.format("blocklog").option("blockSize", str(_block[path]))
          .option("minPartitions", str(spark.sparkContext.defaultParallelism)))
     if indices is not None:
         r = r.option("blocks", ",".join(str(i) for i in indices))

@@ -96,11 +96,15 @@ def write_blocklog(df: DataFrame, path: str, value_col: str = "value", block_siz
     return path
 
 
+def d1_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 records with their JSON text in ``value``."""
+    rec = d1_records(spark, sf_dir)
+    return rec.select(to_record_json(rec).alias("value"), "params_id", "task_id", "seed")
+
+
 def d1_log(spark: SparkSession, sf_dir: str, path: str, header_json: str | None = None,
            partition_by: str | None = None, block_size: int = 65536) -> str:
-    rec = d1_records(spark, sf_dir)
-    enc = rec.select(to_record_json(rec).alias("value"), "params_id", "task_id", "seed")
-    return write_blocklog(enc, path, block_size=block_size, partition_by=partition_by,
+    return write_blocklog(d1_encoded(spark, sf_dir), path, block_size=block_size, partition_by=partition_by,
                           order_by=["task_id"], header_json=header_json)
 
 

@@ -117,7 +117,7 @@ FROM runs r JOIN ord ON r.l_orderkey = ord.o_orderkey"""
 def q_blocklog_stream(spark, sf):
     log = D.d1_log(spark, sf)
     sink, ckpt = scratch_path(spark, "stream_sink"), scratch_path(spark, "stream_ckpt")
-    tail.append_records(spark, log, sink, ckpt, block_size=D.FIXTURE_BLOCK)
+    tail.append_records(spark, log, sink, ckpt, block_size=D.block_size(spark, sf))
     rec = spark.read.parquet(sink)
     return rec.groupBy("params_id").agg(F.count_if("ok").alias("n_ok"))
 
@@ -130,7 +130,7 @@ def q_stream_counts(spark, sf):
     """R13/R18 kept up to date over the tail of the log (update-mode aggregate)."""
     log = D.d1_log(spark, sf)
     sink, ckpt = scratch_path(spark, "counts_sink"), scratch_path(spark, "counts_ckpt")
-    tail.running_counts(spark, log, sink, ckpt, block_size=D.FIXTURE_BLOCK)
+    tail.running_counts(spark, log, sink, ckpt, block_size=D.block_size(spark, sf))
     out = tail.latest_counts(spark, sink)
     return out.select("params_id", "n_ok", F.round("run_time", 6).alias("run_time"))
 
@@ -149,7 +149,7 @@ def q_blocklog_extract(spark, sf):
     urgent = fx.table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
         F.col("o_orderkey").alias("task_id"))
     wanted = index.join(urgent, "task_id", "left_semi")
-    recs = parse_records(read_blocks(wanted, D.FIXTURE_BLOCK))
+    recs = parse_records(read_blocks(wanted, D.block_size(spark, sf)))
     return recs.select("task_id", "cfg_id", "day_final")
 
 
@@ -200,7 +200,7 @@ def q_conversion_counts(spark, sf):
     header, recs = split_header(parse_records(D.blocks(spark, path)))
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.log")
              .option("recursiveFileLookup", "true").load(path).select("length"))
-    out = S.conversion_summary(recs, explode_days(recs), files, D.FIXTURE_BLOCK)
+    out = S.conversion_summary(recs, explode_days(recs), files, D.block_size(spark, sf))
     # the log holds one header block per file: report content blocks
     return out.select("records", "rows", (F.col("expected_blocks") - header.select(F.count(F.lit(1))).scalar())
                       .alias("content_blocks"))
@@ -225,7 +225,7 @@ SQL_LONG_PARQUET = SQL_LONG.replace(
 def q_log_stat(spark, sf):
     path = D.d1_log(spark, sf)
     recs = parse_records(D.blocks(spark, path))
-    st = S.log_stat(spark, path, recs, D.FIXTURE_BLOCK)
+    st = S.log_stat(spark, path, recs, D.block_size(spark, sf))
     return st.groupBy("key", "value").agg(F.sum("content_blocks").alias("content_blocks"))
 
 
@@ -392,7 +392,7 @@ def _days(spark, sf):
 
 def q_grid(spark, sf):
     li = fx.table(spark, sf, "lineitem")
-    return W.grid(_days(spark, sf), W.value_list(li, "l_discount"), W.value_list(li, "l_tax"))
+    return W.grid(_days(spark, sf), W.value_table(li, "l_discount"), W.value_table(li, "l_tax"))
 
 
 SQL_GRID = """WITH d AS (SELECT day, dense_rank() OVER (ORDER BY day) - 1 AS dp FROM (SELECT DISTINCT p_size AS day FROM part)),
@@ -406,7 +406,7 @@ FROM d, p, c, np, nc"""
 def _seed_sweep(spark, sf):
     seeds = fx.table(spark, sf, "nation").select((F.col("n_nationkey") + 1).cast("long").alias("seed"))
     li = fx.table(spark, sf, "lineitem")
-    return W.seed_sweep(seeds, W.value_list(li, "l_discount"), "input_8_v2", "output_8_v2")
+    return W.seed_sweep(seeds, W.value_table(li, "l_discount"), "input_8_v2", "output_8_v2")
 
 
 def q_seed_sweep(spark, sf):
@@ -424,7 +424,7 @@ SELECT i, seed, p_trans, 'input_8_v2_' || CAST(i AS VARCHAR) || '.bay' AS fname,
 
 def q_study_product(spark, sf):
     samples = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("sample_id"), "p_size")
-    return W.study(samples, W.value_list(fx.table(spark, sf, "region"), "r_regionkey"))
+    return W.study(samples, W.value_table(fx.table(spark, sf, "region"), "r_regionkey"))
 
 
 SQL_STUDY_PRODUCT = """SELECT p_partkey AS sample_id, p_size, CAST(s.pos AS INTEGER) AS seed_pos, s.seed
@@ -455,6 +455,11 @@ def q_random_seeds(spark, sf):
     runs = fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("idx"))
     return W.random_seeds(runs, 0, 10_000_000, seed=7)
 
+
+SQL_RANDOM_SEEDS = """SELECT idx, seed, printf('seed_%02d_%05d', idx, seed) AS name FROM (
+  SELECT o_orderkey AS idx, CAST('0x' || substr(md5('7/' || CAST(o_orderkey AS VARCHAR)), 1, 13) AS BIGINT) % 10000001 AS seed FROM orders) s"""
+
+
 # ============================================================ rendering
 
 
@@ -822,8 +827,7 @@ def _expected_runs(spark, sf):
 
 def q_require_runs(spark, sf):
     exp = _expected_runs(spark, sf)
-    missing = A.require_runs(exp, _snapshots(spark, sf), ["seed", "run"])
-    return exp.join(missing, ["seed", "run"], "left_anti")
+    return A.require_runs(exp, _snapshots(spark, sf), ["seed", "run"])
 
 
 SQL_REQUIRE_RUNS = "SELECT DISTINCT 'SEED' || l_returnflag AS seed, 'run_' || l_linestatus AS run FROM lineitem"
@@ -868,7 +872,7 @@ QUERIES = {
     "study_product": (q_study_product, SQL_STUDY_PRODUCT),
     "params_id": (q_params_id, SQL_PARAMS_ID),
     "replicates": (q_replicates, SQL_REPLICATES),
-    "random_seeds": (q_random_seeds, None),
+    "random_seeds": (q_random_seeds, SQL_RANDOM_SEEDS),
     "render_edit": (q_render_edit, SQL_RENDER_EDIT),
     "config_kv": (q_config_kv, SQL_CONFIG_KV),
     "params_jsonl": (q_params_jsonl, SQL_PARAMS_JSONL),

@@ -60,6 +60,7 @@ SCHEMA = StructType([
 ])
 
 _BATCH_ROWS = 512
+_BATCH_BYTES = 32 * 1024 * 1024
 
 
 # --------------------------------------------------------------------------
@@ -131,45 +132,37 @@ def _open_read(path: str):
 # block size detection
 # --------------------------------------------------------------------------
 
-def detect_block_size(path: str, max_scan: int = 64 * 1024 * 1024) -> int:
-    """Stride of the log = byte offset of the second top-level JSON object.
+def detect_block_size(path: str, window: int = 1 << 20) -> int:
+    """Stride of a log file = byte offset of its second top-level JSON object.
 
-    The first object is found by tracking string/escape state and brace
-    depth; the next ``{`` after it starts block two.  A file holding a
-    single object has one block: its whole length.
+    A JSON decoder finds where the first object ends; the next ``{`` starts
+    block two.  The window doubles until both are in it, up to the whole
+    file.  A file of one object has one block: its whole length.
     """
     files = list_log_files(path)
-    if not files:
-        return DEFAULT_BLOCK_SIZE
-    fpath, size = files[0]
-    with _open_read(fpath) as f:
-        head = f.read(min(size, max_scan))
-    depth, in_str, esc, end = 0, False, False, -1
-    start = head.find(b"{")
-    if start < 0:
-        return size
-    for i in range(start, len(head)):
-        c = head[i]
-        if in_str:
-            if esc:
-                esc = False
-            elif c == 0x5C:  # backslash
-                esc = True
-            elif c == 0x22:  # quote
-                in_str = False
-        elif c == 0x22:
-            in_str = True
-        elif c == 0x7B:
-            depth += 1
-        elif c == 0x7D:
-            depth -= 1
-            if depth == 0:
-                end = i
+    return _stride(*files[0], window) if files else DEFAULT_BLOCK_SIZE
+
+
+def _stride(path: str, size: int, window: int = 1 << 20) -> int:
+    decoder = json.JSONDecoder(strict=False)
+    with _open_read(path) as f:
+        head = ""
+        while len(head) < size:
+            data = f.read(max(window, len(head)))
+            if not data:
                 break
-    if end < 0:
-        return size
-    nxt = head.find(b"{", end + 1)
-    return nxt if nxt > 0 else size
+            head += data.decode("latin-1")  # one character a byte, so offsets hold
+            first = head.find("{")
+            if first < 0:
+                continue
+            try:
+                _, end = decoder.raw_decode(head, first)
+            except ValueError:
+                continue
+            second = head.find("{", end)
+            if second > 0:
+                return second
+    return max(size, 1)
 
 
 # --------------------------------------------------------------------------
@@ -212,14 +205,17 @@ def _selection_from_options(options) -> _Selection:
 
 
 class _BlockRange(InputPartition):
-    def __init__(self, path: str, first: int, stop: int, blocks: list[int] | None = None):
+    def __init__(self, path: str, first: int, stop: int, block: int, blocks: list[int] | None = None):
         super().__init__((path, first, stop))
-        self.path, self.first, self.stop, self.blocks = path, first, stop, blocks
+        self.path, self.first, self.stop, self.block, self.blocks = path, first, stop, block, blocks
 
 
-def _read_range(part: _BlockRange, block: int, keep_padding: bool, whole_only: bool):
+def _read_range(part: _BlockRange, keep_padding: bool, whole_only: bool):
     import pyarrow as pa
 
+    block = part.block
+    rows = max(1, min(_BATCH_ROWS, _BATCH_BYTES // block))  # a batch is bounded by rows and by bytes
+
     targets = part.blocks if part.blocks is not None else range(part.first, part.stop)
     paths, idxs, payloads = [], [], []
     with _open_read(part.path) as f:
@@ -237,7 +233,7 @@ def _read_range(part: _BlockRange, block: int, keep_padding: bool, whole_only: b
             paths.append(part.path)
             idxs.append(i)
             payloads.append(data)
-            if len(idxs) >= _BATCH_ROWS:
+            if len(idxs) >= rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(paths, pa.string()), pa.array(idxs, pa.int64()),
                      pa.array(payloads, pa.binary())], names=SCHEMA.names)
@@ -264,44 +260,43 @@ def _options(options) -> tuple[str, int | str, int, bool]:
 class BlockLogReader(DataSourceReader):
     def __init__(self, options):
         self.path, block, self.per_part, self.keep = _options(options)
-        self.block = detect_block_size(self.path) if block == "auto" else block
-        if self.block <= 0:
-            self.block = DEFAULT_BLOCK_SIZE
+        self.block = block if block == "auto" or block > 0 else DEFAULT_BLOCK_SIZE
         self.sel = _selection_from_options(options)
         self.part_bytes = int(options.get("partitionBytes", 128 * 1024 * 1024))
         self.min_parts = int(options.get("minPartitions", 8))
 
-    def _blocks_per_partition(self, files) -> int:
+    def _blocks_per_partition(self, files: list[tuple[str, int, int]], block: int) -> int:
         """Explicit ``blocksPerPartition``, else ``partitionBytes`` (128 MiB) worth
         of blocks, lowered so the log gives at least ``minPartitions`` tasks."""
         if self.per_part > 0:
             return self.per_part
-        total = sum(-(-size // self.block) for _, size in files)
-        cap = max(1, self.part_bytes // self.block)
+        total = sum(-(-size // b) for _, size, b in files)
+        cap = max(1, self.part_bytes // block)
         floor_split = -(-total // max(1, self.min_parts)) if total else 1
         return max(1, min(cap, floor_split))
 
     def partitions(self):
+        """Ranges of blocks; with ``auto`` every file has a stride of its own."""
         parts = []
-        files = list_log_files(self.path)
-        per_part = self._blocks_per_partition(files)
-        for path, size in files:
+        files = [(p, n, _stride(p, n) if self.block == "auto" else self.block) for p, n in list_log_files(self.path)]
+        for path, size, block in files:
             if self.sel.paths is not None and path not in self.sel.paths:
                 continue
-            nblocks = -(-size // self.block)
+            per_part = self._blocks_per_partition(files, block)
+            nblocks = -(-size // block)
             lo, hi = self.sel.admits_range(0, nblocks)
             for a in range(lo, hi, per_part):
                 b = min(a + per_part, hi)
                 wanted = self.sel.wanted(a, b)
                 if wanted is not None and not wanted:
                     continue
-                parts.append(_BlockRange(path, a, b, wanted))
-        return parts or [_BlockRange("", 0, 0, [])]
+                parts.append(_BlockRange(path, a, b, block, wanted))
+        return parts or [_BlockRange("", 0, 0, DEFAULT_BLOCK_SIZE, [])]
 
     def read(self, partition):
         if not partition.path:
             return iter(())
-        return _read_range(partition, self.block, self.keep, whole_only=False)
+        return _read_range(partition, self.keep, whole_only=False)
 
 
 class BlockLogStreamReader(DataSourceStreamReader):
@@ -324,11 +319,11 @@ class BlockLogStreamReader(DataSourceStreamReader):
         for path, upto in sorted(end.get("files", {}).items()):
             lo = int(done.get(path, 0))
             for a in range(lo, int(upto), per_part):
-                parts.append(_BlockRange(path, a, min(a + per_part, int(upto))))
+                parts.append(_BlockRange(path, a, min(a + per_part, int(upto)), self.block))
         return parts
 
     def read(self, partition):
-        return _read_range(partition, self.block, self.keep, whole_only=True)
+        return _read_range(partition, self.keep, whole_only=True)
 
     def commit(self, end):
         pass

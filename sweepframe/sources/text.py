@@ -30,7 +30,8 @@ def read_params_csv(spark: SparkSession, path: str, reject_blank: bool = True) -
 
     Quoted fields may hold commas.  Column pruning of the CSV parser is
     switched off (see ``session.prepare``) so a width mismatch raises even
-    when only some columns are selected.  The CSV reader skips blank lines;
+    when only some columns are selected.  Every file's header must name the
+    same columns in the same order (checked against the first).  The CSV reader skips blank lines;
     with ``reject_blank`` a blank line is an error, as a parameter row must
     not be empty (checked with one distributed count over the text).
     """
@@ -41,12 +42,12 @@ def read_params_csv(spark: SparkSession, path: str, reject_blank: bool = True) -
     header = spark.read.option("header", "true").csv(path).schema
     schema = StructType([StructField(f.name, StringType()) for f in header.fields])
     return (spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST")
-            .option("multiLine", "false").csv(path))
+            .option("enforceSchema", "false").option("multiLine", "false").csv(path))
 
 
 # raw text of every top-level "key": value pair of a flat JSON object
-_JSON_KEY = r'"((?:[^"\\]|\\.)*)"\s*:\s*(?:\[[^\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s]+)'
-_JSON_VAL = r'"(?:[^"\\]|\\.)*"\s*:\s*(\[[^\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s]+)'
+_JSON_KEY = r'"((?:[^"\\]|\\.)*)"\s*:\s*(?:\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s]+)'
+_JSON_VAL = r'"(?:[^"\\]|\\.)*"\s*:\s*(\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s]+)'
 
 
 def raw_json_map(line: Column) -> Column:
@@ -70,11 +71,13 @@ def read_params_jsonl(spark: SparkSession, path: str) -> DataFrame:
              .select(F.col("value").alias("line"), *line_key_cols())
              .where(F.trim("line") != ""))
     m = raw_json_map(F.col("line"))
-    inst = F.element_at(m, F.lit("instance"))
-    return lines.select(
-        "file", "line_key",
-        F.when(inst.isNull(), F.raise_error(F.concat(F.lit("parameter set without 'instance': "), F.col("line"))))
-        .otherwise(inst).cast("long").alias("instance"),
+    parsed = F.from_json("line", "map<string,string>", {"mode": "FAILFAST"})
+    whole = F.size(F.map_keys(m)) == F.size(F.map_keys(parsed))
+    bad = F.raise_error(F.concat(F.lit("parameter set that is malformed, nested or without 'instance': "), F.col("line")))
+    # a filter, so that a count or a single column is checked as well
+    good = F.when(F.element_at(parsed, F.lit("instance")).isNotNull() & whole, True).otherwise(bad.cast("boolean"))
+    return lines.where(good).select(
+        "file", "line_key", F.element_at(m, F.lit("instance")).cast("long").alias("instance"),
         F.map_filter(m, lambda k, v: ~k.isin("instance", "replicates")).alias("params"),
         F.element_at(m, F.lit("replicates")).alias("replicates"),
     )
