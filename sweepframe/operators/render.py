@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sweepframe.functions.numbers import number_text, reprinted, value_text
 from sweepframe.sources.text import CONFIG_LINE
 
 # Keys whose list value is written twice, and the keys the
@@ -46,7 +47,8 @@ def template_row(lines: DataFrame, lstrip_space: bool = False) -> DataFrame:
     """Config lines (``file, line_no, raw``) -> one row per file with
     ``tmpl array<struct<n, raw, prefix, key, eq, val>>`` in line order."""
     raw = F.col("raw")
-    if lstrip_space:
+    if lstrip_space:  # stripping a line of spaces takes its newline too: the line goes
+        lines = lines.where(~(raw.startswith(" ") & (strip_ws(raw) == "")))
         raw = F.when(raw.startswith(" "), F.regexp_replace(raw, r"^\s+", "")).otherwise(raw)
     m = lambda i: F.regexp_extract(raw, CONFIG_LINE, i)
     kv = raw.rlike(CONFIG_LINE)
@@ -63,13 +65,17 @@ def format_list_text(v: Column) -> Column:
 
 
 def format_json_value(v: Column) -> Column:
-    """G13 for raw JSON value text: lists joined by spaces, strings unquoted,
+    """G13 for raw JSON value text, as parsing and printing it gives: lists
+    joined by spaces, strings unescaped, numbers in their shortest text,
     literals spelled as Python prints them."""
-    unq = F.regexp_replace(v, r'^"(.*)"$', "$1")
-    return (F.when(v.startswith("["), format_list_text(v))
-            .when(v.startswith('"'), unq)
-            .when(v == "true", F.lit("True")).when(v == "false", F.lit("False"))
-            .when(v == "null", F.lit("None")).otherwise(v))
+    def one(x: Column) -> Column:
+        text = F.get_json_object(F.concat(F.lit('{"v":'), x, F.lit("}")), "$.v")
+        return (F.when(x.startswith('"'), text).when(x == "true", F.lit("True")).when(x == "false", F.lit("False"))
+                .when(x == "null", F.lit("None")).otherwise(reprinted(x)))
+
+    inside = F.regexp_replace(v, r"^\[\s*|\s*\]$", "")
+    items = F.regexp_extract_all(inside, F.lit(r'("(?:[^"\\]|\\.)*"|[^,\s]+)'), 1)
+    return F.when(v.startswith("["), F.array_join(F.transform(items, one), " ")).otherwise(one(v))
 
 
 def format_csv_value(v: Column) -> Column:
@@ -90,7 +96,7 @@ def double_value(v: Column) -> Column:
     as_dbl = v.try_cast("double")
     return (F.when(F.trim(v).startswith("["), double_list(format_list_text(F.trim(v))))
             .when(as_int.isNotNull(), (as_int * 2).cast("string"))
-            .when(as_dbl.isNotNull(), (as_dbl * 2).cast("string"))
+            .when(as_dbl.isNotNull(), number_text(as_dbl * 2))
             .otherwise(double_list(v)))
 
 
@@ -273,9 +279,10 @@ def render_fill(grid: DataFrame, seed: str = "seed", compliance: str = "complian
                 shelter_day: str = "day", trans: str = "p_trans") -> DataFrame:
     """Fixed text with four holes; seed and shelter day truncated to int.
     ``compliance``/``trans`` are value text (strings) or numbers."""
+    kinds = dict(grid.dtypes)
     return grid.withColumn("config", F.format_string(
-        FILL_TEMPLATE, F.col(seed).cast("double").cast("long"), F.col(compliance).cast("string"),
-        F.col(shelter_day).cast("double").cast("long"), F.col(trans).cast("string")))
+        FILL_TEMPLATE, F.col(seed).cast("double").cast("long"), value_text(F.col(compliance), kinds[compliance]),
+        F.col(shelter_day).cast("double").cast("long"), value_text(F.col(trans), kinds[trans])))
 
 
 # ---------------------------------------------------------------- G11 / G17
@@ -291,7 +298,7 @@ def render_append(sweep: DataFrame, template: DataFrame, fixed_lines: list[str],
                 .select(F.transform("t", lambda x: x["raw"]).alias("kept"))
     df = sweep.withColumn("kept", kept.scalar())
     tail = F.array(F.concat(F.lit("agent.seed = "), F.col(seed).cast("string")),
-                   F.concat(F.lit("disease.p_trans = "), F.col(p_trans).cast("string")),
+                   F.concat(F.lit("disease.p_trans = "), value_text(F.col(p_trans), dict(sweep.dtypes)[p_trans])),
                    F.concat(F.lit("diag.output_filename = "), F.col(output_fname)))
     fixed = F.array(*[F.lit(x) for x in fixed_lines]).cast("array<string>")
     return df.withColumn("config", _text(F.concat(fixed, F.col("kept"), tail))).drop("kept")

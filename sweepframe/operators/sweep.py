@@ -70,17 +70,20 @@ def value_table(df: DataFrame, col: str) -> DataFrame:
     return index_rows(vals, "pos", [F.col("value")], start=0)
 
 
-def _times(rows: DataFrame, values: DataFrame, pos: str, name: str, n: str) -> DataFrame:
+def _times(rows: DataFrame, values: DataFrame | Column, pos: str, name: str, n: str) -> DataFrame:
     """Every row with every value, the multiplication that a sweep is: a
     generator writes the positions on each row, an equi-join on the position
-    brings the value.  ``n`` is the number of values (a scalar subquery)."""
+    brings the value.  ``n`` is the number of values (a scalar subquery).
+    A caller's own short list may be an array column, which needs no join."""
+    if isinstance(values, Column):
+        return rows.select("*", F.posexplode(values).alias(pos, name), F.size(values).alias(n))
     count = values.agg(F.count(F.lit(1))).scalar()
     every = rows.withColumn(n, count).where(F.col(n) > 0)
     every = every.withColumn(pos, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
     return every.join(values.select(F.col("pos").alias(pos), F.col("value").alias(name)), pos)
 
 
-def grid(days: DataFrame, p_trans: DataFrame, compliance: DataFrame) -> DataFrame:
+def grid(days: DataFrame, p_trans: DataFrame | Column, compliance: DataFrame | Column) -> DataFrame:
     """G1: day x p_trans x compliance, day outermost.
 
     ``days`` has ``(day_pos, day)``; the other two are value tables.
@@ -92,7 +95,7 @@ def grid(days: DataFrame, p_trans: DataFrame, compliance: DataFrame) -> DataFram
     return out.select(sid.cast("long").alias("sample_id"), "day", "p_trans", "compliance")
 
 
-def seed_sweep(seeds: DataFrame, choices: DataFrame, stem: str, out_stem: str) -> DataFrame:
+def seed_sweep(seeds: DataFrame, choices: DataFrame | Column, stem: str, out_stem: str) -> DataFrame:
     """Seeds (1..S, outer) x value choices (inner, a value table); running
     id from 1 and the derived file names."""
     out = _times(seeds.select("seed"), choices, "pos", "p_trans", "_n")
@@ -103,7 +106,7 @@ def seed_sweep(seeds: DataFrame, choices: DataFrame, stem: str, out_stem: str) -
         F.format_string(f"{out_stem}_%d.dat", i).alias("output_fname"))
 
 
-def study(samples: DataFrame, seeds: DataFrame) -> DataFrame:
+def study(samples: DataFrame, seeds: DataFrame | Column) -> DataFrame:
     """Every sample with every global seed (a value table) and its
     ``seed_pos``, which orders the runs with seeds outermost."""
     out = _times(samples, seeds, "seed_pos", "seed", "_n")

@@ -96,10 +96,11 @@ def test_golden_corpus(spark):
 
     tmpl = read_configs(spark, f"{REF}/data-sets/input_8_v2.bay")
     seeds = spark.range(1, 51).select(F.col("id").alias("seed"))
-    choices = F.array(*[F.lit(x) for x in
-                        "0.0001 0.00015 0.0002 0.00025 0.0003 0.00035 0.0004 0.00045 0.0005 0.00055".split()])
+    values = [0.0001, 0.00015, 0.0002, 0.00025, 0.0003, 0.00035, 0.0004, 0.00045, 0.0005, 0.00055]
+    choices = spark.createDataFrame(list(enumerate(values)), "pos long, value double")
     sweep = W.seed_sweep(seeds, choices, "input_8_v2", "output_8_v2")
-    root = "/global/cfs/cdirs/m5071/sfw/ExaEpi-mpich/data"
+    with open(f"{REF}/expt-inputs-001/input_8_v2_1.bay") as f:  # the data root is whatever the corpus names
+        root = next(ln for ln in f if ln.startswith("agent.census_filename")).split(" = ")[1].split("/CensusData/")[0]
     fixed = [f"agent.census_filename = {root}/CensusData/BayArea.dat",
              f"agent.workerflow_filename = {root}/CensusData/BayArea-wf.bin",
              f"disease.case_filename = {root}/CaseData/Feb1.cases"]
@@ -122,3 +123,26 @@ def test_special_key_in_params_is_rewritten_and_appended(spark):
     # the template line takes the run's seed; the parameter is appended as well
     assert cfg.config == "# agent.seed = 1\nagent.seed = 5\nagent.seed = 99\nid = 3\n"
     assert cfg.cfg_id == "1"
+
+
+def test_numbers_as_text(spark):
+    values = [0.0001, 0.00015, 1e-5, 1.25e-7, 0.001, 0.5, 3.0, 1e7, 123456789.25, 1e15, 1e16, 2.5e20, -0.0002, 1.2345678901234567e-4, 0.0]
+    from sweepframe.functions.numbers import number_text
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(number_text(F.col("v"))).collect()] == [repr(v) for v in values]
+
+
+def test_json_values_as_parsed_and_printed(spark):
+    raw = ["0.10", "1e-4", "12", "[0.10, 2, 1e-5]", '"a\\tb\\"c"', "true", "null", '["x, y", false]', "[]"]
+    df = spark.createDataFrame([(v,) for v in raw], "v string")
+    got = [r[0] for r in df.select(G.format_json_value(F.col("v"))).collect()]
+    assert got == ["0.1", "0.0001", "12", "0.1 2 1e-05", 'a\tb"c', "True", "None", "x, y False", ""]
+
+
+def test_line_of_spaces_vanishes(spark):
+    runs = spark.createDataFrame([(5, "/r", "/in", "u", "c")],
+                                 "seed long, run_dir string, input_dir string, urbanpop string, cases string")
+    runs = runs.withColumn("params", F.create_map(F.lit("x"), F.lit("1")))
+    cfg = G.render_edit(runs, tmpl_df(spark, "a = 1\n   \n\nb = 2\n")).collect()[0]
+    assert cfg.config == "a = 1\n\nb = 2\nx = 1\n"
