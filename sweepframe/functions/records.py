@@ -67,12 +67,13 @@ def parse_records(blocks: DataFrame, payload: str = "payload", extra_fields=None
     if extra_fields:
         schema = StructType(RECORD_FIELDS.fields[:-1] + list(extra_fields) + [RECORD_FIELDS["_corrupt"]])
     keep = [c for c in blocks.columns if c != payload]
-    txt = block_text(F.col(payload))
-    parsed = blocks.select(*keep, txt.alias("json")).select(
-        *keep, "json", F.from_json("json", schema, JSON_OPTIONS).alias("r"))
-    ok = (F.col("json").startswith("{") & F.col("r").isNotNull() & F.col("r._corrupt").isNull())
+    # Generators, so that a filter is not merged into the parse: text and
+    # object are made once per block.
+    text = blocks.select(*keep, F.inline(F.array(F.struct(block_text(F.col(payload)).alias("json")))))
+    parsed = text.where(F.col("json").startswith("{")).select(
+        *keep, "json", F.inline(F.array(F.from_json("json", schema, JSON_OPTIONS))))
     fields = [f.name for f in schema.fields if f.name != "_corrupt"]
-    out = parsed.where(ok).select(*keep, "json", *[F.col("r")[f].alias(f) for f in fields])
+    out = parsed.where(F.col("_corrupt").isNull()).select(*keep, "json", *fields)
     for idc in ("task_id", "params_id", "seed", "day_final"):
         out = out.withColumn(idc, _as_long(F.col(idc)))
     # `output_dat` present as a key (even as an empty string) marks a result record

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -89,24 +90,23 @@ def with_scrape(df: DataFrame, fn: Callable[[dict], dict], schema: StructType |
     """Run a user function per row and merge its fields into the row.
 
     ``fn`` receives a dict of ``inputs`` and returns a dict of extra fields
-    (``schema``; missing ones are null).  It runs on Arrow batches in
-    ``mapInPandas`` over the rows' own partitions and the row's columns are
-    passed through, so there is no shuffle and no join.
+    (``schema``; missing ones are null).  It gets Arrow batches of the inputs
+    alone, as exact Python values, on the rows' own partitions; all other
+    columns stay in the JVM.  An input may be a path, e.g. the run's folder.
     """
-    from pyspark.sql.types import StructType as _ST
+    from pyspark.sql.pandas.types import to_arrow_type
 
     extra = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     names = [f.name for f in extra.fields]
     clash = [n for n in names if n in df.columns]
     if clash:
         raise ValueError(f"scrape fields already present: {clash}")
-    out_schema = _ST(list(df.schema.fields) + list(extra.fields))
+    kind = to_arrow_type(extra)
 
-    def run(batches):
-        for pdf in batches:
-            rows = [fn(dict(zip(inputs, vals))) or {} for vals in zip(*[pdf[c] for c in inputs])]
-            for n in names:
-                pdf[n] = [r.get(n) for r in rows]
-            yield pdf
+    @F.arrow_udf(returnType=extra)
+    def run(*columns: pa.Array) -> pa.Array:
+        rows = [fn(dict(zip(inputs, vals))) or {} for vals in zip(*[c.to_pylist() for c in columns])]
+        return pa.array([{n: r.get(n) for n in names} for r in rows], kind)
 
-    return df.mapInPandas(run, out_schema)
+    found = next(c for c in ("_scraped", "_scraped_") if c not in df.columns)
+    return df.withColumn(found, run(*inputs)).select(*df.columns, *[F.col(found)[n].alias(n) for n in names])

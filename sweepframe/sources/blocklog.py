@@ -165,6 +165,11 @@ def _stride(path: str, size: int, window: int = 1 << 20) -> int:
     return max(size, 1)
 
 
+def whole_blocks(path: str, block: int | str = "auto") -> int:
+    """Whole blocks of all files of a log."""
+    return sum(n // (_stride(p, n) if block == "auto" else int(block)) for p, n in list_log_files(path))
+
+
 # --------------------------------------------------------------------------
 # indexed block selection
 # --------------------------------------------------------------------------

@@ -46,8 +46,8 @@ def read_params_csv(spark: SparkSession, path: str, reject_blank: bool = True) -
 
 
 # raw text of every top-level "key": value pair of a flat JSON object
-_JSON_KEY = r'"((?:[^"\\]|\\.)*)"\s*:\s*(?:\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s]+)'
-_JSON_VAL = r'"(?:[^"\\]|\\.)*"\s*:\s*(\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s]+)'
+_JSON_KEY = r'"((?:[^"\\]|\\.)*)"\s*:\s*(?:\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s\[{"][^,}\s]*)'
+_JSON_VAL = r'"(?:[^"\\]|\\.)*"\s*:\s*(\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s\[{"][^,}\s]*)'
 
 
 def raw_json_map(line: Column) -> Column:

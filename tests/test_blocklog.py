@@ -155,3 +155,15 @@ def test_stream_sink_appends_exactly_once(spark, tmp):
     recs = parse_records(spark.read.format("blocklog").option("blockSize", "256").load(out))
     assert sorted(r.task_id for r in recs.collect()) == list(range(9))
     assert all(f.startswith("batch-") for f in os.listdir(out) if f.endswith(".log"))
+
+
+def test_auto_stride_of_each_file(spark, tmp):
+    """Files of different strides, one object, and a second object far behind."""
+    d = os.path.join(tmp, "logs")
+    os.makedirs(d)
+    write_raw(os.path.join(d, "a.log"), [REC % 1], 300)
+    write_raw(os.path.join(d, "b.log"), [REC % 2, REC % 3], 512)
+    write_raw(os.path.join(d, "c.log"), [REC % 4, REC % 5], 3 << 20)
+    got = spark.read.format("blocklog").option("blockSize", "auto").load(d)
+    assert sorted(r.task_id for r in parse_records(got).collect()) == [1, 2, 3, 4, 5]
+    assert got.count() == 5

@@ -90,3 +90,32 @@ def test_file_order_numbering_across_splits(spark, tmp):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(rows) == 3 * n_per
     assert all(int(r.k) + 1 == r.params_id for r in rows)
+
+
+def test_scrape_hook_keeps_large_ids(spark):
+    from sweepframe.operators.scrape import with_scrape
+
+    df = spark.createDataFrame([(9007199254740993, "a"), (None, "bb")], "id long, t string")
+    out = with_scrape(df, lambda r: {"n": len(r["t"]), "same": r["id"]}, "n int, same long", ["t", "id"])
+    assert sorted(tuple(r) for r in out.where("id IS NOT NULL").collect()) == [(9007199254740993, "a", 1, 9007199254740993)]
+    assert out.where("id IS NULL").select("n").first()[0] == 2
+    assert out.columns == ["id", "t", "n", "same"]
+
+
+def test_params_checks_are_not_pruned(spark, tmp):
+    import pytest
+
+    from sweepframe.sources.text import read_params_csv, read_params_jsonl
+
+    for i, line in enumerate(['{"a": 1}', '{"instance": 1, "a": 0.10, "b": [1', '{"instance": 1, "b": [[1, 2], [3]]}']):
+        path = f"{tmp}/p{i}.jsonl"
+        with open(path, "w") as f:
+            f.write('{"instance": 3, "a": [1, 2]}\n' + line + "\n")
+        for use in (lambda d: d.count(), lambda d: d.select("params").collect(), lambda d: d.select("file").collect()):
+            with pytest.raises(Exception):
+                use(read_params_jsonl(spark, path))
+    for name, header in (("x", "x,y"), ("y", "y,x")):
+        with open(f"{tmp}/{name}.csv", "w") as f:
+            f.write(f"{header}\n1,2\n")
+    with pytest.raises(Exception):
+        read_params_csv(spark, f"{tmp}/*.csv").collect()

@@ -67,3 +67,38 @@ def test_series_one_pass_matches_two_step(spark):
     two = {r.task_id: (r.day_final, r.infected, r.deaths)
            for r in R.collect_series(R.scrape_days(df), df.select("task_id").distinct()).collect()}
     assert one == two == {1: (1, [5, 7], [0, 1]), 2: (0, [], [])}
+
+
+def test_require_runs_check_is_not_pruned(spark):
+    import pytest
+
+    exp = spark.createDataFrame([("s", "r1"), ("s", "r2")], "seed string, run string")
+    found = spark.createDataFrame([("s", "r1")], "seed string, run string")
+    for use in (lambda d: d.count(), lambda d: d.select("seed").collect(), lambda d: exp.join(d, ["seed", "run"], "left_anti").collect()):
+        with pytest.raises(Exception):
+            use(A.require_runs(exp, found, ["seed", "run"]))
+    assert A.require_runs(found, exp, ["seed", "run"]).count() == 1
+
+
+def test_last_run_by_number_and_agreement(spark):
+    rows = [("s", f"run_{i:05d}", 0, 1, i, None if i == 5 else 7) for i in range(1002)]
+    snap = spark.createDataFrame(rows, "seed string, run_path string, step int, agent_idx long, FIPS int, Tract int")
+    r = A.location_dim(A.merge_sims(snap)).first()
+    assert (r.FIPS, r.Tract, r.consistent) == (1001, 7, False)
+    same = A.location_dim(A.merge_sims(snap.drop("FIPS").where("Tract = 7"))).first()
+    assert same.consistent
+
+
+def test_runs_in_an_explicit_order(spark):
+    snap = spark.createDataFrame([("s", p, 0, 1) for p in "abc"], "seed string, run_path string, step int, agent_idx long")
+    order = spark.createDataFrame([("s", "c", 0), ("s", "a", 1), ("s", "b", 2)], "seed string, run_path string, run_no int")
+    got = {r.run_path: r.sim for r in A.sim_index(snap, order=order).collect()}
+    assert got == {"c": "sim_000", "a": "sim_001", "b": "sim_002"}
+
+
+def test_value_tables_of_any_length(spark):
+    seeds = spark.range(1, 3).select(F.col("id").alias("seed"))
+    values = W.value_table(spark.range(2000).select((F.col("id") * 2).alias("v")), "v")
+    out = W.seed_sweep(seeds, values, "in", "out").orderBy("i").collect()
+    assert len(out) == 4000 and [r.i for r in out] == list(range(1, 4001)) and out[2000].p_trans == 0
+    assert W.study(spark.range(2), values.where("pos < 0")).count() == 0

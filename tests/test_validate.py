@@ -58,3 +58,44 @@ def test_log_to_long_counters(spark, tmp):
     assert (c["records"], c["rows"], c["expected_blocks"], c["header"]) == (2, 3, 3, {"date": "t"})
     v = {r.check: r.status for r in validate_log(spark, out, log, block_size=512).collect()}
     assert v["verdict"] == "PASS"
+
+
+def test_fractions_pass_and_damage_fails(spark, tmp):
+    """Values beyond float precision agree with a faithful table; each kind of damage is seen."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from sweepframe.plans.convert import log_to_long, validate_log
+
+    recs = [{"task_id": i, "params_id": 1, "seed": 2, "output_dat": f"Day Su A/I\n1 100.1 12345.67\n2 {i}.3 1e-7\n"} for i in range(4)]
+    log, out = tmp + "/v.log", tmp + "/v_long"
+    with open(log, "wb") as f:
+        for r in recs:
+            f.write(json.dumps(r).encode().ljust(256, b"\0"))
+    c = log_to_long(spark, log, out, block_size="auto")
+    assert (c["records"], c["rows"], c["expected_blocks"], c["rejects"]) == (4, 8, 4, 0)
+    assert {r.check: r.status for r in validate_log(spark, out, log, "auto").collect()}["verdict"] == "PASS"
+    good = spark.read.parquet(out)
+    damaged = {"missing": good.where("row_id <> 3"), "extra": good.union(good.where("row_id = 0").withColumn("row_id", F.lit(9).cast("long"))),
+               "cell": good.withColumn("Su", F.when((F.col("row_id") == 1) & (F.col("Day") == 2), F.lit(7).cast("float")).otherwise(F.col("Su"))),
+               "twice": good.union(good.where("row_id = 0 AND Day = 1"))}
+    for name, df in damaged.items():
+        df.write.parquet(f"{tmp}/{name}")
+        found = {r.check: r.status for r in validate_log(spark, f"{tmp}/{name}", log, "auto").collect()}
+        assert found["verdict"] == "FAIL" and found["values" if name == "cell" else "rows"] == "FAIL", name
+
+
+def test_quarantine_writes_rejects(spark, tmp):
+    import json
+
+    from sweepframe.plans.convert import log_to_long
+
+    log, out = tmp + "/q.log", tmp + "/q_long"
+    with open(log, "wb") as f:
+        for i, body in enumerate(["Day Su\n1 2\nx 3\n", "Day Su\n1 bad\n2 5\n"]):
+            f.write(json.dumps({"task_id": i, "seed": 0, "output_dat": body}).encode().ljust(200, b"\0"))
+    c = log_to_long(spark, log, out, 200, mode="quarantine")
+    assert (c["rows"], c["rejects"]) == (2, 2)
+    assert sorted(r.line for r in spark.read.parquet(out + "_rejects").collect()) == ["1 bad", "x 3"]
+    assert sorted((r.row_id, r.Day, r.Su) for r in spark.read.parquet(out).collect()) == [(0, 1, 2.0), (1, 2, 5.0)]
