@@ -22,12 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sweepframe.llm.common import arrow_batches, fresh
-from sweepframe.llm.pieces import Cutter, byte_alphabet, flat
+from sweepframe.llm.pieces import Cutter, byte_alphabet, distinct, joined
 
 #: Pieces whose ids a task remembers; beyond that it starts anew.
 CACHE = 400_000
@@ -157,15 +157,14 @@ class Encoder:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         runs = [self.cutter.runs(t) for t in texts]
-        met = {p for doc in runs for run in doc if not isinstance(run, int) for p in run}
+        met = distinct(runs)
         new = [p for p in met if p not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known, new = {}, list(met)
         if new:
             self.known.update(zip(new, PairIndex(self.merges, [p.encode() for p in new]).run()))
         known = self.known.__getitem__
-        return [b"".join(flat([run.to_bytes(4, "little")] if isinstance(run, int) else map(known, run) for run in doc))
-                for doc in runs]
+        return [joined(doc, known) for doc in runs]
 
     def decode(self, ids: np.ndarray) -> str:
         tokens = self.merges.tokens
@@ -211,8 +210,16 @@ def encode(spark: SparkSession, docs: DataFrame, vocab: str, ids: str = "ids", d
     return docs.mapInArrow(task, schema)
 
 
+def ids_digest(ids: Column) -> Column:
+    """SHA-256 of the decimal ids joined by single spaces."""
+    return F.sha2(F.concat_ws(" ", ids.cast("array<string>")).cast("binary"), 256)
+
+
+def text_digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of what ``encode`` returns."""
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
-                          F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+                          ids_digest(F.col("ids")).alias("ids_sha256"), text_digest(F.col("decoded")).alias("decoded_sha256"))

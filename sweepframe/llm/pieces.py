@@ -15,6 +15,7 @@ import itertools
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import regex
@@ -103,9 +104,13 @@ class Cutter:
             text = text.lower()
         return self._plain.findall(text)
 
+    def is_plain(self, text: str) -> bool:
+        """No special token in it, and no rare character."""
+        return (text.isascii() or not _RARE.search(text)) and not any(s in text for s in self._ids)
+
     def runs(self, text: str) -> list[list[str] | int]:
         """Lists of pieces, with the ids of special tokens between them."""
-        if self._special is None or not self._special.search(text):
+        if not any(s in text for s in self._ids):
             return [self.pieces(text)]
         out, at = [], 0
         for m in self._special.finditer(text):
@@ -121,5 +126,17 @@ def byte_alphabet() -> list[str]:
     return [chr(moved.get(b, b)) for b in range(256)]
 
 
+def distinct(runs: list[list[list[str] | int]]) -> set[str]:
+    """The distinct pieces of several texts' runs."""
+    return set().union(*[run for doc in runs for run in doc if not isinstance(run, int)])
+
+
+def joined(doc: list[list[str] | int], ids: Callable[[str], bytes]) -> bytes:
+    """A text's ids, as little-endian 32-bit integers, from its pieces'."""
+    if len(doc) == 1 and not isinstance(doc[0], int):
+        return b"".join(map(ids, doc[0]))
+    return b"".join(run.to_bytes(4, "little") if isinstance(run, int) else b"".join(map(ids, run)) for run in doc)
+
+
 def flat(lists):
     return itertools.chain.from_iterable(lists)
