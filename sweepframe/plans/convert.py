@@ -19,14 +19,17 @@ from sweepframe.sources.blocklog import whole_blocks
 from sweepframe.sources.longtable import write_long
 
 
-def read_log(spark: SparkSession, log_path: str, block_size: int | str = 65536) -> DataFrame:
-    return (spark.read.format("blocklog").option("blockSize", str(block_size))
-            .option("minPartitions", str(spark.sparkContext.defaultParallelism)).load(log_path))
+def read_log(spark: SparkSession, log_path: str, block_size: int | str = 65536, blocks: str | None = None) -> DataFrame:
+    r = (spark.read.format("blocklog").option("blockSize", str(block_size))
+         .option("minPartitions", str(spark.sparkContext.defaultParallelism)))
+    return (r.option("blocks", blocks) if blocks else r).load(log_path)
 
 
 def log_records(spark: SparkSession, log_path: str, block_size: int | str = 65536):
-    """(header, data records) of a log."""
-    return split_header(parse_records(read_log(spark, log_path, block_size)))
+    """(header, data records) of a log; the headers are read from block 0 of each file alone."""
+    header, _ = split_header(parse_records(read_log(spark, log_path, block_size, "0")))
+    _, data = split_header(parse_records(read_log(spark, log_path, block_size)))
+    return header, data
 
 
 def log_to_long(spark: SparkSession, log_path: str, out_path: str, block_size: int | str = 65536,
