@@ -141,11 +141,10 @@ def preview(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
 
 def describe(spark: SparkSession, path: str) -> DataFrame:
     """R20 header part: row count, column count, schema and stored header
-    pairs of a long table, as sorted (key, value) rows.  The row count is a
-    footer-level aggregate (Parquet aggregate pushdown), no column data is read."""
+    pairs of a long table, as sorted (key, value) rows.  The row count reads
+    no column (an empty read schema: Parquet row counts alone)."""
     from sweepframe.sources.longtable import read_header
 
-    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     df = spark.read.parquet(path)
     n = df.select(F.count(F.lit(1))).scalar()
     meta = sorted(read_header(spark, path).items())

@@ -1,9 +1,9 @@
 """Validation of a long table against its source log (V1-V5).
 
 Each check returns a small DataFrame; ``validate`` unions them into one
-verdict.  Row counts (per run) and values (per ``(row_id, Day)`` key)
-come from one reconciliation pass, so nothing is positional and the log
-and the table are each read once.
+verdict.  Its row counts (per run) and values (per ``(row_id, Day)`` key)
+come from one reconciliation of the log and the table, so nothing is
+positional.
 """
 
 from __future__ import annotations

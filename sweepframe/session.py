@@ -32,7 +32,6 @@ def build_session(master: str | None = None, app: str = "sweepframe",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.python.filterPushdown.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     )
@@ -51,7 +50,6 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     _ship_package(spark)
     spark.dataSource.register(BlockLogDataSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     # Parameter CSVs must fail on short rows even when few columns are read.
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     # Header maps: a later key overrides an earlier one, as in a dict.

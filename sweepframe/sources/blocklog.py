@@ -484,24 +484,28 @@ class BlockLogStreamWriter(DataSourceStreamArrowWriter):
 def read_blocks(requests, block_size: int = DEFAULT_BLOCK_SIZE, keep_padding: bool = False):
     """S4 at scale: fetch the blocks named by a DataFrame of ``(path, block_idx)``.
 
-    Requests are spread over tasks by path (and index, so a file with many
-    requested blocks is shared by several tasks); each task sorts its
-    requests, opens each file once and seeks to every block.  Returns
-    ``path, block_idx, payload`` like the scan.
+    Requests are range-sorted by path and index, so a task opens few files,
+    reads each forward, and a file with many requested blocks is shared by
+    several tasks.  Payloads leave a task in batches of at most
+    ``_BATCH_BYTES``.  Returns ``path, block_idx, payload`` like the scan.
     """
     from pyspark.sql import functions as F
 
+    rows = max(1, min(_BATCH_ROWS, _BATCH_BYTES // block_size))
+
     def fetch(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            d = batch.to_pydict()
-            order = sorted(range(len(d["path"])), key=lambda i: (d["path"][i], d["block_idx"][i]))
-            paths, idxs, payloads = [], [], []
-            cur, fh = None, None
-            try:
-                for i in order:
-                    p, b = d["path"][i], int(d["block_idx"][i])
+        cur, fh, held = None, None, []
+
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([h[0] for h in held], pa.string()), pa.array([h[1] for h in held], pa.int64()),
+                 pa.array([h[2] for h in held], pa.binary())], names=SCHEMA.names)
+
+        try:
+            for batch in batches:
+                for p, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     if p != cur:
                         if fh is not None:
                             fh.close()
@@ -510,18 +514,18 @@ def read_blocks(requests, block_size: int = DEFAULT_BLOCK_SIZE, keep_padding: bo
                     data = fh.read(block_size)
                     if not data:
                         continue
-                    paths.append(p)
-                    idxs.append(b)
-                    payloads.append(data if keep_padding else data.rstrip(b"\x00"))
-            finally:
-                if fh is not None:
-                    fh.close()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(paths, pa.string()), pa.array(idxs, pa.int64()), pa.array(payloads, pa.binary())],
-                names=SCHEMA.names)
-
-    req = requests.select(F.col("path").cast("string"), F.col("block_idx").cast("long"))
-    req = req.repartition("path", "block_idx").sortWithinPartitions("path", "block_idx")
+                    held.append((p, b, data if keep_padding else data.rstrip(b"\x00")))
+                    if len(held) >= rows:
+                        yield out()
+                        held = []
+            if held:
+                yield out()
+        finally:
+            if fh is not None:
+                fh.close()
+
+    req = requests.select(F.col("path").cast("string").alias("path"), F.col("block_idx").cast("long").alias("block_idx"))
+    req = req.repartitionByRange("path", "block_idx").sortWithinPartitions("path", "block_idx")
     return req.mapInArrow(fetch, SCHEMA)
 
 
