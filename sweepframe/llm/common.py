@@ -42,9 +42,13 @@ def hot_join(big: DataFrame, small: DataFrame, key: str, n: str, total: int, how
 
     ``small[n]`` is the key's row count in ``big``.  At most 1,000 keys can
     hold more than ``total / 1000`` rows each; those few are broadcast, so
-    their rows stay where they are.  The other keys go through the shuffle.
+    their rows stay where they are.  The other keys go through the shuffle,
+    as do all when none is that frequent.
     """
-    hot = F.col(n) > max(1000, -(-total // 1000))
+    limit = max(1000, -(-total // 1000))
+    hot = F.col(n) > limit
+    if not small.where(hot).limit(1).count():
+        return big.join(small, key, how)
     heavy, light = F.broadcast(small.where(hot)), small.where(~hot)
     a = big.join(heavy, key, "inner")
     b = big.join(F.broadcast(small.where(hot).select(key)), key, "left_anti").join(light, key, how)
