@@ -28,10 +28,16 @@ def _once(key, build):
 _block: dict = {}  # log -> its block size
 
 
-def _block_for(enc: DataFrame) -> int:
-    """The power of two that holds the longest encoded record (at least ``MIN_BLOCK``)."""
-    longest = enc.agg(F.max(F.octet_length("value"))).first()[0] or 0
-    return max(MIN_BLOCK, 1 << max(0, longest - 1).bit_length())
+#: A record's bytes, at most: its fixed fields, and each day's line and array entries.
+RECORD_BYTES, DAY_BYTES = 1024, 160
+
+
+def _block_for(spark: SparkSession, sf: str) -> int:
+    """The power of two that holds the record of the order with the most lines (at least ``MIN_BLOCK``)."""
+    def build():
+        days = fx.table(spark, sf, "lineitem").groupBy("l_orderkey").count().agg(F.max("count")).first()[0] or 0
+        return max(MIN_BLOCK, 1 << (RECORD_BYTES + DAY_BYTES * days - 1).bit_length())
+    return _once(("block", sf), build)
 
 
 def block_size(spark: SparkSession, sf: str) -> int:
@@ -43,7 +49,7 @@ def d1_log(spark: SparkSession, sf: str) -> str:
     """The D1 log: a header block, then one block per run, in every part file."""
     def build():
         p = scratch_path(spark, "d1log")
-        _block[p] = _block_for(fx.d1_encoded(spark, sf))
+        _block[p] = _block_for(spark, sf)
         fx.d1_log(spark, sf, p, header_json=HEADER_JSON, block_size=_block[p])
         return p
     return _once(("d1log", sf), build)
@@ -67,7 +73,7 @@ def d1_short_log(spark: SparkSession, sf: str) -> str:
                        F.concat(F.lit("Day Su A/I R\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("output_dat"))
         enc = rec.select(fx.to_record_json(rec).alias("value"), "task_id")
         p = scratch_path(spark, "d1short")
-        _block[p] = _block_for(enc)
+        _block[p] = _block_for(spark, sf)
         fx.write_blocklog(enc, p, block_size=_block[p], order_by=["task_id"])
         return p
     return _once(("d1short", sf), build)
