@@ -31,6 +31,19 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(spark: SparkSession, docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells its rows apart, and that column's name.
+
+    The ids themselves, where a count shows that none is null or repeated;
+    else row numbers, in a written copy so that they stay the same.
+    """
+    rid = fresh(docs, "rid")
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("i")).agg(F.count(F.lit(1)).alias("n"))
+    if not ids.where("i IS NULL OR n > 1").limit(1).count():
+        return docs.withColumn(rid, F.col("doc_id").cast("long")), rid
+    return written(spark, docs.withColumn(rid, F.monotonically_increasing_id()), name), rid
+
+
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when the counted ``rows`` are within ``limit``;
     otherwise leave the join to the shuffle."""

@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sweepframe.llm.common import SPACE, blank, fresh, hot_join, maybe_broadcast, written
+from sweepframe.llm.common import SPACE, blank, hot_join, maybe_broadcast, numbered, written
 from sweepframe.session import prepare, scratch_path
 
 DIGEST_BUCKETS = 64
@@ -92,15 +92,14 @@ def dedup_report(spark: SparkSession, docs: DataFrame, index: DigestIndex | None
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The documents that stay, with all their columns.
+    """The documents that stay, with all their columns.  ``docs`` is read twice, so it should come from files.
 
     The dropped row ids are broadcast when their count is within
     ``BROADCAST_ROWS``; beyond that the anti-join shuffles.
     """
-    rid, dig = fresh(docs, "rid"), fresh(docs, "digest")
-    full = written(spark, docs.withColumns({rid: F.monotonically_increasing_id(), dig: digest("text")}), "digest_full")
-    staged = full.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                         F.col(dig).alias("digest"))
+    full, rid = numbered(spark, docs, "digest_full")
+    staged = written(spark, full.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                                        digest("text").alias("digest")), "digest_staged")
     found = resolve(spark, staged, index or DigestIndex(spark))
     keep = found.where("keep_rid IS NOT NULL").select(F.col("keep_rid").alias("rid"))
     dropped = written(spark, staged.select("rid").join(keep, "rid", "left_anti"), "digest_dropped")

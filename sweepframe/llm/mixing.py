@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sweepframe.llm.common import SPACE, blank, fresh, hot_join, maybe_broadcast, written
+from sweepframe.llm.common import SPACE, blank, fresh, hot_join, maybe_broadcast, numbered, written
 
 #: Documents per block of a flight.
 BLOCK = 4096
@@ -193,8 +193,8 @@ def mix_report(spark: SparkSession, docs: DataFrame, seed: int = 0) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mixed documents with all their columns, each repeated as often as the mix takes it."""
-    rid, times = fresh(docs, "rid"), fresh(docs, "times")
-    full = written(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "mix_full")
+    full, rid = numbered(spark, docs, "mix_full")
+    times = fresh(full, "times")
     staged = written(spark, _units(full, F.col(rid)), "mix_staged")
     made = written(spark, decide(spark, staged, seed).where("times > 0").select("rid", F.col("times").cast("int").alias(times)),
                    "mix_made")
