@@ -99,21 +99,30 @@ def g_statistic(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarra
 
 
 def fit(x: np.ndarray, grade: np.ndarray, n_cuts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and rising cuts by Adam on the cumulative-link likelihood."""
+    """Shared weights and rising cuts for dense features."""
+    row, col = np.nonzero(x)
+    return fit_sparse(row, col, x[row, col].astype(float), x.shape[1], grade, n_cuts)
+
+
+def fit_sparse(row: np.ndarray, col: np.ndarray, value: np.ndarray, k: int, grade: np.ndarray,
+               n_cuts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shared weights and rising cuts by Adam on the cumulative-link likelihood; features as (row, column, value)."""
+    n = len(grade)
     above = (grade[:, None] >= np.arange(1, n_cuts + 1)[None, :]).astype(float)
-    share = (above.sum(0) + 0.5) / (len(grade) + 1)
+    share = (above.sum(0) + 0.5) / (n + 1)
     first = np.log((1 - share) / share)
     # cuts are the first one and positive steps, held as logarithms
-    free = np.r_[np.zeros(x.shape[1]), first[0], np.log(np.maximum(np.diff(first), 0.05))]
+    free = np.r_[np.zeros(k), first[0], np.log(np.maximum(np.diff(first), 0.05))]
     m, v = np.zeros_like(free), np.zeros_like(free)
-    k = x.shape[1]
     for t in range(1, STEPS + 1):
         steps = np.exp(free[k + 1:])
         cuts = free[k] + np.r_[0, np.cumsum(steps)]
-        p = 1 / (1 + np.exp(-(x @ free[:k])[:, None] + cuts[None, :]))
-        err = (p - above) / len(grade)
+        linear = np.bincount(row, value * free[col], n)
+        p = 1 / (1 + np.exp(-linear[:, None] + cuts[None, :]))
+        err = (p - above) / n
         by_cut = -err.sum(0)
-        grad = np.r_[x.T @ err.sum(1) + RIDGE * free[:k], by_cut.sum(), np.cumsum(by_cut[::-1])[::-1][1:] * steps]
+        by_weight = np.bincount(col, value * err.sum(1)[row], k)
+        grad = np.r_[by_weight + RIDGE * free[:k], by_cut.sum(), np.cumsum(by_cut[::-1])[::-1][1:] * steps]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         free = free - RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return free[:k], free[k] + np.r_[0, np.cumsum(np.exp(free[k + 1:]))]
@@ -156,11 +165,10 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str =
     label = every.groupby("doc_id")["label"].max().to_numpy()
     row = np.searchsorted(ids, few["doc_id"].to_numpy())
     col = np.searchsorted(word, few["word"].to_numpy(np.int64).view(np.uint64))
-    x = np.zeros((len(ids), len(word)), np.float32)
-    np.maximum.at(x, (row, col), np.minimum(few["times"].to_numpy(), MOST).astype(np.float32))
-    marks = x[:, marker].sum(1)
+    value = np.minimum(few["times"].to_numpy(), MOST).astype(float)
+    marks = np.bincount(row, value * marker[col], len(ids))
     grade = np.where(label == 1, 1 + (marks[:, None] >= np.array(GRADES[1:])[None, :]).sum(1), 0)
-    weight, cuts = fit(x, grade, len(GRADES))
+    weight, cuts = fit_sparse(row, col, value, len(word), grade, len(GRADES))
     return Ordinal(word, weight, cuts)
 
 
