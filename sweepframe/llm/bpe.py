@@ -84,9 +84,9 @@ class PairIndex:
         tail = self.ends[size > 0] - 1
         self.sym[tail] = merges.last[raw[tail]]
         n = len(raw)
-        self.next = np.arange(1, n + 1)
+        self.next = np.arange(1, n + 1, dtype=np.int32)
         self.next[tail] = -1
-        self.prev = np.arange(-1, n - 1)
+        self.prev = np.arange(-1, n - 1, dtype=np.int32)
         self.prev[(self.ends - size)[size > 0]] = -1
         self.at: dict[int, list[np.ndarray]] = {}
         self.active: list[int] = []
@@ -187,7 +187,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocab: str, ids: str = "ids", d
     ``vocab`` is a tokenizer file's path, read on the driver.  No shuffle:
     each task encodes its own partition.
     """
-    arrow_batches(spark)
+    arrow_batches(spark, records=512)  # pieces of a batch are held as strings
     tables = spark.sparkContext.broadcast(load(vocab))
     ids, decoded = fresh(docs, ids), fresh(docs, decoded)
 

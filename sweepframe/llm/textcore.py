@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -63,7 +63,8 @@ class Words:
                 for i in range(live):
                     v = _BYTE[self.data[at[i] + k:at[i] + left[i]]]
                     powers = np.cumprod(np.full(len(v), _ODD[0]))[::-1]
-                    h[i] = h[i] * _ODD[2] + (v * powers).sum(dtype=np.uint64)
+                    with np.errstate(over="ignore"):
+                        h[i] = h[i] * _ODD[2] + (v * powers).sum(dtype=np.uint64)
                 break
             h[:live] = h[:live] * _ODD[0] + _BYTE[self.data[at[:live] + k]]
             k += 1
