@@ -11,7 +11,6 @@ faster of the two engines.
 
 from __future__ import annotations
 
-import itertools
 import json
 import re
 import unicodedata
@@ -136,7 +135,3 @@ def joined(doc: list[list[str] | int], ids: Callable[[str], bytes]) -> bytes:
     if len(doc) == 1 and not isinstance(doc[0], int):
         return b"".join(map(ids, doc[0]))
     return b"".join(run.to_bytes(4, "little") if isinstance(run, int) else b"".join(map(ids, run)) for run in doc)
-
-
-def flat(lists):
-    return itertools.chain.from_iterable(lists)

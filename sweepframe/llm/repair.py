@@ -25,7 +25,6 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sweepframe.llm.common import arrow_batches, maybe_broadcast
-from sweepframe.llm.pieces import Cutter, byte_alphabet, flat
+from sweepframe.llm.pieces import Cutter, byte_alphabet
+from sweepframe.llm.spans import KnownPieces, Spans, take_spans
 from sweepframe.session import scratch_path
 
 SHARD_IDS = 1 << 19
@@ -43,6 +43,8 @@ ROUNDS = 4
 MIN_COUNT = 6
 #: Pieces whose ids a task remembers.
 CACHE = 400_000
+#: Characters cut into pieces at once.
+GROUP = 2 << 20
 
 SHARDS = ("part int, shard int, first long, n_ids long, base int, doc_ids array<long>, n_tokens array<int>, "
           "grammar binary, symbols binary, cuts binary")
@@ -182,7 +184,12 @@ def _pack(part: int, shard: int, first: int, doc_ids: list, sizes: list[int], id
 
 
 class LibraryEncoder:
-    """Whole texts by the tokenizers library, each distinct piece once."""
+    """Whole texts by the tokenizers library's model, each distinct piece once.
+
+    Texts of common characters are cut with numpy, ``GROUP`` characters at a
+    time; special tokens and rarer characters go through the library's own
+    splitter.
+    """
 
     def __init__(self, spec_text: str):
         from tokenizers import Tokenizer
@@ -192,21 +199,46 @@ class LibraryEncoder:
         self.cutter = Cutter.of(spec)
         self.lib = Tokenizer.from_str(spec_text)
         self.chars = dict(enumerate(byte_alphabet()))
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        runs = [self.cutter.runs(t) for t in texts]
-        met = {p for doc in runs for run in doc if not isinstance(run, int) for p in run}
-        new = [p for p in met if p not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, list(met)
-        model, chars = self.lib.model, self.chars
-        for p in new:  # a piece is what the library's splitter hands to its model, byte by byte
-            found = model.tokenize(p.encode().decode("latin-1").translate(chars))
-            self.known[p] = pack("<%dI" % len(found), *[t.id for t in found])
-        known = self.known.__getitem__
-        return [b"".join(flat([run.to_bytes(4, "little")] if isinstance(run, int) else map(known, run) for run in doc))
-                for doc in runs]
+        self.known = KnownPieces()
+
+    def piece_ids(self, piece: str) -> list[int]:
+        """A piece is what the library's splitter hands to its model, byte by byte."""
+        return [t.id for t in self.lib.model.tokenize(piece.encode().decode("latin-1").translate(self.chars))]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(texts)
+        group: list[int] = []
+        size = 0
+        for i, t in enumerate(texts):
+            if self.cutter.is_plain(t):
+                group.append(i)
+                size += len(t)
+                if size >= GROUP:
+                    self._encode_plain(texts, group, out)
+                    group, size = [], 0
+            else:
+                ids = [[run] if isinstance(run, int) else [x for p in run for x in self.piece_ids(p)] for run in self.cutter.runs(t)]
+                out[i] = np.array([x for part in ids for x in part], np.uint32)
+        if group:
+            self._encode_plain(texts, group, out)
+        return out
+
+    def _encode_plain(self, texts: list[str], group: list[int], out: list) -> None:
+        spans = Spans([texts[i] for i in group])
+        h = spans.hashes()
+        distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
+        _, have = self.known.find(distinct)
+        new = np.flatnonzero(~have)
+        if len(self.known.hash) + len(new) > CACHE:
+            self.known, new = KnownPieces(), np.arange(len(distinct))
+        if len(new):
+            self.known.add(distinct[new], [self.piece_ids(spans.piece(i)) for i in first[new].tolist()])
+        place, _ = self.known.find(distinct)
+        at, size = self.known.at[place][which], self.known.size[place][which]
+        ids = self.known.ids[take_spans(at, size)]
+        cuts = np.r_[0, np.cumsum(size)][spans.first]
+        for i, a, b in zip(group, cuts[:-1].tolist(), cuts[1:].tolist()):
+            out[i] = ids[a:b]
 
 
 def write_shards(spark: SparkSession, docs: DataFrame, vocab: str, path: str, end: int = 2) -> None:
@@ -218,18 +250,18 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocab: str, path: str, en
     arrow_batches(spark)
     with open(vocab, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
-    stop = np.array([end], "<u4").tobytes()
+    stop = np.array([end], np.uint32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard, first = TaskContext.get().partitionId(), 0, 0
         encoder, base = None, 0
         names: list = []
         sizes: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         n = 0
 
         def out():
-            row = _pack(part, shard, first, names, sizes, np.frombuffer(b"".join(held), "<u4"), end, base)
+            row = _pack(part, shard, first, names, sizes, np.concatenate(held), end, base)
             return pa.RecordBatch.from_pylist([row], schema=arrow_schema)
 
         for batch in batches:
@@ -238,7 +270,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocab: str, path: str, en
                 base = encoder.lib.get_vocab_size(True)
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
                 names.append(doc_id)
-                sizes.append(len(ids) // 4 + 1)
+                sizes.append(len(ids) + 1)
                 held += (ids, stop)
                 n += sizes[-1]
                 if n >= SHARD_IDS:

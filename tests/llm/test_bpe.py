@@ -8,6 +8,7 @@ from helpers import awkward, docs
 from tokenizers import Tokenizer
 
 from sweepframe.llm import bpe, repair
+from sweepframe.llm.spans import Spans
 
 FILE = P.path("word_bpe_49k.json")
 
@@ -59,4 +60,17 @@ def test_library_encoder_equals_whole_texts():
     with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         encoder = repair.LibraryEncoder(f.read())
     for t, ids in zip(texts(), encoder.encode(texts())):
-        assert np.frombuffer(ids, "<u4").tolist() == encoder.lib.encode(t, add_special_tokens=False).ids, t
+        assert ids.tolist() == encoder.lib.encode(t, add_special_tokens=False).ids, t
+
+
+def test_spans_follow_the_pattern():
+    rnd = random.Random(6)
+    cutter, _ = bpe.load(P.path("byte_bpe_50k.json"))
+    alphabet = " \t\n'\u00a0sdtmlrve'Aé1²!.  '" + "".join(chr(c) for c in range(0x20, 0x250, 7))
+    some = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(40))) for _ in range(2000)] + ["", " ", "'s", "x" * 300, "'" * 70]
+    spans = Spans(some)
+    h = {}
+    for t, a, b in zip(some, spans.first[:-1], spans.first[1:]):
+        assert [spans.piece(i) for i in range(a, b)] == cutter.pieces(t), t
+    for i, x in enumerate(spans.hashes().tolist()):
+        assert h.setdefault(x, spans.piece(i)) == spans.piece(i)
