@@ -100,6 +100,21 @@ def test_prefix_lemma():
         assert len(np.intersect1d(*cut)) >= least
 
 
+def test_parity_bitmaps_bound_the_difference(spark):
+    """Bits that differ, after folding to one length, never outnumber the shingles that differ."""
+    rnd = np.random.default_rng(4)
+    for n in (3, 100, 1500, 5000):
+        x = np.unique(rnd.integers(0, 1 << 62, n, dtype=np.uint64))
+        y = np.unique(np.r_[x[n // 9:], rnd.integers(0, 1 << 62, n // 7, dtype=np.uint64)])
+        both = J.parity(np.r_[x, y], np.array([0, len(x), len(x) + len(y)])).to_pylist()
+        df = spark.createDataFrame([tuple(both)], "x array<long>, y array<long>")
+        fold = lambda c, o: J.F.when(J.F.size(c) > J.F.size(o), J._halved(J.F.col(c))).otherwise(J.F.col(c))
+        p, q = df.select(fold("x", "y"), fold("y", "x")).first()
+        assert len(p) == len(q)
+        flipped = sum(bin((a ^ b) & (2 ** 64 - 1)).count("1") for a, b in zip(p, q))
+        assert flipped <= len(np.setxor1d(x, y)) and (n < 100 or flipped)
+
+
 def test_stage(spark, tmp):
     d = stored(spark, docs(spark, awkward(), extra=True), tmp)
     out = J.deduplicate(spark, d)

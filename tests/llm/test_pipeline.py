@@ -10,16 +10,18 @@ from sweepframe.llm import queries as Q
 from test_ngram_join import brute as near_groups
 
 SF = "/root/testdata/sf0.001"
+#: The stages need some hundred labelled rows.
+CORPUS = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
 def stages(spark):
     from sweepframe.llm.common import written
 
-    docs, out = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    docs, out = spark.read.parquet(f"{CORPUS}/documents.parquet"), {}
     columns = docs.columns
     for name, stage in C.STAGES:
-        docs = written(spark, stage(spark, docs, SF), "test_stage")
+        docs = written(spark, stage(spark, docs, CORPUS), "test_stage")
         out[name] = docs
         assert name == "bpe" or docs.columns == columns
     return out
@@ -34,8 +36,8 @@ def test_order():
 
 
 def test_quality(spark, stages):
-    bad = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 0").collect()}
-    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    bad = {r.doc_id for r in spark.read.parquet(f"{CORPUS}/labels.parquet").where("quality = 0").collect()}
+    good = {r.doc_id for r in spark.read.parquet(f"{CORPUS}/labels.parquet").where("quality = 1").collect()}
     kept = set(texts(stages["quality_classifier"]))
     assert len(bad & kept) <= 0.2 * len(bad) + 1 and len(good - kept) <= 0.1 * len(good)
 
@@ -63,7 +65,7 @@ def test_mix_and_ids(stages):
 
 
 def test_run_equals_stages(spark, stages):
-    assert sorted(r.doc_id for r in E.queries()["pipeline"](spark, SF).collect()) == sorted(r.doc_id for r in stages["bpe"].collect())
+    assert sorted(r.doc_id for r in E.queries()["pipeline"](spark, CORPUS).collect()) == sorted(r.doc_id for r in stages["bpe"].collect())
 
 
 @pytest.mark.parametrize("name", sorted(Q.queries()))
