@@ -11,10 +11,12 @@ the prefix's counts over ``m``, falls.  A pair is verified only if it shares
 
 Groups of copies are never expanded into all pairs.  Documents with equal
 sets become one node.  In each list of nodes that share a prefix shingle,
-every node is first verified against one pivot, the node that shares most;
-that joins the bulk of a group.  Only nodes that are still in different
+every node is first verified against one pivot, the node that has it earliest
+(fewest shingles of its own before it); that joins the bulk of a group.  Only nodes that are still in different
 components are then paired, under the size and position bounds of the
-sets.  Components are the same as those of all pairs, since a pair inside a
+sets.  A list of two nodes is settled by its pivot.  Before any set is moved, parity bitmaps bound a pair from above: each
+shingle flips one of ``BITS`` bits, so two sets differ in at least as many
+shingles as their bitmaps in bits.  Components are the same as those of all pairs, since a pair inside a
 component adds nothing to it.
 
 Defined results: a document with fewer words than a shingle has its whole
@@ -34,10 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sweepframe.llm import textcore as tc
-from sweepframe.llm.common import arrow_batches, fresh, hot_join, maybe_broadcast, written
+from sweepframe.llm.common import arrow_batches, hot_join, maybe_broadcast, numbered, written
 from sweepframe.llm.components import components
 
 MAX_MATCHES = 4
@@ -47,6 +50,20 @@ VERIFY_COST = 16
 FREQUENT = 1 << 20
 #: Shingles counted together in a task's memory.
 COUNTED = 4 << 20
+#: Least bits of a set's parity bitmap (a power of two, at least half the set's size),
+#: and bits of the folded one that list rows carry.
+BITS, FOLDED = 512, 256
+
+
+def parity(tokens: np.ndarray, off: np.ndarray) -> pa.Array:
+    """The parity bitmap of each set, as 64-bit integers."""
+    size = np.diff(off)
+    bits = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(size, 2) / 2)).astype(np.int64))
+    base = np.r_[0, np.cumsum(bits)]
+    at = np.repeat(base[:-1], size) + (tokens >> np.uint64(7)).astype(np.int64) % np.repeat(bits, size)
+    odd = (np.bincount(at, minlength=int(base[-1])) & 1).astype(np.uint8)
+    words = np.packbits(odd).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(base // 64, pa.int32()), pa.array(words))
 
 
 def _profiles(docs: DataFrame, n: int) -> DataFrame:
@@ -55,13 +72,13 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
     Counts are taken over ``COUNTED`` shingles at a time; those that occur
     once there are left out (they only order the shingles, results do not depend on them).
     """
-    schema = "rid long, doc_id long, n_shingles long, digest binary, token long, times long"
-    names = ["rid", "doc_id", "n_shingles", "digest", "token", "times"]
+    schema = "rid long, doc_id long, n_shingles long, digest binary, bits array<long>, token long, times long"
+    names = ["rid", "doc_id", "n_shingles", "digest", "bits", "token", "times"]
 
     def counts(held: list[np.ndarray]) -> pa.RecordBatch:
         token, times = np.unique(np.concatenate(held), return_counts=True)
         token, times = token[times > 1].view(np.int64), times[times > 1]
-        none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays([*none, pa.array(token), pa.array(times, pa.int64())], names=names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +91,7 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
                 k = len(digest)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(np.diff(off), pa.int64()), pa.array(digest, pa.binary()),
-                     pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
+                     parity(tokens, off), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
                 held.append(tokens)
                 n_held += len(tokens)
                 if n_held >= COUNTED:
@@ -91,7 +108,7 @@ def _frequent(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     least that share of all that was counted."""
     counted = profiles.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
     total = profiles.agg(F.sum("times")).first()[0] or 0
-    rows = counted.where(F.col("times") > max(8, total // FREQUENT)).toPandas()
+    rows = counted.where(F.col("times") > max(2, total // FREQUENT)).toPandas()
     token = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(token)
     return token[order], rows["times"].to_numpy(np.int64)[order]
@@ -169,13 +186,42 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, n: int, perc
     return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct()
 
 
+def _overlap(x, y, percent: int):
+    """Fewest shingles that similar sets of these sizes share."""
+    return -F.floor(-(percent * (x + y)) / (100 + percent))
+
+
+def _halved(bits):
+    """A bitmap folded to half its length: parities add up."""
+    half = (F.size(bits) / 2).cast("int")
+    return F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+
+
+def _near(x, y, size_x, size_y, percent: int):
+    """The bitmaps (of equal length) allow the sets to be similar."""
+    flipped = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    return flipped <= size_x + size_y - 2 * _overlap(size_x, size_y, percent)
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps allow them to be similar."""
+    a, b = (nodes.select(F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("bits").alias(f"bits_{k}")) for k in "ab")
+    both = pairs.join(a, "a").join(b, "b")
+    # sizes of similar sets are close, so lengths differ by one doubling at most; others are left to the sets
+    n_a, n_b = F.size("bits_a"), F.size("bits_b")
+    both = both.withColumns({"bits_a": F.when(n_a == 2 * n_b, _halved(F.col("bits_a"))).otherwise(F.col("bits_a")),
+                             "bits_b": F.when(n_b == 2 * n_a, _halved(F.col("bits_b"))).otherwise(F.col("bits_b"))})
+    near = _near(F.col("bits_a"), F.col("bits_b"), F.col("size_a"), F.col("size_b"), percent)
+    return both.where((F.size("bits_a") != F.size("bits_b")) | near).select("a", "b").distinct()
+
+
 def _bounds(x: str, y: str, percent: int):
     """What a pair's row in a shingle's list must meet: sizes, positions and levels."""
     def c(side, name):
         return F.col(f"{side}.{name}").cast("long")
 
     m = F.least(c(x, "m"), c(y, "m"))
-    overlap = -F.floor(-(percent * (c(x, "size") + c(y, "size"))) / (100 + percent))
+    overlap = _overlap(c(x, "size"), c(y, "size"), percent)
     rest = F.least(c(x, "size") - c(x, "pos"), c(y, "size") - c(y, "pos"))
     return ((100 * F.least(c(x, "size"), c(y, "size")) >= percent * F.greatest(c(x, "size"), c(y, "size")))
             & (c(x, "level") <= m) & (c(y, "level") <= m) & (rest >= overlap - m + 1)), m
@@ -188,10 +234,12 @@ def link_components(spark: SparkSession, docs: DataFrame, n: int, percent: int)
     """
     arrow_batches(spark)
     profiles = written(spark, _profiles(docs, n), "join_profiles")
-    rows = profiles.where("token IS NULL").select("rid", "doc_id", "n_shingles", "digest")
+    rows = profiles.where("token IS NULL").select("rid", "doc_id", "n_shingles", "digest", "bits")
     frequent = spark.sparkContext.broadcast(_frequent(profiles))
     groups = written(spark, rows.where("n_shingles > 0").groupBy("digest")
-                     .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "join_groups")
+                     .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"),
+                          F.first("n_shingles").alias("size"), F.first("bits").alias("bits")), "join_groups")
+    nodes = groups.select("node", "size", "bits")
     reps = groups.select(F.col("node").alias("node"))
     copies = written(spark, rows.select(F.col("doc_id").alias("node")).join(reps, "node", "left_anti").distinct(), "join_copies")
 
@@ -202,46 +250,53 @@ def link_components(spark: SparkSession, docs: DataFrame, n: int, percent: int)
     posts = lists.select("node", "size", "m", F.posexplode("tokens").alias("pos", "token"))
     alpha = -F.floor(-(F.col("size") * percent) / 100)
     posts = posts.withColumn("level", F.greatest(F.lit(1), F.col("pos") - F.col("size") + alpha + 1).cast("int"))
-    from pyspark.sql import Window as W
-
-    shared = (posts.withColumn("listed", F.count(F.lit(1)).over(W.partitionBy("token")))
-              .where("listed > 1").drop("listed"))
+    # One shuffle by shingle: the list's length, and its pivot with what the bounds need of it.
+    in_list = W.partitionBy("token")
+    pivot = F.min(F.struct("pos", "node", "size", "m", "level")).over(in_list)
+    shared = (posts.select("*", F.count(F.lit(1)).over(in_list).alias("listed"), pivot.alias("y"),
+                           F.min("m").over(in_list).alias("least"))
+              .where("listed > 1"))
+    # a list of two, of which one asks for one match only, is settled by its pivot
+    shared = shared.withColumn("settled", (F.col("listed") == 2) & (F.col("least") == 1)).drop("listed", "least")
     shared = written(spark, shared, "join_posts")
 
     # Round one: each node with the pivot of each of its lists.
-    weight = shared.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
-    weighed = written(spark, shared.join(weight, "node"), "join_weighed")
-    pivot = weighed.groupBy("token").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), "node", "size", "m", "pos", "level"))
-                                         .alias("p"), F.count(F.lit(1)).alias("listed"))
-    pivot = pivot.select("token", "listed", F.struct("p.node", "p.size", "p.m", "p.pos", "p.level").alias("y"))
-    met = hot_join(weighed.select("token", F.struct("node", "size", "m", "pos", "level").alias("x")), written(spark, pivot, "join_pivots"),
-                   "token", "listed", max(1, weighed.count()))
+    met = shared.select(F.struct("node", "size", "m", "pos", "level").alias("x"), "y")
     fits, _ = _bounds("x", "y", percent)
     first = met.where((F.col("x.node") != F.col("y.node")) & fits).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    links = written(spark, _verify(spark, docs, first, n, percent), "join_links")
-    grouped = components(spark, links)
+    first = written(spark, first, "join_first")
+    links = written(spark, _verify(spark, docs, _plausible(first, nodes, percent), n, percent), "join_links")
+    grouped = written(spark, components(spark, links), "join_grouped")
 
     # Round two: nodes of one list that are in different components.
-    labelled = shared.join(grouped, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    left = shared.where("NOT settled").drop("y", "settled")
+    labelled = (left.join(maybe_broadcast(grouped, grouped.count()), "node", "left")
+                .withColumn("comp", F.coalesce("comp", "node")))
     labelled = written(spark, labelled, "join_labelled")
     open_lists = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    open_posts = written(spark, labelled.join(open_lists, "token", "left_semi"), "join_open")
+    words = F.array(*[F.lit(i) for i in range(FOLDED // 64)])
+    folded = F.transform(words, lambda i: F.aggregate(F.filter("bits", lambda _, j: j % (FOLDED // 64) == i),
+                                                      F.lit(0).cast("long"), lambda p, q: p.bitwiseXOR(q)))
+    maps = nodes.select("node", folded.alias("bits"))
+    open_posts = (labelled.join(open_lists, "token", "left_semi").join(maybe_broadcast(maps, maps.count()), "node"))
+    open_posts = written(spark, open_posts, "join_open")
     x, y = open_posts.alias("x"), open_posts.alias("y")
     fits, m = _bounds("x", "y", percent)
     pairs = x.join(y.hint("merge"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
-                   & (F.col("x.comp") != F.col("y.comp")) & fits)
+                   & (F.col("x.comp") != F.col("y.comp")) & fits
+                   & _near(F.col("x.bits"), F.col("y.bits"), F.col("x.size"), F.col("y.size"), percent))
     pairs = (pairs.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
              .agg(F.count(F.lit(1)).alias("matches"), F.min(m).alias("least"))
              .where("matches >= least").select("a", "b").join(first, ["a", "b"], "left_anti"))
-    more = written(spark, _verify(spark, docs, pairs, n, percent), "join_more")
+    more = written(spark, _verify(spark, docs, _plausible(pairs, nodes, percent), n, percent), "join_more")
     grouped = components(spark, links.union(more))
 
-    named = groups.join(grouped, "node", "left").select("digest", F.coalesce("comp", "node").alias("component_id"), "copies")
-    some = rows.where("n_shingles > 0")
+    named = groups.drop("bits").join(grouped, "node", "left").select("digest", F.coalesce("comp", "node").alias("component_id"), "copies")
+    some = rows.where("n_shingles > 0").drop("bits")
     linked = hot_join(some, written(spark, named, "join_named"), "digest", "copies", max(1, some.count()))
     cols = ["rid", "doc_id", "n_shingles", "component_id"]
-    return linked.select(cols).union(rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id")).select(cols))
+    return linked.select(cols).union(rows.where("n_shingles = 0").drop("bits").withColumn("component_id", F.col("doc_id")).select(cols))
 
 
 def report(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -252,8 +307,7 @@ def report(spark: SparkSession, docs: DataFrame, n: int = 3, percent: int = 90)
 
 def deduplicate(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near copies stays, that of the smallest id, with all its columns."""
-    rid = fresh(docs, "rid")
-    full = written(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "join_full")
+    full, rid = numbered(spark, docs, "join_full")
     rows = full.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     found = written(spark, link_components(spark, rows, n, percent), "join_found")
     linked = found.where("n_shingles > 0")
