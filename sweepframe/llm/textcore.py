@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +16,22 @@ CHUNK = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-#: Byte tables: 0 between words, else the lower-cased byte.
-SPACED = _LOWER.copy()
-SPACED[[9, 10, 11, 12, 13, 32]] = 0
-ALNUM = np.where((np.arange(256) >= 128) | ((_LOWER >= 97) & (_LOWER <= 122)) | ((_LOWER >= 48) & (_LOWER <= 57)),
-                 _LOWER, 0).astype(np.uint8)
+
+class Table(NamedTuple):
+    """What words are made of: the lower-cased byte of each byte, and whether it is part of a word."""
+
+    byte: np.ndarray
+    inside: np.ndarray
+
+
+SPACED = Table(_LOWER, ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32]))
+ALNUM = Table(_LOWER, (np.arange(256) >= 128) | ((_LOWER >= 97) & (_LOWER <= 122)) | ((_LOWER >= 48) & (_LOWER <= 57)))
 
 _ODD = np.random.default_rng(20).integers(1 << 63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE = np.random.default_rng(21).integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Powers of the words' polynomial; the rest of a very long word is taken this many bytes at a time.
+_SPAN = 1 << 12
+_POWER = np.cumprod(np.r_[np.uint64(1), np.full(_SPAN, _ODD[0])])
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -49,7 +58,7 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        """64-bit hash of each word: a polynomial over its bytes, from the longest words to the shortest."""
+        """64-bit hash of each word: a polynomial over its bytes alone, from the longest words to the shortest."""
         size = self.end - self.start
         order = np.argsort(-size, kind="stable")
         at, left = self.start[order], size[order]
@@ -61,10 +70,10 @@ class Words:
                 break
             if k >= 64 and live < 64:  # a few very long words: one by one
                 for i in range(live):
-                    v = _BYTE[self.data[at[i] + k:at[i] + left[i]]]
-                    powers = np.cumprod(np.full(len(v), _ODD[0]))[::-1]
-                    with np.errstate(over="ignore"):
-                        h[i] = h[i] * _ODD[2] + (v * powers).sum(dtype=np.uint64)
+                    for lo in range(k, int(left[i]), _SPAN):
+                        v = _BYTE[self.data[at[i] + lo:at[i] + min(lo + _SPAN, left[i])]]
+                        with np.errstate(over="ignore"):  # the same polynomial, many bytes at once
+                            h[i] = h[i] * _POWER[len(v)] + (v * _POWER[len(v) - 1::-1]).sum(dtype=np.uint64)
                 break
             h[:live] = h[:live] * _ODD[0] + _BYTE[self.data[at[:live] + k]]
             k += 1
@@ -77,7 +86,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
-def hash_word(word: str, table: np.ndarray = ALNUM) -> int:
+def hash_word(word: str, table: Table = ALNUM) -> int:
     """The hash that ``Words.hashes`` gives this word."""
     return int(words(pa.array([word]), table).hashes()[0])
 
@@ -91,10 +100,9 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def words(column: pa.Array, table: np.ndarray) -> Words:
+def words(column: pa.Array, table: Table) -> Words:
     raw, off = raw_bytes(column)
-    data = table[raw]
-    inside = data != 0
+    data, inside = table.byte[raw], table.inside[raw]
     new = np.zeros(len(data) + 1, bool)
     new[off] = True
     before = np.r_[False, inside[:-1]] if len(inside) else inside

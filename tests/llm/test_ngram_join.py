@@ -137,3 +137,33 @@ def test_words_and_shingles():
     for n in (1, 2, 3):
         tokens, off = tc.shingles(w, n)
         assert np.diff(off).tolist() == [len(shingle_set(t, n)) for t in texts]
+
+
+def test_long_words_hash_alike_in_any_chunk():
+    """A word's hash depends on its bytes alone, not on how many other long words stand beside it."""
+    rnd = random.Random(6)
+    long = ["".join(rnd.choice("abcdef") for _ in range(n)) for n in (63, 64, 65, 66, 100, 300, 4159, 4160, 4161, 9000)]
+    many = [chr(97 + i % 26) * 9500 + str(i) for i in range(100)]
+    alone = [int(tc.words(pa.array([t]), tc.SPACED).hashes()[0]) for t in long]
+    few = tc.words(pa.array(long), tc.SPACED).hashes()
+    crowd = tc.words(pa.array(long + many), tc.SPACED).hashes()
+    assert few.tolist() == alone and crowd[:len(long)].tolist() == alone
+    assert len(set(crowd.tolist())) == len(crowd)
+    assert tc.hash_word(long[-1], tc.SPACED) == alone[-1]
+
+
+def test_nul_is_part_of_a_word():
+    """Only white space parts words; a NUL byte is a byte like others."""
+    w = tc.words(pa.array(["a\0b c", "ab c", "a b c"]), tc.SPACED)
+    assert w.counts.tolist() == [2, 2, 3] and len(set(w.hashes().tolist())) == 5
+    assert tc.words(pa.array(["a\0b"]), tc.ALNUM).counts.tolist() == [2]
+
+
+def test_copies_of_long_words_link(spark):
+    """Copies and near copies whose words are long link, whatever else is in their chunks."""
+    rnd = random.Random(7)
+    texts = [" ".join("".join(rnd.choice("abc") for _ in range(90)) for _ in range(30)) for _ in range(6)]
+    near = [" ".join([*t.split()[:-1], "end"]) for t in texts]
+    filler = " ".join("".join(rnd.choice("xyz") for _ in range(200)) for _ in range(5500))  # a chunk of its own
+    rows = [(i, t) for i, t in enumerate(texts[:1] + [filler] + texts[1:] + texts + near)]
+    assert got(spark, rows, 3, 80) == brute(rows, 3, 80)
