@@ -114,14 +114,16 @@ def reconcile(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> Data
     run), then the two co-partitioned aggregates are full-outer joined.  A
     cell mismatches when some table value and some source value differ by
     more than ``tol``: the largest difference between two sets is
-    ``max(|maxA - minB|, |maxB - minA|)``, so no pairs are formed.  A final,
+    ``max(|maxA - minB|, |maxB - minA|)``, so no pairs are formed.  A null in
+    the table where the source has a value is a mismatch too, and so is every
+    table row without a ``Day`` (``b_Day``; it meets no source line).  A final,
     partially aggregated step rolls the cells up per run.  The log and the
     table are each read once.
     """
     la = [F.count(F.lit(1)).alias("nl")]
     for c in _CHECKED:
         v = F.col(c).cast("double")
-        la += [F.min(v).alias(f"gmin_{c}"), F.max(v).alias(f"gmax_{c}")]
+        la += [F.count(v).alias(f"gn_{c}"), F.min(v).alias(f"gmin_{c}"), F.max(v).alias(f"gmax_{c}")]
     table_cells = long_df.groupBy("row_id", "Day").agg(*la)
     src = expected_lines(records, with_short=True).withColumn("want_seed", F.col("src_seed").cast("double"))
     ea = [F.count(F.lit(1)).alias("ne")]
@@ -136,10 +138,11 @@ def reconcile(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> Data
         diff = F.greatest(F.abs(F.col(f"gmax_{c}") - F.col(f"wmin_{c}")),
                           F.abs(F.col(f"wmax_{c}") - F.col(f"gmin_{c}")))
         limit = 0.0 if c == "seed" else tol
-        flags += [checked.cast("long").alias(f"n_{c}"), (checked & (diff > limit)).cast("long").alias(f"b_{c}")]
+        flags += [checked.cast("long").alias(f"n_{c}"), (checked & ((F.col(f"gn_{c}") < nl) | (diff > limit))).cast("long").alias(f"b_{c}")]
+    flags.append(F.when(F.col("Day").isNull(), nl).otherwise(0).cast("long").alias("b_Day"))
     per_cell = cells.select("row_id", nl.alias("nl"), ne.alias("ne"), *flags)
     return per_cell.groupBy("row_id").agg(
-        F.sum("nl").alias("rows"), F.sum("ne").alias("expected"),
+        F.sum("nl").alias("rows"), F.sum("ne").alias("expected"), F.sum("b_Day").alias("b_Day"),
         *[F.sum(f"{k}_{c}").alias(f"{k}_{c}") for c in _CHECKED for k in ("n", "b")])
 
 
@@ -168,8 +171,8 @@ def check_rows(long_df: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def check_values(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> DataFrame:
-    """V4 on its own: every table value equals the source text within ``tol``;
-    ``seed`` exact.  Output per compared column: ``column, n_checked, n_bad``
+    """V4 on its own: every table value equals the source text within ``tol``
+    (a null does not); ``seed`` exact.  Output per compared column: ``column, n_checked, n_bad``
     (joined (table row, source line) pairs).
 
     Table rows and source lines are joined on ``(row_id, Day)``; per-line work
@@ -177,7 +180,7 @@ def check_values(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> D
     the same answer from ``reconcile`` so that it reads the log only once.)
     """
     j = value_cells(long_df, records)
-    aggs = [F.count(F.lit(1)).alias("n_seed"), F.count_if(F.col("seed") != F.col("src_seed")).alias("b_seed")]
+    aggs = [F.count(F.lit(1)).alias("n_seed"), F.count_if(_bad_seed()).alias("b_seed")]
     for c in LONG_VALUE_COLUMNS:
         aggs += [F.count(f"want_{c}").alias(f"n_{c}"), F.count_if(_bad(c, tol)).alias(f"b_{c}")]
     totals = j.agg(*aggs)
@@ -193,7 +196,12 @@ def value_cells(long_df: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def _bad(c: str, tol: float):
-    return F.col(f"want_{c}").isNotNull() & (F.abs(F.col(c).cast("double") - F.col(f"want_{c}")) > tol)
+    far = F.abs(F.col(c).cast("double") - F.col(f"want_{c}")) > tol
+    return F.col(f"want_{c}").isNotNull() & F.coalesce(far, F.lit(True))  # null in the table: nothing stands for the value
+
+
+def _bad_seed():
+    return F.coalesce(F.col("seed") != F.col("src_seed"), F.lit(True))
 
 
 def value_mismatches(long_df: DataFrame, records: DataFrame, tol: float = 1e-6) -> DataFrame:
@@ -201,7 +209,7 @@ def value_mismatches(long_df: DataFrame, records: DataFrame, tol: float = 1e-6)
     j = value_cells(long_df, records)
     cells = [F.struct(F.lit("seed").alias("column"), F.col("seed").cast("double").alias("got"),
                       F.col("src_seed").cast("double").alias("want"),
-                      (F.col("seed") != F.col("src_seed")).alias("bad"))]
+                      _bad_seed().alias("bad"))]
     cells += [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("got"),
                        F.col(f"want_{c}").alias("want"), _bad(c, tol).alias("bad")) for c in LONG_VALUE_COLUMNS]
     bad = F.filter(F.array(*cells), lambda x: x["bad"])
@@ -219,7 +227,7 @@ def validate(spark: SparkSession, long_path: str, records: DataFrame,
     # rows and values from one reconciliation pass (log and table read once)
     both = reconcile(long_df, records, tol).agg(
         F.count_if(_row_status() != "OK").alias("rows"),
-        sum((F.coalesce(F.sum(f"b_{c}"), F.lit(0)) for c in _CHECKED), F.lit(0)).cast("long").alias("values"))
+        sum((F.coalesce(F.sum(f"b_{c}"), F.lit(0)) for c in ["Day", *_CHECKED]), F.lit(0)).cast("long").alias("values"))
     rv = both.select(F.explode(F.array(
         F.struct(F.lit("rows").alias("check"), F.col("rows").alias("failures")),
         F.struct(F.lit("values").alias("check"), F.col("values").alias("failures")))).alias("x")).select("x.*")

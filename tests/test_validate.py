@@ -99,3 +99,25 @@ def test_quarantine_writes_rejects(spark, tmp):
     assert (c["rows"], c["rejects"]) == (2, 2)
     assert sorted(r.line for r in spark.read.parquet(out + "_rejects").collect()) == ["1 bad", "x 3"]
     assert sorted((r.row_id, r.Day, r.Su) for r in spark.read.parquet(out).collect()) == [(0, 1, 2.0), (1, 2, 5.0)]
+
+
+def test_emptied_cells_fail(spark, tmp):
+    """A null where the source has a value is a mismatch, also beside a good row of the same Day."""
+    recs = spark.createDataFrame([(1, 0, 7, "Day Su A/I\n0 10 1\n1 11 2\n1 11 2\n")],
+                                 "task_id long, params_id long, seed long, output_dat string")
+    good = explode_days(recs)
+    null = {c: F.lit(None).cast(good.schema[c].dataType) for c in ("seed", "Su", "Day")}
+    one = good.where("Day = 1").limit(1)
+    damaged = {"Su": (good.withColumn("Su", null["Su"]), 2), "seed": (good.withColumn("seed", null["seed"]), 2),
+               "Day": (good.withColumn("Day", null["Day"]), 3),
+               "one": (good.where("Day = 0").union(one).union(one.withColumn("Su", null["Su"])), 1)}
+    for name, (df, cells) in damaged.items():
+        df.write.parquet(f"{tmp}/{name}")
+        out = {r.check: (r.failures, r.status) for r in V.validate(spark, f"{tmp}/{name}", recs).collect()}
+        assert out["rows"] == (0, "PASS") and out["values"] == (cells, "FAIL") and out["verdict"][1] == "FAIL", name
+    bad = {r.column: r.n_bad for r in V.check_values(spark.read.parquet(f"{tmp}/Su"), recs).collect()}
+    assert bad["Su"] == 5 and bad["seed"] == 0 and bad["A_I"] == 0
+    bad = {r.column: r.n_bad for r in V.check_values(spark.read.parquet(f"{tmp}/seed"), recs).collect()}
+    assert bad["seed"] == 5 and bad["Su"] == 0
+    assert {(r.Day, r.column, r.got) for r in V.value_mismatches(spark.read.parquet(f"{tmp}/seed"), recs).collect()} == {
+        (0, "seed", None), (1, "seed", None)}
