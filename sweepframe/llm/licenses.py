@@ -6,8 +6,10 @@ there that some template contains.  Words whose neighbours never stand
 together in a template cannot extend a run, so only stretches of known
 word pairs are streamed.  Runs that cannot grow are matches; long ones are
 chained, template by template, in the order of both text and template, and
-chains become covered spans.  A template whose best chain covers ``COVER``
-of it labels the text; the score is the best cover of any template.
+chains become covered spans: the best of each template, and every other that
+overlaps none given before and covers ``COVER`` of the template.  A template
+whose best chain covers so much labels the text; the score is the best cover
+of any template.
 
 Base phrases are templates too: the states that end in a phrase are marked,
 so each place of a phrase is seen while streaming.
@@ -21,6 +23,7 @@ templates and travels with the tasks.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -199,7 +202,10 @@ class Templates:
         return runs, places
 
     def chain(self, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """Best chain for each template: ``(template, first word, end, words covered)``."""
+        """Chains of each template: ``(template, first word, end, words covered)``.
+
+        The best one, and then each next best that overlaps none before it and covers ``COVER`` of the template.
+        """
         by: dict[int, list[tuple[int, int, int]]] = {}
         for a, b, state in runs:
             for t, e in self.ends[state]:
@@ -208,23 +214,59 @@ class Templates:
                     by.setdefault(t, []).append((a, b, e))
         out = []
         for t, found in by.items():
-            best: list[tuple[int, int]] = []  # words covered and first word of the best chain ending with each run
-            for k, (a, b, e) in enumerate(found):
-                cover, start = b - a, a
-                for j in range(k - 1, -1, -1):
-                    a2, b2, e2 = found[j]
-                    if a - b2 > MAX_GAP:
-                        if b2 < a - MAX_GAP - self.n_words[t]:
-                            break
-                        continue
-                    lap = max(0, b2 - a, e2 - (e - (b - a)))  # words that both would cover
-                    if e2 < e and b2 < b and e - (b - a) - e2 <= MAX_GAP and lap < b - a and best[j][0] + b - a - lap > cover:
-                        cover, start = best[j][0] + b - a - lap, best[j][1]
-                best.append((cover, start))
-            cover, start, end = max(((c, -s, found[k][1]) for k, (c, s) in enumerate(best)), key=lambda x: x)
-            out.append((t, -start, end, min(cover, self.n_words[t])))
+            out += [(t, start, end, min(cover, self.n_words[t])) for start, end, cover in self._chains(t, found)]
         return sorted(out)
 
+    def _chains(self, t: int, found: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+        """``chain`` for one template, whose runs come by their ends (and so by their starts)."""
+        best: list[tuple[int, int]] = []  # words covered and first word of the best chain ending with each run
+        taken = [False] * len(found)  # runs that overlap a chain already given; no chain passes them
+
+        def ending(k: int) -> tuple[int, int]:
+            a, b, e = found[k]
+            cover, start = b - a, a
+            for j in range(k - 1, -1, -1):
+                a2, b2, e2 = found[j]
+                if taken[j]:
+                    break
+                if a - b2 > MAX_GAP:
+                    if b2 < a - MAX_GAP - self.n_words[t]:
+                        break
+                    continue
+                lap = max(0, b2 - a, e2 - (e - (b - a)))  # words that both would cover
+                if e2 < e and b2 < b and e - (b - a) - e2 <= MAX_GAP and lap < b - a and best[j][0] + b - a - lap > cover:
+                    cover, start = best[j][0] + b - a - lap, best[j][1]
+            return cover, start
+
+        for k in range(len(found)):
+            best.append(ending(k))
+        heap = [(-c, s, -found[k][1], k) for k, (c, s) in enumerate(best)]
+        heapq.heapify(heap)
+        first = True
+        while heap:
+            cover, start, end, k = heapq.heappop(heap)
+            cover, end = -cover, -end
+            if taken[k] or best[k] != (cover, start):
+                continue
+            if not first and cover < COVER * self.n_words[t]:
+                return
+            first = False
+            yield start, end, cover
+            j = k
+            while j >= 0 and found[j][1] > start:
+                taken[j] = True
+                j -= 1
+            j = k + 1
+            while j < len(found) and found[j][0] < end:
+                taken[j] = True
+                j += 1
+            reach = end + self.n_words[t] * (self.n_words[t] + MAX_GAP)  # no chain is longer than this
+            while j < len(found) and not taken[j] and found[j][0] < reach:
+                if best[j][1] < end:  # it began in what is taken, or before
+                    best[j] = ending(j)
+                    heapq.heappush(heap, (-best[j][0], best[j][1], -found[j][1], j))
+                j += 1
+
 
 SPANS = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("first", T.LongType()),
                                   T.StructField("end", T.LongType()), T.StructField("cover", T.DoubleType())]))

@@ -75,6 +75,25 @@ def test_templates_are_found_whole_and_with_gaps():
     assert c["labels"] == "" and c["score"] < 0.5
 
 
+def test_every_copy_of_a_notice_is_a_span():
+    """Copies side by side, apart, broken or cut short: each that covers enough is a span, none overlap."""
+    notice = "licensed under the Apache License, Version 2.0"  # eight words
+    n = len(text_words(notice))
+    side, apart, broken, cut, many = rows_of([
+        notice + " " + notice, notice + " z" * 40 + " " + notice, notice + " z z " + notice.replace("the Apache", "the z Apache"),
+        notice + " z" * 40 + " licensed under the", (notice + " z ") * 2000], [("apache-2.0", notice)], {})
+
+    def spans(r):
+        return [(s["first"], s["end"], s["cover"]) for s in r["spans"]]
+
+    assert spans(side) == [(0, n, 1.0), (n, 2 * n, 1.0)]
+    assert spans(apart) == [(0, n, 1.0), (n + 40, 2 * n + 40, 1.0)]
+    assert spans(broken) == [(0, n, 1.0), (n + 2, 2 * n + 3, 1.0)]
+    assert spans(cut) == [(0, n, 1.0)]
+    assert spans(many) == [(k * (n + 1), k * (n + 1) + n, 1.0) for k in range(2000)]
+    assert {r["labels"] for r in (side, apart, broken, cut, many)} == {"apache-2.0"} and many["score"] == 1.0
+
+
 def test_scan(spark):
     d = docs(spark, awkward() + [(500, "Licensed under CC BY-NC 4.0.")], extra=True)
     out = L.scan(spark, d)
