@@ -8,7 +8,7 @@ total where they are: three undecided documents at a time move along the
 null space of the two balancing equations until one of them is decided.
 
 A source is cut into blocks of about ``BLOCK`` documents by a hash of the
-id, so one that holds any share of the rows is balanced by many tasks.  A
+id (and a number, for repeated rows), so one that holds any share of the rows is balanced by many tasks.  A
 block leaves at most two undecided documents and sets some of every size
 aside (``CHANGE``); those of all blocks form the next round, until a source
 fits one block.  There the last two are landed on the choice whose word total is
@@ -145,8 +145,33 @@ def _balance(units: DataFrame, seed: int, level: int) -> DataFrame:
     return cut.groupBy("key", "block").applyInPandas(fly, "rid long, key string, u long, size long, pi double")
 
 
+def _apart(spark: SparkSession, staged: DataFrame) -> DataFrame:
+    """``staged`` with a ``u`` of their own for rows that repeat one, so that blocks can part them.
+
+    Such rows are numbered, about ``BLOCK`` of them at a time, and the number is
+    mixed into ``u``.  They are alike, so it does not matter which gets which.
+    """
+    rows = staged.withColumn("alike", F.xxhash64("key", "u"))
+    again = written(spark, rows.groupBy("alike").agg(F.count(F.lit(1)).alias("n_alike")).where("n_alike > 1"), "mix_again")
+    if not again.limit(1).count():
+        return staged
+    rows = hot_join(rows, again, "alike", "n_alike", staged.count(), "left")
+    rows = written(spark, rows.withColumn("deal", F.pmod(F.xxhash64("rid"), F.ceil(F.col("n_alike") / BLOCK))), "mix_alike")
+    repeated = rows.where("n_alike IS NOT NULL")
+    before = W.partitionBy("alike").orderBy("deal").rowsBetween(W.unboundedPreceding, -1)
+    dealt = repeated.groupBy("alike", "deal").agg(F.count(F.lit(1)).alias("n_dealt"))
+    dealt = dealt.select("alike", "deal", F.coalesce(F.sum("n_dealt").over(before), F.lit(0)).alias("first"))
+    within = F.row_number().over(W.partitionBy("alike", "deal").orderBy("rid")) - 1
+    repeated = repeated.withColumn("number", within).join(dealt, ["alike", "deal"])
+    number = F.col("first") + F.col("number")
+    repeated = repeated.withColumn("u", F.when(number == 0, F.col("u")).otherwise(F.xxhash64("u", number)))
+    return written(spark, rows.where("n_alike IS NULL").select(*staged.columns)
+                   .unionByName(repeated.select(*staged.columns)), "mix_apart")
+
+
 def decide(spark: SparkSession, staged: DataFrame, seed: int = 0) -> DataFrame:
     """``staged (rid, doc_id, key, source, size, u)`` -> per row ``rid, doc_id, size, source_size, target, times``."""
+    staged = _apart(spark, staged)
     sources = written(spark, staged.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"),
                                                        F.count(F.lit(1)).alias("n_source")), "mix_sources")
     sources = written(spark, source_targets(sources).drop("source"), "mix_targets")

@@ -91,3 +91,27 @@ def test_awkward_rows(spark, tmp):
 def test_empty_and_wordless(spark):
     assert M.mix_report(spark, docs(spark, [])).count() == 0
     assert [r.target for r in M.mix_report(spark, docs(spark, [(1, ""), (2, None)])).collect()] == [0.0, 0.0]
+
+
+def test_repeated_rows_are_dealt_over_blocks(spark, monkeypatch):
+    """Rows alike in all columns do not stand in one block, and the mix is the same in any layout."""
+    fly = M.flight
+
+    def bounded(pi, size, draw, land):
+        assert len(pi) <= 192, len(pi)
+        return fly(pi, size, draw, land)
+
+    monkeypatch.setattr(M, "BLOCK", 64)
+    monkeypatch.setattr(M, "flight", bounded)
+    rows = corpus(3, 300) + [(7000, "w w w w w", "s0")] * 600
+    found = []
+    for parts in (1, 5):
+        d = docs(spark, rows).repartition(parts)
+        found.append(sorted((r.doc_id, r.taken, r.source_size, r.target) for r in M.mix_report(spark, d).collect()))
+    assert len(found[0]) == len(rows) and found[0] == found[1]
+    of = {}
+    for (i, t, s) in rows:
+        of[i] = s
+    want = {of[i]: t for i, _, _, t in found[0]}
+    for s, target in want.items():
+        assert abs(sum(x for i, x, _, _ in found[0] if of[i] == s) - target) <= 0.03 * target + 5
