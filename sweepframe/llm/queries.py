@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sweepframe.llm import bpe, exact_dedup, licenses, mixing, ngram_join, quality, repair, topk, toxicity, url_filter
+from sweepframe.llm import bpe, exact_dedup, licenses, mixing, negatives, ngram_join, quality, repair, topk, toxicity, url_filter
 from sweepframe.llm.common import table
 from sweepframe.llm.labelled import held_out
 from sweepframe.session import prepare
@@ -148,6 +148,33 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose id is divisible by 100 as anchors, against all rows."""
+    i = F.col("vec_id")
+    label = F.when(i % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(spark, table(spark, sf_dir, "embeddings"), i % 100 == 0, label=label)
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+                  CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+           FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
 _QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_topk": op2_topk,
@@ -158,12 +185,14 @@ _QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
 _SQL = {
     "op2_topk": OP2_SQL,
     "op9_url_filter": _op9_sql(),
+    "op11_hard_negatives": OP11_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
 
