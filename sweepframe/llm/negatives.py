@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sweepframe.llm.common import written
+from sweepframe.llm.common import arrow_batches, written
 
 SCALE = 256
 #: Window of a negative's score as percent of the positive's.
@@ -219,6 +219,7 @@ def mine(spark: SparkSession, vectors: DataFrame, anchors: Column, positives: in
     negative's score s fulfils ``low * p <= 100 * s <= high * p`` for the
     positive's score p.  The work is anchors times rows.
     """
+    arrow_batches(spark)  # a row of the pairs takes megabytes
     x = F.col(vector)
     label = F.col(label) if isinstance(label, str) else label
     fine = F.coalesce(F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))), F.lit(False))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sweepframe.llm import bpe, exact_dedup, licenses, mixing, negatives, ngram_join, quality, repair, topk, toxicity, url_filter
+from sweepframe.llm import bpe, exact_dedup, fertility, licenses, mixing, negatives, ngram_join, quality, repair, topk, toxicity, url_filter
 from sweepframe.llm.common import table
 from sweepframe.llm.labelled import held_out
 from sweepframe.session import prepare
@@ -175,6 +175,15 @@ QUALIFY rank <= 5
 """
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents judged by plain counts and by how two public vocabularies cut them."""
+    tables = fertility.Vocabularies.read(vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_50k.json"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    judged = fertility.judged(spark, fertility.measures(spark, docs, tables))
+    return judged.select("doc_id", *fertility.COUNTS, "base_failed", "kept", "n_pieces", *fertility.MEASURES,
+                         F.array_join("outside", ",").alias("outside"))
+
+
 _QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_topk": op2_topk,
@@ -186,6 +195,7 @@ _QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality_rules": op12_quality_rules,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
