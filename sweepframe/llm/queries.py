@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sweepframe.llm import bpe, exact_dedup, fertility, licenses, mixing, negatives, ngram_join, quality, repair, topk, toxicity, url_filter
+from sweepframe.llm import bpe, conversation_trie, exact_dedup, fertility, licenses, mixing, negatives, ngram_join, quality, repair, topk, toxicity, url_filter
 from sweepframe.llm.common import table
 from sweepframe.llm.labelled import held_out
 from sweepframe.session import prepare
@@ -184,6 +184,13 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.array_join("outside", ",").alias("outside"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, each with the head of its hundred's first one."""
+    i = F.col("conv_id")
+    return conversation_trie.trie(spark, table(spark, sf_dir, "conversations"), base=i - i % 100,
+                                  head=F.crc32(i.cast("string").cast("binary")) % 6)
+
+
 _QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_topk": op2_topk,
@@ -196,6 +203,7 @@ _QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_quality_rules": op12_quality_rules,
+    "op13_conversation_trie": op13_conversation_trie,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
