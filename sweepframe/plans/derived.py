@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sweepframe.plans import fixtures as fx
 from sweepframe.session import scratch_path
+from sweepframe.sources import blockindex
 
 MIN_BLOCK = 4096  # derived logs stay compact; larger records get larger blocks
 HEADER_JSON = '{"header": "true", "date": "2026-01-01T00:00:00Z", "replicates": "1", "site": "local"}'
@@ -55,6 +56,16 @@ def d1_log(spark: SparkSession, sf: str) -> str:
     return _once(("d1log", sf), build)
 
 
+def d1_index(spark: SparkSession, sf: str) -> str:
+    """The kept index of the D1 log."""
+    def build():
+        p, log = scratch_path(spark, "d1index"), d1_log(spark, sf)
+        blockindex.extend(spark, log, p, _block[log])
+        blockindex.extend(spark, log, p, _block[log])  # nothing new: adds nothing
+        return p
+    return _once(("d1index", sf), build)
+
+
 def d1_short_log(spark: SparkSession, sf: str) -> str:
     """D1 variant with a 4th column ``R = l_tax`` that returned items (flag R) lack."""
     def build():

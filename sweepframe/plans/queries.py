@@ -23,6 +23,7 @@ from sweepframe.plans import derived as D
 from sweepframe.plans import fixtures as fx
 from sweepframe.session import prepare, scratch_path
 from sweepframe.sources import longtable, text
+from sweepframe.sources.blocklog import scan_blocks, whole_blocks
 from sweepframe.streaming import tail
 
 # ============================================================ shared pieces
@@ -141,15 +142,12 @@ FROM ord WHERE {SQL_HAS_ITEMS} GROUP BY o_custkey"""
 
 
 def q_blocklog_extract(spark, sf):
-    """An index (task -> path, block) is built from one scan; the records
-    of the urgent orders are then fetched by seeking to their blocks."""
-    from sweepframe.sources.blocklog import read_blocks
+    """The records of the urgent orders, by the kept index and a seek to each block."""
+    from sweepframe.sources import blockindex
 
-    index = _records(spark, sf).select("task_id", "path", "block_idx")
     urgent = fx.table(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT").select(
         F.col("o_orderkey").alias("task_id"))
-    wanted = index.join(urgent, "task_id", "left_semi")
-    recs = parse_records(read_blocks(wanted, D.block_size(spark, sf)))
+    recs = blockindex.fetch(spark, D.d1_index(spark, sf), urgent, D.block_size(spark, sf))
     return recs.select("task_id", "cfg_id", "day_final")
 
 
@@ -158,6 +156,47 @@ SQL_BLOCKLOG_EXTRACT = f"""SELECT o_orderkey AS task_id, o_orderpriority AS cfg_
 FROM orders WHERE o_orderpriority = '1-URGENT' AND {SQL_HAS_ITEMS}"""
 
 
+def q_blocklog_filter(spark, sf):
+    """Three filters on one scan in one plan; together they give every record once."""
+    log = scan_blocks(spark, D.d1_log(spark, sf), D.block_size(spark, sf))
+    i = F.col("block_idx")
+    parts = log.where(i.isin(0, 1, 2)).unionByName(log.where(i.between(3, 50))).unionByName(log.where(i > 50))
+    _, recs = split_header(parse_records(parts))
+    return recs.select("task_id", "cfg_id", "seed")
+
+
+SQL_BLOCKLOG_FILTER = f"""WITH {SQL_ORD}
+SELECT o_orderkey AS task_id, o_orderpriority AS cfg_id, seed FROM ord WHERE {SQL_HAS_ITEMS}"""
+
+
+def q_blocklog_tail(spark, sf):
+    """A log that grows by two appends, tailed after each in bounded micro-batches.
+
+    The bound is a third of the first append; ``batches`` counts the micro-batches of both.
+    """
+    rec = fx.d1_records(spark, sf)
+    enc = rec.select(to_record_json(rec).alias("value"), "task_id")
+    block = D.block_size(spark, sf)
+    log, sink, ckpt = (scratch_path(spark, f"tail_{x}") for x in ("log", "sink", "ckpt"))
+    for part in (0, 1):
+        fx.write_blocklog(enc.where(F.col("task_id") % 2 == part), log, block_size=block, order_by=["task_id"],
+                          mode="append" if part else "overwrite")
+        if not part:
+            limit = max(1, -(-whole_blocks(log, block) // 3))
+        tail.running_counts(spark, log, sink, ckpt, block_size=block, max_blocks=limit)
+    out = tail.latest_counts(spark, sink)
+    return out.select("params_id", "n_ok", F.round("run_time", 6).alias("run_time"), F.lit(tail.merged_batches(sink)).cast("long").alias("batches"))
+
+
+SQL_BLOCKLOG_TAIL = f"""WITH {SQL_ORD}, runs AS (SELECT * FROM ord WHERE {SQL_HAS_ITEMS}),
+  size AS (SELECT CAST(count(*) FILTER (WHERE o_orderkey % 2 = 0) AS BIGINT) AS a,
+                  CAST(count(*) FILTER (WHERE o_orderkey % 2 = 1) AS BIGINT) AS b FROM runs),
+  bound AS (SELECT a, b, greatest(1, CAST(ceil(a / 3.0) AS BIGINT)) AS l FROM size)
+SELECT o_custkey AS params_id, count(*) AS n_ok, round(sum((start + o_totalprice / 100.0) - start), 6) AS run_time,
+       CAST(any_value(ceil(a / CAST(l AS DOUBLE)) + ceil(b / CAST(l AS DOUBLE))) AS BIGINT) AS batches
+FROM runs, bound GROUP BY o_custkey"""
+
+
 def q_header_split(spark, sf):
     region = fx.table(spark, sf, "region")
     nation = fx.table(spark, sf, "nation")
@@ -847,6 +886,8 @@ QUERIES = {
     "blocklog_roundtrip": (q_blocklog_roundtrip, SQL_BLOCKLOG_ROUNDTRIP),
     "blocklog_stream": (q_blocklog_stream, SQL_BLOCKLOG_STREAM),
     "blocklog_extract": (q_blocklog_extract, SQL_BLOCKLOG_EXTRACT),
+    "blocklog_filter": (q_blocklog_filter, SQL_BLOCKLOG_FILTER),
+    "blocklog_tail": (q_blocklog_tail, SQL_BLOCKLOG_TAIL),
     "stream_counts": (q_stream_counts, SQL_STREAM_COUNTS),
     "blocklog_auto": (q_blocklog_auto, SQL_BLOCKLOG_AUTO),
     "header_split": (q_header_split, SQL_HEADER_SPLIT),

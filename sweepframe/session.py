@@ -54,6 +54,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     # Header maps: a later key overrides an earlier one, as in a dict.
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+    # Rows given to Python may name blocks of 64 KiB: batches stay bounded.
+    records = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(records, "10000")) <= 2048:
+        spark.conf.set(records, "2048")
     work_root(spark)
     return spark
 

@@ -16,17 +16,19 @@ large log is read by many tasks in parallel.  A short final block is kept
 (the batch reader takes what it finds), but the stream reader only
 consumes whole blocks.  Indexed reads (``blocks``, ``minBlock``,
 ``maxBlock``, ``files`` options) plan only the partitions that hold the
-requested blocks and seek straight to them.  (Filter pushdown is not used:
-PySpark keeps one reader per DataFrame, so pushed state would leak into
-later scans of the same DataFrame.)
+requested blocks and seek straight to them.  ``scan_blocks`` gives the same
+rows as a DataFrame whose filters on path and index are applied before a
+block is read.
 
 Write side (``df.write.format("blocklog")``) takes a ``value`` column
 (string or binary): each value becomes one block.  A value longer than a
-block fails the task.  Every task writes its own hidden attempt file;
-the job commit renames them to ``part-*.log`` so a retried or
-speculative task cannot leave duplicates.  With ``partitionBy`` the
-writer starts a new file (in ``<col>=<value>/``) whenever the key
-changes; rows should be sorted by the key within each partition.
+block fails the task.  Every task attempt writes files of its own name; the
+job commit adds one manifest that lists the files of the attempts that won.
+Readers of a folder with manifests see only what these list, so a killed job
+or a retried or speculative task leaves the log unchanged.  With
+``partitionBy`` the writer starts a new file (in ``<col>=<value>/``)
+whenever the key changes; rows should be sorted by the key within each
+partition.
 """
 
 from __future__ import annotations
@@ -36,7 +38,9 @@ import os
 import posixpath
 import uuid
 from dataclasses import dataclass
+from typing import Iterator, Tuple
 
+import pyarrow as pa
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -95,8 +99,64 @@ def _qualify(scheme, inner):
     return f"{scheme}://{inner}"
 
 
+#: Folder of a log's manifests.
+MANIFESTS = "_manifests"
+
+
+@dataclass
+class Manifest:
+    """One commit of the sink: files (path below the log, size, block size); ``replaces`` hides all earlier ones.
+
+    Names begin with a number, so their order is the order of commits.
+    """
+
+    name: str
+    files: list
+    replaces: bool = False
+
+
+def manifest_names(filesystem, root: str) -> list[str]:
+    """Names of a folder's manifests in the order of their commits; none for a plain folder."""
+    from pyarrow import fs as pafs
+
+    infos = filesystem.get_file_info(pafs.FileSelector(posixpath.join(root, MANIFESTS), allow_not_found=True))
+    return sorted(f.base_name for f in infos if f.base_name.endswith(".json") and not f.base_name.startswith("."))
+
+
+def read_manifest(filesystem, root: str, name: str) -> Manifest:
+    with filesystem.open_input_stream(posixpath.join(root, MANIFESTS, name)) as f:
+        body = json.loads(f.read())
+    return Manifest(name, body["files"], body["replaces"])
+
+
+def committed(filesystem, root: str) -> list[Manifest] | None:
+    """The manifests that count, oldest first (the last one that replaces, and later ones); None for a plain folder."""
+    names = manifest_names(filesystem, root)
+    out: list[Manifest] = []
+    for name in reversed(names):
+        out.append(read_manifest(filesystem, root, name))
+        if out[-1].replaces:
+            break
+    return out[::-1] if names else None
+
+
+def add_manifest(filesystem, root: str, tag: str, files: list, replaces: bool = False) -> str:
+    """Commit files: one hidden file, then one rename.  A manifest of the same tag is replaced in its place."""
+    names = manifest_names(filesystem, root)
+    same = [n for n in names if n.split("-", 1)[1] == f"{tag}.json"]
+    number = int(names[-1].split("-", 1)[0]) + 1 if names else 0
+    name = same[0] if same else f"{number:012d}-{tag}.json"
+    folder = posixpath.join(root, MANIFESTS)
+    filesystem.create_dir(folder, recursive=True)
+    hidden = posixpath.join(folder, f".{name}.{uuid.uuid4().hex[:8]}")
+    with filesystem.open_output_stream(hidden) as f:
+        f.write(json.dumps({"files": files, "replaces": replaces}).encode())
+    filesystem.move(hidden, posixpath.join(folder, name))
+    return name
+
+
 def list_log_files(path: str) -> list[tuple[str, int]]:
-    """(path, size) of every log file under ``path``; hidden and ``_`` files skipped."""
+    """(path, size) of every log file under ``path``: what the manifests list, else all but hidden and ``_`` files."""
     from pyarrow import fs as pafs
 
     out = []
@@ -108,6 +168,8 @@ def list_log_files(path: str) -> list[tuple[str, int]]:
         info = filesystem.get_file_info(inner)
         if info.type == pafs.FileType.File:
             out.append((_qualify(scheme, inner), info.size))
+        elif (commits := committed(filesystem, inner) if info.type == pafs.FileType.Directory else None) is not None:
+            out += [(_qualify(scheme, posixpath.join(inner, name)), size) for m in commits for name, size, _ in m.files]
         elif info.type == pafs.FileType.Directory:
             sel = pafs.FileSelector(inner, recursive=True)
             for f in filesystem.get_file_info(sel):
@@ -165,6 +227,17 @@ def _stride(path: str, size: int, window: int = 1 << 20) -> int:
     return max(size, 1)
 
 
+def _whole_object(path: str, size: int) -> bool:
+    """Whether a file that holds one object ends with it, padding apart."""
+    with _open_read(path) as f:
+        text = f.read(size).rstrip(b"\x00 \r\n\t").decode("utf-8", "replace")
+    try:
+        json.JSONDecoder(strict=False).raw_decode(text, max(0, text.find("{")))
+    except ValueError:
+        return False
+    return True
+
+
 def whole_blocks(path: str, block: int | str = "auto") -> int:
     """Whole blocks of all files of a log."""
     return sum(n // (_stride(p, n) if block == "auto" else int(block)) for p, n in list_log_files(path))
@@ -216,8 +289,6 @@ class _BlockRange(InputPartition):
 
 
 def _read_range(part: _BlockRange, keep_padding: bool, whole_only: bool):
-    import pyarrow as pa
-
     block = part.block
     rows = max(1, min(_BATCH_ROWS, _BATCH_BYTES // block))  # a batch is bounded by rows and by bytes
 
@@ -305,26 +376,58 @@ class BlockLogReader(DataSourceReader):
 
 
 class BlockLogStreamReader(DataSourceStreamReader):
-    """Tail of a growing log: the offset is the count of whole blocks per file."""
+    """Tail of a growing log, whole blocks only.
+
+    The offset of a folder with manifests is a cursor: the manifest being
+    read, and the file and block inside it; it does not grow with the log.
+    Files of a plain folder may all grow, so each has an entry of its own:
+    blocks done, and the file's stride, which holds once it is found.
+
+    ``maxBlocksPerBatch`` bounds a batch.  Spark does not tell a Python
+    reader where a restarted query stands, so with a bound the end of every
+    planned batch is kept in the file that option ``progress`` names, which
+    belongs in the query's checkpoint folder.
+    """
 
     def __init__(self, options):
-        self.path, block, self.per_part, self.keep = _options(options)
-        self.block = detect_block_size(self.path) if block == "auto" else block
+        self.path, self.block, self.per_part, self.keep = _options(options)
+        self.limit = int(options.get("maxBlocksPerBatch", 0))
+        self.progress = options.get("progress")
+        if self.limit and not self.progress:
+            raise ValueError("blocklog: maxBlocksPerBatch needs a progress file")
+        self.planned = self._recorded() if self.limit else None
+
+    def _recorded(self):
+        filesystem, inner, _ = _fs(self.progress)
+        if not filesystem.get_file_info(inner).is_file:
+            return None
+        with filesystem.open_input_stream(inner) as f:
+            return json.loads(f.read())
+
+    def _record(self, end):
+        filesystem, inner, _ = _fs(self.progress)
+        filesystem.create_dir(posixpath.dirname(inner), recursive=True)
+        hidden = f"{inner}.{uuid.uuid4().hex[:8]}"
+        with filesystem.open_output_stream(hidden) as f:
+            f.write(json.dumps(end).encode())
+        filesystem.move(hidden, inner)
 
     def initialOffset(self):
-        return {"files": {}}
+        return {"commit": "", "file": 0, "block": 0, "files": {}}
 
     def latestOffset(self):
-        return {"files": {p: size // self.block for p, size in list_log_files(self.path)}}
+        start = self.planned or self.initialOffset()
+        ranges, end = self._ahead(start, self.limit)
+        return end
 
     def partitions(self, start, end):
-        done = start.get("files", {})
-        per_part = self.per_part if self.per_part > 0 else max(1, (128 * 1024 * 1024) // self.block)
+        if self.limit:
+            self.planned = end
+            self._record(end)
         parts = []
-        for path, upto in sorted(end.get("files", {}).items()):
-            lo = int(done.get(path, 0))
-            for a in range(lo, int(upto), per_part):
-                parts.append(_BlockRange(path, a, min(a + per_part, int(upto)), self.block))
+        for path, lo, hi, block in self._between(start, end):
+            per_part = self.per_part if self.per_part > 0 else max(1, (128 * 1024 * 1024) // block)
+            parts += [_BlockRange(path, a, min(a + per_part, hi), block) for a in range(lo, hi, per_part)]
         return parts
 
     def read(self, partition):
@@ -333,6 +436,88 @@ class BlockLogStreamReader(DataSourceStreamReader):
     def commit(self, end):
         pass
 
+    def _logs(self):
+        """(folder, its manifests' names) of folders with manifests, and the other files."""
+        folders, plain = [], []
+        for p in filter(None, (x.strip() for x in self.path.split(","))):
+            filesystem, inner, scheme = _fs(p)
+            names = manifest_names(filesystem, inner)
+            if names:
+                folders.append((filesystem, inner, scheme, names))
+            else:
+                plain += list_log_files(p)
+        if len(folders) > 1:
+            raise ValueError("blocklog: a stream reads one folder with manifests")
+        return folders, sorted(plain)
+
+    def _stride_of(self, path, size, known):
+        """Stride of a plain file, or 0 while its first block is not whole."""
+        if self.block != "auto":
+            return self.block
+        if known:
+            return known
+        stride = _stride(path, size)
+        return stride if stride < size or _whole_object(path, size) else 0
+
+    def _ahead(self, start, limit):
+        """New ranges ``(path, lo, hi, block)`` from an offset on, at most ``limit`` blocks, and the offset behind them."""
+        ranges, left = [], limit or None
+        end = {"commit": start["commit"], "file": start["file"], "block": start["block"], "files": dict(start["files"])}
+        folders, plain = self._logs()
+
+        def take(path, lo, hi, block):
+            nonlocal left
+            hi = hi if left is None else min(hi, lo + left)
+            if hi > lo:
+                ranges.append((path, lo, hi, block))
+                left = left if left is None else left - (hi - lo)
+            return max(lo, hi)
+
+        for filesystem, root, scheme, names in folders:
+            for name in names:
+                if name < end["commit"] or left == 0:
+                    continue
+                if name != end["commit"]:
+                    end.update(commit=name, file=0, block=0)
+                files = read_manifest(filesystem, root, name).files
+                while end["file"] < len(files) and left != 0:
+                    rel, size, block = files[end["file"]]
+                    end["block"] = take(_qualify(scheme, posixpath.join(root, rel)), end["block"], size // block, block)
+                    if end["block"] >= size // block:
+                        end.update(file=end["file"] + 1, block=0)
+        for path, size in plain:
+            done, known = end["files"].get(path, (0, 0))
+            stride = self._stride_of(path, size, known)
+            if stride and left != 0:
+                done = take(path, done, size // stride, stride)
+                if done:
+                    end["files"][path] = [done, stride]
+        return ranges, end
+
+    def _between(self, start, end):
+        """The ranges between two offsets, whatever has been added since."""
+        ranges = []
+        folders, _ = self._logs() if end["commit"] else ([], [])
+        for filesystem, root, scheme, names in folders:
+            for name in names:
+                if start["commit"] <= name <= end["commit"]:
+                    first = (start["file"], start["block"]) if name == start["commit"] else (0, 0)
+                    files = read_manifest(filesystem, root, name).files
+                    last = (end["file"], end["block"]) if name == end["commit"] else (len(files), 0)
+                    for i in range(first[0], min(last[0] + 1, len(files))):
+                        rel, size, block = files[i]
+                        lo = first[1] if i == first[0] else 0
+                        hi = last[1] if i == last[0] else size // block
+                        if hi > lo:
+                            ranges.append((_qualify(scheme, posixpath.join(root, rel)), lo, hi, block))
+        for path, (upto, stride) in sorted(end["files"].items()):
+            done, before = start["files"].get(path, (0, stride))
+            if before != stride:
+                raise ValueError(f"blocklog: the stride of {path} changed from {before} to {stride}")
+            if upto > done:
+                ranges.append((path, done, upto, stride))
+        return ranges
+
 
 # --------------------------------------------------------------------------
 # sink
@@ -340,7 +525,7 @@ class BlockLogStreamReader(DataSourceStreamReader):
 
 @dataclass
 class _Written(WriterCommitMessage):
-    files: list  # (tmp_path, final_path)
+    files: list  # (path below the log's folder, size, block size)
 
 
 class BlockLogWriter(DataSourceArrowWriter):
@@ -351,6 +536,7 @@ class BlockLogWriter(DataSourceArrowWriter):
         self.partition_col = options.get("partitionBy")
         self.header = options.get("headerJson")
         self.job = uuid.uuid4().hex[:8]
+        self.prefix = "part"
         filesystem, inner, _ = _fs(self.path)
         filesystem.create_dir(inner, recursive=True)
 
@@ -368,7 +554,7 @@ class BlockLogWriter(DataSourceArrowWriter):
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
         attempt = f"{ctx.taskAttemptId()}" if ctx else uuid.uuid4().hex[:8]
-        filesystem, root, scheme = _fs(self.path)
+        filesystem, root, _ = _fs(self.path)
         header = self._encode_header()
         buf_size = WRITE_BUFFER_BLOCKS * self.block
         written, cur_key, out, seq = [], object(), None, 0
@@ -377,19 +563,20 @@ class BlockLogWriter(DataSourceArrowWriter):
         def flush():
             if pending and out is not None:
                 out.write(b"".join(pending))
+                written[-1][1] += len(pending) * self.block
                 pending.clear()
 
         def open_file(key):
             nonlocal out, seq
-            sub = root if key is None else posixpath.join(root, f"{self.partition_col}={key}")
-            filesystem.create_dir(sub, recursive=True)
-            final = posixpath.join(sub, f"part-{pid:05d}-{seq:03d}-{self.job}.log")
-            tmp = posixpath.join(sub, f".part-{pid:05d}-{seq:03d}-{self.job}.{attempt}.tmp")
+            sub = "" if key is None else f"{self.partition_col}={key}"
+            filesystem.create_dir(posixpath.join(root, sub), recursive=True)
+            name = posixpath.join(sub, f"{self.prefix}-{pid:05d}-{seq:03d}-{self.job}-{attempt}.log")
             seq += 1
-            out = filesystem.open_output_stream(tmp, buffer_size=buf_size)
-            written.append((_qualify(scheme, tmp), _qualify(scheme, final)))
+            out = filesystem.open_output_stream(posixpath.join(root, name), buffer_size=buf_size)
+            written.append([name, 0, self.block])
             if header is not None:
                 out.write(header)
+                written[-1][1] += self.block
 
         try:
             for batch in iterator:
@@ -420,62 +607,60 @@ class BlockLogWriter(DataSourceArrowWriter):
         return _Written(written)
 
     def commit(self, messages):
-        from pyarrow import fs as pafs
-
         filesystem, root, _ = _fs(self.path)
-        keep = set()
-        for m in messages:
-            for tmp, final in (m.files if m else []):
-                fs2, tmp_inner, _ = _fs(tmp)
-                _, final_inner, _ = _fs(final)
-                fs2.move(tmp_inner, final_inner)
-                keep.add(final_inner)
-        if self.overwrite:
-            for f in filesystem.get_file_info(pafs.FileSelector(root, recursive=True)):
-                if f.type == pafs.FileType.File and f.path.endswith(".log") and f.path not in keep:
-                    filesystem.delete_file(f.path)
+        before = committed(filesystem, root) if self.overwrite else None
+        plain = self._plain_files(filesystem, root) if before is None else []
+        files = [f for m in messages for f in (m.files if m else [])]
+        if plain and not self.overwrite:  # a folder from before manifests goes on with all its files
+            add_manifest(filesystem, root, "plain", [[name, size, self.block] for name, size in plain])
+        add_manifest(filesystem, root, self.job, files, self.overwrite)
+        old = [name for m in before or [] for name, *_ in m.files] + ([name for name, _ in plain] if self.overwrite else [])
+        for name in old:  # nobody sees these any more
+            try:
+                filesystem.delete_file(posixpath.join(root, name))
+            except FileNotFoundError:
+                pass
         with filesystem.open_output_stream(posixpath.join(root, "_SUCCESS")):
             pass
 
+    def _plain_files(self, filesystem, root):
+        """Log files of a folder that has no manifest yet, but for this job's own."""
+        from pyarrow import fs as pafs
+
+        if manifest_names(filesystem, root):
+            return []
+        found = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
+        return [(f.path[len(root):].lstrip("/"), f.size) for f in found if f.type == pafs.FileType.File and f.path.endswith(".log")
+                and f"-{self.job}-" not in f.base_name and not any(x.startswith((".", "_")) for x in f.path[len(root):].split("/") if x)]
+
     def abort(self, messages):
+        filesystem, root, _ = _fs(self.path)
         for m in messages:
-            for tmp, _ in (m.files if m else []):
-                fs2, tmp_inner, _ = _fs(tmp)
-                try:
-                    fs2.delete_file(tmp_inner)
-                except Exception:
-                    pass
+            for name, *_ in (m.files if m else []):
+                info = filesystem.get_file_info(posixpath.join(root, name))
+                if info.is_file:
+                    filesystem.delete_file(info.path)
 
 
 class BlockLogStreamWriter(DataSourceStreamArrowWriter):
-    """Streaming sink: each micro-batch adds one file per task, named by batch.
+    """Streaming sink: each micro-batch adds one file per task and one manifest, tagged by batch.
 
-    Files are written as hidden attempt files and renamed when the batch
-    commits; a batch replayed after a failure overwrites its own names, so
-    the log holds every record exactly once.
+    A batch replayed after a failure puts its manifest in the place of the
+    one it may have left, so the log holds every record exactly once.
+    Queries that write one log need names of their own (option ``writer``).
     """
 
     def __init__(self, options):
+        self.tag = f"{options.get('writer', 'stream')}-batch"
         self.inner = BlockLogWriter(options, overwrite=False)
+        self.inner.prefix = "batch"
 
     def write(self, iterator):
         return self.inner.write(iterator)
 
     def commit(self, messages, batchId):
-        from pyarrow import fs as pafs
-
         filesystem, root, _ = _fs(self.inner.path)
-        for m in messages:
-            for tmp, final in (m.files if m else []):
-                fs2, tmp_inner, _ = _fs(tmp)
-                _, final_inner, _ = _fs(final)
-                base = posixpath.basename(final_inner)
-                target = posixpath.join(posixpath.dirname(final_inner), f"batch-{batchId:08d}-{base.split('-', 1)[1]}")
-                target = target.replace(f"-{self.inner.job}.log", ".log")
-                info = fs2.get_file_info(target)
-                if info.type != pafs.FileType.NotFound:
-                    fs2.delete_file(target)
-                fs2.move(tmp_inner, target)
+        add_manifest(filesystem, root, f"{self.tag}-{batchId:08d}", [f for m in messages for f in (m.files if m else [])])
 
     def abort(self, messages, batchId):
         self.inner.abort(messages)
@@ -494,8 +679,6 @@ def read_blocks(requests, block_size: int = DEFAULT_BLOCK_SIZE, keep_padding: bo
     rows = max(1, min(_BATCH_ROWS, _BATCH_BYTES // block_size))
 
     def fetch(batches):
-        import pyarrow as pa
-
         cur, fh, held = None, None, []
 
         def out():
@@ -529,6 +712,70 @@ def read_blocks(requests, block_size: int = DEFAULT_BLOCK_SIZE, keep_padding: bo
     return req.mapInArrow(fetch, SCHEMA)
 
 
+def block_ranges(path: str, block_size: int | str = DEFAULT_BLOCK_SIZE, done: dict | None = None,
+                 whole: bool = False) -> list[tuple[str, int, int, int]]:
+    """``(path, first, stop, block size)`` of a log's files; ``done`` gives blocks to skip, by path.
+
+    With ``whole``, a short last block, which may still be written, is left out.
+    """
+    out = []
+    for p, size in list_log_files(path):
+        block = _stride(p, size) if block_size == "auto" else int(block_size)
+        first, stop = int((done or {}).get(p, 0)), size // block if whole else -(-size // block)
+        if stop > first:
+            out.append((p, first, stop, block))
+    return out
+
+
+def scan_blocks(spark, path: str, block_size: int | str = DEFAULT_BLOCK_SIZE, ranges: list | None = None):
+    """The log's blocks ``path, block_idx, payload``, read only where the query's filters ask for them.
+
+    Paths and block numbers are generated from the files' sizes (or the
+    given ``block_ranges``), and a block is read behind that, so Catalyst
+    moves filters and semi-joins on ``path`` and ``block_idx`` below the
+    read.  Each query has a plan of its own; with
+    ``DataSourceReader.pushFilters`` all queries on one DataFrame would get
+    what was pushed last.
+    """
+    from pyspark.sql import functions as F
+
+    step = 128 * 1024 * 1024
+    ranges = [(p, a, min(a + max(1, step // block), stop), block) for p, first, stop, block in
+              (block_ranges(path, block_size) if ranges is None else ranges) for a in range(first, stop, max(1, step // block))]
+    table = spark.createDataFrame(ranges, "path string, first long, stop long, block int")
+    # a range is a task's work; short logs are cut finer
+    pieces = max(1, -(-2 * spark.sparkContext.defaultParallelism // max(1, len(ranges))))
+    size = F.greatest(F.lit(1), F.ceil((F.col("stop") - F.col("first")) / pieces)).cast("long")
+    table = table.withColumn("size", size).withColumn("first", F.explode(F.expr("sequence(first, stop - 1, size)")))
+    table = table.withColumn("stop", F.least(F.col("first") + F.col("size"), F.col("stop")))
+    table = table.repartition(max(1, len(ranges) * pieces), "path", "first")
+    idx = table.select("path", "block", F.explode(F.sequence("first", F.col("stop") - 1)).alias("block_idx"))
+
+    @F.arrow_udf("array<binary>")
+    def block_at(columns: Iterator[Tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        """The block as a list of one, or an empty one behind the end of its file."""
+        now, f, pos = None, None, None
+        for paths, numbers, blocks in columns:
+            out = []
+            for p, i, n in zip(paths.to_pylist(), numbers.to_pylist(), blocks.to_pylist()):
+                if p != now:
+                    if f is not None:
+                        f.close()
+                    now, f, pos = p, _open_read(p), 0
+                if pos != i * n:
+                    f.seek(i * n)
+                data = f.read(n)
+                pos = i * n + len(data)
+                out.append([data.rstrip(b"\x00")] if data else [])
+            yield pa.array(out, pa.list_(pa.binary()))
+        if f is not None:
+            f.close()
+
+    # a generator, so that filters on the payload stay behind the read
+    read = idx.select("path", "block_idx", F.explode(block_at("path", "block_idx", "block")).alias("payload"))
+    return read
+
+
 class BlockLogDataSource(DataSource):
     @classmethod
     def name(cls):
