@@ -117,10 +117,10 @@ def expand_replicates(params: DataFrame, replicates: int | Column, params_id: st
     """Each params row -> R runs, ``seed`` 0..R-1, ``task_id = level*R + seed``.
 
     ``level`` is the 0-based row position, i.e. ``params_id - 1``.
-    No shuffle: a generator on each row.
+    No shuffle: a generator on each row; no replicates give no rows.
     """
     r = replicates if isinstance(replicates, Column) else F.lit(int(replicates))
-    out = params.withColumn("_r", r.cast("long")).select(
+    out = params.withColumn("_r", r.cast("long")).where("_r > 0").select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_r") - 1)).alias("seed"))
     level = F.col(params_id) - 1
     return out.withColumn("task_id", level * F.col("_r") + F.col("seed")).drop("_r")

@@ -169,6 +169,24 @@ def params_csv(spark: SparkSession, sf: str) -> str:
     return _once(("pcsv", sf), build)
 
 
+def params_csvs(spark: SparkSession, sf: str) -> list[str]:
+    """Two parameter CSVs with different columns: customers of even keys, then those of odd ones, by key."""
+    def build():
+        c = fx.table(spark, sf, "customer").orderBy("c_custkey")
+        first = c.where("c_custkey % 2 = 0").select(
+            F.concat(F.lit("["), F.col("c_acctbal").cast("string"), F.lit(", "), F.col("c_nationkey").cast("string"), F.lit("]")).alias("nation.n0"),
+            F.concat(F.lit('say "'), "c_mktsegment", F.lit('"')).alias("nation.n1"))
+        second = c.where("c_custkey % 2 = 1").select(
+            F.col("c_nationkey").cast("string").alias("nation.n2"), F.col("c_custkey").cast("string").alias("agent.seed"),
+            F.col("c_name").alias("unknown.key"))
+        paths = []
+        for df in (first, second):
+            paths.append(scratch_path(spark, "params_csvs"))
+            df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(paths[-1])
+        return paths
+    return _once(("pcsvs", sf), build)
+
+
 def snapshots(spark: SparkSession, sf: str) -> str:
     """Agent snapshots from ``lineitem``: seed = return flag, run = line status,
     step directory = ``plt%05d`` of line number, agent = order key.

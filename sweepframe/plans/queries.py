@@ -24,6 +24,7 @@ from sweepframe.plans import fixtures as fx
 from sweepframe.session import prepare, scratch_path
 from sweepframe.sources import longtable, text
 from sweepframe.sources.blocklog import scan_blocks, whole_blocks
+from sweepframe.sources.namedfiles import write_configs
 from sweepframe.streaming import tail
 
 # ============================================================ shared pieces
@@ -652,16 +653,59 @@ FROM r, t"""
 def q_config_files(spark, sf):
     """Rendered configs written one file per config, then read back as
     (name, line_no, key, val) lines with the file name as identity."""
-    def build():
-        p = scratch_path(spark, "configs")
-        cfg = q_render_delete(spark, sf)
-        cfg.select("name", F.regexp_replace("config", r"\n\z", "").alias("value")) \
-           .write.mode("overwrite").partitionBy("name").text(p)
-        return p
-    path = D._once(("configs", sf), build)
+    path = D._once(("configs", sf), lambda: write_configs(q_render_delete(spark, sf), scratch_path(spark, "configs"),
+                                                          F.concat("name", F.lit(".cfg"))))
     lines = text.read_configs(spark, path)
     return lines.where(F.col("key").isNotNull()).select(
-        F.regexp_extract("file", r"name=([^/]+)/", 1).alias("name"), "line_no", "key", "val")
+        F.regexp_extract("file", r"([^/]+)\.cfg$", 1).alias("name"), "line_no", "key", "val")
+
+
+def q_config_sink(spark, sf):
+    """G7 with its sink: a config per customer, each written to its run's folder and read back whole."""
+    path = D._once(("config_sink", sf), lambda: write_configs(
+        q_render_edit(spark, sf), scratch_path(spark, "config_sink"), F.format_string("%07d/run.cfg", F.col("c_custkey"))))
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    key = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)/run\.cfg$", 1).cast("long")
+    return files.select(key.alias("c_custkey"), F.col("value").alias("config"))
+
+
+SQL_CONFIG_SINK = f"SELECT c_custkey, config FROM ({SQL_RENDER_EDIT})"
+
+
+def _csv_rows(spark, sf):
+    return W.index_in_file_order(text.read_params_csvs(spark, D.params_csvs(spark, sf)), "row_id")
+
+
+def q_params_csvs(spark, sf):
+    """Two CSVs with columns of their own, ids continuing over them."""
+    return _csv_rows(spark, sf).select("row_id", F.explode("params").alias("key", "value"))
+
+
+SQL_CSV_ROWS = """c AS (SELECT *, row_number() OVER (ORDER BY c_custkey % 2, c_custkey) AS row_id FROM customer),
+p AS (SELECT row_id, 'nation.n0' AS key, '[' || c_acctbal || ', ' || c_nationkey || ']' AS value FROM c WHERE c_custkey % 2 = 0
+      UNION ALL SELECT row_id, 'nation.n1', 'say "' || c_mktsegment || '"' FROM c WHERE c_custkey % 2 = 0
+      UNION ALL SELECT row_id, 'nation.n2', CAST(c_nationkey AS VARCHAR) FROM c WHERE c_custkey % 2 = 1
+      UNION ALL SELECT row_id, 'agent.seed', CAST(c_custkey AS VARCHAR) FROM c WHERE c_custkey % 2 = 1
+      UNION ALL SELECT row_id, 'unknown.key', c_name FROM c WHERE c_custkey % 2 = 1)"""
+SQL_PARAMS_CSVS = f"WITH {SQL_CSV_ROWS} SELECT row_id, key, value FROM p"
+
+
+def q_render_csvs(spark, sf):
+    """G9 over both CSVs, each file's columns applied to its own rows."""
+    out = G.render_csv(_csv_rows(spark, sf), D.nation_template(spark, sf), "sweep", "out", no_comments=True)
+    return out.select("row_id", "name", "config")
+
+
+SQL_RENDER_CSVS = f"""WITH {SQL_CSV_ROWS},
+t AS (SELECT 2 AS line_no, 'agent.seed' AS key, '1' AS val
+      UNION ALL SELECT n_nationkey + 4, 'nation.n' || n_nationkey, CAST(n_regionkey AS VARCHAR) FROM nation),
+l AS (SELECT row_id, line_no, key || ' = ' || replace(replace(replace(coalesce(value, val), ',', ' '), '[', ''), ']', '') AS line
+      FROM (SELECT c.row_id, t.*, p.value FROM c CROSS JOIN t LEFT JOIN p ON p.row_id = c.row_id AND p.key = t.key)
+      UNION ALL SELECT row_id, 1, 'id = 7' FROM c
+      UNION ALL SELECT row_id, 3, 'diag.output_filename = out/sweep_' || row_id || '.dat' FROM c)
+SELECT row_id, 'sweep_' || row_id || '.cfg' AS name,
+       'id = ' || row_id || chr(10) || string_agg(line, chr(10) ORDER BY line_no) || chr(10) AS config
+FROM l GROUP BY row_id"""
 
 
 SQL_CONFIG_FILES_TAIL = """
@@ -925,6 +969,9 @@ QUERIES = {
     "render_delete": (q_render_delete, SQL_RENDER_DELETE),
     "params_csv": (q_params_csv, SQL_PARAMS_CSV),
     "config_files": (q_config_files, f"WITH cfg AS ({SQL_RENDER_DELETE}),{SQL_CONFIG_FILES_TAIL}"),
+    "config_sink": (q_config_sink, SQL_CONFIG_SINK),
+    "params_csvs": (q_params_csvs, SQL_PARAMS_CSVS),
+    "render_csvs": (q_render_csvs, SQL_RENDER_CSVS),
     "manifest": (q_manifest, SQL_MANIFEST),
     "day_scrape": (q_day_scrape, SQL_DAY_SCRAPE),
     "run_series": (q_run_series, SQL_RUN_SERIES),

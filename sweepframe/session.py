@@ -47,9 +47,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     Safe to call repeatedly and on a session built by someone else.
     """
     from sweepframe.sources.blocklog import BlockLogDataSource
+    from sweepframe.sources.namedfiles import NamedFilesDataSource
 
     _ship_package(spark)
     spark.dataSource.register(BlockLogDataSource)
+    spark.dataSource.register(NamedFilesDataSource)
     # Parameter CSVs must fail on short rows even when few columns are read.
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     # Header maps: a later key overrides an earlier one, as in a dict.

@@ -45,6 +45,54 @@ def read_params_csv(spark: SparkSession, path: str, reject_blank: bool = True) -
             .option("enforceSchema", "false").option("multiLine", "false").csv(path))
 
 
+#: Files whose headers are broadcast to their rows; beyond, the join is a shuffle.
+HEADER_FILES = 10_000
+
+# a field behind its comma: quoted (doubled quotes inside) or plain
+_CSV_FIELD = r',("[^"]*(?:""[^"]*)*"|[^,]*)'
+
+
+def csv_fields(line: Column) -> Column:
+    """A CSV line's fields as text; a field that begins with a quote must end with its pair, or the job fails."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CSV_FIELD), 1)
+    whole = F.length(F.array_join(found, ",")) == F.length(line)
+    loose = F.exists(found, lambda t: t.startswith('"') & ~t.rlike(r'^"[^"]*(?:""[^"]*)*"$'))
+    plain = F.transform(found, lambda t: F.when(t.startswith('"'), F.replace(F.substr(t, F.lit(2), F.length(t) - 2), F.lit('""'), F.lit('"'))).otherwise(t))
+    bad = F.raise_error(F.concat(F.lit("malformed CSV line: "), line)).cast("array<string>")
+    return F.when(whole & ~loose, plain).otherwise(bad)
+
+
+def read_params_csvs(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Several parameter CSVs, each file with a header of its own.
+
+    Output: ``file`` (sorted as the paths were given, then by name),
+    ``line_key``, ``params`` map of the row's values by its file's header.
+    ``sweep.index_in_file_order`` numbers the rows over all files.  Blank
+    lines are skipped, fields beyond the header are dropped, a short row
+    fails the job, and of columns of one name the last counts.  Lines are read
+    as text, so a large file is read by many tasks; only the headers, a row
+    a file, are brought together.
+    """
+    parts = []
+    for i, path in enumerate(paths):
+        full = spark.read.text(path).where(F.trim("value") != "")  # positions count the rows that stay
+        lines = full.select(F.col("value").alias("line"), *line_key_cols())
+        parts.append(lines.withColumn("file", F.concat(F.lit(f"{i:06d} "), "file")))
+    lines = parts[0]
+    for p in parts[1:]:
+        lines = lines.unionByName(p)
+    order = F.struct("line_key.split", "line_key.pos")
+    heads = lines.groupBy("file").agg(F.min_by("line", order).alias("head"), F.min(order).alias("first"))
+    heads = heads.select("file", csv_fields(F.col("head")).alias("head"), "first")
+    if heads.count() <= HEADER_FILES:
+        heads = F.broadcast(heads)
+    rows = lines.join(heads, "file").where(order > F.col("first"))
+    rows = rows.select("file", "line_key", "line", "head", F.explode(F.array(csv_fields(F.col("line")))).alias("fields"))
+    short = F.raise_error(F.concat(F.lit("parameter row shorter than its header: "), F.col("line"))).cast("boolean")
+    rows = rows.where(F.when(F.size("fields") >= F.size("head"), True).otherwise(short))
+    return rows.select("file", "line_key", F.map_from_arrays("head", F.slice("fields", F.lit(1), F.size("head"))).alias("params"))
+
+
 # raw text of every top-level "key": value pair of a flat JSON object
 _JSON_KEY = r'"((?:[^"\\]|\\.)*)"\s*:\s*(?:\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s\[{"][^,}\s]*)'
 _JSON_VAL = r'"(?:[^"\\]|\\.)*"\s*:\s*(\[[^\[\]]*\]|"(?:[^"\\]|\\.)*"|[^,}\s\[{"][^,}\s]*)'

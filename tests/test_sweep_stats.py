@@ -102,3 +102,10 @@ def test_value_tables_of_any_length(spark):
     out = W.seed_sweep(seeds, values, "in", "out").orderBy("i").collect()
     assert len(out) == 4000 and [r.i for r in out] == list(range(1, 4001)) and out[2000].p_trans == 0
     assert W.study(spark.range(2), values.where("pos < 0")).count() == 0
+
+
+def test_no_replicates_give_no_rows(spark):
+    rows = spark.createDataFrame([(1, 0), (2, 2), (3, -1), (4, None)], "params_id long, r long")
+    got = sorted((r.params_id, r.seed, r.task_id) for r in W.expand_replicates(rows, F.col("r")).collect())
+    assert got == [(2, 0, 2), (2, 1, 3)]
+    assert W.expand_replicates(rows, 0).count() == 0
