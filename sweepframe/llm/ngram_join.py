@@ -21,7 +21,9 @@ component adds nothing to it.
 
 Defined results: a document with fewer words than a shingle has its whole
 sequence as one shingle; without words, or null, its set is empty and links
-with nothing; rows that share an id count as versions of one document;
+with nothing; rows that share an id count as versions of one document; a row
+whose id is null is linked with its exact copies only (without an id among
+them its component is null, and ``deduplicate`` keeps it);
 other columns pass through ``deduplicate``; no rows give no rows.
 
 What is broadcast: the frequent shingles (at most ``FREQUENT``), and id
@@ -49,7 +51,7 @@ VERIFY_COST = 16
 #: At most so many frequent shingles are told apart (12 bytes each).
 FREQUENT = 1 << 20
 #: Shingles counted together in a task's memory.
-COUNTED = 4 << 20
+COUNTED = 1 << 18
 #: Least bits of a set's parity bitmap (a power of two, at least half the set's size),
 #: and bits of the folded one that list rows carry.
 BITS, FOLDED = 512, 256
@@ -76,8 +78,12 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
     names = ["rid", "doc_id", "n_shingles", "digest", "bits", "token", "times"]
 
     def counts(held: list[np.ndarray]) -> pa.RecordBatch:
-        token, times = np.unique(np.concatenate(held), return_counts=True)
-        token, times = token[times > 1].view(np.int64), times[times > 1]
+        every = np.concatenate(held)
+        every.sort()
+        edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1], True])
+        times = np.diff(edge)
+        twice = times > 1
+        token, times = every[edge[:-1][twice]].view(np.int64), times[twice]
         none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays([*none, pa.array(token), pa.array(times, pa.int64())], names=names)
 
@@ -310,7 +316,7 @@ def deduplicate(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int =
     full, rid = numbered(spark, docs, "join_full")
     rows = full.select(F.col(rid).alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     found = written(spark, link_components(spark, rows, n, percent), "join_found")
-    linked = found.where("n_shingles > 0")
+    linked = found.where("n_shingles > 0 AND component_id IS NOT NULL")
     keep = linked.groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("k")).select(F.col("k.rid").alias("rid"))
     drop = written(spark, linked.select("rid").join(keep, "rid", "left_anti"), "join_drop")
     drop = maybe_broadcast(drop, drop.count())

@@ -167,3 +167,46 @@ def test_copies_of_long_words_link(spark):
     filler = " ".join("".join(rnd.choice("xyz") for _ in range(200)) for _ in range(5500))  # a chunk of its own
     rows = [(i, t) for i, t in enumerate(texts[:1] + [filler] + texts[1:] + texts + near)]
     assert got(spark, rows, 3, 80) == brute(rows, 3, 80)
+
+
+def test_null_ids_stay_and_link_with_copies_only(spark, tmp):
+    rnd = random.Random(9)
+    base = sentence(rnd, 200).split()
+    near = [" ".join([*base[:100 + i], f"x{i}", *base[101 + i:]]) for i in range(4)]
+    rows = [(7, near[0]), (None, near[0]), (None, near[1]), (None, sentence(rnd, 60)), (None, sentence(rnd, 70)), (8, near[2])]
+    got = sorted(((-1 if i is None else i), -1 if c is None else c) for i, _, c in J.report(spark, docs(spark, rows), 3, 90).collect())
+    assert got == [(-1, -1), (-1, -1), (-1, -1), (-1, 7), (7, 7), (8, 7)]
+    kept = J.deduplicate(spark, stored(spark, docs(spark, rows), tmp))
+    assert sorted(r.text for r in kept.collect()) == sorted([near[0], near[1], rows[3][1], rows[4][1]])
+
+
+def test_profile_task_memory_is_bounded():
+    """The first pass holds little beside a chunk, however much text a task has."""
+    import tracemalloc
+
+    rnd = random.Random(1)
+    texts = [sentence(rnd, 3000, 10 ** 6) for _ in range(60)]
+
+    class Taken:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, task, _):
+            self.task = task
+
+    taken = Taken()
+    J._profiles(taken, 3)
+
+    def batches(n):
+        ids = pa.array(range(60), pa.int64())
+        for _ in range(n):
+            yield pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["rid", "doc_id", "text"])
+
+    peaks = []
+    for n in (2, 12):
+        tracemalloc.start()
+        for _ in taken.task(batches(n)):
+            pass
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert peaks[1] < 120 and peaks[1] < 1.3 * peaks[0]
