@@ -424,6 +424,27 @@ SQL_VERDICT = """SELECT "check", CAST(failures AS BIGINT) AS failures, status FR
 # ============================================================ sweep
 
 
+def q_verdict_damaged(spark, sf):
+    """V5 on a table with changed cells, values in a column that no header has, and runs left out."""
+    def build():
+        run = F.col("row_id")
+        long = _long(spark, sf).where(run % 100 != 5)
+        long = long.withColumn("Su", F.when((run % 10 == 3) & (F.col("Day") == 1), F.col("Su") + F.lit(1).cast("float")).otherwise(F.col("Su")))
+        long = long.withColumn("R", F.when(run % 10 == 4, F.lit(7).cast("float")).otherwise(F.col("R")))
+        p = scratch_path(spark, "long_damaged")
+        longtable.write_long(long, p)
+        return p
+    return V.validate(spark, D._once(("long_damaged", sf), build), _records(spark, sf), LONG_SCHEMA)
+
+
+SQL_VERDICT_DAMAGED = f"""WITH {SQL_LI}, l AS (SELECT li.* FROM li JOIN orders ON l_orderkey = o_orderkey),
+n AS (SELECT (SELECT count(DISTINCT l_orderkey) FROM l WHERE l_orderkey % 100 = 5) AS gone,
+             (SELECT count(*) FROM l WHERE (l_orderkey % 10 = 3 AND day = 1) OR l_orderkey % 10 = 4) AS cells),
+r AS (SELECT 'magic' AS "check", 0 AS failures UNION ALL SELECT 'schema', 0 UNION ALL SELECT 'rows', gone FROM n
+      UNION ALL SELECT 'values', cells FROM n UNION ALL SELECT 'verdict', 2)
+SELECT "check", CAST(failures AS BIGINT) AS failures, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM r"""
+
+
 def _days(spark, sf):
     from pyspark.sql import Window
     d = fx.table(spark, sf, "part").select(F.col("p_size").alias("day")).distinct()
@@ -952,6 +973,7 @@ QUERIES = {
     "values_check": (q_values_check, SQL_VALUES_CHECK),
     "schema_check": (q_schema_check, _schema_sql()),
     "verdict": (q_verdict, SQL_VERDICT),
+    "verdict_damaged": (q_verdict_damaged, SQL_VERDICT_DAMAGED),
     "grid": (q_grid, SQL_GRID),
     "seed_sweep": (q_seed_sweep, SQL_SEED_SWEEP),
     "study_product": (q_study_product, SQL_STUDY_PRODUCT),

@@ -121,3 +121,31 @@ def test_emptied_cells_fail(spark, tmp):
     assert bad["seed"] == 5 and bad["Su"] == 0
     assert {(r.Day, r.column, r.got) for r in V.value_mismatches(spark.read.parquet(f"{tmp}/seed"), recs).collect()} == {
         (0, "seed", None), (1, "seed", None)}
+
+
+def test_days_that_repeat_pass_and_are_told_apart(spark, tmp):
+    """Cells are multisets: a faithful table passes, a swapped value does not, an exchanged order does."""
+    text = "Day Su A/I\n0 1 1\n1 3 1\n1 9 2\n1 3 1\n"
+    recs = spark.createDataFrame([(1, 0, 7, text), (2, 0, 7, text)], "task_id long, params_id long, seed long, output_dat string")
+    good = explode_days(recs)
+    nine = (F.col("row_id") == 2) & (F.col("Su") == 9)
+    tables = {"good": (good, 0), "order": (good.orderBy(F.desc("Su")), 0),
+              "value": (good.withColumn("Su", F.when(nine, F.lit(3).cast("float")).otherwise(F.col("Su"))), 1),
+              "near": (good.withColumn("Su", F.col("Su") + F.lit(5e-7).cast("float")), 0)}
+    for name, (df, cells) in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp}/{name}")
+        table = spark.read.parquet(f"{tmp}/{name}")
+        out = {r.check: r.failures for r in V.validate(spark, f"{tmp}/{name}", recs).collect()}
+        assert (out["rows"], out["values"], out["verdict"]) == (0, cells, int(cells > 0)), name
+        assert sum(r.n_bad for r in V.check_values(table, recs).collect()) >= cells
+        if not cells:
+            assert all(r.n_bad == 0 for r in V.check_values(table, recs).collect()) and V.value_mismatches(table, recs).count() == 0
+
+
+def test_column_that_the_header_lacks_must_be_zero(spark, tmp):
+    recs = records(spark).where("task_id = 1")
+    explode_days(recs).withColumn("R", F.lit(7).cast("float")).write.parquet(f"{tmp}/r")
+    out = {r.check: (r.failures, r.status) for r in V.validate(spark, f"{tmp}/r", recs).collect()}
+    assert out["values"] == (2, "FAIL") and out["verdict"] == (1, "FAIL")
+    bad = {r.column: (r.n_checked, r.n_bad) for r in V.check_values(spark.read.parquet(f"{tmp}/r"), recs).collect()}
+    assert bad == {"seed": (2, 0), "Su": (2, 0), "A_I": (2, 0), "R": (0, 2)}
