@@ -29,6 +29,11 @@ def sample(labels: DataFrame, column: str, rows: int = SAMPLE) -> DataFrame:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, rows: int = SAMPLE) -> DataFrame:
-    """``doc_id, text, label`` of the sample's documents; the sample is broadcast, at most ``rows`` rows of it."""
+    """``doc_id, text, label`` of the sample's documents, one row per id: at most ``rows`` rows.
+
+    The sample is broadcast; rows that repeat an id are reduced to the
+    smallest text where they lie, before the shuffle (null only if all are).
+    """
     few = F.broadcast(sample(labels, column, rows))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, "doc_id")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")

@@ -185,7 +185,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["doc_id", "label", "x"])
 
     texts = labelled_texts(docs, labels, column, rows)
-    found = texts.mapInArrow(task, "doc_id long, label int, x array<double>").orderBy("doc_id", "x").limit(2 * rows).toPandas()
+    found = texts.mapInArrow(task, "doc_id long, label int, x array<double>").orderBy("doc_id").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(-1, len(STATISTICS))
     return fit(x, found["label"].to_numpy(float))
 

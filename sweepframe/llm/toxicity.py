@@ -160,9 +160,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str =
     marker = (a / n1) >= MARKER_RATIO * (b + 0.5) / n0
     chosen = F.broadcast(best[["word"]].pipe(spark.createDataFrame))
     few = counts.join(chosen, "word").select("doc_id", "label", "word", "times").toPandas()
-    every = texts.select("doc_id", "label").orderBy("doc_id").limit(2 * rows).toPandas()
-    ids = every["doc_id"].drop_duplicates().to_numpy()
-    label = every.groupby("doc_id")["label"].max().to_numpy()
+    every = texts.select("doc_id", "label").orderBy("doc_id").toPandas()  # one row an id, at most ``rows``
+    ids, label = every["doc_id"].to_numpy(), every["label"].to_numpy()
     row = np.searchsorted(ids, few["doc_id"].to_numpy())
     col = np.searchsorted(word, few["word"].to_numpy(np.int64).view(np.uint64))
     value = np.minimum(few["times"].to_numpy(), MOST).astype(float)

@@ -75,3 +75,11 @@ def test_awkward_rows_and_stage(spark):
     kept = Q.keep_good(spark, d, empty)
     assert kept.columns == d.columns and kept.count() == d.count()
     assert Q.keep_good(spark, docs(spark, []), empty).count() == 0
+
+
+def test_repeated_rows_are_one_training_row(spark):
+    rows = [(i, ("good words in a line. " if i % 2 else "x " * 9) * (1 + i % 7)) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    a = Q.train(spark, docs(spark, rows), labels)
+    b = Q.train(spark, docs(spark, rows * 3), labels, rows=120)
+    assert all(np.array_equal(x, y) for x, y in zip((a.split, a.cut, a.leaf), (b.split, b.cut, b.leaf)))

@@ -61,3 +61,15 @@ def test_awkward_rows(spark):
     out = X.score(spark, d, X.train(spark, d, none)).collect()
     assert len(out) == d.count() and len({r.expected_severity for r in out}) == 1
     assert X.score(spark, docs(spark, []), X.train(spark, d, none)).count() == 0
+
+
+def test_repeated_rows_change_nothing(spark):
+    """Documents that stand four times, some with another text, are one training row each, never more than the bound."""
+    rnd = random.Random(3)
+    rows = [(i, sentence(rnd, 30) + (" scum vile" if i % 5 == 0 else "")) for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)] * 2, "doc_id long, toxic int")
+    once = X.train(spark, docs(spark, rows), labels)
+    many = X.train(spark, docs(spark, rows * 4 + [(7, "zzz"), (7, None), (None, "scum")]), labels)
+    assert len(once.words) and np.array_equal(once.words, many.words) and np.allclose(once.weight, many.weight) and np.allclose(once.cuts, many.cuts)
+    bounded = X.train(spark, docs(spark, rows * 4), labels, rows=60)
+    assert len(bounded.cuts) == len(X.GRADES)
