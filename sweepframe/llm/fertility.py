@@ -8,8 +8,8 @@ share of byte-fallback pieces, and the entropy of its pieces as a share of
 the largest it could have.  Texts are grouped by language (by main script
 where that is unknown) and by doublings of their number of pieces, since
 entropy depends on length.  A group's band is its median plus or minus
-``SPREAD`` robust standard deviations (from the quartiles, at least ``FLOOR``
-of the median), each distinct set of measures counted once so that copies do
+``SPREAD`` robust standard deviations (from the quartiles, with a least one
+as a share of the median), each distinct set of measures counted once so that copies do
 not move it.  Medians come from counts per ``1 / BINS``: exact, the same in
 each run, over all documents.  Groups of fewer than ``SUPPORT`` distinct
 texts reject nothing.
@@ -45,8 +45,9 @@ from sweepframe.llm.textcore import SPACED, Table, Words, chunks, mix, raw_bytes
 MIN_WORDS, REPEATED = 50, 50
 #: Words of a window that is looked for twice.
 WINDOW = 3
-#: Robust standard deviations of a band to each side, its least one as a share of the median, and byte fallback's.
-SPREAD, FLOOR, FALLBACK_FLOOR = 5, 0.03, 0.02
+#: Robust standard deviations of a band to each side, and the least one: a share of the median for
+#: characters and for entropy, a plain number for byte fallback, whose median is mostly 0.
+SPREAD, FLOOR, ENTROPY_FLOOR, FALLBACK_FLOOR = 5, 0.01, 0.03, 0.02
 #: Distinct texts that a group must have to reject any.
 SUPPORT = 50
 #: Steps of a measure's counts to one.
@@ -235,7 +236,8 @@ def bands(measured: DataFrame) -> DataFrame:
         return F.min(F.when(F.col("upto") >= share * F.col("total"), F.col("bin"))) / BINS
 
     groups = counts.groupBy(*key).agg(F.first("total").alias("support"), at(0.25).alias("q1"), at(0.5).alias("mid"), at(0.75).alias("q3"))
-    floor = F.when(F.col("measure") == "byte_share", F.lit(FALLBACK_FLOOR)).otherwise(FLOOR * F.col("mid"))
+    floor = (F.when(F.col("measure") == "byte_share", F.lit(FALLBACK_FLOOR))
+             .when(F.col("measure") == "piece_entropy", ENTROPY_FLOOR * F.col("mid")).otherwise(FLOOR * F.col("mid")))
     side = SPREAD * F.greatest((F.col("q3") - F.col("q1")) / _QUARTILES, floor)
     groups = groups.select(*key, "support", (F.col("mid") - side).alias("low"), (F.col("mid") + side).alias("high"))
     one = [F.max(F.when(F.col("measure") == c, F.col(x))).alias(f"{x}_{c}") for c in MEASURES for x in ("low", "high")]

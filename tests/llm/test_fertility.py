@@ -90,7 +90,7 @@ def brute_bands(rows):
         for j in range(4):
             bins = sorted(math.floor(m[1 + j] * R.BINS) for m in sets)
             q1, mid, q3 = (bins[math.ceil(p * len(bins)) - 1] / R.BINS for p in (0.25, 0.5, 0.75))
-            s = R.SPREAD * max((q3 - q1) / 1.349, R.FALLBACK_FLOOR if j == 2 else R.FLOOR * mid)
+            s = R.SPREAD * max((q3 - q1) / 1.349, (R.FLOOR * mid, R.FLOOR * mid, R.FALLBACK_FLOOR, R.ENTROPY_FLOOR * mid)[j])
             side.append((mid - s, mid + s))
         out[key] = (len(sets), side)
     return out
