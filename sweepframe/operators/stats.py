@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sweepframe.functions.records import split_header
@@ -13,6 +13,10 @@ SIM_RE = r"^TIME:\s*SIM:\s*([0-9.]+)"
 EARLY_MARK = "EARLY-EXIT"
 PREVIEW_WIDTH = 80
 
+# Exact median: ranges counted in one step, and steps before the values left are ranked.
+RANGES = 4096
+NARROWINGS = 2
+
 
 def conversion_summary(records: DataFrame, long_rows: DataFrame, files: DataFrame,
                        block_size: int) -> DataFrame:
@@ -45,18 +49,29 @@ def duration_stats(d: DataFrame) -> DataFrame:
 
 
 def stdout_timings(stdout: DataFrame, file: str = "file") -> DataFrame:
-    """Per stdout file: last SETUP and SIM values and an early-exit flag."""
+    """Per stdout file: last SETUP and SIM values and an early-exit flag.
+
+    First per file split, by a plain position (fixed-width buffers, so a hash
+    aggregate that combines on the scan's side), then over a run's few splits.
+    """
     setup = F.regexp_extract("line", SETUP_RE, 1)
     sim = F.regexp_extract("line", SIM_RE, 1)
     is_setup = F.col("line").rlike(SETUP_RE)
     setup_v = F.when(is_setup, setup.try_cast("double"))
     sim_v = F.when(~is_setup & F.col("line").rlike(SIM_RE), sim.try_cast("double"))
-    per = stdout.select(file, "line_key", setup_v.alias("sv"), sim_v.alias("mv"),
+    chunk = [f.name for f in stdout.schema["line_key"].dataType.fields if f.name != "pos"]
+    per = stdout.select(F.col(file).alias("_run"), *[F.col("line_key")[c].alias(f"_{c}") for c in chunk],
+                        F.col("line_key.pos").alias("_pos"), setup_v.alias("sv"), sim_v.alias("mv"),
                         F.col("line").contains(EARLY_MARK).alias("early"))
-    return per.groupBy(file).agg(
-        F.max_by("sv", F.when(F.col("sv").isNotNull(), F.col("line_key"))).alias("setup"),
-        F.max_by("mv", F.when(F.col("mv").isNotNull(), F.col("line_key"))).alias("sim"),
-        F.max(F.col("early")).alias("early"))
+    keys = [f"_{c}" for c in chunk]
+
+    def last(value: str, order: Column) -> Column:
+        return F.max_by(value, F.when(F.col(value).isNotNull(), order)).alias(value)
+
+    split = per.groupBy("_run", *keys).agg(last("sv", F.col("_pos")), last("mv", F.col("_pos")), F.max("early").alias("early"))
+    order = F.struct(*keys) if keys else F.lit(0)
+    return split.groupBy("_run").agg(last("sv", order), last("mv", order), F.max("early").alias("early")).select(
+        F.col("_run").alias(file), F.col("sv").alias("setup"), F.col("mv").alias("sim"), "early")
 
 
 def split_early(timings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,13 +88,13 @@ def timing_summary(timings: DataFrame) -> DataFrame:
         F.struct(F.lit("SIM").alias("series"), F.col("sim").alias("v")),
         F.struct(F.lit("TOTAL").alias("series"), (F.col("setup") + F.col("sim")).alias("v")))).alias("x"))
     long = long.select("x.series", "x.v").where(F.col("v").isNotNull())
-    # at most three values per run: materialize once (reliable checkpoint in
-    # the shared folder) so the stdout scan is not repeated for the median
-    long = long.checkpoint(eager=True)
-    agg = long.groupBy("series").agg(
-        F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.avg("v").alias("mean"), F.sum("v").alias("total"))
-    agg = agg.join(exact_median(long, "series", "v"), "series", "left")
+    # distinct values with their counts: one shuffle, which every later step reads again
+    counted = long.groupBy("series", "v").agg(F.count(F.lit(1)).alias("times"))
+    agg = counted.groupBy("series").agg(
+        F.sum("times").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
+        (F.sum(F.col("v") * F.col("times")) / F.sum("times")).alias("mean"),
+        F.sum(F.col("v") * F.col("times")).alias("total"))
+    agg = agg.join(median_of_counts(counted, "series", "v", "times"), "series", "left")
     spark = timings.sparkSession
     names = spark.createDataFrame([("SETUP",), ("SIM",), ("TOTAL",)], "series string")
     out = names.join(agg, "series", "left")
@@ -87,20 +102,43 @@ def timing_summary(timings: DataFrame) -> DataFrame:
 
 
 def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Exact (interpolated) median per group without holding a group in one task.
+    """Exact (interpolated) median per group; null values take no part.
+
+    ``group`` names a few series: two rows of each are broadcast."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_times"))
+    return median_of_counts(counted, group, value, "_times")
 
-    Values are range-sorted by (group, value) and numbered (``sweep.index_rows``);
-    per group only the count and first number are aggregated, and the one or
-    two middle rows are picked by their numbers.
-    """
-    from sweepframe.operators.sweep import index_rows
 
-    ranked = index_rows(df.select(group, value), "_r", order_by=[group, value], start=0)
-    bounds = ranked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.min("_r").alias("_r0"))
-    lo = F.col("_r0") + F.floor((F.col("_n") - 1) / 2)
-    hi = F.col("_r0") + F.floor(F.col("_n") / 2)
-    mid = ranked.join(bounds, group).where((F.col("_r") == lo) | (F.col("_r") == hi))
-    return mid.groupBy(group).agg(F.avg(value).alias("median"))
+def median_of_counts(counted: DataFrame, group: str, value: str, times: str) -> DataFrame:
+    """Exact median per group of distinct values with counts, by selection.
+
+    The two middle ranks are looked for at once.  A step counts the values of
+    a rank's range in ``RANGES`` equal ranges between its least and greatest
+    value, and narrows to the one that holds the rank; the last step ranks the
+    distinct values that are left.  Nothing is sorted as a whole and nothing is
+    run while the plan is built; every step reads the shuffle of ``counted``.
+    """
+    v, n = F.col(value).cast("double"), F.col(times)
+    base = counted.select(F.col(group).alias("_g"), v.alias("_v"), n.alias("_n"))
+    size = base.groupBy("_g").agg(F.sum("_n").alias("_all"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    ranks = F.array(F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2))
+    picks = size.select("_g", F.posexplode(ranks).alias("_which", "_rank"), F.lit(0).cast("long").alias("_below"), "_lo", "_hi")
+    held = Window.partitionBy("_g", "_which").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    width = F.col("_hi") - F.col("_lo")
+    for step in range(NARROWINGS + 1):
+        if step < NARROWINGS:
+            cut = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * RANGES), F.lit(RANGES - 1).cast("long"))
+            where = F.when(width > 0, cut).otherwise(F.lit(0).cast("long"))
+        else:
+            where = F.col("_v")
+        inside = base.join(F.broadcast(picks), "_g").where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+        bins = inside.groupBy("_g", "_which", "_rank", "_below", where.alias("_bin")).agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        upto = F.col("_below") + F.sum("_n").over(held)
+        picks = (bins.withColumn("_upto", upto)
+                 .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+                 .select("_g", "_which", "_rank", (F.col("_upto") - F.col("_n")).alias("_below"), "_lo", "_hi"))
+    return picks.groupBy("_g").agg(F.avg("_lo").alias("median")).withColumnRenamed("_g", group)
 
 
 def log_stat(spark: SparkSession, path: str, records: DataFrame, block_size: int) -> DataFrame:
