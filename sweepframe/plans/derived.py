@@ -187,6 +187,10 @@ def params_csvs(spark: SparkSession, sf: str) -> list[str]:
     return _once(("pcsvs", sf), build)
 
 
+SNAPSHOT_FIELDS = ("agent_idx bigint, status tinyint, infection_prob float, position_x float, workgroup bigint, "
+                   "FIPS int, Tract int, withdrawn tinyint")
+
+
 def snapshots(spark: SparkSession, sf: str) -> str:
     """Agent snapshots from ``lineitem``: seed = return flag, run = line status,
     step directory = ``plt%05d`` of line number, agent = order key.

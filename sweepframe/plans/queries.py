@@ -56,7 +56,7 @@ def _stdout(spark, sf) -> DataFrame:
 
 
 def _snapshots(spark, sf) -> DataFrame:
-    return text.read_snapshots(spark, D.snapshots(spark, sf))
+    return text.read_snapshots(spark, D.snapshots(spark, sf), D.SNAPSHOT_FIELDS)
 
 
 # SQL: D1 day rows and runs
@@ -895,7 +895,8 @@ SELECT "group", field, first_step FROM (
 
 
 def _sims(spark, sf):
-    return A.merge_sims(_snapshots(spark, sf).withColumnRenamed("run", "run_path"))
+    runs = text.run_index(spark, D.snapshots(spark, sf)).withColumnRenamed("run", "run_path")
+    return A.merge_sims(_snapshots(spark, sf).withColumnRenamed("run", "run_path"), runs=runs)
 
 
 def q_merge_sims(spark, sf):
@@ -915,6 +916,19 @@ def q_merge_seeds(spark, sf):
 SQL_MERGE_SEEDS = f"WITH {SQL_SNAP} SELECT lower(seed) AS seed, count(*) AS n FROM s GROUP BY lower(seed)"
 
 
+def q_merge_sims_ordered(spark, sf):
+    """Runs in an order given beside them: the reverse of their names'."""
+    runs = text.run_index(spark, D.snapshots(spark, sf)).withColumnRenamed("run", "run_path")
+    order = runs.withColumn("run_no", F.when(F.col("run_path") == "run_O", 0).otherwise(1))
+    snap = _snapshots(spark, sf).withColumnRenamed("run", "run_path")
+    return A.merge_sims(snap, order=order, runs=runs).select("seed", "sim", "step", "agent_idx", "status")
+
+
+SQL_MERGE_SIMS_ORDERED = f"""WITH {SQL_SNAP}, m AS (
+  SELECT s.*, printf('sim_%03d', CAST(dense_rank() OVER (PARTITION BY seed ORDER BY run DESC) - 1 AS INTEGER)) AS sim FROM s)
+SELECT seed, sim, step, agent_idx, status FROM m"""
+
+
 def q_location_dim(spark, sf):
     return A.location_dim(_sims(spark, sf), cols=["FIPS", "Tract"])
 
@@ -1006,6 +1020,7 @@ QUERIES = {
     "narrow": (q_narrow, SQL_NARROW),
     "discover_fields": (q_discover_fields, SQL_DISCOVER_FIELDS),
     "merge_sims": (q_merge_sims, SQL_MERGE_SIMS),
+    "merge_sims_ordered": (q_merge_sims_ordered, SQL_MERGE_SIMS_ORDERED),
     "merge_seeds": (q_merge_seeds, SQL_MERGE_SEEDS),
     "location_dim": (q_location_dim, SQL_LOCATION_DIM),
     "require_runs": (q_require_runs, SQL_REQUIRE_RUNS),

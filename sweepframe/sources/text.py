@@ -9,7 +9,7 @@ grouped on it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
@@ -219,19 +219,56 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- S17
 
-def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """Agent snapshots laid out ``<root>/seed=<S>/run=<R>/plt=<step dir>/``.
+#: Rows of an index (one per run, or run and step) up to which it is broadcast.
+INDEX_ROWS = 1_000_000
 
-    ``step`` = position of the step directory name among the run's sorted
-    step directories.  The step index has one row per run and step: it is
-    joined normally, so AQE broadcasts it only when its runtime size is
-    small and splits skewed (run, step) partitions otherwise.  Columns
-    first written at a later step read null before (schema merge).
-    """
-    from pyspark.sql import Window
+_SNAPSHOT_DIR = r"seed=([^/]*)/run=([^/]*)/plt=([^/]*)/[^/]*$"
+
+
+def small_side(index: DataFrame, limit: int = INDEX_ROWS) -> DataFrame:
+    """A broadcast hint where a count shows at most ``limit`` rows; else the join is left to the shuffle."""
+    return F.broadcast(index) if index.limit(limit + 1).count() <= limit else index
+
+
+def snapshot_index(spark: SparkSession, root: str, types: StructType | None = None) -> DataFrame:
+    """``seed, run, plt, step`` of every step directory, from the file listing alone.
+
+    ``step`` = position of the directory name among the run's sorted ones; a
+    directory without data files is none.  Names are text, or of the ``types``
+    that a scan gave them."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(root).select("path"))
 
-    df = spark.read.option("mergeSchema", "true").parquet(root)
-    steps = df.select("seed", "run", "plt").distinct()
+    def name(i: int, c: str) -> Column:
+        part = F.regexp_extract("path", _SNAPSHOT_DIR, i)
+        text = F.coalesce(F.try_url_decode(F.regexp_replace(part, r"\+", "%2B")), part)
+        return text.cast(types[c].dataType if types is not None else "string").alias(c)
+
+    names = files.select(name(1, "seed"), name(2, "run"), name(3, "plt")).distinct()
     w = Window.partitionBy("seed", "run").orderBy("plt")
-    steps = steps.withColumn("step", (F.dense_rank().over(w) - 1).cast("int"))
-    return df.join(steps, ["seed", "run", "plt"]).drop("plt")
+    return names.withColumn("step", (F.row_number().over(w) - 1).cast("int"))
+
+
+def read_snapshots(spark: SparkSession, root: str, schema: StructType | str | None = None,
+                   limit: int = INDEX_ROWS) -> DataFrame:
+    """Agent snapshots laid out ``<root>/seed=<S>/run=<R>/plt=<step dir>/``.
+
+    Columns first written at a later step read null before.  With ``schema``
+    (the fields, without the directory columns) no footer is read to plan;
+    without it the schemas of all files are merged.  Steps come from the
+    listing (``snapshot_index``, one row per run and step), which is broadcast
+    up to ``limit`` rows, so agent rows stay where they are read.
+    """
+    if schema is None:
+        df = spark.read.option("mergeSchema", "true").parquet(root)
+    else:
+        fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        dirs = StructType.fromDDL("seed string, run string, plt string")
+        df = spark.read.schema(StructType(fields.fields + dirs.fields)).parquet(root)
+    index = snapshot_index(spark, root, df.schema)
+    return df.join(small_side(index, limit), ["seed", "run", "plt"]).drop("plt")
+
+
+def run_index(spark: SparkSession, root: str) -> DataFrame:
+    """``seed, run`` of every run that has a snapshot, from the file listing alone."""
+    return snapshot_index(spark, root).select("seed", "run").distinct()
