@@ -217,6 +217,15 @@ def snapshots(spark: SparkSession, sf: str) -> str:
     return _once(("snap", sf), build)
 
 
+def day_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """``task_id, output_dat``: per events user who viewed, ``Day Su`` and a line ``<event_id> <value>`` a view."""
+    view = fx.table(spark, sf, "events").where("event_type = 'view'")
+    lines = view.groupBy(F.col("user_id").alias("task_id")).agg(
+        F.sort_array(F.collect_list(F.struct("event_id", F.floor("value").alias("su")))).alias("d"))
+    body = F.array_join(F.transform("d", lambda x: F.concat_ws(" ", x["event_id"].cast("string"), x["su"].cast("string"))), "\n")
+    return lines.select("task_id", F.concat(F.lit("Day Su\n"), body, F.lit("\n")).alias("output_dat"))
+
+
 def day_table_files(spark: SparkSession, sf: str) -> str:
     """``output.dat`` text per nation run (``run=<nationkey>/``): header line
     ``Day Su``, then ``<custkey> <acctbal>`` per customer of the nation.

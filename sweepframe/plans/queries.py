@@ -199,11 +199,11 @@ FROM runs, bound GROUP BY o_custkey"""
 
 
 def q_header_split(spark, sf):
-    region = fx.table(spark, sf, "region")
-    nation = fx.table(spark, sf, "nation")
-    cnt = region.join(nation, region.r_regionkey == nation.n_regionkey, "left").groupBy("r_name").agg(
-        F.count("n_nationkey").alias("cnt"))
-    kvs = F.concat(F.lit("header=true,region="), F.col("r_name"), F.lit(",nations="),
+    """A header a customer: built from the number of its orders, then read back."""
+    cust, orders = fx.table(spark, sf, "customer"), fx.table(spark, sf, "orders")
+    n = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("cnt"))
+    cnt = cust.join(n, "c_custkey", "left").select(F.col("c_name").alias("r_name"), F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    kvs = F.concat(F.lit("header=true,customer="), F.col("r_name"), F.lit(",orders="),
                    F.col("cnt").cast("string"), F.lit(",note=a=b"))
     hdr = header_record(F.create_map(F.lit("USER"), F.lit("sweep")), kvs)
     recs = cnt.select(F.col("r_name").alias("path"), F.lit(0).cast("long").alias("block_idx"),
@@ -212,11 +212,10 @@ def q_header_split(spark, sf):
     return header_pairs(header)
 
 
-SQL_HEADER_SPLIT = """WITH r AS (SELECT r_name, count(n_nationkey) AS cnt FROM region
-                  LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name)
+SQL_HEADER_SPLIT = """WITH r AS (SELECT c_name AS r_name, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS cnt FROM customer)
 SELECT r_name AS path, 'USER' AS key, 'sweep' AS value FROM r
-UNION ALL SELECT r_name, 'region', r_name FROM r
-UNION ALL SELECT r_name, 'nations', CAST(cnt AS VARCHAR) FROM r
+UNION ALL SELECT r_name, 'customer', r_name FROM r
+UNION ALL SELECT r_name, 'orders', CAST(cnt AS VARCHAR) FROM r
 UNION ALL SELECT r_name, 'note', 'a' FROM r"""
 
 
@@ -465,7 +464,7 @@ FROM d, p, c, np, nc"""
 
 
 def _seed_sweep(spark, sf):
-    seeds = fx.table(spark, sf, "nation").select((F.col("n_nationkey") + 1).cast("long").alias("seed"))
+    seeds = fx.table(spark, sf, "customer").select((F.col("c_custkey") + 1).cast("long").alias("seed"))
     li = fx.table(spark, sf, "lineitem")
     return W.seed_sweep(seeds, W.value_table(li, "l_discount"), "input_8_v2", "output_8_v2")
 
@@ -477,7 +476,7 @@ def q_seed_sweep(spark, sf):
 SQL_SEED_SWEEP_CORE = """p AS (SELECT v AS p_trans, dense_rank() OVER (ORDER BY v) - 1 AS pos FROM (SELECT DISTINCT l_discount AS v FROM lineitem)),
 np AS (SELECT count(*) AS n FROM p),
 sw AS (SELECT CAST((s.seed - 1) * np.n + p.pos + 1 AS BIGINT) AS i, s.seed, p.p_trans
-       FROM (SELECT CAST(n_nationkey + 1 AS BIGINT) AS seed FROM nation) s, p, np)"""
+       FROM (SELECT CAST(c_custkey + 1 AS BIGINT) AS seed FROM customer) s, p, np)"""
 SQL_SEED_SWEEP = f"""WITH {SQL_SEED_SWEEP_CORE}
 SELECT i, seed, p_trans, 'input_8_v2_' || CAST(i AS VARCHAR) || '.bay' AS fname,
        'output_8_v2_' || CAST(i AS VARCHAR) || '.dat' AS output_fname FROM sw"""
@@ -656,16 +655,15 @@ SQL_REBASE_PATHS = (f"SELECT i, replace(config, '/data/', '../../../data/') AS c
 
 
 def q_render_delete(spark, sf):
-    n = fx.table(spark, sf, "nation")
-    runs = n.select((F.col("n_regionkey") * 1000 + F.col("n_nationkey")).alias("seed"),
-                    F.format_string("seed_%02d_%05d", F.col("n_nationkey"),
-                                    F.col("n_regionkey") * 1000 + F.col("n_nationkey")).alias("name"),
+    c = fx.table(spark, sf, "customer")
+    seed = F.col("c_nationkey") * 1000000 + F.col("c_custkey")
+    runs = c.select(seed.alias("seed"), F.format_string("seed_%02d_%08d", F.col("c_nationkey"), seed).alias("name"),
                     F.lit("2026-01-01 00:00").alias("stamp"))
     return G.render_delete(runs, D.nation_template(spark, sf)).select("name", "config")
 
 
 SQL_RENDER_DELETE = """WITH t AS (SELECT string_agg('nation.n' || n_nationkey || ' = ' || n_regionkey, chr(10) ORDER BY n_nationkey) AS body FROM nation),
-r AS (SELECT n_regionkey * 1000 + n_nationkey AS seed, printf('seed_%02d_%05d', n_nationkey, n_regionkey * 1000 + n_nationkey) AS name FROM nation)
+r AS (SELECT c_nationkey * 1000000 + c_custkey AS seed, printf('seed_%02d_%08d', c_nationkey, c_nationkey * 1000000 + c_custkey) AS name FROM customer)
 SELECT name, '# ' || name || ' generated 2026-01-01 00:00' || chr(10) || chr(10) || '# template' || chr(10) || 'id = 7' || chr(10)
   || t.body || chr(10) || 'agent.seed = ' || CAST(seed AS VARCHAR) || chr(10) || 'diag.output_filename = ' || name || '.dat' || chr(10) AS config
 FROM r, t"""
@@ -787,22 +785,36 @@ FROM events GROUP BY user_id"""
 
 
 def q_assemble_records(spark, sf):
+    """Whole records with their JSON text: series from stdout, day tables from each user's views (none: null)."""
     s = _series(spark, sf)
-    runs = fx.d2_runs(spark, sf).select(F.col("user_id").alias("task_id"), "start", "stop")
-    s = s.join(runs, "task_id").withColumn("cfg_id", F.lit(None).cast("string")) \
-         .withColumn("seed", F.lit(0).cast("long"))
-    day_tables = spark.createDataFrame([], "task_id bigint, output_dat string")
-    rec = R.assemble(s, day_tables, with_params_id=False)
-    return rec.select("task_id", "day_final", F.size("infected").alias("n_days"), "cfg_id", "seed",
-                      "start", "stop", to_record_json(rec).isNotNull().alias("encoded"))
-
-
-SQL_ASSEMBLE_RECORDS = """SELECT user_id AS task_id,
-  coalesce(arg_max(event_id, struct_pack(t := ts, e := event_id)) FILTER (WHERE event_type = 'click'), 0) AS day_final,
-  CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS n_days, CAST(NULL AS VARCHAR) AS cfg_id, CAST(0 AS BIGINT) AS seed,
-  min(date_diff('microsecond', TIMESTAMP '1970-01-01', ts) / 1e6) AS start,
-  max(date_diff('microsecond', TIMESTAMP '1970-01-01', ts) / 1e6) AS stop, true AS encoded
-FROM events GROUP BY user_id"""
+    u = F.col("user_id")
+    runs = fx.d2_runs(spark, sf).select(
+        u.alias("task_id"), F.when(u % 5 != 0, F.concat(F.lit("cfg_"), (u % 7).cast("string"))).alias("cfg_id"),
+        (u % 10).cast("long").alias("seed"), (u * 3).cast("string").alias("params_id"),
+        F.floor("start").alias("start"), F.floor("stop").alias("stop"))
+    rec = R.assemble(s.join(runs, "task_id"), D.day_tables(spark, sf))
+    return rec.select("task_id", "day_final", F.size("infected").alias("n_days"), "cfg_id", "params_id", "seed", "start",
+                      "stop", "output_dat", to_record_json(rec).alias("json"))
+
+
+SQL_ASSEMBLE_RECORDS = """WITH r AS (
+  SELECT user_id AS task_id,
+    coalesce(arg_max(event_id, struct_pack(t := ts, e := event_id)) FILTER (WHERE event_type = 'click'), 0) AS day_final,
+    CAST(count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS n_days,
+    coalesce(string_agg(CAST(CAST(floor(value) AS BIGINT) AS VARCHAR), ',' ORDER BY ts, event_id) FILTER (WHERE event_type = 'click'), '') AS infected,
+    coalesce(string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY ts, event_id) FILTER (WHERE event_type = 'click'), '') AS deaths,
+    CASE WHEN user_id % 5 <> 0 THEN 'cfg_' || (user_id % 7) END AS cfg_id, user_id * 3 AS params_id, user_id % 10 AS seed,
+    CAST(floor(min(date_diff('microsecond', TIMESTAMP '1970-01-01', ts) / 1e6)) AS BIGINT) AS start,
+    CAST(floor(max(date_diff('microsecond', TIMESTAMP '1970-01-01', ts) / 1e6)) AS BIGINT) AS stop,
+    'Day Su' || chr(10) || string_agg(CAST(event_id AS VARCHAR) || ' ' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR), chr(10)
+      ORDER BY event_id) FILTER (WHERE event_type = 'view') || chr(10) AS output_dat
+  FROM events GROUP BY user_id)
+SELECT task_id, day_final, n_days, cfg_id, params_id, seed, start, stop, output_dat,
+  '{"day_final":' || day_final || ',"infected":[' || infected || '],"deaths":[' || deaths || '],"output_dat":'
+  || coalesce('"' || replace(output_dat, chr(10), '\\n') || '"', 'null') || ',"task_id":' || task_id || ',"cfg_id":'
+  || coalesce('"' || cfg_id || '"', 'null') || ',"params_id":' || params_id || ',"seed":' || seed || ',"start":' || start
+  || ',"stop":' || stop || '}' AS json
+FROM r"""
 
 
 def _timings(spark, sf):
