@@ -2,7 +2,8 @@
 
 Every document is a set of n-word shingles, held as 64-bit hashes.  Shingles
 are ordered: first those not known to be frequent, by hash, then the
-frequent ones by count.  If two sets are similar enough, their prefixes of
+frequent ones by count (kept in ``COUNTERS`` counters over all documents,
+which shingles share; results do not depend on the order).  If two sets are similar enough, their prefixes of
 length ``size - least overlap + m`` share at least ``m`` shingles.  Each
 document picks its own ``m`` (1 to ``MAX_MATCHES``): the prefix grows by one
 shingle with each step, and the number of candidates, at most the sum of
@@ -26,7 +27,7 @@ whose id is null is linked with its exact copies only (without an id among
 them its component is null, and ``deduplicate`` keeps it);
 other columns pass through ``deduplicate``; no rows give no rows.
 
-What is broadcast: the frequent shingles (at most ``FREQUENT``), and id
+What is broadcast: the weights of the counters (``COUNTERS`` numbers), and id
 lists within ``BROADCAST_ROWS`` (else a shuffle join).
 """
 
@@ -48,9 +49,9 @@ from sweepframe.llm.components import components
 MAX_MATCHES = 4
 #: Cost of verifying a candidate, in postings scanned.
 VERIFY_COST = 16
-#: At most so many frequent shingles are told apart (12 bytes each).
-FREQUENT = 1 << 20
-#: Shingles counted together in a task's memory.
+#: Counters over all shingles, by the upper bits of their hashes (a power of two; 4 bytes each in a task).
+COUNTERS = 1 << 20
+#: Shingles added to the counters at a time.
 COUNTED = 1 << 18
 #: Least bits of a set's parity bitmap (a power of two, at least half the set's size),
 #: and bits of the folded one that list rows carry.
@@ -68,26 +69,24 @@ def parity(tokens: np.ndarray, off: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(base // 64, pa.int32()), pa.array(words))
 
 
-def _profiles(docs: DataFrame, n: int) -> DataFrame:
-    """One pass: a row per document with its set's size and digest, and rows of shingle counts.
+def counter_of(tokens: np.ndarray) -> np.ndarray:
+    """The counter of each shingle."""
+    return (tokens >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)
 
-    Counts are taken over ``COUNTED`` shingles at a time; those that occur
-    once there are left out (they only order the shingles, results do not depend on them).
-    """
-    schema = "rid long, doc_id long, n_shingles long, digest binary, bits array<long>, token long, times long"
-    names = ["rid", "doc_id", "n_shingles", "digest", "bits", "token", "times"]
 
-    def counts(held: list[np.ndarray]) -> pa.RecordBatch:
-        every = np.concatenate(held)
+def _profiles(docs: DataFrame, n: int) -> DataFrame:
+    """One pass: a row per document with its set's size and digest, and a task's counters that are not 0."""
+    schema = "rid long, doc_id long, n_shingles long, digest binary, bits array<long>, counter int, times long"
+    names = ["rid", "doc_id", "n_shingles", "digest", "bits", "counter", "times"]
+
+    def add(counters: np.ndarray, held: list[np.ndarray]) -> None:
+        every = np.concatenate([counter_of(t) for t in held])
         every.sort()
         edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1], True])
-        times = np.diff(edge)
-        twice = times > 1
-        token, times = every[edge[:-1][twice]].view(np.int64), times[twice]
-        none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([*none, pa.array(token), pa.array(times, pa.int64())], names=names)
+        counters[every[edge[:-1]]] += np.diff(edge).astype(np.uint32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(COUNTERS, np.uint32)
         held, n_held = [], 0
         for batch in batches:
             for lo, hi in tc.chunks(batch.column(2)):
@@ -97,27 +96,35 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
                 k = len(digest)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(np.diff(off), pa.int64()), pa.array(digest, pa.binary()),
-                     parity(tokens, off), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
+                     parity(tokens, off), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())], names=names)
                 held.append(tokens)
                 n_held += len(tokens)
                 if n_held >= COUNTED:
-                    yield counts(held)
+                    add(counters, held)
                     held, n_held = [], 0
-        if held:
-            yield counts(held)
+        if n_held:
+            add(counters, held)
+        used = np.flatnonzero(counters).astype(np.int32)
+        for at in range(0, len(used), COUNTED):
+            some = used[at:at + COUNTED]
+            none = [pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(some), pa.array(counters[some].astype(np.int64))], names=names)
 
     return docs.select("rid", "doc_id", "text").mapInArrow(task, schema)
 
 
-def _frequent(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, ascending, and their counts: at most ``FREQUENT``, since each has at
-    least that share of all that was counted."""
-    counted = profiles.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
-    total = profiles.agg(F.sum("times")).first()[0] or 0
-    rows = counted.where(F.col("times") > max(2, total // FREQUENT)).toPandas()
-    token = rows["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(token)
-    return token[order], rows["times"].to_numpy(np.int64)[order]
+def _frequent(profiles: DataFrame) -> np.ndarray:
+    """The weight of each counter: its count over all documents where that stands out, else 0.
+
+    A counter stands out by six standard deviations of an even spread, so
+    what is told apart is a share of the shingles that falls as they grow.
+    The counters reach the driver, ``COUNTERS`` numbers however many documents there are.
+    """
+    rows = profiles.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("times").alias("times")).toPandas()
+    count = np.zeros(COUNTERS, np.int64)
+    count[rows["counter"].to_numpy(np.int64)] = rows["times"].to_numpy(np.int64)
+    mean = count.sum() / COUNTERS
+    return np.where(count > mean + 6 * np.sqrt(mean) + 2, count, 0)
 
 
 def least_overlap(size, percent: int):
@@ -145,15 +152,12 @@ def prefix(tokens: np.ndarray, times: np.ndarray, percent: int) -> tuple[np.ndar
 
 def _prefixes(docs: DataFrame, n: int, percent: int, frequent) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = frequent.value
+        times = frequent.value
         for batch in batches:
             for lo, hi in tc.chunks(batch.column(1)):
                 part = batch.slice(lo, hi - lo)
                 tokens, off = tc.shingles(tc.words(part.column(1), tc.SPACED), n)
-                weight = np.zeros(len(tokens), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                    weight = np.where(known[at] == tokens, times[at], 0)
+                weight = times[counter_of(tokens)]
                 made = [prefix(tokens[a:b], weight[a:b], percent) if b > a else (tokens[:0], 0)
                         for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
                 ends = np.r_[0, np.cumsum([len(p) for p, _ in made])]
@@ -240,7 +244,7 @@ def link_components(spark: SparkSession, docs: DataFrame, n: int, percent: int)
     """
     arrow_batches(spark)
     profiles = written(spark, _profiles(docs, n), "join_profiles")
-    rows = profiles.where("token IS NULL").select("rid", "doc_id", "n_shingles", "digest", "bits")
+    rows = profiles.where("counter IS NULL").select("rid", "doc_id", "n_shingles", "digest", "bits")
     frequent = spark.sparkContext.broadcast(_frequent(profiles))
     groups = written(spark, rows.where("n_shingles > 0").groupBy("digest")
                      .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"),
