@@ -118,13 +118,15 @@ def _frequent(profiles: DataFrame) -> np.ndarray:
 
     A counter stands out by six standard deviations of an even spread, so
     what is told apart is a share of the shingles that falls as they grow.
-    The counters reach the driver, ``COUNTERS`` numbers however many documents there are.
+    Those that do reach the driver: fewer than ``COUNTERS``, however many documents there are.
     """
-    rows = profiles.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("times").alias("times")).toPandas()
-    count = np.zeros(COUNTERS, np.int64)
-    count[rows["counter"].to_numpy(np.int64)] = rows["times"].to_numpy(np.int64)
-    mean = count.sum() / COUNTERS
-    return np.where(count > mean + 6 * np.sqrt(mean) + 2, count, 0)
+    counted = profiles.where("counter IS NOT NULL")
+    mean = (counted.agg(F.sum("times")).first()[0] or 0) / COUNTERS
+    rows = (counted.groupBy("counter").agg(F.sum("times").alias("times"))
+            .where(F.col("times") > mean + 6 * mean ** 0.5 + 2).toPandas())
+    weight = np.zeros(COUNTERS, np.int64)
+    weight[rows["counter"].to_numpy(np.int64)] = rows["times"].to_numpy(np.int64)
+    return weight
 
 
 def least_overlap(size, percent: int):
