@@ -3,15 +3,16 @@
 Documents are range-sorted by id; each task encodes its range, appends the
 end id to each document and cuts the ids into shards of about ``SHARD_IDS``.
 In a shard, frequent pairs of neighbouring symbols are replaced by new
-symbols, round after round; the end id is never part of a pair, so no rule
-crosses a document.  The rules and the length each symbol expands to are
-stored with the shard, so a document, or any range of ids, is decoded
-without the rest of it.
+symbols until no pair is frequent; the end id is never part of a pair, so no rule
+crosses a document.  Symbols are numbered from the shard's own distinct ids
+on, so their width does not depend on the vocabulary.  The rules and the
+length each symbol expands to are stored with the shard, so a document, or
+any range of ids, is decoded without the rest of it.
 
 Shard format (one Parquet row each, little-endian): ``part, shard, first``
 (ids of the part before it), ``doc_ids``, ``n_tokens`` (per document, with
-the end id), ``grammar`` (uint32 left and right symbol and expansion length of each
-rule), ``symbols`` (uint16 while all symbols fit, else uint32), ``cuts``
+the end id), ``terminals`` (uint32 ids of the first symbols), ``grammar``
+(uint32 left and right symbol and expansion length of each rule), ``symbols`` (uint16 while all symbols fit, else uint32), ``cuts``
 (symbols up to each document's end) and ``base`` (the first rule's symbol).
 
 Defined results: null text is empty, its document is the end id alone;
@@ -25,6 +26,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,74 +36,118 @@ from pyspark.sql import functions as F
 
 from sweepframe.llm.common import arrow_batches, maybe_broadcast
 from sweepframe.llm.pieces import Cutter, byte_alphabet
-from sweepframe.llm.spans import KnownPieces, Spans, take_spans
+from sweepframe.llm.spans import BREAK, KnownPieces, Spans, take_spans
 from sweepframe.session import scratch_path
 
 SHARD_IDS = 1 << 19
-ROUNDS = 4
-#: A pair is replaced while it occurs this often in its shard.
+#: Pairs are replaced until none occurs this often in its shard.
 MIN_COUNT = 6
-#: Pieces whose ids a task remembers.
-CACHE = 400_000
-#: Characters cut into pieces at once.
+#: Pieces whose ids a worker remembers.
+CACHE = 1_000_000
+#: Characters cut into pieces at once, and handed to the library's model at once.
 GROUP = 2 << 20
+CALL = 1 << 16
+
+_BREAK_BYTES = chr(BREAK).encode()
+_ODD = np.random.default_rng(8).integers(1 << 63, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 SHARDS = ("part int, shard int, first long, n_ids long, base int, doc_ids array<long>, n_tokens array<int>, "
-          "grammar binary, symbols binary, cuts binary")
+          "terminals binary, grammar binary, symbols binary, cuts binary")
 
 
-def compress(ids: np.ndarray, end: int, base: int, rounds: int = ROUNDS, least: int = MIN_COUNT,
+def compress(ids: np.ndarray, end: int, base: int, least: int = MIN_COUNT,
              room: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Re-Pair in rounds: ``(symbols, rules)`` with rule ``i`` standing for symbol ``base + i``.
-
-    A round counts all neighbouring pairs, takes the most frequent of those that
-    occur at least ``least`` times, as many as the round's share of the free
-    symbols, and replaces their occurrences from left to right.
+    """Re-Pair: ``(symbols, rules)`` with rule ``i`` standing for symbol ``base + i``.
+
+    Pairs are replaced until none occurs ``least`` times without overlap (or
+    until ``room`` rules are used).  A round replaces every occurrence that
+    neither overlaps one of a more frequent pair nor belongs to a pair left
+    with fewer than ``least`` such occurrences; the most frequent pair always
+    goes.  A pair's count never grows once its symbols exist, so only
+    ``live`` places are counted again: those of pairs that stayed frequent
+    and those next to a replacement.
     """
     sym = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     used = 0
-    room = max(0, (1 << 16) - base) if room is None else room
-    kind, half, low = (np.uint32, np.uint32(16), np.uint32(0xFFFF)) if base + room <= 1 << 16 else (
-        np.uint64, np.uint64(32), np.uint64(0xFFFFFFFF))
-    for left_rounds in range(rounds, 0, -1):
-        if len(sym) < 2 or used >= room:
-            break
-        key = sym[:-1].astype(kind) << half | sym[1:]
-        spans = np.flatnonzero((sym[:-1] != end) & (sym[1:] != end))
-        pairs, count = _count(key[spans])
-        often = count >= least
-        pairs, count = pairs[often], count[often]
+    live = np.flatnonzero((sym[:-1] != end) & (sym[1:] != end))
+    while len(live) and (room is None or used < room):
+        kind, half = (np.uint32, 16) if base + used <= 1 << 16 else (np.uint64, 32)
+        left, right = sym[live].astype(kind), sym[live + 1].astype(kind)
+        key = left << kind(half) | right
+        even = _without_overlap(live, left == right)
+        bits = max(8, min(20, len(key).bit_length()))
+        slot = _slots(key, bits)
+        maybe = np.flatnonzero((np.bincount(slot if even.all() else slot[even], minlength=1 << bits) >= least)[slot])
+        live, key, even, slot = live[maybe], key[maybe], even[maybe], slot[maybe]
+        pairs, count = _count(key[even])
+        pairs, count = pairs[count >= least], count[count >= least]
         if not len(pairs):
             break
-        share = -(-(room - used) // left_rounds)  # rules are kept for later rounds, whose pairs are longer
-        if len(pairs) > share:
-            top = np.argpartition(-count, share - 1)[:share]
-            pairs = np.sort(pairs[top])
-        left, right = (pairs >> half).astype(np.int64), (pairs & low).astype(np.int64)
-        begins, ends = np.zeros(base + used, bool), np.zeros(base + used, bool)
-        begins[left], ends[right] = True, True
-        where = spans[begins[sym[spans]] & ends[sym[spans + 1]]]
-        at = np.minimum(np.searchsorted(pairs, key[where]), len(pairs) - 1)
-        hit = pairs[at] == key[where]
-        where, at = where[hit], at[hit]
-        # of a run of overlapping occurrences, every other one
-        start = np.r_[True, np.diff(where) != 1]
-        run = np.maximum.accumulate(np.where(start, np.arange(len(where)), 0))
-        even = (np.arange(len(where)) - run) % 2 == 0
-        where, at = where[even], at[even]
-        seen = np.flatnonzero(np.bincount(at, minlength=len(pairs)))
+        at = _find(pairs, key, slot, bits)
+        hit = np.flatnonzero(at >= 0)
+        live, at, even = live[hit], at[hit], even[hit]
+        where, at = live[even], at[even]
+        place = np.empty(len(pairs), np.int64)  # 0 is the most frequent pair
+        place[np.argsort(-count, kind="stable")] = np.arange(len(pairs))
+        order = place[at]
+        loses = np.zeros(len(where), bool)
+        beside = where[1:] == where[:-1] + 1
+        loses[1:] |= beside & (order[1:] > order[:-1])
+        loses[:-1] |= beside & (order[:-1] > order[1:])
+        where, at = where[~loses], at[~loses]
+        done = np.bincount(at, minlength=len(pairs))
+        chosen = np.flatnonzero(done >= least)
+        if room is not None and len(chosen) > room - used:
+            chosen = np.sort(chosen[np.argsort(-done[chosen], kind="stable")[:room - used]])
         number = np.zeros(len(pairs), np.uint32)
-        number[seen] = base + used + np.arange(len(seen))
+        number[chosen] = base + used + np.arange(len(chosen))
+        mine = number[at] > 0
+        where, at = where[mine], at[mine]
+        rules.append(np.column_stack([pairs[chosen] >> kind(half), pairs[chosen] & kind((1 << half) - 1)]).astype(np.uint32))
+        used += len(chosen)
+        again = np.zeros(len(sym), bool)
+        again[live] = True
         sym[where] = number[at]
-        rules.append(np.column_stack([left[seen], right[seen]]).astype(np.uint32))
-        used += len(seen)
         keep = np.ones(len(sym), bool)
         keep[where + 1] = False
-        sym = sym[keep]
+        sym, again = sym[keep], again[keep]
+        new = where - np.arange(len(where))
+        again[new] = True
+        again[new[new > 0] - 1] = True
+        live = np.flatnonzero(again[:-1])
+        live = live[(sym[live] != end) & (sym[live + 1] != end)]
     return sym, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
+def _without_overlap(live: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Every other place of a run of one symbol; all other places."""
+    twin = np.flatnonzero(same)
+    out = np.ones(len(live), bool)
+    if len(twin):
+        first = np.r_[True, np.diff(live[twin]) != 1]
+        begin = np.maximum.accumulate(np.where(first, np.arange(len(twin)), 0))
+        out[twin] = (np.arange(len(twin)) - begin) % 2 == 0
+    return out
+
+
+def _slots(key: np.ndarray, bits: int) -> np.ndarray:
+    """One of ``2 ** bits`` counters for each pair; pairs share them."""
+    return (key.astype(np.uint64) * _ODD >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _find(pairs: np.ndarray, key: np.ndarray, slot: np.ndarray, bits: int) -> np.ndarray:
+    """Index of each key in the sorted ``pairs``, or -1: by slot, and by search where two pairs share one."""
+    table = np.zeros(1 << bits, np.int32)
+    mine = _slots(pairs, bits)
+    table[mine] = np.arange(len(pairs))
+    at = table[slot]
+    miss = np.flatnonzero(pairs[at] != key)
+    near = np.minimum(np.searchsorted(pairs, key[miss]), len(pairs) - 1)
+    at[miss] = np.where(pairs[near] == key[miss], near, -1)
+    return at
+
+
 def _count(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     key = np.sort(key)
     if not len(key):
@@ -126,18 +172,26 @@ def lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return out
 
 
-def expand(sym: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for, level by level."""
-    sym = sym.astype(np.uint32)
-    while len(rules) and (big := sym >= base).any():
-        size = 1 + big
-        at = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), np.uint32)
+def expand(sym: np.ndarray, rules: np.ndarray, base: int, length: np.ndarray | None = None) -> np.ndarray:
+    """The ids that symbols stand for: each level of the rules writes its ids in place."""
+    length = lengths(rules, base) if length is None else length
+
+    def sizes(s: np.ndarray) -> np.ndarray:
+        n = np.ones(len(s), np.int64)
+        big = s >= base
+        n[big] = length[s[big] - base]
+        return n
+
+    sym = sym.astype(np.int64)
+    n = sizes(sym)
+    at = np.cumsum(n) - n
+    out = np.empty(int(n.sum()), np.uint32)
+    while len(sym):
+        big = sym >= base
         out[at[~big]] = sym[~big]
-        rule = rules[sym[big] - base]
-        out[at[big]], out[at[big] + 1] = rule[:, 0], rule[:, 1]
-        sym = out
-    return sym
+        rule, at = rules[sym[big] - base].astype(np.int64), at[big]
+        sym, at = np.concatenate([rule[:, 0], rule[:, 1]]), np.concatenate([at, at + sizes(rule[:, 0])])
+    return out
 
 
 class Shard:
@@ -145,6 +199,7 @@ class Shard:
 
     def __init__(self, row: dict):
         self.base = row["base"]
+        self.terminals = np.frombuffer(row["terminals"], "<u4")
         table = np.frombuffer(row["grammar"], "<u4").reshape(-1, 3)
         self.rules, self.length = table[:, :2], table[:, 2].astype(np.int64)
         cuts = np.frombuffer(row["cuts"], "<u4").astype(np.int64)
@@ -153,7 +208,7 @@ class Shard:
         self.cuts = np.r_[0, cuts]
 
     def document(self, k: int) -> np.ndarray:
-        return expand(self.sym[self.cuts[k]:self.cuts[k + 1]], self.rules, self.base)
+        return self._expand(self.sym[self.cuts[k]:self.cuts[k + 1]])
 
     def ids(self, lo: int, hi: int) -> np.ndarray:
         """Ids ``lo`` to ``hi`` of the shard, expanding only the symbols that hold them."""
@@ -163,14 +218,22 @@ class Shard:
         ends = np.cumsum(size)
         a, b = np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi, "left") + 1
         skip = lo - (ends[a] - size[a]) if a < len(ends) else 0
-        return expand(self.sym[a:b], self.rules, self.base)[skip:skip + hi - lo]
+        return self._expand(self.sym[a:b])[skip:skip + hi - lo]
 
     def all(self) -> np.ndarray:
-        return expand(self.sym, self.rules, self.base)
+        return self._expand(self.sym)
+
+    def _expand(self, sym: np.ndarray) -> np.ndarray:
+        return self.terminals[expand(sym, self.rules, self.base, self.length)]
 
 
-def _pack(part: int, shard: int, first: int, doc_ids: list, sizes: list[int], ids: np.ndarray, end: int, base: int) -> dict:
-    sym, rules = compress(ids, end, base)
+def _pack(part: int, shard: int, first: int, doc_ids: list, sizes: list[int], ids: np.ndarray, end: int, vocab: int) -> dict:
+    have = np.zeros(vocab, bool)
+    have[ids] = True
+    terminals = np.flatnonzero(have)
+    base = len(terminals)
+    number = np.cumsum(have) - 1
+    sym, rules = compress(number[ids], int(number[end]), base)
     # each document's last symbol is its end id; an end id inside a text is told apart by the ids' lengths
     length = np.ones(len(sym), np.int64)
     rule_len = lengths(rules, base)
@@ -179,7 +242,8 @@ def _pack(part: int, shard: int, first: int, doc_ids: list, sizes: list[int], id
     cuts = np.searchsorted(np.cumsum(length), np.cumsum(sizes)) + 1
     small = base + len(rules) <= 1 << 16
     return {"part": part, "shard": shard, "first": first, "n_ids": len(ids), "base": base, "doc_ids": doc_ids,
-            "n_tokens": sizes, "grammar": np.column_stack([rules, rule_len]).astype("<u4").tobytes(),
+            "n_tokens": sizes, "terminals": terminals.astype("<u4").tobytes(),
+            "grammar": np.column_stack([rules, rule_len]).astype("<u4").tobytes(),
             "symbols": sym.astype("<u2" if small else "<u4").tobytes(), "cuts": cuts.astype("<u4").tobytes()}
 
 
@@ -198,13 +262,43 @@ class LibraryEncoder:
         spec = json.loads(spec_text)
         self.cutter = Cutter.of(spec)
         self.lib = Tokenizer.from_str(spec_text)
-        self.chars = dict(enumerate(byte_alphabet()))
+        alphabet = [*byte_alphabet()]
+        self.chars = dict(enumerate(alphabet))
+        # the same model for many pieces at once: 0xFF (never in UTF-8) stands for the line end between
+        # pieces, which no byte is mapped to; it gets an id of its own
+        vocab = spec["model"]["vocab"]
+        self.between = max(vocab.values()) + 1
+        self.many = Tokenizer.from_str(json.dumps({
+            **spec, "added_tokens": [], "normalizer": None, "post_processor": None, "truncation": None, "padding": None,
+            "pre_tokenizer": {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Isolated", "invert": False},
+            "model": {**spec["model"], "vocab": {**vocab, "\n": self.between}}}))
+        self.codes = np.array([*map(ord, alphabet[:255]), ord("\n")], "<u2")
         self.known = KnownPieces()
 
     def piece_ids(self, piece: str) -> list[int]:
         """A piece is what the library's splitter hands to its model, byte by byte."""
         return [t.id for t in self.lib.model.tokenize(piece.encode().decode("latin-1").translate(self.chars))]
 
+    def pieces_ids(self, spans: Spans, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many pieces of plain texts, one after another, and how many each has."""
+        length = spans.end[which] - spans.start[which] + 1
+        ids, sizes = [], []
+        at = np.cumsum(length) - length
+        cuts = np.r_[np.flatnonzero(np.r_[True, np.diff(at // CALL) > 0]), len(which)]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if a == b:
+                continue
+            n = length[a:b]
+            chars = spans.chars[take_spans(spans.start[which[a:b]], n)]
+            chars[np.cumsum(n) - 1] = BREAK
+            raw = chars.tobytes().decode("utf-32-le").encode().replace(_BREAK_BYTES, b"\xff")
+            line = self.codes[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le")
+            found = np.array(self.many.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(found == self.between)
+            ids.append(found[found != self.between])
+            sizes.append(np.diff(np.r_[-1, ends]) - 1)
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         group: list[int] = []
@@ -226,13 +320,18 @@ class LibraryEncoder:
     def _encode_plain(self, texts: list[str], group: list[int], out: list) -> None:
         spans = Spans([texts[i] for i in group])
         h = spans.hashes()
-        distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
+        order = np.argsort(h)
+        ordered = h[order]
+        new = np.r_[True, ordered[1:] != ordered[:-1]][:len(h)]
+        distinct, first = ordered[new], order[new]
+        which = np.empty(len(h), np.int64)
+        which[order] = np.cumsum(new) - 1
         _, have = self.known.find(distinct)
         new = np.flatnonzero(~have)
         if len(self.known.hash) + len(new) > CACHE:
             self.known, new = KnownPieces(), np.arange(len(distinct))
         if len(new):
-            self.known.add(distinct[new], [self.piece_ids(spans.piece(i)) for i in first[new].tolist()])
+            self.known.append(distinct[new], *self.pieces_ids(spans, first[new]))
         place, _ = self.known.find(distinct)
         at, size = self.known.at[place][which], self.known.size[place][which]
         ids = self.known.ids[take_spans(at, size)]
@@ -241,6 +340,12 @@ class LibraryEncoder:
             out[i] = ids[a:b]
 
 
+@lru_cache(1)
+def shared_encoder(spec_text: str) -> LibraryEncoder:
+    """A worker's encoder, kept with the pieces it knows from one task to the next."""
+    return LibraryEncoder(spec_text)
+
+
 def write_shards(spark: SparkSession, docs: DataFrame, vocab: str, path: str, end: int = 2) -> None:
     """Encode ``docs (doc_id, text)`` and write their shards to ``path``, ids ascending over parts and shards.
 
@@ -254,20 +359,22 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocab: str, path: str, en
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard, first = TaskContext.get().partitionId(), 0, 0
-        encoder, base = None, 0
+        encoder, vocab_size = None, 0
         names: list = []
         sizes: list[int] = []
         held: list[np.ndarray] = []
         n = 0
 
         def out():
-            row = _pack(part, shard, first, names, sizes, np.concatenate(held), end, base)
+            row = _pack(part, shard, first, names, sizes, np.concatenate(held), end, vocab_size)
             return pa.RecordBatch.from_pylist([row], schema=arrow_schema)
 
         for batch in batches:
             if encoder is None:
-                encoder = LibraryEncoder(spec.value)
-                base = encoder.lib.get_vocab_size(True)
+                from sweepframe.llm.repair import shared_encoder  # the worker's own module, not this task's copy
+
+                encoder = shared_encoder(spec.value)
+                vocab_size = max(encoder.lib.get_vocab(True).values()) + 1
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode([t or "" for t in batch.column(1).to_pylist()])):
                 names.append(doc_id)
                 sizes.append(len(ids) + 1)
@@ -282,7 +389,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, vocab: str, path: str, en
 
     arrow_schema = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()),
                               ("base", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())),
-                              ("grammar", pa.binary()), ("symbols", pa.binary()), ("cuts", pa.binary())])
+                              ("terminals", pa.binary()), ("grammar", pa.binary()), ("symbols", pa.binary()), ("cuts", pa.binary())])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.monotonically_increasing_id().alias("rid"))
     ranged = rows.repartitionByRange("doc_id", "rid").sortWithinPartitions("doc_id", "rid").select("doc_id", "text")
     ranged.mapInArrow(task, SHARDS).write.parquet(path)

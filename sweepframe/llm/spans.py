@@ -15,23 +15,23 @@ from sweepframe.llm.pieces import _COMMON
 from sweepframe.llm.textcore import mix
 
 #: Stands between texts; no text has it.
-_BREAK = 0xFFFF
+BREAK = 0xFFFF
 _SIGN, _LETTER, _DIGIT, _SPACE, _EDGE = range(5)
 
-_CLASS = np.full(_BREAK + 1, _SIGN, np.uint8)
+_CLASS = np.full(BREAK + 1, _SIGN, np.uint8)
 for _cp in _COMMON:
     _CLASS[_cp] = (_LETTER if regex.match(r"\p{L}", chr(_cp)) else _DIGIT if regex.match(r"\p{N}", chr(_cp))
                    else _SPACE if regex.match(r"\s", chr(_cp)) else _SIGN)
-_CLASS[_BREAK] = _EDGE
+_CLASS[BREAK] = _EDGE
 _ODD = np.random.default_rng(30).integers(1 << 63, size=4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_CODE = np.random.default_rng(31).integers(1 << 63, size=_BREAK + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_CODE = np.random.default_rng(31).integers(1 << 63, size=BREAK + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class Spans:
     """Pieces of texts as spans of ``chars``: ``start``, ``end`` and ``first`` (each text's first piece, n + 1)."""
 
     def __init__(self, texts: list[str]):
-        brk = chr(_BREAK)
+        brk = chr(BREAK)
         self.chars = chars = np.frombuffer((brk + brk.join(texts) + brk).encode("utf-32-le"), np.uint32)
         kind = _CLASS[chars]
         gap = np.flatnonzero(kind == _EDGE)
@@ -100,8 +100,12 @@ class KnownPieces:
 
     def add(self, h: np.ndarray, ids: list[list[int]]) -> None:
         size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.append(h, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum())), size)
+
+    def append(self, h: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """New pieces: their hashes, their ids one after another, and how many each has."""
         at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))])
+        self.ids = np.concatenate([self.ids, ids])
         every = np.concatenate([self.hash, h])
         order = np.argsort(every)
         self.hash = every[order]

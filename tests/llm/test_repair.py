@@ -66,3 +66,45 @@ def test_ids_are_read_back(spark):
 
 def test_empty(spark):
     assert R.roundtrip_digests(spark, docs(spark, []), FILE).count() == 0
+
+
+def frequent(sym, end):
+    """Largest count of a pair without overlap, over pairs without the end id."""
+    counts, taken = {}, {}
+    for i, pair in enumerate(zip(sym[:-1], sym[1:])):
+        if end not in pair and taken.get(pair, -2) != i - 1:
+            counts[pair] = counts.get(pair, 0) + 1
+            taken[pair] = i
+    return max(counts.values(), default=0)
+
+
+@pytest.mark.parametrize("base", [50257, 70000])
+def test_no_frequent_pair_is_left(base):
+    rnd = np.random.default_rng(base)
+    text = rnd.integers(3, base, 1000)
+    copies = np.concatenate([np.r_[text, 2]] * 100)
+    rare = np.r_[rnd.integers(3, base, 70_000), np.tile(np.arange(3, base), 1)]
+    runs = np.concatenate([np.r_[np.repeat(7, n), 2] for n in rnd.integers(1, 300, 200)])
+    mixed = np.minimum(rnd.geometric(0.02, 30_000) + 2, base - 1)
+    for ids in (copies, rare, runs, mixed, np.r_[copies, runs, mixed]):
+        sym, rules = R.compress(ids, 2, base)
+        assert frequent(sym.tolist(), 2) < R.MIN_COUNT
+        assert np.array_equal(R.expand(sym, rules, base), ids)
+    assert len(R.compress(copies, 2, base)[0]) == 200  # a symbol for the text, and the end id
+
+
+def test_wide_symbols():
+    """A shard of more than 2^16 distinct ids keeps its rules, and is read back by random access."""
+    ids = np.r_[np.arange(70_000), np.tile([9, 8, 7], 50), 2]
+    row = R._pack(0, 0, 0, [1], [len(ids)], ids, 2, 70_000)
+    shard = R.Shard(row)
+    assert len(shard.rules) and len(row["symbols"]) == 4 * len(shard.sym)
+    assert np.array_equal(shard.document(0), ids) and np.array_equal(shard.ids(69_990, 70_020), ids[69_990:70_020])
+
+
+def test_many_pieces_at_once_equal_the_library():
+    enc, lib = R.LibraryEncoder(open(FILE, encoding="utf-8").read()), Tokenizer.from_file(FILE)
+    texts = ["", "\x00\x00 a\x00b", "\n\n x\n", "ÿþ é€ ÿ", " " * 5000, "x" * (R.CALL + 10), "don't I'll 12 34\t\r\n", "Ċ Ġ"] * 2
+    texts += ["".join(chr(c) for c in np.random.default_rng(s).integers(0, 0x370, 3000)) for s in range(20)]
+    for got, text in zip(enc.encode(texts), texts):
+        assert got.tolist() == lib.encode(text, add_special_tokens=False).ids
