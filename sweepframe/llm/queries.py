@@ -101,7 +101,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op9_sql() -> str:
-    """The rules, then one pair of steps for each level of the template tree."""
+    """The rules, then the template tree level by level."""
     u = url_filter
     rest = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END"
     az, low = string.ascii_uppercase, string.ascii_lowercase
@@ -111,35 +111,45 @@ def _op9_sql() -> str:
         f"WHEN (host = '{r[:cut[r]]}' OR ends_with(host, '.{r[:cut[r]]}')) AND starts_with(path, '{r[cut[r]:]}') THEN '{r}'"
         for _, r in ordered) + " END"
     said = "CASE " + " ".join(f"WHEN rule = '{r}' THEN '{v}'" for v, r in ordered) + " END"
-    d = u.DEPTH
-    out = f"""
-WITH p0 AS (SELECT page_id, {rest} AS rest FROM pages),
+    return f"""
+WITH RECURSIVE p0 AS (SELECT page_id, {rest} AS rest FROM pages),
 p1 AS (SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{az}', '{low}'), '') AS host,
               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p0),
 p2 AS (SELECT *, {rule} AS rule,
-              list_filter(string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/'), lambda s: s <> '') AS parts FROM p1),
-p3 AS (SELECT page_id, host, path, rule, {said} AS said,
-              CASE WHEN len(parts) > {d} THEN list_concat(parts[1:{d}], ['**']) ELSE parts END AS shape FROM p2),
+              list_filter(string_split(replace(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '*', '%2A'), '/'),
+                          lambda s: s <> '') AS shape FROM p1),
+p3 AS (SELECT *, {said} AS said FROM p2),
 v AS (SELECT host, shape, count(*) AS n, sum(CASE WHEN said = 'block' THEN 1 ELSE 0 END) AS b FROM p3 GROUP BY ALL),
 h AS (SELECT host, sum(n) AS pn, sum(b) AS pb FROM v GROUP BY host),
-l0 AS (SELECT v.host, shape, n, b, '' AS template, pn, pb,
-              (pb + {u.PRIOR_WEIGHT} * CAST({u.PRIOR} AS DOUBLE)) / (pn + {u.PRIOR_WEIGHT}) AS purity FROM v JOIN h USING (host))"""
-    for i in range(d + 1):
-        out += f""",
-s{i} AS (SELECT *, coalesce(shape[{i + 1}], '') AS t FROM l{i}),
-c{i} AS (SELECT *, CASE WHEN t = '' THEN template WHEN bn >= {u.MIN_SUPPORT} AND
-                abs(bb / bn - pb / pn) > {u.Z} * sqrt((pb / pn) * (1 - pb / pn) / bn)
-                THEN template || '/' || t ELSE template || '/*' END AS deeper
-         FROM (SELECT *, sum(n) OVER w AS bn, sum(b) OVER w AS bb FROM s{i} WINDOW w AS (PARTITION BY host, template, t))),
-l{i + 1} AS (SELECT host, shape, n, b, deeper AS template,
-                CASE WHEN t = '' THEN pn ELSE gn END AS pn, CASE WHEN t = '' THEN pb ELSE gb END AS pb,
-                CASE WHEN t = '' THEN purity ELSE (gb + {u.PRIOR_WEIGHT} * purity) / (gn + {u.PRIOR_WEIGHT}) END AS purity
-         FROM (SELECT *, sum(n) OVER w AS gn, sum(b) OVER w AS gb FROM c{i}
-               WINDOW w AS (PARTITION BY host, deeper, t = '')))"""
-    return out + f"""
+lev AS (
+  SELECT 0 AS i, v.host, shape, CAST(n AS DOUBLE) AS n, CAST(b AS DOUBLE) AS b, v.host AS node,
+         CAST(pn AS DOUBLE) AS pn, CAST(pb AS DOUBLE) AS pb,
+         (pb + {u.PRIOR_WEIGHT} * CAST({u.PRIOR} AS DOUBLE)) / (pn + {u.PRIOR_WEIGHT}) AS purity FROM v JOIN h USING (host)
+  UNION ALL
+  (WITH s AS (SELECT *, shape[i + 1] AS seg FROM lev WHERE len(shape) > i AND pn >= {u.MIN_SUPPORT}),
+   c AS (SELECT node, seg, any_value(pn) AS pn, any_value(pb) AS pb, sum(n) AS bn, sum(b) AS bb FROM s GROUP BY node, seg),
+   c1 AS (SELECT *, CASE WHEN bn >= {u.MIN_SUPPORT} THEN floor({u.BANDS} * bb / bn) END AS band FROM c),
+   d AS (SELECT node, band, any_value(pn) AS pn, any_value(pb) AS pb, sum(bn) AS cn, sum(bb) AS cb, count(*) AS k, min(seg) AS one
+         FROM c1 WHERE band IS NOT NULL GROUP BY node, band),
+   d1 AS (SELECT *, lag(cn) OVER w AS ln, lag(cb) OVER w AS lb FROM d WINDOW w AS (PARTITION BY node ORDER BY band)),
+   d2 AS (SELECT *, CASE WHEN ln IS NULL OR abs(lb / ln - cb / cn) > {u.Z} * sqrt(((lb + cb) / (ln + cn))
+                    * (1 - (lb + cb) / (ln + cn)) * (1 / ln + 1 / cn)) THEN 1 ELSE 0 END AS edge FROM d1),
+   d3 AS (SELECT *, sum(edge) OVER (PARTITION BY node ORDER BY band) AS class FROM d2),
+   d4 AS (SELECT node, class, any_value(pn) AS pn, any_value(pb) AS pb, sum(cn) AS cn, sum(cb) AS cb, sum(k) AS k, min(one) AS one
+          FROM d3 GROUP BY node, class),
+   d5 AS (SELECT node, class, CASE WHEN abs(cb / cn - pb / pn) > {u.Z} * sqrt((pb / pn) * (1 - pb / pn) / cn)
+                 THEN CASE WHEN k = 1 THEN one ELSE '*' || CAST(class AS BIGINT) END END AS name FROM d4),
+   e AS (SELECT c1.node, c1.seg, c1.bn, c1.bb, coalesce(d5.name, '*') AS name
+         FROM c1 LEFT JOIN d3 ON c1.node = d3.node AND c1.band = d3.band LEFT JOIN d5 ON d3.node = d5.node AND d3.class = d5.class),
+   g AS (SELECT *, sum(bn) OVER w AS gn, sum(bb) OVER w AS gb FROM e WINDOW w AS (PARTITION BY node, name))
+   SELECT s.i + 1, s.host, s.shape, s.n, s.b, s.node || '/' || g.name, g.gn, g.gb,
+          (g.gb + {u.PRIOR_WEIGHT} * s.purity) / (g.gn + {u.PRIOR_WEIGHT})
+   FROM s JOIN g ON s.node = g.node AND s.seg = g.seg)),
+l AS (SELECT host, shape, CASE WHEN len(shape) > i THEN node || '/**' ELSE node END AS template, purity
+      FROM lev WHERE NOT (len(shape) > i AND pn >= {u.MIN_SUPPORT}))
 SELECT page_id, p3.host, path, rule,
-       coalesce(said, CASE WHEN purity > {u.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, p3.host || template AS template
-FROM p3 JOIN l{d + 1} l ON p3.host = l.host AND p3.shape = l.shape
+       coalesce(said, CASE WHEN purity > {u.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, template
+FROM p3 JOIN l ON p3.host = l.host AND p3.shape = l.shape
 """
 
 

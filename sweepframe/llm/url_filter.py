@@ -1,19 +1,26 @@
 """URL filter: explicit rules first, then a per-host tree of path templates (DataFrame operations only).
 
-Pages are first reduced to distinct (host, path shape) rows: digits runs in a
-path segment become ``{n}``.  Level by level, each host's segments become
-the branches of a tree.  A branch keeps its own name only where it has
-``MIN_SUPPORT`` pages and a share of blocked pages that differs from its
-parent's by more than ``Z`` standard errors; all other siblings merge into
-the wildcard ``*``.  The labels are the rules' verdicts: a template's purity
-is its share of pages known to be blocked, smoothed towards its parent's
-(the host's towards ``PRIOR``), and a template of purity above ``REJECT``
-is blocked for pages without a rule.
+Pages are first reduced to distinct (host, path shape) rows: digit runs in a
+path segment become ``{n}``.  Level by level, each node's next segments
+become its branches.  Branches of fewer than ``MIN_SUPPORT`` pages are
+variable segments and merge into the wildcard ``*``.  The others are
+compared with each other: they are grouped by their share of blocked pages
+(``BANDS`` bands), neighbouring bands whose shares differ by at most ``Z``
+standard errors merge, and so on into classes of similar branches.  A class
+that differs from its parent by more than ``Z`` standard errors becomes a
+node, named after its segment, or ``*1``, ``*2``, ... where it has several;
+classes that do not differ join the wildcard.  A node of fewer than
+``MIN_SUPPORT`` pages has no branches: what lies below is ``**``.  There is
+no other limit on depth.
+
+The labels are the rules' verdicts: a template's purity is its share of
+pages known to be blocked, smoothed towards its parent's (the host's towards
+``PRIOR``), and a template of purity above ``REJECT`` is blocked for pages
+without a rule.
 
 Defined results: a null url or one without ``://`` has an empty host and
 path, and belongs to the empty host's root; rows that repeat a page id are
-judged one by one; no rows give no rows.  Paths deeper than ``DEPTH`` keep
-one ``**`` branch for what lies below.
+judged one by one; no rows give no rows; a ``*`` of a path reads ``%2A``.
 """
 
 from __future__ import annotations
@@ -21,11 +28,13 @@ from __future__ import annotations
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sweepframe.llm.common import hot_join, written
+from sweepframe.session import scratch_path
 
-DEPTH = 3
+BANDS = 16
 MIN_SUPPORT = 8
 Z = 2.0
 PRIOR = 0.2
@@ -66,47 +75,75 @@ def verdict_of_rule(rule: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def _shape(path: Column) -> Column:
-    """The path's segments with digit runs generalised, ``DEPTH`` of them and ``**`` for any more."""
-    parts = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/", -1), lambda s: s != "")
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
+    """The path's segments with digit runs generalised."""
+    parts = F.split(F.regexp_replace(F.regexp_replace(path, "[0-9]+", "{n}"), r"\*", "%2A"), "/", -1)
+    return F.filter(parts, lambda s: s != "")
+
+
+def _differ(n1: Column, b1: Column, n2: Column, b2: Column) -> Column:
+    """Two groups' shares of blocked pages differ by more than ``Z`` standard errors of their pooled share."""
+    share = (b1 + b2) / (n1 + n2)
+    return F.abs(b1 / n1 - b2 / n2) > Z * F.sqrt(share * (1 - share) * (1 / n1 + 1 / n2))
+
+
+def _branches(spark: SparkSession, level: DataFrame) -> DataFrame:
+    """The next nodes of ``level (node, branch, seg, n, b, pn, pb)``: ``branch, name, gn, gb, rows``,
+    ``gn`` and ``gb`` the pages and blocked pages of the node that the branch becomes part of."""
+    child = (level.groupBy("branch").agg(F.first("node").alias("node"), F.first("seg").alias("seg"), F.first("pn").alias("pn"),
+                                         F.first("pb").alias("pb"), F.sum("n").alias("bn"), F.sum("b").alias("bb"),
+                                         F.count(F.lit(1)).alias("rows"))
+             .withColumn("band", F.when(F.col("bn") >= MIN_SUPPORT, F.expr(f"{BANDS} * bb div bn"))))
+    child = written(spark, child, "url_branches")
+    band = (child.where("band IS NOT NULL").groupBy("node", "band")
+            .agg(F.first("pn").alias("pn"), F.first("pb").alias("pb"), F.sum("bn").alias("cn"), F.sum("bb").alias("cb"),
+                 F.count(F.lit(1)).alias("k"), F.min("seg").alias("one")))
+    up = W.partitionBy("node").orderBy("band")  # at most BANDS + 1 rows
+    edge = _differ(F.lag("cn").over(up), F.lag("cb").over(up), F.col("cn"), F.col("cb"))
+    band = band.withColumn("edge", F.coalesce(edge, F.lit(True)).cast("int")).withColumn("class", F.sum("edge").over(up))
+    group = W.partitionBy("node", "class")
+    band = band.select("node", "band", "class", "pn", "pb", F.sum("k").over(group).alias("k"), F.min("one").over(group).alias("one"),
+                       F.sum("cn").over(group).alias("cn"), F.sum("cb").over(group).alias("cb"))
+    share = F.col("pb") / F.col("pn")
+    own = F.abs(F.col("cb") / F.col("cn") - share) > Z * F.sqrt(share * (1 - share) / F.col("cn"))
+    name = F.when(own, F.when(F.col("k") == 1, F.col("one")).otherwise(F.concat(F.lit("*"), F.col("class").cast("string"))))
+    named = band.select("node", "band", name.alias("name"))
+    child = child.join(named, ["node", "band"], "left").withColumn("name", F.coalesce("name", F.lit("*")))
+    child = written(spark, child, "url_named")
+    total = child.groupBy("node", "name").agg(F.sum("bn").alias("gn"), F.sum("bb").alias("gb"))
+    return child.join(total, ["node", "name"]).select("branch", "name", "gn", "gb", "rows")
 
 
 def template_tree(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """``pages (host, shape, blocked)`` -> one row per distinct (host, shape): ``key, n, template, purity``.
+    """``pages (key, host, shape, blocked)`` -> one row per distinct key: ``key, n, template, purity``.
 
-    Works on distinct shapes with counts; parents' totals come from partial
-    aggregates and are joined back, so a hot host costs one row per shape.
+    Works on distinct shapes with counts; totals come from partial aggregates
+    and go back through ``hot_join``, so a hot host is spread by its shapes.
+    Every level is written; rows whose template has ended move to the result.
     """
-    segs = [F.coalesce(F.get("shape", F.lit(i)), F.lit("")).alias(f"t{i}") for i in range(DEPTH + 1)]
-    level = (pages.groupBy("key").agg(F.first("host").alias("host"), F.first("shape").alias("shape"),
-                                      F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b"))
-             .select("key", "host", "n", "b", *segs, F.lit("").alias("template")))
-    level = written(spark, level, "url_shapes")
-    host = level.groupBy("host").agg(F.sum("n").alias("pn"), F.sum("b").alias("pb"))
+    shapes = (pages.groupBy("key").agg(F.first("host").alias("node"), F.first("shape").alias("shape"),
+                                       F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("b")))
+    shapes = written(spark, shapes, "url_shapes")
+    host = shapes.groupBy("node").agg(F.sum("n").alias("pn"), F.sum("b").alias("pb"), F.count(F.lit(1)).alias("rows"))
     host = host.withColumn("purity", (F.col("pb") + PRIOR_WEIGHT * F.lit(PRIOR)) / (F.col("pn") + PRIOR_WEIGHT))
-    level = level.join(host, "host")
-    for i in range(DEPTH + 1):
-        branch = (level.where(F.col(f"t{i}") != "").groupBy("host", "template", f"t{i}")
-                  .agg(F.sum("n").alias("bn"), F.sum("b").alias("bb"),
-                       F.first("pn").alias("qn"), F.first("pb").alias("qb")))
-        share = F.col("qb") / F.col("qn")
-        own = (F.col("bn") >= MIN_SUPPORT) & (F.abs(F.col("bb") / F.col("bn") - share)
-                                              > Z * F.sqrt(share * (1 - share) / F.col("bn")))
-        branch = branch.select("host", "template", f"t{i}", F.when(own, F.col(f"t{i}")).otherwise("*").alias("name"))
-        level = (level.join(branch, ["host", "template", f"t{i}"], "left")
-                 .withColumn("template", F.when(F.col("name").isNull(), F.col("template"))
-                             .otherwise(F.concat("template", F.lit("/"), "name"))))
-        node = (level.where("name IS NOT NULL").groupBy("host", "template")
-                .agg(F.sum("n").alias("bn"), F.sum("b").alias("bb")))
-        level = level.join(node, ["host", "template"], "left")
-        inside = F.col("name").isNotNull()
-        smooth = (F.col("bb") + PRIOR_WEIGHT * F.col("purity")) / (F.col("bn") + PRIOR_WEIGHT)
-        level = level.select("key", "host", "n", "b", *[f"t{j}" for j in range(i + 1, DEPTH + 1)], "template",
-                             F.when(inside, F.col("bn")).otherwise(F.col("pn")).alias("pn"),
-                             F.when(inside, F.col("bb")).otherwise(F.col("pb")).alias("pb"),
-                             F.when(inside, smooth).otherwise(F.col("purity")).alias("purity"))
-        level = written(spark, level, f"url_level{i}")
-    return level.select("key", "n", F.concat("host", "template").alias("template"), "purity")
+    level = hot_join(shapes, written(spark, host, "url_hosts"), "node", "rows", shapes.count()).drop("rows")
+    path, depth = scratch_path(spark, "url_templates"), 0
+    while True:
+        level = written(spark, level, f"url_level{depth}")
+        left, inner = F.size("shape") > depth, F.col("pn") >= MIN_SUPPORT
+        template = F.when(left, F.concat("node", F.lit("/**"))).otherwise(F.col("node"))
+        ended = level.where(~(left & inner)).select("key", "n", template.alias("template"), "purity")
+        ended.write.mode("append").parquet(path)
+        level = level.where(left & inner).withColumn("seg", F.get("shape", F.lit(depth)))
+        level = level.withColumn("branch", F.concat("node", F.lit("/"), "seg"))
+        rows = level.count()
+        if not rows:
+            return spark.read.schema(ended.schema).parquet(path)
+        smooth = (F.col("gb") + PRIOR_WEIGHT * F.col("purity")) / (F.col("gn") + PRIOR_WEIGHT)
+        branches = written(spark, _branches(spark, level), "url_nodes")
+        level = hot_join(level, branches, "branch", "rows", rows).select(
+            "key", "shape", "n", "b", F.concat("node", F.lit("/"), "name").alias("node"),
+            F.col("gn").alias("pn"), F.col("gb").alias("pb"), smooth.alias("purity"))
+        depth += 1
 
 
 def judge(spark: SparkSession, pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:

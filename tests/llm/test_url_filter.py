@@ -58,3 +58,23 @@ def test_hot_host_and_empty(spark):
     out = judged(spark, urls)
     assert len(out) == 3050 and {r.verdict for r in out} == {"allow"}
     assert judged(spark, []) == []
+
+
+def test_families_are_told_apart_at_any_depth(spark):
+    """The same two families of pages get the same verdicts however deep they lie."""
+    for above in ("", "/a", "/a/b", "/a/b/c", "/a/b/c/d/e/f/g"):
+        base = "http://x.example.com/de/" + above.lstrip("/") + ("/" if above else "")
+        urls = [f"http://w.org{above}/good/{i}" for i in range(30)]
+        urls += [f"http://b.net{above}/bad/{i}" for i in range(30)] + [f"{base}bad/{i}" for i in range(30)]
+        urls += [f"http://x.example.com/en{above}/good/{i}" for i in range(30)]
+        out = judged(spark, urls)
+        assert [r.verdict for r in out] == ["allow"] * 30 + ["block"] * 60 + ["allow"] * 30
+        assert not any("**" in r.template for r in out)
+
+
+def test_similar_siblings_merge_with_each_other(spark):
+    """Two classes of siblings, none of which differs from the parent by itself."""
+    rows = [(f"s{k}/{i}", "host", [f"s{k}", str(i)], 1 if i < (6 if k < 20 else 2) else 0) for k in range(40) for i in range(8)]
+    tree = U.template_tree(spark, spark.createDataFrame(rows, "key string, host string, shape array<string>, blocked int"))
+    first = {r.key: r.template.split("/")[1] for r in tree.collect()}
+    assert {first[f"s{k}/0"] for k in range(20)} == {"*2"} and {first[f"s{k}/0"] for k in range(20, 40)} == {"*1"}
