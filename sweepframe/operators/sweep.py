@@ -1,8 +1,8 @@
 """Sweep expansion (G1-G6) and distributed row numbering.
 
 Sweep tables multiply a run table by value tables: a generator writes the
-positions, an equi-join on them brings the values (AQE broadcasts a short
-value table).  Ids are computed from positions, never from a global sort.
+positions, an equi-join on them brings the values (a short value table is
+broadcast, the multiplied runs never).  Ids are computed from positions, never from a global sort.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # partitions are indexed in the upper bits of monotonically_increasing_id
 _PART_SHIFT = 33
 
+#: Values of a sweep parameter up to which their table is broadcast.
+VALUE_ROWS = 100_000
+
 
 def index_rows(df: DataFrame, name: str = "row_no", order_by: list | None = None,
                start: int = 1, checkpoint: bool = True) -> DataFrame:
@@ -74,13 +77,24 @@ def _times(rows: DataFrame, values: DataFrame | Column, pos: str, name: str, n:
     """Every row with every value, the multiplication that a sweep is: a
     generator writes the positions on each row, an equi-join on the position
     brings the value.  ``n`` is the number of values (a scalar subquery).
-    A caller's own short list may be an array column, which needs no join."""
+    The planner takes the multiplied rows to be as few as the runs and would
+    broadcast them, so the join is named: short value tables are broadcast,
+    long ones are merged.  A caller's own short list may be an array column, which needs no join."""
     if isinstance(values, Column):
         return rows.select("*", F.posexplode(values).alias(pos, name), F.size(values).alias(n))
     count = values.agg(F.count(F.lit(1))).scalar()
     every = rows.withColumn(n, count).where(F.col(n) > 0)
     every = every.withColumn(pos, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
-    return every.join(values.select(F.col("pos").alias(pos), F.col("value").alias(name)), pos)
+    named = values.select(F.col("pos").alias(pos), F.col("value").alias(name))
+    if values.limit(VALUE_ROWS + 1).count() <= VALUE_ROWS:
+        return every.join(F.broadcast(named), pos)
+    return every.hint("merge").join(named, pos)
+
+
+def spread(rows: DataFrame, per_core: int = 4) -> DataFrame:
+    """Rows shared out evenly: a table of few, short rows is one or two tasks
+    of a scan, however much work each of its rows becomes."""
+    return rows.repartition(per_core * rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def grid(days: DataFrame, p_trans: DataFrame | Column, compliance: DataFrame | Column) -> DataFrame:
@@ -98,7 +112,7 @@ def grid(days: DataFrame, p_trans: DataFrame | Column, compliance: DataFrame | C
 def seed_sweep(seeds: DataFrame, choices: DataFrame | Column, stem: str, out_stem: str) -> DataFrame:
     """Seeds (1..S, outer) x value choices (inner, a value table); running
     id from 1 and the derived file names."""
-    out = _times(seeds.select("seed"), choices, "pos", "p_trans", "_n")
+    out = _times(spread(seeds.select("seed")), choices, "pos", "p_trans", "_n")
     i = ((F.col("seed") - 1) * F.col("_n") + F.col("pos") + 1).cast("long")
     return out.select(
         i.alias("i"), "seed", "p_trans",

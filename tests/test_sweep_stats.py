@@ -109,3 +109,20 @@ def test_no_replicates_give_no_rows(spark):
     got = sorted((r.params_id, r.seed, r.task_id) for r in W.expand_replicates(rows, F.col("r")).collect())
     assert got == [(2, 0, 2), (2, 1, 3)]
     assert W.expand_replicates(rows, 0).count() == 0
+
+
+def joins(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [" in line and "pos" in line]
+
+
+def test_multiplied_runs_are_never_broadcast(spark, monkeypatch):
+    """The planner sees few seeds, not the rows they become."""
+    seeds = spark.range(1, 50).withColumnRenamed("id", "seed")
+    values = W.value_table(spark.range(7).select((F.col("id") * 2).alias("v")), "v")
+    short = W.seed_sweep(seeds, values, "in", "out")
+    assert all("BuildRight" in j for j in joins(short)) and joins(short)
+    monkeypatch.setattr(W, "VALUE_ROWS", 3)
+    long = W.seed_sweep(seeds, values, "in", "out")
+    assert any("SortMergeJoin" in j for j in joins(long)) and not any("BuildLeft" in j for j in joins(long))
+    assert sorted(map(tuple, long.collect())) == sorted(map(tuple, short.collect()))
+    assert long.count() == 49 * 7
