@@ -189,6 +189,23 @@ def read_stdout(spark: SparkSession, path: str, name_pattern: str = r"[^/]*$") -
         "file", F.regexp_extract("file", name_pattern, 0).alias("name"), "line_key", "line")
 
 
+#: Ends the tag of a line's run in gathered output.
+TAG_END = "\t"
+
+
+def read_tagged_stdout(spark: SparkSession, path: str) -> DataFrame:
+    """S12 for gathered output: ``run`` (the line's tag), ``file``, ``line_key``, ``line``, in file order.
+
+    One file holds the lines of many runs, each behind its run's tag, and a
+    run may go on in the next file, so a sweep of many short runs needs few
+    files.  A line without a tag fails the job."""
+    cut = F.instr("value", TAG_END)
+    bad = F.raise_error(F.concat(F.lit("stdout line without a tag: "), F.col("value")))
+    run = F.when(cut > 0, F.substring("value", F.lit(1), cut - 1)).otherwise(bad.cast("string"))
+    lines = spark.read.text(path).select(*line_key_cols(), run.alias("run"), F.substr("value", cut + 1).alias("line"))
+    return lines.select("run", "file", "line_key", "line")
+
+
 def read_day_table_lines(spark: SparkSession, path: str, run_pattern: str) -> DataFrame:
     """S13 in line mode: ``task_id``, ``line_key``, ``line`` for every line of
     every run's day-table files (run id = first group of ``run_pattern`` on

@@ -3,12 +3,15 @@
 import datetime
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from sweepframe.functions.daytable import explode_days
 from sweepframe.functions.records import parse_records, split_header, to_record_json
 from sweepframe.plans import derived as D
 from sweepframe.plans import fixtures as fx
+from sweepframe.plans import queries as Q
+from sweepframe.sources import text
 from sweepframe.sources.blocklog import list_log_files
 
 
@@ -40,7 +43,37 @@ def test_blocks_hold_long_records(spark, tmp):
     b = orders_and_lines(spark, os.path.join(tmp, "b"), [3, 1], None)
     for sf, days in ((a, 301), (b, 4)):
         for log in (D.d1_log(spark, sf), D.d1_short_log(spark, sf)):
-
             _, recs = split_header(parse_records(D.blocks(spark, log)))
             assert recs.count() == 2 and recs.agg(F.sum(F.size(F.split("output_dat", "\n")) - 2)).first()[0] == days
             assert explode_days(recs).count() <= days
+
+
+def events(spark, folder, rows):
+    t = datetime.datetime(2024, 1, 1)
+    rows = [(i, t + datetime.timedelta(seconds=i), u, kind, v) for i, (u, kind, v) in enumerate(rows)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_many_runs_need_few_stdout_files(spark, tmp):
+    """A folder and a file for every run: the listing grew with the runs, 3,000 here."""
+    sf = events(spark, tmp, [(i % 3000, ("click", "signup", "purchase")[i // 3000], i + 0.5) for i in range(9000)])
+    files = [f for _, _, fs in os.walk(D.stdout_files(spark, sf)) for f in fs if f.endswith(".txt")]
+    assert len(files) <= 64
+    got = {r.task_id: (r.setup, r.sim, r.early) for r in Q.q_stdout_timings(spark, sf).collect()}
+    assert got == {u: (u + 3000.5, u + 6000.5, False) for u in range(3000)}
+    assert {(r.task_id, r.day, r.infected) for r in Q.q_day_scrape(spark, sf).collect()} == {(u, u, u) for u in range(3000)}
+
+
+def test_odd_stdout_lines_stay_with_their_run(spark, tmp):
+    sf = events(spark, tmp, [(5, "click", 1.0), (None, "click", 2.0), (-3, "signup", 3.0), (5, "a\r\nb\tc\rTIME: SIM: 7 \n", 4.0),
+                             (None, "purchase", 5.0), (-3, None, 6.0), (-3, "click", None), (-3, "error", 301.0)])
+    lines = [(r.task_id, r.line) for r in Q._stdout(spark, sf).orderBy("task_id", "line_key").collect()]
+    assert lines == [(None, ""), (None, "TIME: SIM: 5.0"), (-3, "TIME: SETUP: 3.0"), (-3, ""), (-3, ""),
+                     (-3, "EARLY-EXIT at 301.0"), (5, "[Day 0 of run 5: 1; deaths 5"), (5, "a"), (5, "b\tc"), (5, "TIME: SIM: 7 "), (5, " 4.0")]
+    assert {r.task_id: (r.setup, r.sim, r.early) for r in Q.q_stdout_timings(spark, sf).collect()} == {
+        None: (None, 5.0, False), -3: (3.0, None, True), 5: (None, 7.0, False)}
+    with open(f"{tmp}/untagged.txt", "w") as f:
+        f.write("no tag\n")
+    with pytest.raises(Exception, match="without a tag"):
+        text.read_tagged_stdout(spark, f"{tmp}/untagged.txt").collect()
