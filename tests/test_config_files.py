@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sweepframe.operators import sweep as W
-from sweepframe.sources.namedfiles import NamedFilesWriter, write_configs
+from sweepframe.sources.namedfiles import NamedFilesWriter, read_named, write_configs
 from sweepframe.sources.text import read_params_csvs
 
 
@@ -90,3 +90,19 @@ def test_rows_of_many_splits_keep_their_order(spark, tmp):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == [(i + 1, {"x": str(i), "y": f"v{i}"}) for i in range(5000)]
+
+
+def test_files_are_read_back_by_name_without_a_listing(spark, tmp, monkeypatch):
+    """Both the commit and the read listed the whole set on the driver."""
+    rows = [(f"{i:03d}/a b%20 {i}.cfg", f"x = {i}\r\né\n" * (i % 3)) for i in range(50)]
+    monkeypatch.setattr(NamedFilesWriter, "_visible", lambda *a: 1 / 0)
+    path = write_configs(configs(spark, rows), f"{tmp}/out")
+    back = read_named(configs(spark, rows), path)
+    assert sorted(map(tuple, back.collect())) == rows
+    assert read_named(configs(spark, []), path).collect() == []
+    with open(f"{tmp}/out/007/a b%20 7.cfg", "w") as f:
+        f.write("changed")
+    assert back.where("name LIKE '007/%'").first().text == "changed"  # the files themselves are read
+    os.remove(f"{tmp}/out/008/a b%20 8.cfg")
+    with pytest.raises(Exception):
+        read_named(configs(spark, rows), path).collect()
