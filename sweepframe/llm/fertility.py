@@ -28,7 +28,9 @@ caller, and names that clash get a trailing underscore.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +54,9 @@ SPREAD, FLOOR, ENTROPY_FLOOR, FALLBACK_FLOOR = 5, 0.01, 0.03, 0.02
 SUPPORT = 50
 #: Steps of a measure's counts to one.
 BINS = 1000
-#: Distinct words that a task remembers.
-CACHE = 1_000_000
+#: Distinct words that a worker remembers, and words cut by one library call: each word's
+#: encoding holds about a kilobyte until its tokens are counted.
+CACHE, CALL = 1_000_000, 1 << 12
 #: A normal distribution's quartiles are this many standard deviations apart.
 _QUARTILES = 1.349
 
@@ -141,6 +144,7 @@ class Fertility:
     """Measures of texts; remembers the pieces of the words it has met."""
 
     def __init__(self, vocabularies: Vocabularies):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread's work, and each thread holds memory of its own
         import sentencepiece
         import tokenizers
 
@@ -152,11 +156,16 @@ class Fertility:
         self.fallback = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
         self.known = KnownPieces()
 
-    def _learn(self, new: np.ndarray, texts: list[str]) -> None:
+    def _learn(self, new: np.ndarray, w: Words, at: np.ndarray) -> None:
         """A word's entry: the number of its byte-level tokens, then its pieces."""
-        pieces = self.pieces.encode(texts, num_threads=1)
-        tokens = self.byte_level.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        self.known.add(new, [[len(t.ids), *p] for t, p in zip(tokens, pieces)])
+        ids, size = [], []
+        for lo in range(0, len(at), CALL):
+            texts = [w.data[w.start[i]:w.end[i]].tobytes().decode("utf-8", "replace") for i in at[lo:lo + CALL]]
+            pieces = self.pieces.encode(texts, num_threads=1)
+            tokens = self.byte_level.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+            size.append(np.fromiter((1 + len(p) for p in pieces), np.int64, len(pieces)))
+            ids.append(np.fromiter((i for t, p in zip(tokens, pieces) for i in (len(t), *p)), np.uint32, int(size[-1].sum())))
+        self.known.append(new, np.concatenate(ids), np.concatenate(size))
 
     def measure(self, w: Words, wh: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         """Pieces of each text, and its measures (not a number without pieces)."""
@@ -167,7 +176,7 @@ class Fertility:
             if len(self.known.hash) + len(new) > CACHE:
                 self.known, new = KnownPieces(), np.arange(len(distinct))
             if len(new):
-                self._learn(distinct[new], [w.data[w.start[i]:w.end[i]].tobytes().decode("utf-8", "replace") for i in at[new]])
+                self._learn(distinct[new], w, at[new])
         place = self.known.find(distinct)[0][inv] if len(distinct) else np.zeros(0, np.int64)
         start, size = (self.known.at[place], self.known.size[place]) if len(place) else (place, place)
         tokens = np.bincount(w.doc(), self.known.ids[start] if len(start) else None, minlength=n)
@@ -183,13 +192,19 @@ class Fertility:
         return total, [np.where(total > 0, x, np.nan) for x in out]
 
 
+@lru_cache(1)
+def shared_fertility(pieces: bytes, byte_level: str) -> Fertility:
+    """A worker's libraries, kept with the words they have met from one task to the next."""
+    return Fertility(Vocabularies(pieces, byte_level))
+
+
 def measures(spark: SparkSession, docs: DataFrame, vocabularies: Vocabularies, text: str = "text", language: str | None = "lang",
              keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``row`` (a struct of the columns ``keep``), ``band`` (language or ``script:``), ``n_pieces``, ``COUNTS``, ``MEASURES``.
 
     Narrow: each task measures its own partition, a megabyte of text at a time.
     """
-    arrow_batches(spark)
+    arrow_batches(spark, size=4 << 20)
     tables = spark.sparkContext.broadcast(vocabularies)  # two vocabularies of fixed size
     group = F.col(f"`{language}`") if language in docs.columns else F.lit(None)
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), group.cast("string").alias("band"),
@@ -199,7 +214,9 @@ def measures(spark: SparkSession, docs: DataFrame, vocabularies: Vocabularies, t
                            *[T.StructField(c, T.DoubleType()) for c in MEASURES]])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = Fertility(tables.value)
+        from sweepframe.llm.fertility import shared_fertility  # the worker's own module, not this task's copy
+
+        fertility = shared_fertility(tables.value.pieces, tables.value.byte_level)
         for batch in batches:
             for lo, hi in chunks(batch.column(2)):
                 part = batch.slice(lo, hi - lo)

@@ -134,3 +134,22 @@ def test_empty_table_language_missing_and_clashing_names(spark):
     assert out.columns[:3] == ["doc_id", "n_words", "rid"] and "n_words_" in out.columns
     rows = {(r.doc_id, r.n_words_, r.band) for r in out.collect()}
     assert rows == {(1, 2, "script:latin"), (2, 0, "script:none"), (2, 2, "script:cyrillic")}
+
+
+def test_few_words_are_cut_at_once():
+    """All new words of a megabyte were encoded by one call, which held a kilobyte for each."""
+    f, calls = R.Fertility(vocabularies()), []
+    lib = f.byte_level
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return lib.encode_batch_fast(texts, **options)
+
+    f.byte_level = Counting()
+    texts = [" ".join(f"w{i}" for i in range(k, 10_000, 3)) for k in range(3)]
+    w, wh, plain_counts, _ = R.counted(pa.array(texts))
+    total, found = f.measure(w, wh, plain_counts[1])
+    assert sum(calls) == 10_000 and max(calls) <= 4096
+    assert total.tolist() == [cut(t)[0] for t in texts]
+    assert np.allclose(np.array(found).T, [cut(t)[1] for t in texts])
