@@ -19,8 +19,8 @@ NARROWINGS = 2
 
 
 def conversion_summary(records: DataFrame, long_rows: DataFrame, files: DataFrame,
-                       block_size: int) -> DataFrame:
-    """Records read, rows written, expected blocks (= file size / block)."""
+                       block_size: int | Column) -> DataFrame:
+    """Records read, rows written, expected blocks (= file size / block; a column of ``files`` where that differs)."""
     r = records.agg(F.count(F.lit(1)).alias("records"))
     n = long_rows.select(F.count(F.lit(1))).scalar()
     b = files.select(F.sum(F.floor(F.col("length") / block_size)).cast("long")).scalar()
@@ -141,10 +141,11 @@ def median_of_counts(counted: DataFrame, group: str, value: str, times: str) ->
     return picks.groupBy("_g").agg(F.avg("_lo").alias("median")).withColumnRenamed("_g", group)
 
 
-def log_stat(spark: SparkSession, path: str, records: DataFrame, block_size: int) -> DataFrame:
+def log_stat(spark: SparkSession, path: str, records: DataFrame, block_size: int | Column) -> DataFrame:
     """Per log file: size, mtime, content blocks, and its header pairs.
 
-    Sizes come from a listing (``binaryFile`` without reading content).
+    Sizes come from a listing (``binaryFile`` without reading content); the
+    block size may be an expression over a file's ``path``.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.log")
              .option("recursiveFileLookup", "true").load(path)

@@ -23,7 +23,7 @@ from sweepframe.sources.blocklog import _fs, add_manifest, block_ranges, committ
 IDS = ("task_id", "params_id", "seed")
 
 _ENTRIES = "task_id long, params_id long, seed long, path string, block_idx long"
-_OFFSETS = "path string, blocks long"
+_OFFSETS = "path string, blocks long, block long"
 
 
 def _batches(index: str) -> list[str]:
@@ -59,7 +59,7 @@ def extend(spark: SparkSession, log: str, index: str, block_size: int | str = 65
     batch = uuid.uuid4().hex[:12]
     new = records.select(*IDS, "path", "block_idx")
     new.repartitionByRange(key, "path", "block_idx").sortWithinPartitions(key).write.parquet(f"{index.rstrip('/')}/entries/{batch}")
-    reached = spark.createDataFrame([(p, stop) for p, _, stop, _ in ranges], _OFFSETS)
+    reached = spark.createDataFrame([(p, stop, block) for p, _, stop, block in ranges], _OFFSETS)
     reached.coalesce(1).write.parquet(f"{index.rstrip('/')}/offsets/{batch}")
     filesystem, root, _ = _fs(index)
     filesystem.create_dir(posixpath.join(root, "entries"), recursive=True)
@@ -77,5 +77,6 @@ def lookup(spark: SparkSession, index: str, wanted: DataFrame | list, key: str =
 
 
 def fetch(spark: SparkSession, index: str, wanted: DataFrame | list, block_size: int = 65536, key: str = "task_id") -> DataFrame:
-    """The records of the wanted ids, read by seeking to their blocks."""
-    return parse_records(read_blocks(lookup(spark, index, wanted, key), block_size))
+    """The records of the wanted ids, read by seeking to their blocks; ``block_size`` is that of files indexed without one."""
+    sizes = _read(spark, index, "offsets", _OFFSETS).groupBy("path").agg(F.max("block").alias("block"))  # a row a file
+    return parse_records(read_blocks(lookup(spark, index, wanted, key).join(F.broadcast(sizes), "path", "left"), block_size))

@@ -12,7 +12,7 @@ from sweepframe.plans import derived as D
 from sweepframe.plans import fixtures as fx
 from sweepframe.plans import queries as Q
 from sweepframe.sources import text
-from sweepframe.sources.blocklog import list_log_files
+from sweepframe.sources.blocklog import file_blocks, list_log_files, scan_blocks, whole_blocks
 
 
 def orders_and_lines(spark, folder, days, priority="1-URGENT"):
@@ -48,6 +48,27 @@ def test_blocks_hold_long_records(spark, tmp):
             assert explode_days(recs).count() <= days
 
 
+def test_one_long_record_does_not_lengthen_the_others(spark, tmp, monkeypatch):
+    """Blocks as long as the longest record: 99 short ones took 300 lines' room each."""
+    monkeypatch.setattr(fx, "SHARE_ORDERS", 40)  # three appends
+    days = [300] + [1 + i % 7 for i in range(99)]
+    sf = orders_and_lines(spark, tmp, days)
+    rec = fx.d1_records(spark, sf)
+    sizes = [r[0] for r in rec.select(F.octet_length(to_record_json(rec))).collect()]
+    log = D.d1_log(spark, sf)
+    files = file_blocks(log, "listed")
+    assert len({b for _, _, b in files}) > 2
+    assert sum(n for _, n, _ in files) <= 1.15 * sum(sizes) + sum(b for _, _, b in files)
+    assert whole_blocks(log, "listed") == whole_blocks(log, "auto") == 100 + len(files)
+    for blocks in (D.blocks(spark, log), scan_blocks(spark, log, "listed")):
+        _, recs = split_header(parse_records(blocks))
+        assert sorted((r.task_id, r.day_final) for r in recs.select("task_id", "day_final").collect()) == list(enumerate(days))
+    assert sorted((r.task_id, r.day_final) for r in Q.q_blocklog_extract(spark, sf).collect()) == list(enumerate(days))
+    assert tuple(Q.q_conversion_counts(spark, sf).first()) == (100, sum(days), 100)
+    assert {r.content_blocks for r in Q.q_log_stat(spark, sf).collect()} == {100}
+    assert sum(r.n_ok for r in Q.q_blocklog_tail(spark, sf).collect()) == 100
+
+
 def events(spark, folder, rows):
     t = datetime.datetime(2024, 1, 1)
     rows = [(i, t + datetime.timedelta(seconds=i), u, kind, v) for i, (u, kind, v) in enumerate(rows)]
