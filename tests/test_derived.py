@@ -66,7 +66,10 @@ def test_one_long_record_does_not_lengthen_the_others(spark, tmp, monkeypatch):
     assert sorted((r.task_id, r.day_final) for r in Q.q_blocklog_extract(spark, sf).collect()) == list(enumerate(days))
     assert tuple(Q.q_conversion_counts(spark, sf).first()) == (100, sum(days), 100)
     assert {r.content_blocks for r in Q.q_log_stat(spark, sf).collect()} == {100}
-    assert sum(r.n_ok for r in Q.q_blocklog_tail(spark, sf).collect()) == 100
+    tail = Q.q_blocklog_tail(spark, sf).collect()
+    assert sum(r.n_ok for r in tail) == 100 and {r.batches for r in tail} == {6}  # 50 by 17, twice
+    short = parse_records(D.blocks(spark, D.d1_short_log(spark, sf)))
+    assert sorted(r.task_id for r in short.collect()) == list(range(100))
 
 
 def events(spark, folder, rows):
