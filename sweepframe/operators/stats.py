@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sweepframe.functions.records import split_header
+from sweepframe.sources.blocklog import unpacked_length
 
 # Stdout timing lines and the early-exit marker.
 SETUP_RE = r"^TIME:\s*SETUP:\s*([0-9.]+)"
@@ -144,7 +145,8 @@ def median_of_counts(counted: DataFrame, group: str, value: str, times: str) ->
 def log_stat(spark: SparkSession, path: str, records: DataFrame, block_size: int | Column) -> DataFrame:
     """Per log file: size, mtime, content blocks, and its header pairs.
 
-    Sizes come from a listing (``binaryFile`` without reading content); the
+    Sizes come from a listing (``binaryFile`` without reading content) and
+    are those on disk; blocks are counted in the unpacked content.  The
     block size may be an expression over a file's ``path``.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.log")
@@ -152,7 +154,7 @@ def log_stat(spark: SparkSession, path: str, records: DataFrame, block_size: int
              .select(F.regexp_replace("path", "^file:", "").alias("path"), "length", "modificationTime"))
     header, _ = split_header(records)
     h = header.select("path", F.explode("meta").alias("key", "value"))
-    blocks = F.greatest(F.ceil(F.col("length") / block_size) - 1, F.lit(0)).cast("long")
+    blocks = F.greatest(F.ceil(unpacked_length(F.col("path"), F.col("length")) / block_size) - 1, F.lit(0)).cast("long")
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"),
                         blocks.alias("content_blocks")).join(h, "path", "left")
 

@@ -167,3 +167,34 @@ def test_auto_stride_of_each_file(spark, tmp):
     got = spark.read.format("blocklog").option("blockSize", "auto").load(d)
     assert sorted(r.task_id for r in parse_records(got).collect()) == [1, 2, 3, 4, 5]
     assert got.count() == 5
+
+
+def test_packed_files_read_as_plain_ones(spark, tmp, monkeypatch):
+    """Compressed frames: every reader finds the blocks of the unpacked content; half a file is not read as a short one."""
+    from sweepframe.sources import blocklog as B
+
+    monkeypatch.setattr(B, "FRAME_BYTES", 700)  # several frames a file, here and in the tasks
+    src = spark.range(0, 90, 1, 2).select(F.format_string('{"task_id": %d, "output_dat": "Day\\n1\\n"}', "id").alias("value"))
+    for kind in ("none", "zstd"):
+        (src.write.format("blocklog").mode("overwrite").option("blockSize", "128").option("headerJson", '{"header": "true"}')
+         .option("compression", kind).save(f"{tmp}/{kind}"))
+    files = B.file_blocks(f"{tmp}/zstd", "listed")
+    assert all(p.endswith(B.PACKED) and n == 46 * 128 and os.path.getsize(p) < n / 2 and b == 128 for p, n, b in files)
+    assert B.whole_blocks(f"{tmp}/zstd", 128) == B.whole_blocks(f"{tmp}/none", 128) == 92
+    assert {b for _, _, b in B.file_blocks(f"{tmp}/zstd", "auto")} == {detect_block_size(f"{tmp}/zstd")} == {128}
+    for size in ("128", "auto", "listed"):
+        df = spark.read.format("blocklog").option("blockSize", size).option("blocksPerPartition", "7").load(f"{tmp}/zstd")
+        _, recs = split_header(parse_records(df))
+        assert sorted(r.task_id for r in recs.collect()) == list(range(90))
+    for df in (B.scan_blocks(spark, f"{tmp}/zstd", "listed"), B.read_blocks(df.select("path", "block_idx"), 128)):
+        assert sorted(r.task_id for r in parse_records(df).where("task_id IS NOT NULL").collect()) == list(range(90))
+    picked = spark.read.format("blocklog").option("blockSize", "128").option("blocks", "0,41,45,46").load(f"{tmp}/zstd")
+    assert picked.count() == 6
+    sizes = spark.createDataFrame([(p, os.path.getsize(p)) for p, _ in B.list_log_files(tmp + "/none") + B.list_log_files(tmp + "/zstd")], "path string, length long")
+    assert [r[0] for r in sizes.select(B.unpacked_length(F.col("path"), F.col("length"))).collect()] == [46 * 128] * 4
+    with open(files[0][0], "r+b") as f:
+        f.truncate(os.path.getsize(files[0][0]) - 5)
+    with pytest.raises(Exception, match="not a whole packed file"):
+        df = spark.read.format("blocklog").option("blockSize", "128").load(f"{tmp}/zstd").collect()
+    with pytest.raises(Exception, match="unknown compression"):
+        src.write.format("blocklog").mode("overwrite").option("compression", "lz").save(f"{tmp}/lz")

@@ -48,6 +48,17 @@ def test_blocks_hold_long_records(spark, tmp):
             assert explode_days(recs).count() <= days
 
 
+def test_a_log_takes_less_disk_than_its_records(spark, tmp):
+    """Plain blocks: a log took as much disk as the text of its records, some five times its tables."""
+    sf = orders_and_lines(spark, tmp, [1 + i % 7 for i in range(2000)])
+    rec = fx.d1_records(spark, sf)
+    text_bytes = rec.select(F.sum(F.octet_length(to_record_json(rec)))).first()[0]
+    for log in (D.d1_log(spark, sf), D.d1_short_log(spark, sf)):
+        assert sum(os.path.getsize(p) for p, _ in list_log_files(log)) < text_bytes / 2
+    assert tuple(Q.q_conversion_counts(spark, sf).first()) == (2000, rec.select(F.sum("day_final")).first()[0], 2000)
+    assert {r.content_blocks for r in Q.q_log_stat(spark, sf).collect()} == {2000}
+
+
 def test_one_long_record_does_not_lengthen_the_others(spark, tmp, monkeypatch):
     """Blocks as long as the longest record: 99 short ones took 300 lines' room each."""
     monkeypatch.setattr(fx, "SHARE_ORDERS", 40)  # three appends
