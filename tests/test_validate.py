@@ -149,3 +149,13 @@ def test_column_that_the_header_lacks_must_be_zero(spark, tmp):
     assert out["values"] == (2, "FAIL") and out["verdict"] == (1, "FAIL")
     bad = {r.column: (r.n_checked, r.n_bad) for r in V.check_values(spark.read.parquet(f"{tmp}/r"), recs).collect()}
     assert bad == {"seed": (2, 0), "Su": (2, 0), "A_I": (2, 0), "R": (0, 2)}
+
+
+def test_values_of_runs_that_agree_are_not_shuffled(spark, tmp):
+    """All columns of both sides were joined; a faithful table needs the rows and the cells present a day."""
+    recs = records(spark)
+    explode_days(recs).write.parquet(f"{tmp}/long")
+    checked = V.check_values(spark.read.parquet(f"{tmp}/long"), recs)
+    assert {r.column: (r.n_checked, r.n_bad) for r in checked.collect()} == {"seed": (4, 0), "Su": (4, 0), "A_I": (2, 0)}
+    assert "Su:float" not in checked._jdf.queryExecution().executedPlan().toString()
+    assert V.value_mismatches(spark.read.parquet(f"{tmp}/long"), recs).count() == 0
