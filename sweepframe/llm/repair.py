@@ -45,8 +45,8 @@ MIN_COUNT = 6
 #: Pieces whose ids a worker remembers.
 CACHE = 1_000_000
 #: Characters cut into pieces at once, and handed to the library's model at once.
-GROUP = 2 << 20
-CALL = 1 << 16
+GROUP = 1 << 19
+CALL = 1 << 12
 
 _BREAK_BYTES = chr(BREAK).encode()
 _ODD = np.random.default_rng(8).integers(1 << 63, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,15 +76,12 @@ def compress(ids: np.ndarray, end: int, base: int, least: int = MIN_COUNT,
         left, right = sym[live].astype(kind), sym[live + 1].astype(kind)
         key = left << kind(half) | right
         even = _without_overlap(live, left == right)
-        bits = max(8, min(20, len(key).bit_length()))
-        slot = _slots(key, bits)
-        maybe = np.flatnonzero((np.bincount(slot if even.all() else slot[even], minlength=1 << bits) >= least)[slot])
-        live, key, even, slot = live[maybe], key[maybe], even[maybe], slot[maybe]
-        pairs, count = _count(key[even])
-        pairs, count = pairs[count >= least], count[count >= least]
+        pairs, count = _count(key if even.all() else key[even])
+        often = np.flatnonzero(count >= least)
+        pairs, count = pairs[often], count[often]
         if not len(pairs):
             break
-        at = _find(pairs, key, slot, bits)
+        at = _find(pairs, key)
         hit = np.flatnonzero(at >= 0)
         live, at, even = live[hit], at[hit], even[hit]
         where, at = live[even], at[even]
@@ -132,17 +129,19 @@ def _without_overlap(live: np.ndarray, same: np.ndarray) -> np.ndarray:
 
 
 def _slots(key: np.ndarray, bits: int) -> np.ndarray:
-    """One of ``2 ** bits`` counters for each pair; pairs share them."""
-    return (key.astype(np.uint64) * _ODD >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _find(pairs: np.ndarray, key: np.ndarray, slot: np.ndarray, bits: int) -> np.ndarray:
-    """Index of each key in the sorted ``pairs``, or -1: by slot, and by search where two pairs share one."""
-    table = np.zeros(1 << bits, np.int32)
-    mine = _slots(pairs, bits)
-    table[mine] = np.arange(len(pairs))
-    at = table[slot]
-    miss = np.flatnonzero(pairs[at] != key)
+    """One of ``2 ** bits`` places of a table for each pair; pairs share them."""
+    odd, size = (np.uint32(_ODD & np.uint64(0xFFFFFFFF)), 32) if key.dtype == np.uint32 else (_ODD, 64)
+    return (key * odd >> key.dtype.type(size - bits)).astype(np.int64)
+
+
+def _find(pairs: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Index of each key in the sorted ``pairs``, or -1: by a table, and by search where two pairs share a place."""
+    bits = min(20, 4 + len(pairs).bit_length())
+    table = np.full(1 << bits, -1, np.int32)
+    table[_slots(pairs, bits)] = np.arange(len(pairs))
+    at = table[_slots(key, bits)]
+    some = np.flatnonzero(at >= 0)
+    miss = some[np.flatnonzero(pairs[at[some]] != key[some])]
     near = np.minimum(np.searchsorted(pairs, key[miss]), len(pairs) - 1)
     at[miss] = np.where(pairs[near] == key[miss], near, -1)
     return at
@@ -173,7 +172,11 @@ def lengths(rules: np.ndarray, base: int) -> np.ndarray:
 
 
 def expand(sym: np.ndarray, rules: np.ndarray, base: int, length: np.ndarray | None = None) -> np.ndarray:
-    """The ids that symbols stand for: each level of the rules writes its ids in place."""
+    """The ids that symbols stand for: each level of the rules writes its ids in place.
+
+    Where the rules stand for fewer ids than the symbols, each rule is
+    expanded once, and the symbols copy from there.
+    """
     length = lengths(rules, base) if length is None else length
 
     def sizes(s: np.ndarray) -> np.ndarray:
@@ -182,16 +185,23 @@ def expand(sym: np.ndarray, rules: np.ndarray, base: int, length: np.ndarray | N
         n[big] = length[s[big] - base]
         return n
 
+    def levels(sym: np.ndarray, n: np.ndarray) -> np.ndarray:
+        at = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), np.uint32)
+        while len(sym):
+            big = sym >= base
+            out[at[~big]] = sym[~big]
+            rule, at = rules[sym[big] - base].astype(np.int64), at[big]
+            sym, at = np.concatenate([rule[:, 0], rule[:, 1]]), np.concatenate([at, at + sizes(rule[:, 0])])
+        return out
+
     sym = sym.astype(np.int64)
     n = sizes(sym)
-    at = np.cumsum(n) - n
-    out = np.empty(int(n.sum()), np.uint32)
-    while len(sym):
-        big = sym >= base
-        out[at[~big]] = sym[~big]
-        rule, at = rules[sym[big] - base].astype(np.int64), at[big]
-        sym, at = np.concatenate([rule[:, 0], rule[:, 1]]), np.concatenate([at, at + sizes(rule[:, 0])])
-    return out
+    if base + length.sum() > n.sum():
+        return levels(sym, n)
+    ids = np.concatenate([np.arange(base, dtype=np.uint32), levels(np.arange(base, base + len(rules)), length)])
+    at = np.concatenate([np.arange(base), base + np.cumsum(length) - length])
+    return ids[take_spans(at[sym], n)]
 
 
 class Shard:
@@ -320,20 +330,16 @@ class LibraryEncoder:
     def _encode_plain(self, texts: list[str], group: list[int], out: list) -> None:
         spans = Spans([texts[i] for i in group])
         h = spans.hashes()
-        order = np.argsort(h)
-        ordered = h[order]
-        new = np.r_[True, ordered[1:] != ordered[:-1]][:len(h)]
-        distinct, first = ordered[new], order[new]
-        which = np.empty(len(h), np.int64)
-        which[order] = np.cumsum(new) - 1
-        _, have = self.known.find(distinct)
+        place, have = self.known.find(h)
         new = np.flatnonzero(~have)
-        if len(self.known.hash) + len(new) > CACHE:
-            self.known, new = KnownPieces(), np.arange(len(distinct))
         if len(new):
-            self.known.append(distinct[new], *self.pieces_ids(spans, first[new]))
-        place, _ = self.known.find(distinct)
-        at, size = self.known.at[place][which], self.known.size[place][which]
+            distinct, first = np.unique(h[new], return_index=True)
+            if len(self.known.hash) + len(distinct) > CACHE:
+                self.known, new = KnownPieces(), np.arange(len(h))
+                distinct, first = np.unique(h, return_index=True)
+            self.known.append(distinct, *self.pieces_ids(spans, new[first]))
+            place[new], _ = self.known.find(h[new])
+        at, size = self.known.at[place], self.known.size[place]
         ids = self.known.ids[take_spans(at, size)]
         cuts = np.r_[0, np.cumsum(size)][spans.first]
         for i, a, b in zip(group, cuts[:-1].tolist(), cuts[1:].tolist()):

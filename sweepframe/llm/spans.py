@@ -25,6 +25,16 @@ for _cp in _COMMON:
 _CLASS[BREAK] = _EDGE
 _ODD = np.random.default_rng(30).integers(1 << 63, size=4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CODE = np.random.default_rng(31).integers(1 << 63, size=BREAK + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_INVERSE = np.uint64(pow(int(_ODD[0]), -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(n - 1, base)])
+
+
+#: Characters hashed together; the powers of the polynomial and their inverses are ready for so many, a longer piece makes its own.
+_READY = 1 << 17
+_POWERS = {base: _powers(base, _READY) for base in (_ODD[0], _INVERSE)}
 
 
 class Spans:
@@ -60,56 +70,91 @@ class Spans:
         self.first[-1] = len(self.start)
 
     def hashes(self) -> np.ndarray:
-        size = self.end - self.start
-        order = np.argsort(-np.minimum(size, 30_000).astype(np.int16), kind="stable")
-        at, left = self.start[order], size[order]
-        h = left.astype(np.uint64) * _ODD[1]
-        k, live = 0, len(order)
-        while live:
-            live = int(np.searchsorted(-left[:live], -k, "left"))
-            if k >= 64 and 0 < live < 64:  # a few very long pieces: one by one
-                for i in range(live):
-                    v = _CODE[self.chars[at[i] + k:at[i] + left[i]]]
-                    powers = np.cumprod(np.full(len(v), _ODD[0]))[::-1]
-                    with np.errstate(over="ignore"):
-                        h[i] = h[i] * _ODD[2] + (v * powers).sum(dtype=np.uint64)
-                break
-            h[:live] = h[:live] * _ODD[0] + _CODE[self.chars[at[:live] + k]]
-            k += 1
-        out = np.empty(len(h), np.uint64)
-        out[order] = mix(h)
-        return out
+        """A polynomial in each piece's characters, from running sums over many pieces."""
+        h = np.empty(len(self.start), np.uint64)
+        a = 0
+        while a < len(h):
+            lo = self.start[a]
+            b = max(a + 1, int(np.searchsorted(self.end, lo + _READY, "right")))
+            start, end = self.start[a:b] - lo, self.end[a:b] - lo
+            n = int(end[-1])
+            up, down = (p[:n] if n <= _READY else _powers(base, n) for base, p in _POWERS.items())
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(_CODE[self.chars[lo:lo + n]] * up, out=sums[1:])
+            h[a:b] = (sums[end] - sums[start]) * down[start]
+            a = b
+        return mix(h + (self.end - self.start).astype(np.uint64) * _ODD[1])
 
     def piece(self, i: int) -> str:
         return self.chars[self.start[i]:self.end[i]].tobytes().decode("utf-32-le")
 
 
 class KnownPieces:
-    """Ids of the pieces met so far, by hash: sorted hashes, and where each one's ids lie in ``ids``."""
+    """Ids of the pieces met so far: by order of arrival, ``hash`` and where each one's ids lie in ``ids``.
+
+    A table at most half full finds them: the hash's first bits say which
+    slot to look at, and the slots behind it follow.
+    """
 
     def __init__(self):
         self.hash = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self._table(12)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each hash, and whether it is known."""
-        at = np.minimum(np.searchsorted(self.hash, h), max(0, len(self.hash) - 1))
-        return at, self.hash[at] == h if len(self.hash) else np.zeros(len(h), bool)
+        if not len(self.hash):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        at = self._first(h)
+        place = self._slot[at]
+        known = self.hash[place] == h
+        open_ = np.flatnonzero(~known)
+        while len(open_):  # until a slot with the hash, or an empty one
+            open_ = open_[place[open_] >= 0]
+            at[open_] = (at[open_] + 1) & (len(self._slot) - 1)
+            place[open_] = self._slot[at[open_]]
+            known[open_] = self.hash[place[open_]] == h[open_]
+            open_ = open_[~known[open_]]
+        return place.astype(np.int64), known & (place >= 0)
 
     def add(self, h: np.ndarray, ids: list[list[int]]) -> None:
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         self.append(h, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum())), size)
 
     def append(self, h: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        """New pieces: their hashes, their ids one after another, and how many each has."""
-        at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, ids])
-        every = np.concatenate([self.hash, h])
-        order = np.argsort(every)
-        self.hash = every[order]
-        self.at, self.size = np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+        """New pieces: their hashes (none twice), their ids one after another, and how many each has."""
+        n = len(self.hash)
+        self.at = _extended(self.at, len(self.ids) + np.cumsum(size) - size)
+        self.size = _extended(self.size, size)
+        self.ids = _extended(self.ids, ids)
+        self.hash = _extended(self.hash, h)
+        if 2 * len(self.hash) > len(self._slot):
+            n = 0
+            self._table(1 + (2 * len(self.hash)).bit_length())
+        at, place = self._first(self.hash[n:]), np.arange(n, len(self.hash), dtype=np.int32)
+        while len(place):  # of those that want a slot, one gets it; the others go on
+            free = self._slot[at] < 0
+            self._slot[at[free]] = place[free]
+            rest = self._slot[at] != place
+            at, place = (at[rest] + 1) & (len(self._slot) - 1), place[rest]
+
+    def _table(self, bits: int) -> None:
+        self._slot = np.full(1 << bits, -1, np.int32)
+
+    def _first(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(65 - len(self._slot).bit_length())).astype(np.int64)
+
+
+def _extended(a: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """``more`` behind ``a``, in the same memory while that has room."""
+    n, room = len(a) + len(more), a if a.base is None else a.base
+    if len(room) < n:
+        room = np.empty(2 * n, a.dtype)
+        room[:len(a)] = a
+    room[len(a):n] = more
+    return room[:n]
 
 
 def take_spans(at: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -7,6 +7,7 @@ from helpers import awkward, docs
 from tokenizers import Tokenizer
 
 from sweepframe.llm import repair as R
+from sweepframe.llm import spans as S
 from sweepframe.session import scratch_path
 
 FILE = P.path("byte_bpe_50k.json")
@@ -108,3 +109,52 @@ def test_many_pieces_at_once_equal_the_library():
     texts += ["".join(chr(c) for c in np.random.default_rng(s).integers(0, 0x370, 3000)) for s in range(20)]
     for got, text in zip(enc.encode(texts), texts):
         assert got.tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
+def test_known_pieces_stay_in_place():
+    """Pieces met later move none of those before, also where all want the same slot."""
+    rnd = np.random.default_rng(3)
+    every = np.unique(np.r_[rnd.integers(0, 1 << 63, 9000, dtype=np.uint64), np.arange(1000, dtype=np.uint64), np.uint64((1 << 64) - 1)])
+    rnd.shuffle(every)
+    known, met = S.KnownPieces(), np.zeros(0, np.uint64)
+    assert not known.find(every)[1].any()
+    for h in np.split(every, [1, 2, 500, 500, 4000, 7000]):
+        before = known.find(met)
+        size = (h % np.uint64(4)).astype(np.int64)
+        known.append(h, np.repeat(h.astype(np.uint32), size), size)
+        assert not len(met) or np.array_equal(known.find(met)[0], before[0])
+        met = np.r_[met, h]
+        place, have = known.find(every)
+        assert have.tolist() == np.isin(every, met).tolist()
+        assert np.array_equal(known.hash[place[have]], every[have])
+        ids = known.ids[S.take_spans(known.at[place[have]], known.size[place[have]])]
+        assert np.array_equal(ids, np.repeat(every[have].astype(np.uint32), known.size[place[have]]))
+
+
+def test_a_piece_has_one_hash_wherever_it_stands():
+    words = ["a", "ab", "ba", "b" * 70, "c" * 40_000, "c" * 40_001, "d" * (S._READY + 1), "é"]
+    alone = {w: int(S.Spans([w]).hashes()[0]) for w in words}
+    assert len(set(alone.values())) == len(words)
+    for texts in (["\n".join(words)], ["1" * 999, *words[::-1]], ["2" * S._READY, *words], []):
+        spans = S.Spans(texts)
+        got = dict(zip(map(spans.piece, range(len(spans.start))), spans.hashes().tolist()))
+        assert {w: got[w] for w in words if w in got} == (alone if texts else {})
+
+
+def test_symbols_are_copied_from_the_rules_or_expanded_by_levels():
+    """A symbol of many ids is opened once, however often it stands."""
+    rnd = np.random.default_rng(5)
+    ids = np.concatenate([np.r_[rnd.integers(3, 20, 64), 2]] * 200)
+    sym, rules = R.compress(ids, 2, 20)
+    length = R.lengths(rules, 20)
+    seen = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            seen.append(np.size(at))
+            return np.asarray(super().__getitem__(at))
+
+    assert np.array_equal(R.expand(sym, rules.view(Counted), 20, length), ids)
+    assert sum(n for n in seen) <= 2 * length.sum()
+    for k in (0, 1, 5, len(sym)):
+        assert np.array_equal(R.expand(sym[:k], rules, 20, length), ids[:sum(length[s - 20] if s >= 20 else 1 for s in sym[:k])])
